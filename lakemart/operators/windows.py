@@ -44,3 +44,27 @@ def trim_edges(df: DataFrame, order: list[Column], desc_order: list[Column], key
     highest = df.orderBy(*desc_order).limit(k).select(key)
     return (df.join(F.broadcast(lowest), key, "left_anti")
             .join(F.broadcast(highest), key, "left_anti"))
+
+
+def lag_by_date(df: DataFrame, group: str, date_col: str, tiebreak: str, value_col: str,
+                out_col: str) -> DataFrame:
+    """``lag(value) over (partition by group order by date, tiebreak)``
+    without a per-group window.
+
+    Rows are numbered inside (group, date) chunks, so a hot group is spread
+    over its dates.  The first row of a chunk takes its previous value from
+    the last row of the group's preceding chunk: chunk tails come from an
+    aggregate (``max_by``), and the window that orders them holds one row
+    per (group, date).
+    """
+    in_chunk = Window.partitionBy(group, date_col).orderBy(tiebreak)
+    numbered = (df.withColumn(out_col, F.lag(value_col).over(in_chunk))
+                .withColumn("__rn", F.row_number().over(in_chunk)))
+    tails = df.groupBy(group, date_col).agg(
+        F.max_by(F.col(value_col), F.col(tiebreak)).alias("__tail"))
+    by_date = Window.partitionBy(group).orderBy(date_col)
+    prev_tail = tails.select(group, date_col, F.lag("__tail").over(by_date).alias("__prev_tail"))
+    return (numbered.join(prev_tail, [group, date_col])
+            .withColumn(out_col, F.when(F.col("__rn") == 1, F.col("__prev_tail"))
+                        .otherwise(F.col(out_col)))
+            .drop("__prev_tail", "__rn"))
