@@ -1,3 +1,234 @@
-"""Keyed queries."""
+"""Keyed loads, layout and data-quality jobs.
+
+Each query runs the load against a fresh folder under the lake root (shared
+storage), usually twice, and returns what a reader sees afterwards — so the
+registered answer also proves the load is idempotent.
+"""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lakemart import bindings as b
+from lakemart.operators.layout import dense_ids, write_partitioned
+from lakemart.operators.loads import (
+    SummingTable, VersionedTable, latest_per_key, month_ranges, route_by_ranges,
+)
+from lakemart.operators.quality import constraint_report
+from lakemart.operators.skew import key_histogram as _key_histogram
+from lakemart.operators.skew import skewed_events
+from lakemart.plans.registry import register
+from lakemart.session import scratch_path
+
+
+@register("load_users_if_absent", "L1", oracle="""
+SELECT DISTINCT u.user_id, u.email, u.city
+FROM b_orders o JOIN b_users u ON u.user_id = o.user_id
+""")
+def load_users_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User dimension loaded from order rows (one user row per order, so the
+    batch repeats keys): first row per key wins, existing keys are left
+    alone, and the second run inserts nothing."""
+    batch = (b.orders(spark, sf_dir).select("user_id")
+             .join(b.users(spark, sf_dir).select("user_id", "email", "city"), "user_id"))
+    t = VersionedTable(spark, scratch_path(spark, "dim_users"),
+                       schema="user_id bigint, email string, city string")
+    t.insert_if_absent(batch, ["user_id"])
+    t.insert_if_absent(batch, ["user_id"])
+    return t.read()
+
+
+def load_dimension_keys(t: VersionedTable, keys: DataFrame, key: str, id_col: str) -> int:
+    """L2: give dense surrogate ids to keys not in the dimension yet,
+    continuing after the current maximum id.  Returns the new version."""
+    current = t.read()
+    new_keys = keys.select(key).distinct().join(current.select(key), key, "left_anti")
+    start = current.select(F.coalesce(F.max(id_col), F.lit(0)) + 1).scalar()
+    ids = dense_ids(new_keys, key, id_col, start=start)
+    return t.commit(current.select(key, id_col).unionByName(ids))
+
+
+@register("dim_surrogate_keys", "L2", oracle="""
+SELECT COUNT(*) AS keys_cnt, COUNT(*) AS distinct_ids, CAST(1 AS BIGINT) AS min_id,
+       COUNT(*) AS max_id
+FROM b_products
+""")
+def dim_surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Surrogate ids for products, loaded from products and then from sold
+    lines (no new keys): ids stay unique and dense 1..n."""
+    t = VersionedTable(spark, scratch_path(spark, "dim_products"),
+                       schema="product_id bigint, product_sk bigint")
+    load_dimension_keys(t, b.products(spark, sf_dir), "product_id", "product_sk")
+    load_dimension_keys(t, b.order_items(spark, sf_dir), "product_id", "product_sk")
+    return t.read().agg(F.count(F.lit(1)).alias("keys_cnt"),
+                        F.countDistinct("product_sk").alias("distinct_ids"),
+                        F.min("product_sk").alias("min_id"), F.max("product_sk").alias("max_id"))
+
+
+@register("upsert_orders", "L3", oracle="""
+SELECT order_id, user_id, order_date,
+       CASE WHEN status = 'created' THEN 'shipped' ELSE status END AS status,
+       CAST(amount AS DOUBLE) AS amount
+FROM b_orders
+""")
+def upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders loaded, then every created order re-stated as shipped by an
+    upsert batch (applied twice: the second run changes nothing)."""
+    o = b.orders(spark, sf_dir)
+    t = VersionedTable(spark, scratch_path(spark, "ods_orders"))
+    t.overwrite(o)
+    batch = o.filter(F.col("status") == "created").withColumn("status", F.lit("shipped"))
+    t.upsert(batch, ["order_id"])
+    t.upsert(batch, ["order_id"])
+    return t.read().withColumn("amount", F.col("amount").cast("double"))
+
+
+@register("latest_version_per_key", "L7", oracle="""
+SELECT user_id, event_type, event_id, ts, value FROM (
+  SELECT user_id, event_type, event_id, ts, value,
+         ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events) t WHERE rn = 1
+""")
+def latest_version_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as versions of a (user, event type) row; the read keeps the
+    latest by (ts, event_id)."""
+    ev = b.events(spark, sf_dir).select("user_id", "event_type", "event_id", "ts", "value")
+    return latest_per_key(ev, ["user_id", "event_type"], ["ts", "event_id"])
+
+
+@register("summing_rollup", "L8", oracle="""
+SELECT CAST(ts AS DATE) AS event_date, event_type, 2 * COUNT(*) AS events_cnt,
+       CAST(2 * SUM(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS value_sum
+FROM events GROUP BY 1, 2
+""")
+def summing_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily event rollup inserted twice into an additive table (counts and
+    sums double); a compaction between the inserts does not change reads."""
+    delta = (b.events(spark, sf_dir)
+             .groupBy(F.to_date("ts").alias("event_date"), "event_type")
+             .agg(F.count(F.lit(1)).alias("events_cnt"),
+                  F.sum(F.col("value").cast("decimal(12,2)")).alias("value_sum")))
+    t = SummingTable(spark, scratch_path(spark, "rollup"), ["event_date", "event_type"],
+                     ["events_cnt", "value_sum"])
+    t.add(delta)
+    t.compact()
+    t.add(delta)
+    return t.read_summed().select("event_date", "event_type",
+                                  F.col("events_cnt").cast("bigint").alias("events_cnt"),
+                                  F.col("value_sum").cast("double").alias("value_sum"))
+
+
+# Declared monthly ranges of the orders mart (from a rule: 72 months).
+RANGE_FIRST_MONTH = "1995-01-01"
+RANGE_MONTHS = 72
+
+
+@register("range_partition_route", "L9", oracle="""
+SELECT order_id, order_date,
+       CASE WHEN order_date >= DATE '1995-01-01' AND order_date < DATE '2001-01-01'
+            THEN 'p' || strftime(order_date, '%Y_%m') ELSE 'rejected' END AS partition_name
+FROM b_orders
+""")
+def range_partition_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders routed to declared month ranges; rows outside every range go
+    to a reject output instead of failing the load.  Accepted rows are
+    written partitioned by range, rejects beside them."""
+    o = b.orders(spark, sf_dir).select("order_id", "order_date")
+    routed = route_by_ranges(o, "order_date", month_ranges(spark, RANGE_FIRST_MONTH, RANGE_MONTHS))
+    root = scratch_path(spark, "orders_by_month")
+    write_partitioned(routed.filter(F.col("partition_name") != "rejected"), f"{root}/accepted",
+                      ["partition_name"], sort_cols=["order_date", "order_id"])
+    routed.filter(F.col("partition_name") == "rejected").write.mode("overwrite").parquet(f"{root}/rejected")
+    accepted = spark.read.parquet(f"{root}/accepted")
+    rejected = spark.read.parquet(f"{root}/rejected")
+    return accepted.unionByName(rejected).select("order_id", "order_date", "partition_name")
+
+
+REDELIVERY_FROM = "2024-01-15"
+
+
+def _write_events_partitioned(spark: SparkSession, sf_dir: str) -> str:
+    """Events written by day (30 partitions), then the days from
+    ``REDELIVERY_FROM`` delivered again: a dynamic overwrite replaces only
+    those day partitions."""
+    ev = b.events(spark, sf_dir).withColumn("event_date", F.to_date("ts"))
+    path = scratch_path(spark, "events_by_day")
+    write_partitioned(ev, path, ["event_date"], sort_cols=["ts", "event_id"])
+    again = ev.filter(F.col("event_date") >= F.lit(REDELIVERY_FROM).cast("date"))
+    write_partitioned(again, path, ["event_date"], sort_cols=["ts", "event_id"], dynamic=True)
+    return path
+
+
+@register("events_partitioned", "L10", oracle="""
+SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS event_date FROM events
+""")
+def events_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _write_events_partitioned(spark, sf_dir)
+    return spark.read.parquet(path).select("event_id", "user_id", "event_type", "event_date")
+
+
+PRUNE_FROM, PRUNE_TO = "2024-01-10", "2024-01-12"
+
+
+@register("partition_pruned_read", "P7", oracle=f"""
+SELECT CAST(ts AS DATE) AS event_date, COUNT(*) AS events_cnt FROM events
+WHERE CAST(ts AS DATE) BETWEEN DATE '{PRUNE_FROM}' AND DATE '{PRUNE_TO}' GROUP BY 1
+""")
+def partition_pruned_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filter on the partition column: only three day folders are listed
+    and read (``PartitionFilters`` in the scan)."""
+    path = _write_events_partitioned(spark, sf_dir)
+    ev = spark.read.parquet(path)
+    return (ev.filter(F.col("event_date").between(F.lit(PRUNE_FROM).cast("date"), F.lit(PRUNE_TO).cast("date")))
+            .groupBy("event_date").agg(F.count(F.lit(1)).alias("events_cnt")))
+
+
+@register("key_histogram", "L14", oracle="""
+, k AS (SELECT CASE WHEN event_id % 10 < 8 THEN 'hot' ELSE 'k' || CAST(user_id AS VARCHAR) END AS skew_key
+        FROM events)
+SELECT skew_key, COUNT(*) AS rows_cnt,
+       CAST(COUNT(*) AS DOUBLE) / CAST((SELECT COUNT(*) FROM k) AS DOUBLE) AS share
+FROM k GROUP BY skew_key
+""")
+def key_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per key of the skewed event stream and each key's share."""
+    return _key_histogram(skewed_events(b.events(spark, sf_dir)), "skew_key")
+
+
+@register("v_sales_lines", "L16", oracle="""
+SELECT i.order_id, i.line_no, o.order_date, o.status, i.product_id, i.quantity,
+       CAST(i.quantity * i.price AS DOUBLE) AS line_total
+FROM b_items i JOIN b_orders o ON o.order_id = i.order_id WHERE o.status IN ('paid', 'shipped')
+""")
+def v_sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A SQL view over the bound views (``CREATE OR REPLACE TEMP VIEW``)."""
+    b.register_views(spark, sf_dir)
+    spark.sql("""
+        CREATE OR REPLACE TEMP VIEW v_sales_lines AS
+        SELECT i.order_id, i.line_no, o.order_date, o.status, i.product_id, i.quantity,
+               CAST(i.quantity * i.price AS DOUBLE) AS line_total
+        FROM b_items i JOIN b_orders o ON o.order_id = i.order_id
+        WHERE o.status IN ('paid', 'shipped')""")
+    return spark.table("v_sales_lines")
+
+
+@register("constraint_violations", "DQ1", oracle="""
+SELECT 'order_items' AS table_name, 'pk_order_line' AS rule,
+       (SELECT COUNT(*) FROM (SELECT order_id, line_no FROM b_items GROUP BY 1, 2 HAVING COUNT(*) > 1)) AS violations_cnt
+UNION ALL SELECT 'order_items', 'not_null', COUNT(*) FILTER (WHERE order_id IS NULL OR product_id IS NULL OR quantity IS NULL OR price IS NULL) FROM b_items
+UNION ALL SELECT 'order_items', 'check_quantity_positive', COUNT(*) FILTER (WHERE quantity <= 0) FROM b_items
+UNION ALL SELECT 'order_items', 'check_price_non_negative', COUNT(*) FILTER (WHERE price < 0) FROM b_items
+UNION ALL SELECT 'order_items', 'fk_order', COUNT(*) FROM b_items i WHERE NOT EXISTS (SELECT 1 FROM b_orders o WHERE o.order_id = i.order_id)
+UNION ALL SELECT 'order_items', 'fk_product', COUNT(*) FROM b_items i WHERE NOT EXISTS (SELECT 1 FROM b_products p WHERE p.product_id = i.product_id)
+UNION ALL SELECT 'orders', 'pk_order', (SELECT COUNT(*) FROM (SELECT order_id FROM b_orders GROUP BY 1 HAVING COUNT(*) > 1))
+UNION ALL SELECT 'orders', 'not_null', COUNT(*) FILTER (WHERE order_id IS NULL OR user_id IS NULL OR order_date IS NULL OR status IS NULL OR amount IS NULL) FROM b_orders
+UNION ALL SELECT 'orders', 'check_status', COUNT(*) FILTER (WHERE status IS NULL OR status NOT IN ('paid', 'shipped', 'created')) FROM b_orders
+UNION ALL SELECT 'orders', 'check_amount_non_negative', COUNT(*) FILTER (WHERE amount < 0) FROM b_orders
+UNION ALL SELECT 'orders', 'fk_user', COUNT(*) FROM b_orders o WHERE NOT EXISTS (SELECT 1 FROM b_users u WHERE u.user_id = o.user_id)
+""")
+def constraint_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PK / NOT NULL / CHECK / FK rules of the shop schema as a violations
+    table (one row per rule, zero included)."""
+    return constraint_report(b.order_items(spark, sf_dir), b.orders(spark, sf_dir),
+                             b.products(spark, sf_dir), b.users(spark, sf_dir))
