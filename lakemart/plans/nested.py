@@ -1,3 +1,62 @@
-"""Keyed queries."""
+"""Nesting and unnesting over the driver tables."""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lakemart import bindings as b
+from lakemart.operators.nested import nest
+from lakemart.plans.registry import register
+
+LINE_FIELDS = ["line_no", "product_id", "quantity", "price"]
+
+
+def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document per order with its sorted line structs."""
+    return nest(b.order_items(spark, sf_dir), "order_id", LINE_FIELDS)
+
+
+@register("nest_orders", "N7", oracle="""
+, ranked AS (SELECT order_id, line_no, product_id, quantity,
+                    ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY line_no, product_id, quantity, price) AS rn
+             FROM b_items)
+SELECT order_id, COUNT(*) AS lines_cnt, CAST(SUM(quantity) AS BIGINT) AS quantity_total,
+       MAX(CASE WHEN rn = 1 THEN line_no END) AS first_line_no,
+       MAX(CASE WHEN rn = 1 THEN product_id END) AS first_product_id
+FROM ranked GROUP BY order_id
+""")
+def nest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = order_documents(spark, sf_dir)
+    return docs.select(
+        "order_id", F.size("items").cast("bigint").alias("lines_cnt"),
+        F.aggregate("items", F.lit(0).cast("bigint"), lambda acc, x: acc + x["quantity"]).alias("quantity_total"),
+        F.col("items")[0]["line_no"].alias("first_line_no"),
+        F.col("items")[0]["product_id"].alias("first_product_id"))
+
+
+@register("unnest_items", "N2", oracle="""
+SELECT order_id, line_no, product_id, quantity, CAST(price AS DOUBLE) AS price,
+       CAST(quantity * price AS DOUBLE) AS item_amount
+FROM b_items
+""")
+def unnest_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order documents back to one row per line (explode)."""
+    docs = order_documents(spark, sf_dir)
+    it = docs.select("order_id", F.explode("items").alias("it"))
+    return it.select("order_id", "it.line_no", "it.product_id", "it.quantity",
+                     F.col("it.price").cast("double").alias("price"),
+                     (F.col("it.quantity") * F.col("it.price")).cast("double").alias("item_amount"))
+
+
+@register("unnest_with_position", "N4", oracle="""
+SELECT order_id, ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY line_no, product_id, quantity, price) AS pos,
+       line_no, product_id
+FROM b_items
+""")
+def unnest_with_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with their 1-based position inside the order document
+    (``posexplode``)."""
+    docs = order_documents(spark, sf_dir)
+    it = docs.select("order_id", F.posexplode("items").alias("p", "it"))
+    return it.select("order_id", (F.col("p") + 1).cast("bigint").alias("pos"), "it.line_no", "it.product_id")
