@@ -149,6 +149,16 @@ class VersionedTable:
         return self.commit(kept.unionByName(batch))
 
 
+    def upsert_if_changed(self, batch: DataFrame, keys: list[str],
+                          order: list[Column] | None = None) -> int:
+        """Upsert, but commit no new version when every batch row is already
+        in the table (re-running a load changes nothing)."""
+        current = self.read()
+        if batch.select(*current.columns).exceptAll(current).isEmpty():
+            return self.current_version()
+        return self.upsert(batch, keys, order)
+
+
 class SummingTable:
     """L8 (SummingMergeTree): rows with the same key add up.
 
