@@ -96,11 +96,11 @@ BIG_ORDER_UNITS = 150
 SELECT order_id, COUNT(*) AS lines_cnt, CAST(SUM(quantity) AS BIGINT) AS units
 FROM b_items GROUP BY order_id HAVING SUM(quantity) > {BIG_ORDER_UNITS}
 """)
-def big_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def big_orders(spark: SparkSession, sf_dir: str, min_units: int = BIG_ORDER_UNITS) -> DataFrame:
     """Orders with more than 150 units in total (HAVING)."""
     return (b.order_items(spark, sf_dir).groupBy("order_id")
             .agg(F.count(F.lit(1)).alias("lines_cnt"), F.sum("quantity").cast("bigint").alias("units"))
-            .filter(F.col("units") > BIG_ORDER_UNITS))
+            .filter(F.col("units") > min_units))
 
 
 @register("orders_span", "A5", oracle="""

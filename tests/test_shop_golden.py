@@ -1,0 +1,173 @@
+"""Golden answers of FIXTURES F1 (shop) through the registered queries."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+
+from lakemart.plans import aggregates as A
+from lakemart.plans import joins as J
+from lakemart.plans import order_analysis as Q
+from lakemart.plans import windows as W
+from tests.shop_fixture import shop_views
+
+
+@pytest.fixture(scope="module")
+def shop(spark):
+    return shop_views(spark)
+
+
+def rows(df, *cols):
+    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+
+
+def approx(x, y, tol=0.006):
+    return abs(x - y) <= tol
+
+
+def test_a1_city_user_stats(spark, shop):
+    out = {r.city: r for r in A.city_user_stats(spark, shop).collect()}
+    assert out["Kazan"].users_cnt == 2
+    assert out["Kazan"].first_registered == dt.date(2026, 1, 4)
+    assert out["Kazan"].last_registered == dt.date(2026, 1, 10)
+    assert out["Moscow"].first_registered == dt.date(2026, 1, 1)
+    assert out["Moscow"].last_registered == dt.date(2026, 2, 1)
+    assert out["Perm"].users_cnt == 1 and out["SPb"].users_cnt == 1
+
+
+def test_a2_category_price_stats(spark, shop):
+    out = {r.category: r for r in A.category_price_stats(spark, shop).collect()}
+    acc = out["Accessories"]
+    assert (acc.products_cnt, acc.min_price, acc.max_price) == (3, 2500, 7000)
+    assert approx(acc.avg_price, 5166.67)
+    assert approx(out["Education"].avg_price, 6750) and approx(out["Electronics"].avg_price, 70000)
+
+
+def test_a3_order_units(spark, shop):
+    assert rows(A.order_units(spark, shop), "order_id", "lines_cnt", "units") == [
+        (9101, 2, 2), (9102, 1, 6), (9103, 1, 1), (9104, 3, 3), (9106, 1, 2), (9108, 3, 3),
+        (9109, 1, 1), (9110, 1, 2), (9111, 1, 1)]
+
+
+def test_a4_users_two_paid(spark, shop):
+    assert rows(A.users_two_paid(spark, shop), "user_id", "paid_orders_cnt", "avg_amount", "total_amount") == [
+        (9001, 4, 38750.0, 155000.0), (9002, 2, 59750.0, 119500.0)]
+
+
+def test_e2_big_orders(spark, shop):
+    assert rows(A.big_orders(spark, shop, min_units=5), "order_id", "lines_cnt", "units") == [(9102, 1, 6)]
+
+
+def test_w1_city_top_order(spark, shop):
+    assert rows(W.city_top_order(spark, shop), "city", "order_id", "amount") == [
+        ("Kazan", 9110, 3000.0), ("Moscow", 9108, 119000.0), ("SPb", 9109, 80000.0)]
+
+
+def test_w2_running_revenue(spark, shop):
+    out = W.running_revenue(spark, shop).orderBy("user_id", "order_date", "order_id").collect()
+    by_user = {}
+    for r in out:
+        by_user.setdefault(r.user_id, []).append(r.running_amount)
+    assert by_user[9001] == [98000, 113000, 125000, 155000]
+    assert by_user[9002] == [39500, 119500]
+
+
+def test_j11_user_paid_count(spark, shop):
+    assert rows(J.user_paid_count(spark, shop), "user_id", "paid_orders_cnt") == [
+        (9001, 4), (9002, 2), (9003, 1), (9004, 0), (9005, 1), (9006, 1)]
+
+
+def test_j10_orders_before_registration(spark, shop):
+    assert rows(J.orders_before_registration(spark, shop), "user_id", "order_id") == [(9003, 9106), (9005, 9108)]
+
+
+def test_e1_price_mismatch(spark, shop):
+    assert rows(Q.price_mismatch_lines(spark, shop), "order_id", "product_id", "sold_price", "list_price",
+                "price_diff") == [(9101, 9001, 95000.0, 100000.0, -5000.0), (9101, 9002, 3000.0, 2500.0, 500.0)]
+
+
+def test_e5_single_category_orders(spark, shop):
+    assert rows(Q.single_category_orders(spark, shop), "order_id", "category", "products_cnt", "lines_total") == [
+        (9102, "Accessories", 1, 15000.0), (9103, "Education", 1, 12000.0), (9105, "Education", 1, 12000.0),
+        (9106, "Education", 1, 3000.0), (9109, "Electronics", 1, 80000.0), (9110, "Education", 1, 3000.0),
+        (9111, "Electronics", 1, 30000.0)]
+
+
+def test_m1_top_line_share(spark, shop):
+    out = {r.order_id: r for r in Q.top_line_share(spark, shop).collect()}
+    assert (out[9101].order_total, out[9101].top_line) == (98000, 95000)
+    assert approx(out[9101].top_share_pct, 96.94) and approx(out[9104].top_share_pct, 75.95)
+    assert approx(out[9108].top_share_pct, 84.03)
+    assert all(approx(r.top_share_pct, 100) for k, r in out.items() if k not in (9101, 9104, 9108))
+    assert 9105 in out  # cancelled but has lines
+
+
+def test_m2_last_above_avg(spark, shop):
+    assert rows(Q.last_above_avg(spark, shop), "user_id", "paid_orders_cnt", "avg_amount", "last_amount") == [
+        (9002, 2, 59750.0, 80000.0)]
+
+
+def test_m3_category_cooccurrence(spark, shop):
+    out = rows(Q.category_cooccurrence(spark, shop), "category", "shared_orders", "total_orders", "shared_share")
+    assert [(a, b2, c) for a, b2, c, _ in out] == [("Accessories", 3, 4), ("Education", 1, 4), ("Electronics", 3, 5)]
+    assert [round(s, 2) for *_, s in out] == [0.75, 0.25, 0.6]
+
+
+def test_h1_user_top_category(spark, shop):
+    out = rows(Q.user_top_category(spark, shop), "user_id", "category", "category_spend", "total_spend", "share")
+    assert [(u, c, s, t) for u, c, s, t, _ in out] == [
+        (9001, "Electronics", 125000, 155000), (9002, "Electronics", 110000, 119500),
+        (9003, "Education", 3000, 3000), (9005, "Electronics", 100000, 119000), (9006, "Education", 3000, 3000)]
+    assert [round(x, 4) for *_, x in out] == [0.8065, 0.9205, 1.0, 0.8403, 1.0]
+
+
+def test_h2_order_change(spark, shop):
+    out = rows(Q.order_change(spark, shop), "user_id", "order_id", "cur_amount", "prev_amount", "diff_amount",
+               "change_pct")
+    assert [r[:5] for r in out] == [(9001, 9102, 15000, 98000, -83000), (9001, 9111, 30000, 12000, 18000),
+                                    (9002, 9109, 80000, 39500, 40500)]
+    assert [round(r[5], 2) for r in out] == [-84.69, 150.0, 102.53]
+
+
+def test_h3_dominant_category(spark, shop):
+    out = rows(Q.dominant_category(spark, shop), "order_id", "category", "share")
+    assert [(o, c) for o, c, _ in out] == [
+        (9101, "Electronics"), (9102, "Accessories"), (9103, "Education"), (9106, "Education"),
+        (9108, "Electronics"), (9109, "Electronics"), (9110, "Education"), (9111, "Electronics")]
+    assert round(out[0][2], 4) == 0.9694 and round(out[4][2], 4) == 0.8403
+
+
+def test_h4_new_category_sequence(spark, shop):
+    out = rows(Q.new_category_sequence(spark, shop), "user_id", "category", "first_date", "category_no")
+    d = dt.date
+    assert out == [
+        (9001, "Accessories", d(2026, 1, 5), 1), (9001, "Education", d(2026, 1, 25), 2),
+        (9001, "Electronics", d(2026, 1, 5), 1), (9002, "Accessories", d(2026, 1, 6), 1),
+        (9002, "Electronics", d(2026, 1, 6), 1), (9003, "Education", d(2026, 1, 8), 1),
+        (9005, "Accessories", d(2026, 1, 15), 1), (9005, "Education", d(2026, 1, 15), 1),
+        (9005, "Electronics", d(2026, 1, 15), 1), (9006, "Education", d(2026, 1, 11), 1)]
+
+
+def test_h5_amount_reconciliation(spark, shop):
+    assert rows(Q.amount_reconciliation(spark, shop), "order_id", "amount", "lines_total", "abs_diff", "diff_pct") == [
+        (9106, 1500.0, 3000.0, 1500.0, 100.0)]
+
+
+def test_b1_basket_diversity(spark, shop):
+    out = {r.order_id: r for r in Q.basket_diversity(spark, shop).collect()}
+    assert (out[9104].products_cnt, out[9104].categories_cnt) == (3, 2)
+    assert round(out[9104].diversity, 4) == 0.6667
+    assert all(r.diversity == 1.0 for k, r in out.items() if k != 9104)
+    first = Q.basket_diversity(spark, shop).first()
+    assert first.diversity == 1.0  # sorted by diversity descending
+
+
+def test_b2_single_category_users(spark, shop):
+    assert rows(Q.single_category_users(spark, shop), "user_id", "category", "orders_cnt", "spend") == [
+        (9003, "Education", 1, 3000.0), (9006, "Education", 1, 3000.0)]
+
+
+def test_b3_price_spread(spark, shop):
+    assert rows(Q.price_spread(spark, shop), "product_id", "min_price", "max_price", "price_diff", "orders_cnt") == [
+        (9001, 95000.0, 100000.0, 5000.0, 2), (9002, 2500.0, 3000.0, 500.0, 3)]
