@@ -125,11 +125,18 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders(spark: SparkSession, sf_dir: str, statuses: tuple[str, ...] | None = None) -> DataFrame:
+    """Orders view.  ``statuses`` filters on the raw status letter before the
+    name mapping, so the predicate is pushed to the Parquet scan (a filter on
+    the mapped name would be a CASE expression the scan cannot use)."""
     v = _view(sf_dir, "orders")
     if v is not None:
-        return v
-    return table(spark, sf_dir, "orders").select(
+        return v if statuses is None else v.filter(F.col("status").isin(*statuses))
+    raw = table(spark, sf_dir, "orders")
+    if statuses is not None:
+        codes = [code for code, name in STATUS_NAMES.items() if name in statuses]
+        raw = raw.filter(F.col("o_orderstatus").isin(*codes))
+    return raw.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("user_id"),
         F.col("o_orderdate").cast("date").alias("order_date"),

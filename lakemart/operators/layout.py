@@ -28,12 +28,14 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: list[str],
                       fmt: str = "parquet", compression: str | None = None) -> None:
     """Directory-partitioned write.
 
-    Rows are clustered by the partition columns first so each task writes
-    few files, then sorted inside partitions by ``sort_cols`` so Parquet
-    row-group min/max act as a sparse index.  ``dynamic`` overwrites only the
-    partitions present in ``df``.
+    Rows are clustered by the partition columns with a ``rebalance`` hint:
+    each directory gets few files, and AQE splits a hot partition value over
+    several tasks instead of sending it all to one writer.  Rows are then
+    sorted inside partitions by ``sort_cols`` so Parquet row-group min/max
+    act as a sparse index.  ``dynamic`` overwrites only the partitions
+    present in ``df``.
     """
-    out = df.repartition(*[F.col(c) for c in partition_cols])
+    out = df.hint("rebalance", *partition_cols)
     if sort_cols:
         out = out.sortWithinPartitions(*partition_cols, *sort_cols)
     writer = out.write.mode("overwrite").partitionBy(*partition_cols)

@@ -229,7 +229,7 @@ def upsert_partitioned(spark: SparkSession, table_path: str, batch: DataFrame, k
         merged = batch
     merged.write.mode("overwrite").parquet(staging_path)
     staged = spark.read.parquet(staging_path)
-    (staged.repartition(*partition_cols).write.mode("overwrite")
+    (staged.hint("rebalance", *partition_cols).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(table_path))
 
 

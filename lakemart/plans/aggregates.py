@@ -52,7 +52,7 @@ def category_price_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _paid_orders(spark, sf_dir):
-    return b.orders(spark, sf_dir).filter(F.col("status") == "paid")
+    return b.orders(spark, sf_dir, statuses=("paid",))
 
 
 @register("order_units", "A3", oracle="""

@@ -79,9 +79,8 @@ SELECT DISTINCT user_id FROM b_orders p WHERE status = 'paid'
 def paid_not_created_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users with a paid order and no created order (left anti join; not
     NOT IN, which is null-aware and plans a broadcast nested loop)."""
-    o = b.orders(spark, sf_dir).select("user_id", "status")
-    paid = o.filter(F.col("status") == "paid").select("user_id").distinct()
-    created = o.filter(F.col("status") == "created").select("user_id")
+    paid = b.orders(spark, sf_dir, statuses=("paid",)).select("user_id").distinct()
+    created = b.orders(spark, sf_dir, statuses=("created",)).select("user_id")
     return anti_join(paid, created, "user_id")
 
 
@@ -133,7 +132,7 @@ def user_paid_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Correlated count per user, zero when none: decorrelated as aggregate
     then left join with a NULL→0 fix-up (what Catalyst does with the
     scalar subquery)."""
-    paid = (b.orders(spark, sf_dir).filter(F.col("status") == "paid")
+    paid = (b.orders(spark, sf_dir, statuses=("paid",))
             .groupBy("user_id").agg(F.count(F.lit(1)).alias("n")))
     u = b.users(spark, sf_dir).select("user_id", "email")
     return u.join(paid, "user_id", "left").select(

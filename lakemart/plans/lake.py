@@ -78,7 +78,7 @@ def upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = b.orders(spark, sf_dir)
     t = VersionedTable(spark, scratch_path(spark, "ods_orders"))
     t.overwrite(o)
-    batch = o.filter(F.col("status") == "created").withColumn("status", F.lit("shipped"))
+    batch = b.orders(spark, sf_dir, statuses=("created",)).withColumn("status", F.lit("shipped"))
     t.upsert(batch, ["order_id"])
     t.upsert(batch, ["order_id"])
     return t.read().withColumn("amount", F.col("amount").cast("double"))

@@ -66,7 +66,7 @@ def daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_order = (b.order_items(spark, sf_dir).groupBy("order_id")
                  .agg(F.count(F.lit(1)).alias("n"), F.sum(v).alias("g"),
                       F.sum(v * (F.lit(1) - _disc())).alias("net_v")))
-    o = (b.orders(spark, sf_dir).filter(F.col("status").isin("paid", "shipped"))
+    o = (b.orders(spark, sf_dir, statuses=("paid", "shipped"))
          .select("order_id", F.col("order_date").alias("sales_date")))
     return (per_order.join(o, "order_id").groupBy("sales_date")
             .agg(F.sum("n").cast("bigint").alias("lines_cnt"), F.sum("g").cast("double").alias("gross"),

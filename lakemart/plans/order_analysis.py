@@ -30,7 +30,7 @@ def _ratio(num: str, den: str, scale: float = 1.0):
 def _paid_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of paid orders with user and category (order_id, user_id,
     order_date, product_id, category, quantity, line_value)."""
-    paid = (b.orders(spark, sf_dir).filter(F.col("status") == "paid")
+    paid = (b.orders(spark, sf_dir, statuses=("paid",))
             .select("order_id", "user_id", "order_date"))
     cats = b.products(spark, sf_dir).select("product_id", "category")
     lines = b.order_items(spark, sf_dir).select(
@@ -128,7 +128,7 @@ def last_above_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     The last order is picked by ``max_by`` over (date, id) inside the
     aggregate — a partial aggregate, no per-user window.
     """
-    per_user = (b.orders(spark, sf_dir).filter(F.col("status") == "paid").groupBy("user_id")
+    per_user = (b.orders(spark, sf_dir, statuses=("paid",)).groupBy("user_id")
                 .agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("total"),
                      F.max_by("amount", F.struct("order_date", "order_id")).alias("last"))
                 .filter((F.col("n") >= 2) & (F.col("last") * F.col("n") > F.col("total"))))
@@ -198,7 +198,7 @@ FROM s WHERE prev IS NOT NULL AND abs(amount - prev) * 5 > prev
 def order_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change of each paid order against the user's previous paid order,
     kept when |change| > 20 % (exactly 20 % is not kept)."""
-    paid = (b.orders(spark, sf_dir).filter(F.col("status") == "paid")
+    paid = (b.orders(spark, sf_dir, statuses=("paid",))
             .select("user_id", "order_id", "order_date", "amount"))
     s = lag_by_date(paid, "user_id", "order_date", "order_id", "amount", "prev")
     diff = F.col("amount") - F.col("prev")

@@ -20,7 +20,7 @@ WHERE rn = 1
 def city_top_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Most expensive paid order per city (tie-break order_id).  The top-1
     filter becomes a WindowGroupLimit that runs before the shuffle too."""
-    o = b.orders(spark, sf_dir).filter(F.col("status") == "paid").select(
+    o = b.orders(spark, sf_dir, statuses=("paid",)).select(
         "order_id", "user_id", "order_date", "amount")
     u = b.users(spark, sf_dir).select("user_id", "city")
     top = top_n_per_group(o.join(u, "user_id"), ["city"],
@@ -36,7 +36,7 @@ FROM b_orders WHERE status = 'paid'
 def running_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running paid revenue per user over time; same-day orders share the
     total (default RANGE frame)."""
-    paid = b.orders(spark, sf_dir).filter(F.col("status") == "paid").select(
+    paid = b.orders(spark, sf_dir, statuses=("paid",)).select(
         "user_id", "order_date", "order_id", "amount")
     out = running_total_by_date(paid, "user_id", "order_date", "amount", "running_amount")
     return out.select("user_id", "order_date", "order_id", F.col("amount").cast("double").alias("amount"),
