@@ -38,6 +38,23 @@ def _view(src, name: str):
     return src.get(name) if isinstance(src, ViewSet) else None
 
 
+def spread_coarse_input(df: DataFrame) -> DataFrame:
+    """Give a scan at least one partition per core.
+
+    A table stored as one unsplittable file (a single Parquet row group)
+    scans in one task, and every operator before the first shuffle then runs
+    on one core.  Such an input is spread round-robin over the default
+    parallelism; an input that already has enough splits — any large table
+    on a cluster — is returned untouched, so the extra exchange only ever
+    happens for small inputs.  Used before CPU-heavy per-row work (text
+    tokenisation); relational scans shuffle soon anyway and skip it.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def table(spark: SparkSession, sf_dir, name: str) -> DataFrame:
     if isinstance(sf_dir, ViewSet):
         if name not in sf_dir:
@@ -46,6 +63,12 @@ def table(spark: SparkSession, sf_dir, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _memo_key(spark: SparkSession, sf_dir, name: str):
+    if isinstance(sf_dir, ViewSet):
+        return None
+    return (spark.sparkContext.applicationId, f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
 def _status(col: Column) -> Column:
     expr = None
     for letter, name in STATUS_NAMES.items():
@@ -79,7 +102,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
         return v
     nation = broadcast_if_bounded(
         nations(spark, sf_dir).select("n_nationkey", "n_name", "n_regionkey"),
-        NATION_ROWS_MAX)
+        NATION_ROWS_MAX, memo_key=_memo_key(spark, sf_dir, "nation"))
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     return (
         c.join(nation, c.c_nationkey == nation.n_nationkey)
@@ -101,9 +124,11 @@ def user_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     if v is not None:
         return v
     region = broadcast_if_bounded(
-        table(spark, sf_dir, "region").select("r_regionkey", "r_name"), REGION_ROWS_MAX)
+        table(spark, sf_dir, "region").select("r_regionkey", "r_name"), REGION_ROWS_MAX,
+        memo_key=_memo_key(spark, sf_dir, "region"))
     nation = broadcast_if_bounded(
-        nations(spark, sf_dir).select("n_nationkey", "n_regionkey"), NATION_ROWS_MAX)
+        nations(spark, sf_dir).select("n_nationkey", "n_regionkey"), NATION_ROWS_MAX,
+        memo_key=_memo_key(spark, sf_dir, "nation"))
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         "n_nationkey", F.col("r_name").alias("region"))
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")

@@ -7,16 +7,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
+_BOUND_CHECKS: dict = {}
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int, memo_key=None) -> DataFrame:
     """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows.  Beyond the bound the
     frame is returned as is and the planner (with AQE's runtime statistics)
-    picks a shuffle join instead.
+    picks a shuffle join instead.  ``memo_key`` (application id + input
+    path) reuses a check already made for the same input in this
+    application.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    key = (memo_key, max_rows) if memo_key is not None else None
+    small = _BOUND_CHECKS.get(key) if key is not None else None
+    if small is None:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        if key is not None:
+            _BOUND_CHECKS[key] = small
+    return F.broadcast(df) if small else df
 
 
 def anti_join(left: DataFrame, right: DataFrame, on) -> DataFrame:

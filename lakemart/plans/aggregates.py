@@ -175,7 +175,9 @@ FROM (SELECT unnest(regexp_split_to_array(lower(text), '[\t\n\x0B\f\r ]+')) AS w
 WHERE length(word) > 0 GROUP BY word
 """)
 def word_count_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return word_count(b.table(spark, sf_dir, "documents").select("text"))
+    # Tokenising is the CPU-heavy step before the first shuffle: make sure a
+    # coarse (single-split) input still runs on every core.
+    return word_count(b.spread_coarse_input(b.table(spark, sf_dir, "documents").select("text")))
 
 
 @register("gen_skewed_events", "S10", oracle="""
