@@ -207,6 +207,30 @@ class SummingTable:
         return seqs[-1]
 
 
+def load_dimension(t: VersionedTable, batch: DataFrame, natural_key: list[str], id_col: str,
+                   attrs: list[str]) -> int:
+    """Insert-if-absent into a dimension with a surrogate key (BIGSERIAL).
+
+    New natural keys (first row per key wins) get dense ids continuing after
+    the current maximum; existing keys keep theirs.  Returns rows inserted.
+    """
+    from lakemart.operators.layout import dense_ids
+
+    current = t.read()
+    fresh = first_per_key(batch.select(*natural_key, *attrs), natural_key)
+    new = fresh.join(current.select(*natural_key), natural_key, "left_anti")
+    n = new.count()
+    if n == 0:
+        return 0
+    key = natural_key[0] if len(natural_key) == 1 else "__nk"
+    keyed = new if len(natural_key) == 1 else new.withColumn("__nk", F.struct(*natural_key))
+    start = current.select(F.coalesce(F.max(id_col), F.lit(0)) + 1).scalar()
+    ids = dense_ids(keyed, key, id_col, start=start)
+    rows = keyed.join(ids, key).select(*current.columns)
+    t.commit(current.unionByName(rows))
+    return n
+
+
 def upsert_partitioned(spark: SparkSession, table_path: str, batch: DataFrame, keys: list[str],
                        partition_cols: list[str], staging_path: str) -> None:
     """Partition-scoped upsert into a directory-partitioned Parquet table.
