@@ -28,16 +28,20 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: list[str],
                       fmt: str = "parquet", compression: str | None = None) -> None:
     """Directory-partitioned write.
 
-    Rows are clustered by the partition columns with a ``rebalance`` hint:
-    each directory gets few files, and AQE splits a hot partition value over
-    several tasks instead of sending it all to one writer.  Rows are then
-    sorted inside partitions by ``sort_cols`` so Parquet row-group min/max
-    act as a sparse index.  ``dynamic`` overwrites only the partitions
-    present in ``df``.
+    Without ``sort_cols`` rows are clustered by the partition columns with a
+    ``rebalance`` hint: each directory gets few files and AQE splits a hot
+    partition value over several writers.  With ``sort_cols`` the rows are
+    range-partitioned on (partition columns, leading sort column) and sorted
+    inside each task, so a big partition is cut into files holding
+    contiguous, disjoint key ranges — Parquet min/max statistics then act as
+    a sparse index (MergeTree ``ORDER BY``).  ``dynamic`` overwrites only the
+    partitions present in ``df``.
     """
-    out = df.hint("rebalance", *partition_cols)
     if sort_cols:
-        out = out.sortWithinPartitions(*partition_cols, *sort_cols)
+        out = (df.repartitionByRange(*[F.col(c) for c in [*partition_cols, sort_cols[0]]])
+               .sortWithinPartitions(*partition_cols, *sort_cols))
+    else:
+        out = df.hint("rebalance", *partition_cols)
     writer = out.write.mode("overwrite").partitionBy(*partition_cols)
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
@@ -90,3 +94,45 @@ def rows_per_partition(df: DataFrame) -> DataFrame:
     """How many rows each Spark partition of ``df`` holds."""
     return df.groupBy(F.spark_partition_id().alias("partition_id")).agg(
         F.count(F.lit(1)).alias("rows_cnt"))
+
+
+def distribute(df: DataFrame, n: int, key: str | None = None) -> DataFrame:
+    """Distribute rows by a key (co-location, ``DISTRIBUTED BY``) or
+    evenly at random (``DISTRIBUTED RANDOMLY``: round-robin)."""
+    return df.repartition(n, key) if key else df.repartition(n)
+
+
+def with_file_count(df: DataFrame, n: int) -> DataFrame:
+    """``coalesce`` to write ``n`` files without a shuffle (only for
+    reducing; ``coalesce(1)`` on big data funnels everything through one
+    task, so prefer ``repartition``/``rebalance`` when the data is large)."""
+    return df.coalesce(n)
+
+
+def copy_table(spark: SparkSession, source: str, target: str, overwrite: bool = False) -> None:
+    """``INSERT INTO target SELECT * FROM source`` (columns by position,
+    as SQL does)."""
+    spark.table(source).write.insertInto(target, overwrite=overwrite)
+
+
+class cached:
+    """Keep a reused result in memory for a block and always release it.
+
+    with cached(df) as c:
+        a = c.groupBy(...)...
+    """
+
+    def __init__(self, df: DataFrame, storage_level=None):
+        self.df, self.level = df, storage_level
+
+    def __enter__(self) -> DataFrame:
+        return self.df.persist(self.level) if self.level else self.df.persist()
+
+    def __exit__(self, *exc) -> None:
+        self.df.unpersist()
+
+
+def inspect(df: DataFrame, n: int = 5) -> tuple[str, list]:
+    """Schema text and the first ``n`` rows (``take``, never a full
+    collect)."""
+    return df.schema.simpleString(), df.take(n)
