@@ -85,7 +85,7 @@ def size_label(amount: Column) -> Column:
 # ---- row quality (P5, D5) -------------------------------------------------
 
 def is_clean(*positive_cols: str, mode: str = "and") -> Column:
-    """Clean when every column is > 0 (``mode='or'`` keeps the reference's
+    """Clean when every column is > 0 (``mode='or'`` keeps the original
     looser any-column form as an option)."""
     conds = [F.col(c) > 0 for c in positive_cols]
     out = conds[0]

@@ -166,7 +166,7 @@ class SummingTable:
     ``compact`` writes the summed rows as ``base/upto=N``.  A read sums the
     newest complete base and the deltas after it, so reads before and after
     compaction give the same answer, and nothing is ever renamed.  Inserting
-    the same delta twice doubles it, as in the reference engine.
+    the same delta twice doubles it (summing-table semantics).
     """
 
     _SEQ = re.compile(r"^seq=(\d{6})$")

@@ -1,4 +1,4 @@
-"""Order-analysis queries.
+"""Order-analysis queries.
 
 Per-user and per-order questions are answered on pre-aggregated rows
 ((user, category), (order, category), (user, date)) so that windows and joins
