@@ -27,21 +27,47 @@ from pyspark.sql import functions as F
 
 
 def _hadoop_fs(spark: SparkSession, path: str):
-    jvm = spark._jvm  # noqa: SLF001 - Hadoop FileSystem via the JVM gateway
+    """Hadoop FileSystem of ``path`` through the JVM gateway (any scheme the
+    cluster mounts: hdfs, s3a, abfs, file), or None without a gateway."""
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is None:
+        return None
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
 
 
+def _arrow_fs(path: str):
+    """Fallback for sessions without a JVM gateway (Spark Connect)."""
+    from pyarrow import fs as pafs
+
+    if "://" in path and not path.startswith("file://"):
+        return pafs.FileSystem.from_uri(path)
+    return pafs.LocalFileSystem(), path.removeprefix("file://")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _hadoop_fs(spark, path)
-    return bool(fs.exists(p))
+    h = _hadoop_fs(spark, path)
+    if h is not None:
+        return bool(h[1].exists(h[0]))
+    from pyarrow import fs as pafs
+
+    fs, p = _arrow_fs(path)
+    return fs.get_file_info(p).type != pafs.FileType.NotFound
 
 
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
-    p, fs = _hadoop_fs(spark, path)
-    if not fs.exists(p):
+    h = _hadoop_fs(spark, path)
+    if h is not None:
+        p, fs = h
+        if not fs.exists(p):
+            return []
+        return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+    from pyarrow import fs as pafs
+
+    fs, p = _arrow_fs(path)
+    if fs.get_file_info(p).type == pafs.FileType.NotFound:
         return []
-    return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+    return [i.base_name for i in fs.get_file_info(pafs.FileSelector(p)) if i.type == pafs.FileType.Directory]
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:

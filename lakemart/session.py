@@ -45,6 +45,25 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+def sizing(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a run over ``input_bytes`` on ``total_cores`` cores.
+
+    Scan splits of ``target_partition_bytes``; initial shuffle partitions so
+    that a shuffle of the whole input lands near the target per reducer
+    (at least 3 waves of tasks), left to AQE to coalesce small ones and split
+    skewed ones.  E.g. 100 TB on 8,000 cores → 256 MB splits, ~400k initial
+    shuffle partitions that AQE coalesces to the real shuffle size.
+    """
+    shuffle = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
 def apply_job_defaults(spark: SparkSession) -> None:
     """Set the job defaults that are not set yet (never overrides)."""
     for key, value in JOB_DEFAULTS.items():
@@ -58,16 +77,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     The folder comes from ``spark.checkpoint.dir``.  Only when the session has
     none (local tests) a private folder is created and registered.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext on the client
+        sc = None
+    current = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        if not sc.getCheckpointDir():
+        if sc and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
-        return sc.getCheckpointDir()
+        return sc.getCheckpointDir() if sc else current
     local = tempfile.mkdtemp(prefix="lakemart-ckpt-")
-    sc.setCheckpointDir(local)
+    if sc:
+        sc.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)
-    return sc.getCheckpointDir()
+    return sc.getCheckpointDir() if sc else local
 
 
 def lake_root(spark: SparkSession) -> str:

@@ -109,3 +109,9 @@ def test_m10_second_run_changes_nothing(spark):
     assert sorted(tuple(r) for r in ods.read().collect()) == first
     assert frames[("stg", "orders_rejects")].count() == 0
     assert frames[("raw", "orders")].count() == frames[("ods", "orders")].count()
+
+
+def test_sizing_for_large_inputs():
+    conf = S.sizing(100 * 1024 ** 4, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert S.sizing(10 << 20, 8)["spark.sql.shuffle.partitions"] == "24"

@@ -114,3 +114,18 @@ def test_dimension_ids_are_dense_and_continue(spark):
     rows = {r.key: r.sk for r in t.read().collect()}
     assert sorted(rows.values()) == list(range(1, 76))
     assert all(rows[k] == k + 1 for k in range(50))  # first load numbered in key order
+
+
+def test_listing_without_jvm_gateway(tmp_path):
+    from lakemart.operators.loads import list_dirs, path_exists
+
+    class NoGateway:  # a session object without a JVM gateway (Spark Connect)
+        pass
+
+    (tmp_path / "t" / "v=000001").mkdir(parents=True)
+    (tmp_path / "t" / "v=000001" / "_SUCCESS").write_text("")
+    s = NoGateway()
+    assert path_exists(s, str(tmp_path / "t" / "v=000001" / "_SUCCESS"))
+    assert not path_exists(s, str(tmp_path / "nope"))
+    assert list_dirs(s, str(tmp_path / "t")) == ["v=000001"]
+    assert list_dirs(s, str(tmp_path / "nope")) == []
