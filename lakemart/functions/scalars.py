@@ -82,6 +82,13 @@ def size_label(amount: Column) -> Column:
     return expr.otherwise("small")
 
 
+# ---- missing values (P15) -------------------------------------------------
+
+def fill_missing(df, defaults: dict):
+    """``na.fill`` per column (only the columns named; types must match)."""
+    return df.na.fill(defaults)
+
+
 # ---- row quality (P5, D5) -------------------------------------------------
 
 def is_clean(*positive_cols: str, mode: str = "and") -> Column:

@@ -69,9 +69,9 @@ def dense_ids(keys: DataFrame, key: str, id_col: str, start: int | F.Column = 1)
     become running offsets, and id = offset + position.  The numbered frame
     is checkpointed so both uses see the same partitioning.
     """
-    spark: SparkSession = keys.sparkSession
-    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranged = (keys.select(key).distinct().repartitionByRange(n, key)
+    # No explicit partition count: AQE coalesces the range partitions to the
+    # real data size (contiguous ranges stay contiguous, so ids stay ordered).
+    ranged = (keys.select(key).distinct().repartitionByRange(key)
               .sortWithinPartitions(key)
               .withColumn("__pid", F.spark_partition_id())
               .withColumn("__mid", F.monotonically_increasing_id()))

@@ -149,10 +149,11 @@ class VersionedTable:
         current = self.read()
         fresh = first_per_key(batch.select(*current.columns), keys, order)
         new_rows = fresh.join(current.select(*keys), keys, "left_anti")
-        n = new_rows.count()
-        if n:
-            self.commit(current.unionByName(new_rows))
-        return n
+        if new_rows.isEmpty():
+            return 0
+        before = current.count()  # Parquet footers: no data scan
+        v = self.commit(current.unionByName(new_rows))
+        return self.read(v).count() - before
 
     def upsert(self, batch: DataFrame, keys: list[str], order: list[Column] | None = None) -> int:
         """L3/L4: ``ON CONFLICT (keys) DO UPDATE SET all = EXCLUDED``.

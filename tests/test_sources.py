@@ -129,3 +129,23 @@ def test_dq2_missing_or_empty_input(spark):
     spark.createDataFrame([], "id int").write.parquet(d)
     with pytest.raises(EmptyInputError):
         ensure_not_empty(spark, d)
+
+
+def test_s21_show_partitions(spark):
+    from lakemart.sources.sinks import list_partitions
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS raw")
+    spark.sql("DROP TABLE IF EXISTS raw.events_by_day_demo")
+    spark.sql(f"CREATE TABLE raw.events_by_day_demo (id INT, event_date STRING) USING parquet "
+              f"PARTITIONED BY (event_date) LOCATION '{tmp()}/ev'")
+    spark.createDataFrame([(1, "2026-05-24"), (2, "2026-05-25")], "id int, event_date string") \
+        .write.insertInto("raw.events_by_day_demo")
+    assert list_partitions(spark, "raw.events_by_day_demo") == ["event_date=2026-05-24", "event_date=2026-05-25"]
+
+
+def test_p15_fill_and_dedupe(spark):
+    from lakemart.functions.scalars import fill_missing
+
+    df = spark.createDataFrame([(1, None), (1, None), (2, "x")], "id int, v string")
+    filled = fill_missing(df, {"v": "unknown"}).dropDuplicates()
+    assert sorted(tuple(r) for r in filled.collect()) == [(1, "unknown"), (2, "x")]
