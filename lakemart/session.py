@@ -12,8 +12,10 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings a job relies on.  Values are only applied where the session does
-# not already carry a value, so a cluster's own sizing always wins.
+# Settings of the sessions this package builds itself (tests, bench).  Jobs
+# never change the session they are given: AQE and skew-join handling are
+# Spark's defaults, and every timestamp is TIMESTAMP_NTZ, so results do not
+# depend on the session time zone.
 JOB_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -64,13 +66,6 @@ def sizing(input_bytes: int, total_cores: int, target_partition_bytes: int = 256
     }
 
 
-def apply_job_defaults(spark: SparkSession) -> None:
-    """Set the job defaults that are not set yet (never overrides)."""
-    for key, value in JOB_DEFAULTS.items():
-        if spark.conf.get(key, None) is None:
-            spark.conf.set(key, value)
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
