@@ -6,9 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart import bindings as b
-from lakemart.operators.joins import (
-    all_members_match, anti_join, broadcast_if_bounded, mismatch_report, salted_join,
-)
+from lakemart.operators.joins import all_members_match, anti_join, mismatch_report, salted_join
 from lakemart.operators.layout import dense_ids, write_bucketed
 from lakemart.operators.skew import skewed_events
 from lakemart.plans.registry import register
@@ -175,5 +173,3 @@ def plain_skew_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     u = b.users(spark, sf_dir).select("user_id", "city")
     return ev.join(u, "user_id").select("event_id", "user_id", "event_type", "city")
 
-
-__all__ = ["broadcast_if_bounded"]

@@ -129,3 +129,45 @@ def test_listing_without_jvm_gateway(tmp_path):
     assert not path_exists(s, str(tmp_path / "nope"))
     assert list_dirs(s, str(tmp_path / "t")) == ["v=000001"]
     assert list_dirs(s, str(tmp_path / "nope")) == []
+
+
+def test_insert_if_absent_matches_python_model(spark):
+    rng = random.Random(11)
+    t = VersionedTable(spark, fresh() + "/t", schema=SCHEMA)
+    model: dict[int, tuple] = {}
+    for step in range(4):
+        rows = [(rng.randrange(15), rng.choice("abcd"), rng.randrange(5)) for _ in range(10)]
+        inserted = t.insert_if_absent(spark.createDataFrame(rows, SCHEMA), ["k"])
+        firsts = {}
+        for r in sorted(rows):  # first row per key under all columns
+            firsts.setdefault(r[0], r)
+        new = {k: r for k, r in firsts.items() if k not in model}
+        model.update(new)
+        assert inserted == len(new)
+        assert as_set(t.read()) == sorted(model.values())
+
+
+def test_latest_per_key_matches_python_model(spark):
+    rng = random.Random(5)
+    rows = [(rng.randrange(8), rng.choice("xyz"), rng.randrange(4)) for _ in range(60)]
+    model = {}
+    for r in rows:
+        cur = model.get(r[0])
+        if cur is None or (r[2], r) > (cur[2], cur):
+            model[r[0]] = r
+    got = as_set(latest_per_key(spark.createDataFrame(rows, SCHEMA), ["k"], ["ver"]))
+    assert got == sorted(model.values())
+
+
+def test_summing_table_matches_python_model(spark):
+    rng = random.Random(3)
+    t = SummingTable(spark, fresh() + "/s", ["k"], ["n"])
+    model: dict[int, int] = {}
+    for step in range(5):
+        rows = [(rng.randrange(6), rng.randrange(1, 9)) for _ in range(12)]
+        t.add(spark.createDataFrame(rows, "k bigint, n bigint"))
+        for k, n in rows:
+            model[k] = model.get(k, 0) + n
+        if step == 2:
+            t.compact()
+        assert dict((r.k, r.n) for r in t.read_summed().collect()) == model
