@@ -97,7 +97,11 @@ class DuplicateKeyError(ValueError):
 
 
 class VersionedTable:
-    """A keyed Parquet table kept as copy-on-write versions under ``root``."""
+    """A keyed Parquet table kept as copy-on-write versions under ``root``.
+
+    One writer per table at a time (jobs of a lake layer run in sequence);
+    readers always see the last complete version.
+    """
 
     _V = re.compile(r"^v=(\d{6})$")
 
@@ -175,7 +179,6 @@ class VersionedTable:
         kept = current.join(batch.select(*keys), keys, "left_anti")
         return self.commit(kept.unionByName(batch))
 
-
     def upsert_if_changed(self, batch: DataFrame, keys: list[str],
                           order: list[Column] | None = None) -> int:
         """Upsert, but commit no new version when every batch row is already
@@ -223,6 +226,8 @@ class SummingTable:
         upto = bases[-1] if bases else 0
         paths = [f"{self.root}/base/upto={upto:06d}"] if upto else []
         paths += [f"{self.root}/deltas/seq={s:06d}" for s in self._complete("deltas", self._SEQ) if s > upto]
+        if not paths:
+            raise ValueError(f"{self.root} holds no rows yet")
         parts = self.spark.read.parquet(*paths)
         return parts.groupBy(*self.keys).agg(*[F.sum(m).alias(m) for m in self.measures])
 
