@@ -34,8 +34,16 @@ def running_total_by_date(df: DataFrame, group: str, date_col: str, value_col: s
     daily = df.groupBy(group, date_col).agg(F.sum(value_col).alias("__day_total"))
     w = (Window.partitionBy(group).orderBy(date_col)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    cumulative = daily.select(group, date_col, F.sum("__day_total").over(w).alias(out_col))
-    return df.join(cumulative, [group, date_col])
+    cumulative = daily.select(F.col(group).alias("__g"), F.col(date_col).alias("__d"),
+                              F.sum("__day_total").over(w).alias(out_col))
+    return _join_back(df, cumulative, group, date_col)
+
+
+def _join_back(df: DataFrame, per_chunk: DataFrame, group: str, date_col: str) -> DataFrame:
+    """Join per-(group, date) results back to the rows; NULL groups and
+    dates match too (a window keeps them in their own partition)."""
+    cond = F.col(group).eqNullSafe(F.col("__g")) & F.col(date_col).eqNullSafe(F.col("__d"))
+    return df.join(per_chunk, cond).drop("__g", "__d")
 
 
 def trim_edges(df: DataFrame, order: list[Column], desc_order: list[Column], key: str,
@@ -63,8 +71,9 @@ def lag_by_date(df: DataFrame, group: str, date_col: str, tiebreak: str, value_c
     tails = df.groupBy(group, date_col).agg(
         F.max_by(F.col(value_col), F.col(tiebreak)).alias("__tail"))
     by_date = Window.partitionBy(group).orderBy(date_col)
-    prev_tail = tails.select(group, date_col, F.lag("__tail").over(by_date).alias("__prev_tail"))
-    return (numbered.join(prev_tail, [group, date_col])
+    prev_tail = tails.select(F.col(group).alias("__g"), F.col(date_col).alias("__d"),
+                             F.lag("__tail").over(by_date).alias("__prev_tail"))
+    return (_join_back(numbered, prev_tail, group, date_col)
             .withColumn(out_col, F.when(F.col("__rn") == 1, F.col("__prev_tail"))
                         .otherwise(F.col(out_col)))
             .drop("__prev_tail", "__rn"))

@@ -61,3 +61,15 @@ def test_dense_ids_equal_row_number(spark):
     ids = dense_ids(keys, "product_id", "sk")
     plain = keys.withColumn("sk", F.row_number().over(Window.orderBy("product_id")).cast("bigint"))
     assert same(ids, plain)
+
+
+def test_chunked_windows_keep_null_groups_and_dates(spark):
+    rows = [(1, "2026-01-01", 1, 10), (1, "2026-01-01", 2, 5), (1, None, 3, 7), (None, "2026-01-02", 4, 1),
+            (None, "2026-01-02", 5, 2), (2, "2026-01-03", 6, 4)]
+    df = spark.createDataFrame(rows, "u int, d string, id int, v int").withColumn("d", F.col("d").cast("date"))
+    rt = running_total_by_date(df, "u", "d", "v", "rt")
+    plain_rt = df.withColumn("rt", F.sum("v").over(Window.partitionBy("u").orderBy("d")))
+    assert rt.count() == 6 and same(rt.select(*plain_rt.columns), plain_rt)
+    lg = lag_by_date(df, "u", "d", "id", "v", "prev")
+    plain_lg = df.withColumn("prev", F.lag("v").over(Window.partitionBy("u").orderBy("d", "id")))
+    assert lg.count() == 6 and same(lg.select(*plain_lg.columns), plain_lg)
