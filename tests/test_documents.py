@@ -136,3 +136,32 @@ def test_n9_api_products(spark):
     df = spark.createDataFrame([page], schemas.API_PAGE)
     got = sorted((r.product_id, r.price, r.stock) for r in N.api_products(df).collect())
     assert got == [(1, Decimal("9.99"), 5), (2, Decimal("19.50"), 0)]
+
+
+def test_document_flow_twice(spark):
+    from lakemart.plans.documents import run_order_documents
+
+    d = Path(tempfile.mkdtemp(prefix="lakemart-docflow-"))
+    (d / "orders.json").write_text(json.dumps(ORDERS, indent=2))
+    first = run_order_documents(spark, str(d / "orders.json"), str(d / "lake"))
+    out = run_order_documents(spark, str(d / "orders.json"), str(d / "lake"))
+    assert out["orders_raw"].count() == 2 == first["orders_raw"].count()  # upsert: no duplicates
+    city = {r.city: (r.orders_count, r.users_count, r.total_payment_amount, r.avg_payment_amount)
+            for r in out["order_city_stats"].collect()}
+    assert city == {"Chicago": (1, 1, Decimal("352.38"), Decimal("352.38")),
+                    "Houston": (1, 1, Decimal("79.50"), Decimal("79.50"))}
+    status = [(r.status, r.orders_count, r.users_count, r.total_payment_amount)
+              for r in out["order_status_stats"].collect()]
+    assert status == [("confirmed", 2, 2, Decimal("431.88"))]
+    cats = {r.category: (r.items_count, r.orders_count, r.total_quantity, r.total_item_amount)
+            for r in out["category_revenue"].collect()}
+    assert cats == {"beauty": (2, 1, 3, Decimal("359.88")), "fragrances": (1, 1, 1, Decimal("79.50"))}
+
+
+def test_document_flow_rejects_missing_or_empty_input(spark):
+    from lakemart.operators.quality import EmptyInputError
+    from lakemart.plans.documents import run_order_documents
+
+    d = Path(tempfile.mkdtemp(prefix="lakemart-docflow-"))
+    with pytest.raises(EmptyInputError):
+        run_order_documents(spark, str(d / "missing.json"), str(d / "lake"))
