@@ -165,7 +165,10 @@ class VersionedTable:
         Empty batch → no-op.  Duplicate keys inside the batch are rejected
         unless ``order`` says which row wins (the last under ``order``).
         """
-        current = self.read()
+        if self.current_version() == 0 and self.schema is None:
+            current = self.spark.createDataFrame([], batch.schema)  # first load: columns from the batch
+        else:
+            current = self.read()
         batch = batch.select(*current.columns)
         if batch.isEmpty():
             return self.current_version()
@@ -189,6 +192,17 @@ class VersionedTable:
         return self.upsert(batch, keys, order)
 
 
+def load_df(spark: SparkSession, df: DataFrame, table_root: str, conflict_columns: list[str],
+            order: list[Column] | None = None) -> int:
+    """L4: generic keyed load — ``INSERT … ON CONFLICT (conflict_columns) DO
+    UPDATE SET`` every other column, with the column list taken from ``df``.
+
+    An empty DataFrame is a no-op; the first load creates the table.
+    Returns the table's current version.
+    """
+    return VersionedTable(spark, table_root).upsert(df, conflict_columns, order=order)
+
+
 class SummingTable:
     """L8 (SummingMergeTree): rows with the same key add up.
 
