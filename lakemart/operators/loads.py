@@ -277,22 +277,51 @@ def load_dimension(t: VersionedTable, batch: DataFrame, natural_key: list[str],
     return n
 
 
+# A batch touching more partitions than this is matched with a semi join
+# (exact, but every partition is listed) instead of a static partition filter.
+MAX_STATIC_PARTITIONS = 10_000
+
+
+def _touched_partitions(batch: DataFrame, partition_cols: list[str]) -> Column | None:
+    """Static predicate selecting the partitions a batch touches.
+
+    The distinct partition values of the batch (directory names: bounded
+    metadata, read with a limit) become a filter the scan turns into
+    ``PartitionFilters``, so only those directories are listed and read.
+    Returns None beyond ``MAX_STATIC_PARTITIONS`` values.
+    """
+    values = batch.select(*partition_cols).distinct().limit(MAX_STATIC_PARTITIONS + 1).collect()
+    if len(values) > MAX_STATIC_PARTITIONS:
+        return None
+    if len(partition_cols) == 1:
+        return F.col(partition_cols[0]).isin([r[0] for r in values])
+    cond = F.lit(False)
+    for r in values:
+        match = F.lit(True)
+        for c in partition_cols:
+            match = match & (F.col(c) == F.lit(r[c]))
+        cond = cond | match
+    return cond
+
+
 def upsert_partitioned(spark: SparkSession, table_path: str, batch: DataFrame, keys: list[str],
                        partition_cols: list[str], staging_path: str) -> None:
     """Partition-scoped upsert into a directory-partitioned Parquet table.
 
-    Only partitions present in the batch are read (partition pruning via a
-    semi join on the partition values), merged (target rows without a batch
-    key + batch rows), staged to ``staging_path`` and swapped in with a
-    dynamic partition overwrite; other partitions are not touched.
+    Only partitions present in the batch are listed and read (a static
+    partition filter built from the batch's partition values), merged
+    (target rows without a batch key + batch rows), staged to
+    ``staging_path`` and swapped in with a dynamic partition overwrite; other
+    partitions are not touched.
     Partition columns must be part of the key.
     """
     if not set(partition_cols) <= set(keys):
         raise ValueError("partition columns must be part of the key")
     if path_exists(spark, table_path):
         target = spark.read.parquet(table_path)
-        touched = batch.select(*partition_cols).distinct()
-        affected = target.join(touched, partition_cols, "left_semi")
+        touched = _touched_partitions(batch, partition_cols)
+        affected = (target.filter(touched) if touched is not None
+                    else target.join(batch.select(*partition_cols).distinct(), partition_cols, "left_semi"))
         merged = affected.join(batch.select(*keys), keys, "left_anti").unionByName(
             batch.select(*affected.columns))
     else:

@@ -171,3 +171,18 @@ def test_summing_table_matches_python_model(spark):
         if step == 2:
             t.compact()
         assert dict((r.k, r.n) for r in t.read_summed().collect()) == model
+
+
+def test_partition_scoped_upsert_reads_only_touched_partitions(spark):
+    from lakemart.operators.loads import _touched_partitions
+
+    root = fresh()
+    df = spark.range(1000).select((F.col("id") % 20).cast("int").alias("dt"), F.col("id").alias("k"))
+    df.write.partitionBy("dt").parquet(f"{root}/t")
+    batch = spark.createDataFrame([(3, 1), (7, 2), (7, 3)], "dt int, k bigint")
+    pruned = spark.read.parquet(f"{root}/t").filter(_touched_partitions(batch, ["dt"]))
+    plan = pruned._jdf.queryExecution().executedPlan().toString()  # noqa: SLF001
+    import re
+
+    assert re.search(r"PartitionFilters: \[dt#\d+ IN \(3,7\)\]", plan)
+    assert pruned.count() == 100
