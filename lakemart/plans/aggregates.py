@@ -89,6 +89,7 @@ def users_two_paid(spark: SparkSession, sf_dir: str) -> DataFrame:
                     _dbl("total").alias("total_amount")))
 
 
+# Query parameter: "more than n units" threshold on the bound data.
 BIG_ORDER_UNITS = 150
 
 
@@ -133,6 +134,7 @@ def date_status_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("orders_cnt"), F.sum("amount").cast("double").alias("total_amount")))
 
 
+# Order statuses of the bound orders view.
 STATUSES = ("paid", "shipped", "created")
 
 
@@ -194,6 +196,7 @@ def gen_skewed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_value", F.col("event_value").cast("double"))
 
 
+# Salts per hot key (parallelism given to one key; no effect on results).
 SKEW_SALTS = 16
 
 

@@ -50,6 +50,7 @@ def events_typed_dict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.join(F.broadcast(stages), "event_type").select("event_id", "event_type", "stage")
 
 
+# Buckets of the co-located tables (both sides must use the same number).
 BUCKETS = 8
 
 
@@ -150,6 +151,7 @@ def load_fact_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "order_id", "line_no", "product_sk", "quantity", F.col("line_amount").cast("double").alias("line_amount"))
 
 
+# Salts per hot key (parallelism given to one key; no effect on results).
 SKEW_SALTS = 16
 
 

@@ -145,6 +145,7 @@ def range_partition_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accepted.unionByName(rejected).select("order_id", "order_date", "partition_name")
 
 
+# Days re-delivered by the second load of the partitioned event table.
 REDELIVERY_FROM = "2024-01-15"
 
 

@@ -64,6 +64,7 @@ def run_layers(spark: SparkSession, sf_dir: str, root: str, run_date: str) -> di
     }
 
 
+# Load date of the registered run (the raw layer partition it lands in).
 RUN_DATE = "2026-05-20"
 
 

@@ -70,6 +70,7 @@ def rows_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.filter(fx.is_bad(clean))
 
 
+# Query parameter: the day filtered by the half-open range query.
 FILTER_DAY = "1995-01-14"
 
 

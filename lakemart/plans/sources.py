@@ -11,15 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart import bindings as b
+from lakemart.schemas import EVENTS_DDL, NTZ_MICROS
 from lakemart.session import scratch_path
 from lakemart.sources import files
 from lakemart.plans.registry import register
 from lakemart.sources.sinks import write_csv, write_parquet
 
-NTZ_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-
-
-
 
 @register("src_csv_strings", "S1", oracle="""
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
@@ -52,9 +49,6 @@ def src_csv_headerless(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.withColumn("amount", F.col("amount").cast("double"))
 
 
-EVENTS_DDL = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
-
-
 @register("src_jsonl", "S6", oracle="SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def src_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON Lines written and read back with a declared schema (microsecond

@@ -6,14 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart import bindings as b
+from lakemart.schemas import EVENTS_DDL, NTZ_MICROS
 from lakemart.operators.loads import VersionedTable
 from lakemart.plans.registry import register
 from lakemart.session import scratch_path
 from lakemart.streaming.streams import file_stream, run_to_files, upsert_stream
 
-NTZ_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-EVENTS_DDL = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
-
 
 def project_events(df: DataFrame) -> DataFrame:
     """The transform shared by batch and stream: typed projection with the

@@ -54,3 +54,8 @@ API_PAGE = T.StructType([_f("products", T.ArrayType(API_PRODUCT)), _f("total", L
 RAW_ORDER_COLUMNS = ["order_id", "cart_id", "user_id", "city", "status", "created_at", "channel",
                      "items_count", "payment_id", "payment_status", "payment_amount", "currency",
                      "raw_payload", "loaded_at"]
+
+# Driver event table as declared text (JSON/CSV round trips keep microsecond
+# timestamps through an explicit format).
+EVENTS_DDL = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+NTZ_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"

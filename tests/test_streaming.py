@@ -7,7 +7,8 @@ import tempfile
 from pyspark.sql import functions as F
 
 from lakemart.operators.loads import SummingTable, VersionedTable
-from lakemart.plans.streaming import EVENTS_DDL, NTZ_MICROS, project_events
+from lakemart.plans.streaming import project_events
+from lakemart.schemas import EVENTS_DDL, NTZ_MICROS
 from lakemart.streaming.streams import file_stream, rollup_stream, run_to_files, upsert_stream
 
 SF = "/root/testdata/sf0.001"
