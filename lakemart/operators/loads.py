@@ -105,7 +105,8 @@ class VersionedTable:
 
     _V = re.compile(r"^v=(\d{6})$")
 
-    def __init__(self, spark: SparkSession, root: str, schema: str | None = None):
+    def __init__(self, spark: SparkSession, root: str, schema=None):
+        """``schema`` (DDL text or StructType) is used before the first version."""
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
 
     def versions(self) -> list[int]:

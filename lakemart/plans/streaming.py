@@ -49,7 +49,6 @@ def stream_upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = b.orders(spark, sf_dir).select("order_id", "user_id", "status", "amount")
     o.repartition(4).write.mode("overwrite").parquet(f"{root}/landing")
     src = file_stream(spark, f"{root}/landing", o.schema, fmt="parquet", max_files_per_trigger=1)
-    table = VersionedTable(spark, f"{root}/ods_orders", schema=o.schema.simpleString()[len("struct<"):-1]
-                           .replace(":", " "))
+    table = VersionedTable(spark, f"{root}/ods_orders", schema=o.schema)
     upsert_stream(src, table, ["order_id"], f"{root}/checkpoints/orders")
     return table.read().withColumn("amount", F.col("amount").cast("double"))
