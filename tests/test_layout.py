@@ -115,3 +115,13 @@ def test_sizing_for_large_inputs():
     conf = S.sizing(100 * 1024 ** 4, 8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert S.sizing(10 << 20, 8)["spark.sql.shuffle.partitions"] == "24"
+
+
+def test_bucketed_write_one_file_per_bucket(spark):
+    from lakemart.operators.layout import write_bucketed
+
+    path = tmp() + "/b"
+    df = spark.range(5000).withColumn("k", F.col("id") % 97).repartition(13)
+    t = write_bucketed(df, "bucket_files_demo", "k", 8, path)
+    files = [f for f in Path(path).glob("*.parquet")]
+    assert len(files) == 8 and t.count() == 5000
