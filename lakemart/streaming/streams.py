@@ -42,6 +42,19 @@ def kafka_stream(spark: SparkSession, bootstrap_servers: str, topic: str, schema
     return raw.select(F.from_json(F.col("value").cast("string"), schema).alias("v")).select("v.*")
 
 
+def stream_source(spark: SparkSession, config: dict, schema: StructType | str) -> DataFrame:
+    """ST1: the stream named by configuration — ``{"format": "kafka",
+    "bootstrap_servers": …, "topic": …}`` or a file source ``{"format":
+    "json" | "parquet" | "csv", "path": …, "max_files_per_trigger": n}``."""
+    fmt = config.get("format", "json")
+    if fmt == "kafka":
+        return kafka_stream(spark, config["bootstrap_servers"], config["topic"], schema,
+                            config.get("starting_offsets", "earliest"))
+    extra = {k: v for k, v in config.items() if k not in ("format", "path", "max_files_per_trigger")}
+    return file_stream(spark, config["path"], schema, fmt=fmt,
+                       max_files_per_trigger=config.get("max_files_per_trigger"), **extra)
+
+
 def to_kafka(df: DataFrame, bootstrap_servers: str, topic: str, key_col: str, checkpoint: str) -> StreamingQuery:
     """S14 sink: rows as JSON values keyed by ``key_col``."""
     out = df.select(F.col(key_col).cast("string").alias("key"),

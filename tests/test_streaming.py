@@ -59,3 +59,15 @@ def test_st2_rollup_stream_replay_safe(spark):
     got = {r.event_type: r.n for r in t.read_summed().collect()}
     want = {r.event_type: r["count"] for r in ev.groupBy("event_type").count().collect()}
     assert got == want
+
+
+def test_stream_source_by_config(spark):
+    from lakemart.streaming.streams import stream_source
+
+    root = tmp()
+    ev = _landing(spark, root, parts=2)
+    src = stream_source(spark, {"format": "json", "path": f"{root}/landing", "max_files_per_trigger": 1,
+                                "timestampNTZFormat": NTZ_MICROS}, EVENTS_DDL)
+    assert src.isStreaming
+    run_to_files(project_events(src), f"{root}/sink", f"{root}/ckpt")
+    assert spark.read.parquet(f"{root}/sink").count() == ev.count()
