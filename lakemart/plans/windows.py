@@ -56,11 +56,11 @@ def two_cheapest_per_category(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("price").cast("double").alias("price"), "rn")
 
 
-@register("top5_prices", "O2", oracle="""
+@register("top_5_prices", "O2", oracle="""
 SELECT product_id, product_name, CAST(price AS DOUBLE) AS price
 FROM b_products ORDER BY price DESC, product_id LIMIT 5
 """)
-def top5_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def top_5_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top-k with a unique tie-break (TakeOrderedAndProject: each task keeps
     its own k rows, the driver merges k × tasks rows)."""
     return (b.products(spark, sf_dir).orderBy(F.col("price").desc(), F.col("product_id")).limit(5)

@@ -66,13 +66,13 @@ def test_partition_filter_prunes_directories(spark):
     assert "event_date#" in text and ">= 2024-01-10" in text
 
 
-def test_top1_per_group_uses_window_group_limit(spark):
+def test_first_per_group_uses_window_group_limit(spark):
     text = optimized_physical(W.city_top_order(spark, SF))
     assert "WindowGroupLimit" in text and "Partial" in text
 
 
 def test_top_k_is_take_ordered(spark):
-    assert "TakeOrderedAndProject" in optimized_physical(W.top5_prices(spark, SF))
+    assert "TakeOrderedAndProject" in optimized_physical(W.top_5_prices(spark, SF))
 
 
 def test_bucketed_join_has_no_exchange_before_join(spark, no_auto_broadcast):
