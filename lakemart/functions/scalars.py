@@ -31,8 +31,10 @@ def parse_timestamp_any(s: Column, formats: list[str]) -> Column:
     return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats])
 
 
-# Fixed value: the input formats accepted by the raw-order loader.
-TIMESTAMP_FORMATS = ["yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd'T'HH:mm:ssXXX",
+# Fixed value: the input formats accepted by the raw-order loader.  ISO-8601
+# with an offset ("Z" or "+03:00") is an instant; the others are read in the
+# session time zone.
+TIMESTAMP_FORMATS = ["yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX",
                      "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd"]
 
 

@@ -70,3 +70,16 @@ def test_typed_projection_counts_rejects(spark):
 
 def test_json_member(spark):
     assert one(spark, fx.json_member(F.col("x"), "$.k", "int"), rows=[('{"k": 69}',)])[0].v == 69
+
+
+def test_iso_instants_keep_their_offset(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        rows = [("2026-05-01T10:15:00Z",), ("2026-05-01T13:15:00+03:00",), ("2026-05-01T10:15:00.250Z",)]
+        got = spark.createDataFrame(rows, "x string").select(
+            F.unix_timestamp(fx.parse_timestamp_any(F.col("x"), fx.TIMESTAMP_FORMATS)).alias("s")).collect()
+        want = int(dt.datetime(2026, 5, 1, 10, 15, tzinfo=dt.timezone.utc).timestamp())
+        assert [r.s for r in got] == [want, want, want]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
