@@ -175,3 +175,14 @@ def plain_skew_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     u = b.users(spark, sf_dir).select("user_id", "city")
     return ev.join(u, "user_id").select("event_id", "user_id", "event_type", "city")
 
+
+
+@register("order_users_merge_join", "J5", oracle="""
+SELECT o.order_id, o.user_id, u.city FROM b_orders o JOIN b_users u ON u.user_id = o.user_id
+""")
+def order_users_merge_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shuffle sort-merge join forced by hint (the plan when neither side may
+    be broadcast)."""
+    o = b.orders(spark, sf_dir).select("order_id", "user_id")
+    u = b.users(spark, sf_dir).select("user_id", "city")
+    return o.join(u.hint("merge"), "user_id").select("order_id", "user_id", "city")

@@ -92,3 +92,78 @@ def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("order_id", "line_no", "product_id", "quantity",
                       F.col("line_amount").cast("double").alias("line_amount"),
                       F.col("price").cast("double").alias("price"), "dt")
+
+
+@register("src_csv_inferred", "S2", oracle="""
+SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, CAST(c_nationkey AS INTEGER) AS c_nationkey,
+       c_acctbal, c_mktsegment
+FROM customer
+""")
+def src_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header CSV read with inferred types (an extra pass over the file to
+    infer; exploration only — jobs declare schemas)."""
+    path = scratch_path(spark, "csv_customer_inferred")
+    write_csv(b.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal",
+                                                         "c_mktsegment"), path)
+    return files.read_csv_inferred(spark, path)
+
+
+@register("raw_landing_roundtrip", "S16", oracle="""
+SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS dt FROM events
+""")
+def raw_landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events landed untouched as JSON at raw/<source>/<entity>/dt=…/, landed
+    again (a re-landed day replaces itself), then read back."""
+    from lakemart.sources.sinks import land_raw
+
+    root = scratch_path(spark, "lake")
+    ev = b.events(spark, sf_dir).withColumn("dt", F.to_date("ts"))
+    land_raw(ev, root, "site", "events")
+    path = land_raw(ev, root, "site", "events")
+    return (spark.read.schema(EVENTS_DDL + ", dt DATE").option("timestampNTZFormat", NTZ_MICROS).json(path)
+            .select("event_id", "user_id", "event_type", "dt"))
+
+
+@register("catalog_table_roundtrip", "S18/S21", oracle="""
+SELECT order_id, user_id, status, CAST(amount AS DOUBLE) AS amount FROM b_orders
+""")
+def catalog_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Saved as a catalog table in the ods database (overwritten per run),
+    found by a catalog listing and read back by name."""
+    from lakemart.session import create_layers
+    from lakemart.sources.sinks import list_tables, save_table
+
+    create_layers(spark, ("ods",))
+    path = scratch_path(spark, "ods_orders_table")
+    name = "orders_" + path.rsplit("-", 1)[-1]
+    o = b.orders(spark, sf_dir).select("order_id", "user_id", "status", "amount")
+    save_table(o, f"ods.{name}", path=path)
+    save_table(o, f"ods.{name}", path=path)
+    if name not in list_tables(spark, "ods", like=name):
+        raise RuntimeError(f"ods.{name} missing from the catalog")
+    return spark.table(f"ods.{name}").withColumn("amount", F.col("amount").cast("double"))
+
+
+@register("compressed_columnar_roundtrip", "S19", oracle="""
+SELECT order_id, line_no, product_id, quantity, CAST(line_amount AS DOUBLE) AS line_amount FROM b_items
+""")
+def compressed_columnar_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines written column-oriented with gzip (zlib) compression and read back."""
+    path = scratch_path(spark, "items_gzip")
+    items = b.order_items(spark, sf_dir).select("order_id", "line_no", "product_id", "quantity", "line_amount")
+    write_parquet(items, path, compression="gzip")
+    return spark.read.parquet(path).withColumn("line_amount", F.col("line_amount").cast("double"))
+
+
+@register("memory_table_read", "S20", oracle="""
+SELECT status, COUNT(*) AS orders_cnt FROM b_orders GROUP BY status
+""")
+def memory_table_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An in-memory table (cached temp view) queried by SQL.  Like a memory
+    engine table it lives for the session; ``spark.catalog.uncacheTable``
+    releases it."""
+    from lakemart.sources.sinks import memory_table
+
+    name = "mem_orders_" + scratch_path(spark, "m").rsplit("-", 1)[-1]
+    memory_table(b.orders(spark, sf_dir).select("order_id", "status"), name)
+    return spark.sql(f"SELECT status, COUNT(*) AS orders_cnt FROM {name} GROUP BY status")
