@@ -233,3 +233,82 @@ def constraint_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     table (one row per rule, zero included)."""
     return constraint_report(b.order_items(spark, sf_dir), b.orders(spark, sf_dir),
                              b.products(spark, sf_dir), b.users(spark, sf_dir))
+
+
+@register("full_refresh_orders", "L5", oracle="""
+SELECT order_id, user_id, status, CAST(amount AS DOUBLE) AS amount FROM b_orders
+""")
+def full_refresh_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Truncate + insert: the table is refreshed from its source twice; the
+    reader sees exactly the last load."""
+    t = VersionedTable(spark, scratch_path(spark, "refresh_orders"))
+    o = b.orders(spark, sf_dir).select("order_id", "user_id", "status", "amount")
+    t.overwrite(o)
+    t.overwrite(o)
+    return t.read().withColumn("amount", F.col("amount").cast("double"))
+
+
+@register("copy_between_tables", "L6", oracle="""
+SELECT user_id, city FROM b_users UNION ALL SELECT user_id, city FROM b_users
+""")
+def copy_between_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``INSERT INTO target SELECT * FROM source`` run twice into an empty
+    table: the target holds the source rows twice (bag semantics)."""
+    from lakemart.operators.layout import copy_table
+    from lakemart.session import create_layers
+    from lakemart.sources.sinks import save_table
+
+    create_layers(spark, ("stg",))
+    root = scratch_path(spark, "copy")
+    tag = root.rsplit("-", 1)[-1]
+    src, dst = f"stg.users_src_{tag}", f"stg.users_dst_{tag}"
+    save_table(b.users(spark, sf_dir).select("user_id", "city"), src, path=f"{root}/src")
+    spark.sql(f"CREATE TABLE {dst} (user_id BIGINT, city STRING) USING parquet LOCATION '{root}/dst'")
+    copy_table(spark, src, dst)
+    copy_table(spark, src, dst)
+    return spark.table(dst)
+
+
+@register("orders_month_layout", "L11", oracle="""
+SELECT order_id, user_id, order_date, CAST(year(order_date) * 100 + month(order_date) AS INTEGER) AS yyyymm
+FROM b_orders
+""")
+def orders_month_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders laid out by month directory and sorted by (date, user, order)
+    inside it, so month filters prune directories and date ranges skip row
+    groups; read back whole."""
+    from lakemart.functions.scalars import yyyymm
+
+    o = b.orders(spark, sf_dir).select("order_id", "user_id", "order_date")
+    path = scratch_path(spark, "orders_by_month")
+    write_partitioned(o.withColumn("yyyymm", yyyymm(F.col("order_date"))), path, ["yyyymm"],
+                      sort_cols=["order_date", "user_id", "order_id"])
+    return spark.read.parquet(path).select("order_id", "user_id", "order_date", "yyyymm")
+
+
+@register("compacted_files", "L13", oracle="""
+SELECT order_id, line_no, product_id, dt FROM b_items
+""")
+def compacted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines written as a fixed number of files (``coalesce``, no shuffle)
+    and read back."""
+    from lakemart.operators.layout import with_file_count
+
+    path = scratch_path(spark, "items_two_files")
+    items = b.order_items(spark, sf_dir).select("order_id", "line_no", "product_id", "dt")
+    with_file_count(items, 2).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+@register("checked_input_orders", "DQ2", oracle="""
+SELECT o_orderkey AS order_id, o_orderstatus AS status FROM orders
+""")
+def checked_input_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The input is checked to exist and hold rows before it is used."""
+    from lakemart.operators.quality import ensure_not_empty
+
+    if isinstance(sf_dir, b.ViewSet):
+        df = b.table(spark, sf_dir, "orders")
+    else:
+        df = ensure_not_empty(spark, f"{sf_dir.rstrip('/')}/orders.parquet")
+    return df.select(F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("status"))
