@@ -108,9 +108,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def create_layers(spark: SparkSession, layers=("raw", "stg", "ods", "mart")) -> list[str]:
-    """Create one database per lake layer (idempotent)."""
+    """Create one database per lake layer (idempotent), located under
+    the lake root — never in a warehouse folder of the driver's working
+    directory."""
+    root = lake_root(spark)
     for layer in layers:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{root}/warehouse/{layer}.db'")
     return list(layers)
 
 
