@@ -58,15 +58,43 @@ def all_members_match(members: DataFrame, group_key: str, matched: Column | str)
             .filter(F.col("members") == F.col("matched")))
 
 
-def salted_join(big: DataFrame, small: DataFrame, key: str, salts: int,
-                how: str = "inner") -> DataFrame:
+def hot_keys(df: DataFrame, key: str, min_share: float) -> DataFrame:
+    """Keys holding at least ``min_share`` of all rows.
+
+    At most ``1 / min_share`` keys can qualify, so the result has a proven
+    size bound and may be broadcast.  Counting is a partial aggregate; the
+    total is a scalar subquery.
+    """
+    total = df.select(F.count(F.lit(1))).scalar()
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    return counts.filter(F.col("__n") >= total * F.lit(min_share)).select(key)
+
+
+def salted_join(big: DataFrame, small: DataFrame, key: str, salts: int, how: str = "inner",
+                salt_by: str | None = None, hot_share: float | None = None) -> DataFrame:
     """Join on a hot key by spreading it over ``salts`` sub-keys.
 
-    Each ``big`` row gets a salt from a hash of its own columns (stable under
-    re-execution, unlike ``rand``); ``small`` is replicated once per salt.
-    Output equals the plain join.
+    Each ``big`` row gets a salt from a hash of ``salt_by`` (or of all its
+    columns) — stable under re-execution, unlike ``rand``.  ``small`` rows
+    are replicated once per salt.  With ``hot_share`` only the keys holding
+    at least that share of ``big`` are salted (found by ``hot_keys``, at most
+    ``1 / hot_share`` of them, broadcast); every other row keeps salt 0 and
+    its ``small`` row is not replicated.  Output equals the plain join.
     """
     salt_col = "__salt"
-    big_s = big.withColumn(salt_col, F.pmod(F.xxhash64(*big.columns), F.lit(salts)))
-    small_s = small.withColumn(salt_col, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    src = F.xxhash64(F.col(salt_by)) if salt_by else F.xxhash64(*[F.col(c) for c in big.columns])
+    salted = F.pmod(src, F.lit(salts))
+    every_salt = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+    if hot_share is None:
+        big_s = big.withColumn(salt_col, salted)
+        small_s = small.withColumn(salt_col, F.explode(every_salt))
+    else:
+        hot = F.broadcast(hot_keys(big, key, hot_share).withColumn("__hot", F.lit(True)))
+        big_s = (big.join(hot, key, "left")
+                 .withColumn(salt_col, F.when(F.col("__hot"), salted).otherwise(F.lit(0).cast("bigint")))
+                 .drop("__hot"))
+        small_s = (small.join(hot, key, "left")
+                   .withColumn(salt_col, F.explode(F.when(F.col("__hot"), every_salt)
+                                                   .otherwise(F.array(F.lit(0).cast("bigint")))))
+                   .drop("__hot"))
     return big_s.join(small_s, on=[key, salt_col], how=how).drop(salt_col)

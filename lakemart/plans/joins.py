@@ -166,7 +166,8 @@ def skew_join_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     once per salt.  Equals the plain join."""
     ev = skewed_events(b.events(spark, sf_dir)).select("event_id", "user_id", "event_type")
     u = b.users(spark, sf_dir).select("user_id", "city")
-    return salted_join(ev, u, "user_id", SKEW_SALTS).select("event_id", "user_id", "event_type", "city")
+    return salted_join(ev, u, "user_id", SKEW_SALTS, salt_by="event_id").select(
+        "event_id", "user_id", "event_type", "city")
 
 
 def plain_skew_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -73,3 +73,13 @@ def test_chunked_windows_keep_null_groups_and_dates(spark):
     lg = lag_by_date(df, "u", "d", "id", "v", "prev")
     plain_lg = df.withColumn("prev", F.lag("v").over(Window.partitionBy("u").orderBy("d", "id")))
     assert lg.count() == 6 and same(lg.select(*plain_lg.columns), plain_lg)
+
+
+def test_hot_only_salting_equals_plain(spark):
+    from lakemart.operators.joins import hot_keys, salted_join
+
+    ev = skewed_events(b.events(spark, SF)).select("event_id", "user_id", "event_type")
+    u = b.users(spark, SF).select("user_id", "city")
+    assert [r.user_id for r in hot_keys(ev, "user_id", 0.05).collect()] == [0]
+    hot_only = salted_join(ev, u, "user_id", 8, salt_by="event_id", hot_share=0.05)
+    assert same(hot_only.select("event_id", "user_id", "event_type", "city"), J.plain_skew_join(spark, SF))
