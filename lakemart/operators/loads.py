@@ -186,9 +186,15 @@ class VersionedTable:
     def upsert_if_changed(self, batch: DataFrame, keys: list[str],
                           order: list[Column] | None = None) -> int:
         """Upsert, but commit no new version when every batch row is already
-        in the table (re-running a load changes nothing)."""
+        in the table (re-running a load changes nothing).
+
+        The batch is compared only with the table rows of its own keys (a
+        semi join; a small key set is broadcast), not with the whole table.
+        """
         current = self.read()
-        if batch.select(*current.columns).exceptAll(current).isEmpty():
+        rows = batch.select(*current.columns)
+        same_keys = current.join(rows.select(*keys).distinct(), keys, "left_semi")
+        if rows.exceptAll(same_keys).isEmpty():
             return self.current_version()
         return self.upsert(batch, keys, order)
 
