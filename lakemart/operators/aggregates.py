@@ -48,7 +48,7 @@ def salted_aggregate(df: DataFrame, key: str, salts: int, salt_by: str | None,
 
 def tokens(text: Column) -> Column:
     """Lower-cased whitespace tokens of a whole text (empty tokens dropped)."""
-    return F.filter(F.split(F.lower(text), WORD_SEPARATORS), lambda t: F.length(t) > 0)
+    return F.array_remove(F.split(F.lower(text), WORD_SEPARATORS), "")
 
 
 def word_count(docs: DataFrame, text_col: str = "text") -> DataFrame:
