@@ -102,7 +102,8 @@ def order_document_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(
         "order_id", F.col("customer.user_id").alias("user_id"), "status", "order_date",
         F.col("payment.amount").cast("double").alias("payment_amount"), F.col("payment.currency").alias("currency"),
-        F.coalesce(F.size("items"), F.lit(0)).cast("int").alias("items_count"))
+        # size(NULL) is NULL under ANSI and -1 in legacy mode: test for NULL explicitly.
+        F.when(F.col("items").isNull(), F.lit(0)).otherwise(F.size("items")).cast("int").alias("items_count"))
 
 
 @register("latest_line_per_order", "N8", oracle="""
