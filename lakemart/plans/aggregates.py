@@ -43,6 +43,7 @@ SELECT category, COUNT(*) AS products_cnt, CAST(MIN(price) AS DOUBLE) AS min_pri
 FROM b_products GROUP BY category
 """)
 def category_price_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products per category with min, max and average list price."""
     return (b.products(spark, sf_dir).groupBy("category")
             .agg(F.count(F.lit(1)).alias("products_cnt"), F.min("price").alias("min_price"),
                  F.max("price").alias("max_price"), F.sum("price").alias("total"))
@@ -110,6 +111,7 @@ SELECT COUNT(*) AS orders_cnt, MIN(order_date) AS first_order_date,
 FROM b_orders
 """)
 def orders_span(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order count, first and last order date, total amount (global aggregate)."""
     return b.orders(spark, sf_dir).agg(
         F.count(F.lit(1)).alias("orders_cnt"), F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("last_order_date"), F.sum("amount").cast("double").alias("total_amount"))
@@ -119,6 +121,7 @@ def orders_span(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT CAST(ts AS DATE) AS event_date, COUNT(*) AS events_cnt FROM events GROUP BY 1
 """)
 def events_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per day, ordered by day."""
     return (b.events(spark, sf_dir).groupBy(F.to_date("ts").alias("event_date"))
             .agg(F.count(F.lit(1)).alias("events_cnt")).orderBy("event_date"))
 
@@ -156,6 +159,7 @@ SELECT user_id, COUNT(DISTINCT status) AS statuses_cnt
 FROM b_orders GROUP BY user_id HAVING COUNT(DISTINCT status) = 3
 """)
 def users_all_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users that have orders in every status (distinct-count HAVING)."""
     return (b.orders(spark, sf_dir).groupBy("user_id")
             .agg(F.countDistinct("status").alias("statuses_cnt"))
             .filter(F.col("statuses_cnt") == len(STATUSES)))
@@ -166,6 +170,7 @@ SELECT size, COUNT(*) AS products_cnt, CAST(SUM(price) AS DOUBLE) / CAST(COUNT(*
 FROM b_products WHERE size > 10 GROUP BY size
 """)
 def avg_price_by_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Average list price per product size, for sizes above 10."""
     return (b.products(spark, sf_dir).filter(F.col("size") > 10).groupBy("size")
             .agg(F.count(F.lit(1)).alias("products_cnt"), F.sum("price").alias("total"))
             .select("size", "products_cnt", _avg("total", "products_cnt").alias("avg_price")))
@@ -177,6 +182,7 @@ FROM (SELECT unnest(regexp_split_to_array(lower(text), '[\t\n\x0B\f\r ]+')) AS w
 WHERE length(word) > 0 GROUP BY word
 """)
 def word_count_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word count over whole document texts (map → combine → shuffle → reduce)."""
     # Tokenising is the CPU-heavy step before the first shuffle: make sure a
     # coarse (single-split) input still runs on every core.
     return word_count(b.spread_coarse_input(b.table(spark, sf_dir, "documents").select("text")))
@@ -240,6 +246,7 @@ SELECT CAST(ts AS DATE) AS event_date, event_type, COUNT(*) AS events_cnt,
 FROM events GROUP BY 1, 2
 """)
 def event_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per (day, type) with their exact value sum."""
     return (b.events(spark, sf_dir)
             .groupBy(F.to_date("ts").alias("event_date"), "event_type")
             .agg(F.count(F.lit(1)).alias("events_cnt"),
@@ -251,5 +258,6 @@ SELECT COUNT(*) AS paid_orders_cnt, CAST(SUM(amount) AS DOUBLE) AS paid_revenue
 FROM b_orders WHERE status = 'paid'
 """)
 def paid_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count and revenue of paid orders (global aggregate)."""
     return _paid_orders(spark, sf_dir).agg(
         F.count(F.lit(1)).alias("paid_orders_cnt"), F.sum("amount").cast("double").alias("paid_revenue"))

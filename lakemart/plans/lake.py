@@ -165,6 +165,7 @@ def _write_events_partitioned(spark: SparkSession, sf_dir: str) -> str:
 SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS event_date FROM events
 """)
 def events_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events written by day with a dynamic re-delivery of later days, read back whole."""
     path = _write_events_partitioned(spark, sf_dir)
     return spark.read.parquet(path).select("event_id", "user_id", "event_type", "event_date")
 

@@ -80,6 +80,7 @@ SELECT u.city, COUNT(*) AS orders_cnt, COUNT(DISTINCT o.user_id) AS users_cnt,
 FROM b_orders o JOIN b_users u ON u.user_id = o.user_id GROUP BY u.city
 """)
 def order_city_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders, distinct users, total and average payment per city (orders summed per user first)."""
     per_user = (b.orders(spark, sf_dir).groupBy("user_id")
                 .agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("t")))
     u = b.users(spark, sf_dir).select("user_id", "city")
@@ -96,6 +97,7 @@ SELECT status, COUNT(*) AS orders_cnt, COUNT(DISTINCT user_id) AS users_cnt,
 FROM b_orders GROUP BY status
 """)
 def order_status_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders, distinct users and total amount per status."""
     return (b.orders(spark, sf_dir).groupBy("status")
             .agg(F.count(F.lit(1)).alias("orders_cnt"), F.countDistinct("user_id").alias("users_cnt"),
                  F.sum("amount").cast("double").alias("total_amount")))
@@ -148,6 +150,7 @@ SELECT dt, product_id, COUNT(*) AS items_cnt, CAST(SUM(quantity) AS BIGINT) AS q
 FROM b_items GROUP BY dt, product_id
 """)
 def product_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines, quantity and revenue per (ship day, product)."""
     return (b.order_items(spark, sf_dir).groupBy("dt", "product_id")
             .agg(F.count(F.lit(1)).alias("items_cnt"), F.sum("quantity").cast("bigint").alias("quantity"),
                  F.sum(F.col("quantity") * F.col("price")).cast("double").alias("revenue")))
@@ -185,6 +188,7 @@ SELECT u.city, COUNT(*) AS orders_cnt, CAST(SUM(o.amount) AS DOUBLE) AS total_am
 FROM b_orders o JOIN b_users u ON u.user_id = o.user_id GROUP BY u.city
 """)
 def city_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and total amount per city, sorted by order count (orders summed per user first)."""
     per_user = (b.orders(spark, sf_dir).groupBy("user_id")
                 .agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("t")))
     u = b.users(spark, sf_dir).select("user_id", "city")

@@ -27,6 +27,7 @@ SELECT order_id, COUNT(*) AS lines_cnt, CAST(SUM(quantity) AS BIGINT) AS quantit
 FROM ranked GROUP BY order_id
 """)
 def nest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines nested into one document per order; the document's size, quantity and first line."""
     docs = order_documents(spark, sf_dir)
     return docs.select(
         "order_id", F.size("items").cast("bigint").alias("lines_cnt"),

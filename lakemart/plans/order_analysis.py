@@ -51,6 +51,7 @@ SELECT i.order_id, i.line_no, i.product_id, p.product_name,
 FROM b_items i JOIN b_products p ON i.product_id = p.product_id WHERE i.price <> p.price
 """)
 def price_mismatch_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines sold at a price other than the product's list price, with the difference."""
     i = b.order_items(spark, sf_dir).select("order_id", "line_no", "product_id", F.col("price").alias("sold"))
     p = b.products(spark, sf_dir).select("product_id", "product_name", F.col("price").alias("list"))
     return (i.join(p, "product_id").filter(F.col("sold") != F.col("list"))
@@ -73,6 +74,7 @@ GROUP BY p.product_id, p.product_name, p.price
 HAVING MAX(i.price) > p.price * {ABOVE_LIST_FACTOR}
 """)
 def sold_above_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products whose highest sale price exceeds the list price (× the binding factor)."""
     top = b.order_items(spark, sf_dir).groupBy("product_id").agg(F.max("price").alias("max_sold"))
     p = b.products(spark, sf_dir).select("product_id", "product_name", "price")
     return (top.join(p, "product_id").filter(F.col("max_sold") > F.col("price") * ABOVE_LIST_FACTOR)
@@ -88,6 +90,7 @@ FROM b_items i JOIN b_products p ON i.product_id = p.product_id
 GROUP BY i.order_id HAVING COUNT(DISTINCT p.category) = 1
 """)
 def single_category_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose lines all share one category: distinct products and line total."""
     cats = b.products(spark, sf_dir).select("product_id", "category")
     lines = b.order_items(spark, sf_dir).select(
         "order_id", "product_id", (F.col("quantity") * F.col("price")).alias("v"))
@@ -154,6 +157,7 @@ SELECT oc.category, COUNT(*) FILTER (WHERE nc.n_cats > 1) AS shared_orders, COUN
 FROM oc JOIN nc ON oc.order_id = nc.order_id GROUP BY oc.category
 """)
 def category_cooccurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per category: paid orders that also contain another category, all its paid orders, share."""
     oc = _paid_lines(spark, sf_dir).select("order_id", "category").distinct()
     # Categories per order: a window over the order's distinct categories
     # (at most one row per category) on data already partitioned by order.
@@ -308,6 +312,7 @@ JOIN b_products p ON p.product_id = i.product_id JOIN b_users u ON u.user_id = o
 WHERE o.status = 'paid' GROUP BY o.user_id, u.email HAVING COUNT(DISTINCT p.category) = 1
 """)
 def single_category_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users whose paid orders all fall in one category, with order count and spend."""
     per_user = (_paid_lines(spark, sf_dir).groupBy("user_id")
                 .agg(F.min("category").alias("category"), F.max("category").alias("max_cat"),
                      F.countDistinct("order_id").alias("orders_cnt"), F.sum("line_value").alias("spend"))
@@ -324,6 +329,7 @@ FROM b_items i JOIN b_products p ON p.product_id = i.product_id
 GROUP BY i.product_id, p.product_name HAVING MIN(i.price) <> MAX(i.price)
 """)
 def price_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products sold at more than one price: min, max, spread and orders."""
     agg = (b.order_items(spark, sf_dir).groupBy("product_id")
            .agg(F.min("price").alias("lo"), F.max("price").alias("hi"),
                 F.countDistinct("order_id").alias("orders_cnt"))

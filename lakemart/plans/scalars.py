@@ -38,6 +38,7 @@ WHERE status IN ('paid', 'shipped') AND (amount >= 100000 OR order_date < DATE '
 GROUP BY status
 """)
 def filter_in_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paid/shipped orders that are large or early (IN, AND, OR), counted per status."""
     o = b.orders(spark, sf_dir)
     return (o.filter(F.col("status").isin("paid", "shipped")
                      & ((F.col("amount") >= 100000) | (F.col("order_date") < F.lit("1996-01-01").cast("date"))))
@@ -57,6 +58,7 @@ SELECT l_orderkey AS order_id, l_linenumber AS line_no, l_discount AS discount,
 FROM lineitem WHERE l_discount > 0 AND l_tax > 0
 """)
 def rows_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines whose discount and tax are both positive (the clean half of D5)."""
     li, clean = _line_quality(spark, sf_dir)
     return li.filter(clean)
 
@@ -66,6 +68,7 @@ SELECT l_orderkey AS order_id, l_linenumber AS line_no, l_discount AS discount,
 FROM lineitem WHERE NOT COALESCE(l_discount > 0 AND l_tax > 0, FALSE)
 """)
 def rows_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines failing the clean rule, NULLs included, so clean and bad partition the input."""
     li, clean = _line_quality(spark, sf_dir)
     return li.filter(fx.is_bad(clean))
 
@@ -94,6 +97,7 @@ SELECT user_id, upper(city) AS city_upper, substring(email, 1, 8) AS email_prefi
 FROM b_users
 """)
 def scalar_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """String functions on users: upper, prefix, e-mail domain, concatenation, length."""
     u = b.users(spark, sf_dir)
     return u.select("user_id", F.upper("city").alias("city_upper"),
                     F.substring("email", 1, 8).alias("email_prefix"),
@@ -113,6 +117,7 @@ SELECT order_id, order_date,
 FROM b_orders
 """)
 def scalar_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Date functions: month start, YYYYMM number, date + 7 days, timestamp cast, format and parse."""
     o = b.orders(spark, sf_dir).select("order_id", "order_date")
     text = F.date_format("order_date", "yyyy-MM-dd")
     return (o.withColumn("order_month", fx.month_start(F.col("order_date")))
@@ -133,6 +138,7 @@ SELECT order_id, line_no, CAST(quantity * price AS DOUBLE) AS gross,
 FROM b_items
 """)
 def scalar_math(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line arithmetic: gross, discount amount rounded to cents, net, modulo, abs, percent with a zero guard."""
     i = b.order_items(spark, sf_dir)
     gross = F.col("quantity") * F.col("price")
     disc = F.round(gross * fx.rate_as_decimal(F.col("discount")), 2)
@@ -151,6 +157,7 @@ SELECT product_id, CAST(len(string_split(product_name, ' ')) AS INTEGER) AS word
 FROM b_products
 """)
 def array_first_or_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product-name words as an array: size, first word, third word or 'unknown'."""
     words = F.split(F.col("product_name"), " ")
     return b.products(spark, sf_dir).select(
         "product_id", F.size(words).alias("words_cnt"),
@@ -186,6 +193,7 @@ SELECT order_id, CAST(amount AS DOUBLE) AS amount,
 FROM b_orders
 """)
 def order_size_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order's amount with a size band label (CASE WHEN)."""
     return b.orders(spark, sf_dir).select(
         "order_id", F.col("amount").cast("double").alias("amount"),
         fx.size_label(F.col("amount")).alias("size_label"))

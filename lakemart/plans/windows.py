@@ -50,6 +50,7 @@ SELECT category, product_id, product_name, price, rn FROM (
   FROM b_products) t WHERE rn <= 2
 """)
 def two_cheapest_per_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two cheapest products of each category (tie-break product id)."""
     p = b.products(spark, sf_dir).select("category", "product_id", "product_name", "price")
     top = top_n_per_group(p, ["category"], [F.col("price"), F.col("product_id")], 2)
     return top.select("category", "product_id", "product_name",
@@ -95,4 +96,5 @@ def all_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("distinct_users", "U2", oracle="SELECT DISTINCT user_id FROM b_orders")
 def distinct_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct users that placed orders."""
     return b.orders(spark, sf_dir).select("user_id").distinct()
