@@ -70,6 +70,16 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [i.base_name for i in fs.get_file_info(pafs.FileSelector(p)) if i.type == pafs.FileType.Directory]
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Recursively delete ``path`` (table maintenance only)."""
+    h = _hadoop_fs(spark, path)
+    if h is not None:
+        h[1].delete(h[0], True)
+        return
+    fs, p = _arrow_fs(path)
+    fs.delete_dir(p)
+
+
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
     """One row per key: the smallest under ``order`` (ascending value
     expressions), then every column.
@@ -183,6 +193,14 @@ class VersionedTable:
         kept = current.join(batch.select(*keys), keys, "left_anti")
         return self.commit(kept.unionByName(batch))
 
+    def vacuum(self, keep: int = 2) -> list[int]:
+        """Delete complete versions older than the newest ``keep`` (readers
+        of the current version are unaffected).  Returns deleted versions."""
+        old = self.versions()[:-keep] if keep > 0 else []
+        for v in old:
+            delete_path(self.spark, self.path(v))
+        return old
+
     def upsert_if_changed(self, batch: DataFrame, keys: list[str],
                           order: list[Column] | None = None) -> int:
         """Upsert, but commit no new version when every batch row is already
@@ -259,6 +277,19 @@ class SummingTable:
         self.read_summed().write.mode("overwrite").parquet(f"{self.root}/base/upto={seqs[-1]:06d}")
         return seqs[-1]
 
+    def vacuum(self) -> int:
+        """Delete deltas and bases already folded into the newest complete
+        base.  Returns how many parts were deleted."""
+        bases = self._complete("base", self._UPTO)
+        if not bases:
+            return 0
+        upto = bases[-1]
+        gone = [f"{self.root}/deltas/seq={s:06d}" for s in self._complete("deltas", self._SEQ) if s <= upto]
+        gone += [f"{self.root}/base/upto={b:06d}" for b in bases[:-1]]
+        for path in gone:
+            delete_path(self.spark, path)
+        return len(gone)
+
 
 def load_dimension(t: VersionedTable, batch: DataFrame, natural_key: list[str], id_col: str,
                    attrs: list[str]) -> int:

@@ -186,3 +186,20 @@ def test_partition_scoped_upsert_reads_only_touched_partitions(spark):
 
     assert re.search(r"PartitionFilters: \[dt#\d+ IN \(3,7\)\]", plan)
     assert pruned.count() == 100
+
+
+def test_vacuum_keeps_current_reads(spark):
+    t = VersionedTable(spark, fresh() + "/t", schema=SCHEMA)
+    for i in range(4):
+        t.overwrite(spark.createDataFrame([(i, "v", i)], SCHEMA))
+    assert t.vacuum(keep=2) == [1, 2]
+    assert t.versions() == [3, 4] and as_set(t.read()) == [(3, "v", 3)]
+    s = SummingTable(spark, fresh() + "/s", ["k"], ["n"])
+    d = spark.createDataFrame([(1, 2)], "k bigint, n bigint")
+    s.add(d)
+    s.add(d)
+    s.compact()
+    s.add(d)
+    before = as_set(s.read_summed())
+    assert s.vacuum() == 2  # two deltas folded into the base
+    assert as_set(s.read_summed()) == before == [(1, 6)]
