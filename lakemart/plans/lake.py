@@ -291,13 +291,14 @@ def orders_month_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT order_id, line_no, product_id, dt FROM b_items
 """)
 def compacted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines written as a fixed number of files (``coalesce``, no shuffle)
+    """Lines rewritten with 4× fewer files than input partitions
+    (``coalesce``: no shuffle; the file count still scales with the input)
     and read back."""
-    from lakemart.operators.layout import with_file_count
+    from lakemart.operators.layout import compact_files
 
-    path = scratch_path(spark, "items_two_files")
+    path = scratch_path(spark, "items_compacted")
     items = b.order_items(spark, sf_dir).select("order_id", "line_no", "product_id", "dt")
-    with_file_count(items, 2).write.mode("overwrite").parquet(path)
+    compact_files(items).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 

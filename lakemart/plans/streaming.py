@@ -30,7 +30,9 @@ def stream_events_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     Parquet with a checkpoint; the stream is started twice and the restart
     adds nothing."""
     root = scratch_path(spark, "stream_events")
-    (b.events(spark, sf_dir).repartition(8).write.mode("overwrite")
+    # Several landing files so the stream runs several micro-batches; an input
+    # that already has enough splits is landed as it is.
+    (b.spread_coarse_input(b.events(spark, sf_dir)).write.mode("overwrite")
      .option("timestampNTZFormat", NTZ_MICROS).json(f"{root}/landing"))
     src = file_stream(spark, f"{root}/landing", EVENTS_DDL, fmt="json", max_files_per_trigger=2,
                       timestampNTZFormat=NTZ_MICROS)
@@ -47,7 +49,7 @@ def stream_upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``foreachBatch(upsert)``; the result equals the batch view."""
     root = scratch_path(spark, "stream_orders")
     o = b.orders(spark, sf_dir).select("order_id", "user_id", "status", "amount")
-    o.repartition(4).write.mode("overwrite").parquet(f"{root}/landing")
+    b.spread_coarse_input(o).write.mode("overwrite").parquet(f"{root}/landing")
     src = file_stream(spark, f"{root}/landing", o.schema, fmt="parquet", max_files_per_trigger=1)
     table = VersionedTable(spark, f"{root}/ods_orders", schema=o.schema)
     upsert_stream(src, table, ["order_id"], f"{root}/checkpoints/orders")

@@ -125,3 +125,10 @@ def test_bucketed_write_one_file_per_bucket(spark):
     t = write_bucketed(df, "bucket_files_demo", "k", 8, path)
     files = [f for f in Path(path).glob("*.parquet")]
     assert len(files) == 8 and t.count() == 5000
+
+
+def test_compact_files_scales_with_input(spark):
+    from lakemart.operators.layout import compact_files
+
+    assert compact_files(spark.range(1000).repartition(40)).rdd.getNumPartitions() == 10
+    assert compact_files(spark.range(10).repartition(3)).rdd.getNumPartitions() == 1
