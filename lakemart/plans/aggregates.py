@@ -13,6 +13,7 @@ from lakemart import bindings as b
 from lakemart.operators.aggregates import salted_aggregate, word_count
 from lakemart.operators.skew import skewed_events
 from lakemart.plans.registry import register
+from lakemart.session import skew_salts
 
 
 def _dbl(c):
@@ -202,8 +203,6 @@ def gen_skewed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_value", F.col("event_value").cast("double"))
 
 
-# Salts per hot key (parallelism given to one key; no effect on results).
-SKEW_SALTS = 16
 
 
 @register("skew_agg_salted", "A14", oracle="""
@@ -216,7 +215,7 @@ def skew_agg_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Aggregate the hot key in two phases, salted by the distinct-counted
     column (the source user), so the distinct count stays exact."""
     ev = skewed_events(b.events(spark, sf_dir))
-    out = salted_aggregate(ev, "skew_key", SKEW_SALTS, salt_by="source_user_id",
+    out = salted_aggregate(ev, "skew_key", skew_salts(spark), salt_by="source_user_id",
                            counts={"events_cnt": "*"}, sums={"value_sum": "event_value"},
                            distinct_of={"users_cnt": "source_user_id"})
     return out.select("skew_key", F.col("events_cnt").cast("bigint").alias("events_cnt"),

@@ -10,7 +10,7 @@ from lakemart.operators.joins import all_members_match, anti_join, mismatch_repo
 from lakemart.operators.layout import dense_ids, write_bucketed
 from lakemart.operators.skew import skewed_events
 from lakemart.plans.registry import register
-from lakemart.session import scratch_path
+from lakemart.session import bucket_count, scratch_path, skew_salts
 
 
 @register("orders_left_lines", "J3", oracle="""
@@ -50,7 +50,8 @@ def events_typed_dict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.join(F.broadcast(stages), "event_type").select("event_id", "event_type", "stage")
 
 
-# Buckets of the co-located tables (both sides must use the same number).
+# Minimum buckets of the co-located tables (both sides use the same number;
+# by default one per input split of the orders, see session.bucket_count).
 BUCKETS = 8
 
 
@@ -63,10 +64,11 @@ def city_orders_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     the join reads matching buckets without an Exchange on either side."""
     root = scratch_path(spark, "bucketed")
     tag = root.rsplit("-", 1)[-1]
-    o = write_bucketed(b.orders(spark, sf_dir).select("order_id", "user_id", "amount"),
-                       f"orders_by_user_{tag}", "user_id", BUCKETS, f"{root}/orders")
+    orders = b.orders(spark, sf_dir).select("order_id", "user_id", "amount")
+    buckets = bucket_count(spark, orders, BUCKETS)
+    o = write_bucketed(orders, f"orders_by_user_{tag}", "user_id", buckets, f"{root}/orders")
     u = write_bucketed(b.users(spark, sf_dir).select("user_id", "city"),
-                       f"users_by_user_{tag}", "user_id", BUCKETS, f"{root}/users")
+                       f"users_by_user_{tag}", "user_id", buckets, f"{root}/users")
     return (o.join(u, "user_id").groupBy("city")
             .agg(F.count(F.lit(1)).alias("orders_cnt"), F.sum("amount").cast("double").alias("total_amount")))
 
@@ -151,8 +153,6 @@ def load_fact_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "order_id", "line_no", "product_sk", "quantity", F.col("line_amount").cast("double").alias("line_amount"))
 
 
-# Salts per hot key (parallelism given to one key; no effect on results).
-SKEW_SALTS = 16
 
 
 @register("skew_join_salted", "J13", oracle="""
@@ -162,11 +162,11 @@ FROM events e JOIN b_users u ON u.user_id = CASE WHEN e.event_id % 10 < 8 THEN 0
 """)
 def skew_join_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Join the hot user (80 % of events) with users through salted keys:
-    the hot key is split over ``SKEW_SALTS`` tasks, users are replicated
-    once per salt.  Equals the plain join."""
+    the hot key is split over ``lakemart.skew.salts`` tasks (default 16),
+    users are replicated once per salt.  Equals the plain join."""
     ev = skewed_events(b.events(spark, sf_dir)).select("event_id", "user_id", "event_type")
     u = b.users(spark, sf_dir).select("user_id", "city")
-    return salted_join(ev, u, "user_id", SKEW_SALTS, salt_by="event_id").select(
+    return salted_join(ev, u, "user_id", skew_salts(spark), salt_by="event_id").select(
         "event_id", "user_id", "event_type", "city")
 
 

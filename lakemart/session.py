@@ -10,7 +10,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings of the sessions this package builds itself (tests, bench).  Jobs
 # never change the session they are given: AQE and skew-join handling are
@@ -24,6 +24,8 @@ JOB_DEFAULTS = {
 }
 
 LAKE_ROOT_CONF = "lakemart.lake.root"
+SALTS_CONF = "lakemart.skew.salts"
+BUCKETS_CONF = "lakemart.buckets"
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
@@ -102,6 +104,25 @@ def lake_root(spark: SparkSession) -> str:
     return ckpt.rstrip("/") + "-lake"
 
 
+def skew_salts(spark: SparkSession, default: int = 16) -> int:
+    """Sub-keys per hot key for salted joins and aggregates
+    (``lakemart.skew.salts``): how many tasks share one hot key."""
+    return int(spark.conf.get(SALTS_CONF, str(default)))
+
+
+def bucket_count(spark: SparkSession, df: DataFrame, minimum: int = 8) -> int:
+    """Buckets for a co-located layout (``lakemart.buckets``), by default one
+    per input split of the larger side (at least ``minimum``), so bucket
+    files grow with the data instead of funnelling it into a fixed few."""
+    fixed = spark.conf.get(BUCKETS_CONF, None)
+    if fixed:
+        return int(fixed)
+    try:
+        return max(minimum, df.rdd.getNumPartitions())
+    except Exception:  # noqa: BLE001 - Spark Connect: split count not visible
+        return minimum
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the lake root for one job run."""
     return f"{lake_root(spark)}/work/{name}-{uuid.uuid4().hex[:12]}"
