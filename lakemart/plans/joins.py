@@ -187,3 +187,20 @@ def order_users_merge_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = b.orders(spark, sf_dir).select("order_id", "user_id")
     u = b.users(spark, sf_dir).select("user_id", "city")
     return o.join(u.hint("merge"), "user_id").select("order_id", "user_id", "city")
+
+
+@register("user_paid_count_sql", "J11", oracle="""
+SELECT u.user_id, u.email,
+       (SELECT COUNT(*) FROM b_orders o WHERE o.user_id = u.user_id AND o.status = 'paid') AS paid_orders_cnt
+FROM b_users u
+""")
+def user_paid_count_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J11 written as SQL with the correlated scalar subquery; Catalyst
+    rewrites it into an aggregate and a left outer join (count fixed to 0),
+    so no per-row sub-plan runs."""
+    b.register_views(spark, sf_dir)
+    return spark.sql("""
+        SELECT u.user_id, u.email,
+               (SELECT COUNT(*) FROM b_orders o WHERE o.user_id = u.user_id AND o.status = 'paid')
+                 AS paid_orders_cnt
+        FROM b_users u""")

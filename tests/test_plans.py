@@ -130,3 +130,12 @@ def test_aqe_coalesces_small_shuffle_partitions(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_correlated_subquery_is_decorrelated(spark):
+    text = optimized_physical(J.user_paid_count_sql(spark, SF))
+    assert "Join" in text and "Subquery" not in text
+
+
+def test_sql_top1_uses_window_group_limit(spark):
+    assert "WindowGroupLimit" in optimized_physical(W.city_top_order_sql(spark, SF))
