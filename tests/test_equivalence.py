@@ -83,3 +83,26 @@ def test_hot_only_salting_equals_plain(spark):
     assert [r.user_id for r in hot_keys(ev, "user_id", 0.05).collect()] == [0]
     hot_only = salted_join(ev, u, "user_id", 8, salt_by="event_id", hot_share=0.05)
     assert same(hot_only.select("event_id", "user_id", "event_type", "city"), J.plain_skew_join(spark, SF))
+
+
+def test_bucketed_equals_unbucketed(spark):
+    from lakemart.plans import marts as M
+
+    assert same(J.city_orders_bucketed(spark, SF), M.city_orders(spark, SF))
+
+
+def test_tuned_flagship_equals_naive_settings(spark):
+    from lakemart.plans import marts as M
+
+    tuned = M.region_category_revenue(spark, SF).collect()
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold",
+                                            "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.shuffle.partitions", "200")
+        naive = M.region_category_revenue(spark, SF).coalesce(1).collect()
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    assert sorted(map(tuple, tuned)) == sorted(map(tuple, naive))
