@@ -54,3 +54,32 @@ def stream_upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = VersionedTable(spark, f"{root}/ods_orders", schema=o.schema)
     upsert_stream(src, table, ["order_id"], f"{root}/checkpoints/orders")
     return table.read().withColumn("amount", F.col("amount").cast("double"))
+
+
+@register("stream_rollup_events", "ST2", oracle="""
+SELECT CAST(ts AS DATE) AS event_date, event_type, COUNT(*) AS events_cnt,
+       CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS value_sum
+FROM events GROUP BY 1, 2
+""")
+def stream_rollup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events streamed into an additive (summing) table: each micro-batch is
+    pre-aggregated and written as the delta of its batch id, so a replayed
+    batch replaces its own delta.  Started twice; the read equals the batch
+    event statistics."""
+    from lakemart.operators.loads import SummingTable
+    from lakemart.streaming.streams import rollup_stream
+
+    root = scratch_path(spark, "stream_rollup")
+    (b.spread_coarse_input(b.events(spark, sf_dir)).write.mode("overwrite")
+     .option("timestampNTZFormat", NTZ_MICROS).json(f"{root}/landing"))
+    src = file_stream(spark, f"{root}/landing", EVENTS_DDL, fmt="json", max_files_per_trigger=2,
+                      timestampNTZFormat=NTZ_MICROS)
+    keyed = src.select(F.to_date("ts").alias("event_date"), "event_type",
+                       F.lit(1).cast("bigint").alias("events_cnt"),
+                       F.col("value").cast("decimal(12,2)").alias("value_sum"))
+    table = SummingTable(spark, f"{root}/rollup", ["event_date", "event_type"], ["events_cnt", "value_sum"])
+    for _ in range(2):
+        rollup_stream(keyed, table, f"{root}/checkpoints/rollup")
+    return table.read_summed().select("event_date", "event_type",
+                                      F.col("events_cnt").cast("bigint").alias("events_cnt"),
+                                      F.col("value_sum").cast("double").alias("value_sum"))
