@@ -149,3 +149,23 @@ def test_p15_fill_and_dedupe(spark):
     df = spark.createDataFrame([(1, None), (1, None), (2, "x")], "id int, v string")
     filled = fill_missing(df, {"v": "unknown"}).dropDuplicates()
     assert sorted(tuple(r) for r in filled.collect()) == [(1, "unknown"), (2, "x")]
+
+
+def test_s15_fetch_retries_then_fails_clearly(monkeypatch):
+    calls = []
+    real = api.urllib.request.urlopen
+
+    def flaky(url, timeout):
+        calls.append(url)
+        if len(calls) < 3:
+            raise OSError("temporary failure")
+        return real(url, timeout=timeout)
+
+    d = Path(tmp())
+    (d / "page.json").write_text(json.dumps({"products": [], "total": 0}))
+    monkeypatch.setattr(api.urllib.request, "urlopen", flaky)
+    assert api.fetch_json(f"file://{d}/page.json", retries=3, backoff=0) == {"products": [], "total": 0}
+    assert len(calls) == 3
+    calls.clear()
+    with pytest.raises(RuntimeError, match="after 2 attempts"):
+        api.fetch_json(f"file://{d}/missing.json", retries=1, backoff=0)
