@@ -167,3 +167,22 @@ def memory_table_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = "mem_orders_" + scratch_path(spark, "m").rsplit("-", 1)[-1]
     memory_table(b.orders(spark, sf_dir).select("order_id", "status"), name)
     return spark.sql(f"SELECT status, COUNT(*) AS orders_cnt FROM {name} GROUP BY status")
+
+
+@register("external_csv_table", "S3/S13", oracle="""
+SELECT o_orderstatus AS status, COUNT(*) AS orders_cnt,
+       CAST(SUM(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS total_amount
+FROM orders GROUP BY o_orderstatus
+""")
+def external_csv_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An external table declared over headerless CSV files (``CREATE TABLE
+    … USING csv … LOCATION`` with the column DDL), queried with SQL."""
+    from lakemart.session import create_layers
+
+    create_layers(spark, ("raw",))
+    path = scratch_path(spark, "raw_orders_csv")
+    write_csv(b.table(spark, sf_dir, "orders"), path, header=False)
+    name = "raw.orders_csv_" + path.rsplit("-", 1)[-1]
+    spark.sql(f"CREATE TABLE {name} ({ORDERS_DDL}) USING csv OPTIONS (header 'false') LOCATION '{path}'")
+    return spark.sql(f"""SELECT status, COUNT(*) AS orders_cnt, CAST(SUM(amount) AS DOUBLE) AS total_amount
+                         FROM {name} GROUP BY status""")
