@@ -204,3 +204,20 @@ def user_paid_count_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
                (SELECT COUNT(*) FROM b_orders o WHERE o.user_id = u.user_id AND o.status = 'paid')
                  AS paid_orders_cnt
         FROM b_users u""")
+
+
+@register("events_typed_dict_sql", "J4", oracle="""
+SELECT e.event_id, e.event_type, d.stage
+FROM events e JOIN (VALUES ('view', 'interest'), ('add_to_cart', 'intent'),
+                           ('purchase', 'conversion')) AS d(event_type, stage)
+  ON e.event_type = d.event_type
+""")
+def events_typed_dict_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J4 in SQL with the Hive-style ``/*+ MAPJOIN(d) */`` hint over an
+    inline ``VALUES`` dictionary (planned as a broadcast hash join)."""
+    view = "events_for_dict_" + scratch_path(spark, "v").rsplit("-", 1)[-1]
+    b.events(spark, sf_dir).createOrReplaceTempView(view)
+    values = ", ".join(f"('{t}', '{s}')" for t, s in EVENT_STAGES)
+    return spark.sql(f"""
+        SELECT /*+ MAPJOIN(d) */ e.event_id, e.event_type, d.stage
+        FROM {view} e JOIN (VALUES {values}) AS d(event_type, stage) ON e.event_type = d.event_type""")

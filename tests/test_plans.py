@@ -139,3 +139,8 @@ def test_correlated_subquery_is_decorrelated(spark):
 
 def test_sql_top1_uses_window_group_limit(spark):
     assert "WindowGroupLimit" in optimized_physical(W.city_top_order_sql(spark, SF))
+
+
+def test_mapjoin_hint_in_sql_broadcasts(spark, no_auto_broadcast):
+    text = optimized_physical(J.events_typed_dict_sql(spark, SF))
+    assert "BroadcastHashJoin" in text
