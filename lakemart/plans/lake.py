@@ -50,8 +50,9 @@ def load_dimension_keys(t: VersionedTable, keys: DataFrame, key: str, id_col: st
 
 
 @register("dim_surrogate_keys", "L2", oracle="""
-SELECT COUNT(*) AS keys_cnt, COUNT(*) AS distinct_ids, CAST(1 AS BIGINT) AS min_id,
-       COUNT(*) AS max_id
+SELECT COUNT(*) AS keys_cnt, COUNT(*) AS distinct_ids,
+       CASE WHEN COUNT(*) > 0 THEN CAST(1 AS BIGINT) END AS min_id,
+       CASE WHEN COUNT(*) > 0 THEN COUNT(*) END AS max_id
 FROM b_products
 """)
 def dim_surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,8 +141,10 @@ def range_partition_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_partitioned(routed.filter(F.col("partition_name") != "rejected"), f"{root}/accepted",
                       ["partition_name"], sort_cols=["order_date", "order_id"])
     routed.filter(F.col("partition_name") == "rejected").write.mode("overwrite").parquet(f"{root}/rejected")
-    accepted = spark.read.parquet(f"{root}/accepted")
-    rejected = spark.read.parquet(f"{root}/rejected")
+    # Read back with the known schema: an empty partitioned write leaves no
+    # file to infer it from.
+    accepted = spark.read.schema(routed.schema).parquet(f"{root}/accepted")
+    rejected = spark.read.schema(routed.schema).parquet(f"{root}/rejected")
     return accepted.unionByName(rejected).select("order_id", "order_date", "partition_name")
 
 
@@ -149,7 +152,7 @@ def range_partition_route(spark: SparkSession, sf_dir: str) -> DataFrame:
 REDELIVERY_FROM = "2024-01-15"
 
 
-def _write_events_partitioned(spark: SparkSession, sf_dir: str) -> str:
+def _write_events_partitioned(spark: SparkSession, sf_dir: str):
     """Events written by day (30 partitions), then the days from
     ``REDELIVERY_FROM`` delivered again: a dynamic overwrite replaces only
     those day partitions."""
@@ -158,7 +161,7 @@ def _write_events_partitioned(spark: SparkSession, sf_dir: str) -> str:
     write_partitioned(ev, path, ["event_date"], sort_cols=["ts", "event_id"])
     again = ev.filter(F.col("event_date") >= F.lit(REDELIVERY_FROM).cast("date"))
     write_partitioned(again, path, ["event_date"], sort_cols=["ts", "event_id"], dynamic=True)
-    return path
+    return path, ev.schema
 
 
 @register("events_partitioned", "L10", oracle="""
@@ -166,8 +169,8 @@ SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS event_date FROM events
 """)
 def events_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events written by day with a dynamic re-delivery of later days, read back whole."""
-    path = _write_events_partitioned(spark, sf_dir)
-    return spark.read.parquet(path).select("event_id", "user_id", "event_type", "event_date")
+    path, schema = _write_events_partitioned(spark, sf_dir)
+    return spark.read.schema(schema).parquet(path).select("event_id", "user_id", "event_type", "event_date")
 
 
 PRUNE_FROM, PRUNE_TO = "2024-01-10", "2024-01-12"
@@ -180,8 +183,8 @@ WHERE CAST(ts AS DATE) BETWEEN DATE '{PRUNE_FROM}' AND DATE '{PRUNE_TO}' GROUP B
 def partition_pruned_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Filter on the partition column: only three day folders are listed
     and read (``PartitionFilters`` in the scan)."""
-    path = _write_events_partitioned(spark, sf_dir)
-    ev = spark.read.parquet(path)
+    path, schema = _write_events_partitioned(spark, sf_dir)
+    ev = spark.read.schema(schema).parquet(path)
     return (ev.filter(F.col("event_date").between(F.lit(PRUNE_FROM).cast("date"), F.lit(PRUNE_TO).cast("date")))
             .groupBy("event_date").agg(F.count(F.lit(1)).alias("events_cnt")))
 
@@ -282,9 +285,9 @@ def orders_month_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     o = b.orders(spark, sf_dir).select("order_id", "user_id", "order_date")
     path = scratch_path(spark, "orders_by_month")
-    write_partitioned(o.withColumn("yyyymm", yyyymm(F.col("order_date"))), path, ["yyyymm"],
-                      sort_cols=["order_date", "user_id", "order_id"])
-    return spark.read.parquet(path).select("order_id", "user_id", "order_date", "yyyymm")
+    laid_out = o.withColumn("yyyymm", yyyymm(F.col("order_date")))
+    write_partitioned(laid_out, path, ["yyyymm"], sort_cols=["order_date", "user_id", "order_id"])
+    return spark.read.schema(laid_out.schema).parquet(path).select("order_id", "user_id", "order_date", "yyyymm")
 
 
 @register("compacted_files", "L13", oracle="""
