@@ -100,7 +100,9 @@ def insert_if_absent_stream(df: DataFrame, table: VersionedTable, keys: list[str
 
 def rollup_stream(df: DataFrame, table: SummingTable, checkpoint: str) -> StreamingQuery:
     """ST2 for additive tables: the micro-batch is pre-aggregated by key and
-    written as delta ``seq = batch_id + 1`` (a replay overwrites it)."""
+    written as delta ``seq = batch_id + 1`` (a replay overwrites it).  A
+    summing table fed by a stream takes all its deltas from that stream
+    (batch ``add`` calls would number deltas on their own)."""
     def apply(batch: DataFrame, batch_id: int) -> None:
         delta = batch.groupBy(*table.keys).agg(*[F.sum(m).alias(m) for m in table.measures])
         delta.write.mode("overwrite").parquet(f"{table.root}/deltas/seq={batch_id + 1:06d}")
