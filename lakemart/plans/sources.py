@@ -186,3 +186,39 @@ def external_csv_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.sql(f"CREATE TABLE {name} ({ORDERS_DDL}) USING csv OPTIONS (header 'false') LOCATION '{path}'")
     return spark.sql(f"""SELECT status, COUNT(*) AS orders_cnt, CAST(SUM(amount) AS DOUBLE) AS total_amount
                          FROM {name} GROUP BY status""")
+
+
+ITEMS_DDL = "order_id BIGINT, line_no INT, product_id BIGINT, quantity INT, price DECIMAL(12,2)"
+
+
+@register("bulk_copy_checked", "S4", oracle="""
+SELECT 'order_items' AS table_name, 'pk_order_line' AS rule,
+       (SELECT COUNT(*) FROM (SELECT order_id, line_no FROM b_items GROUP BY 1, 2 HAVING COUNT(*) > 1))
+         AS violations_cnt
+UNION ALL SELECT 'order_items', 'not_null',
+       COUNT(*) FILTER (WHERE order_id IS NULL OR product_id IS NULL OR quantity IS NULL OR price IS NULL) FROM b_items
+UNION ALL SELECT 'order_items', 'check_quantity_positive', COUNT(*) FILTER (WHERE quantity <= 0) FROM b_items
+UNION ALL SELECT 'order_items', 'check_price_non_negative', COUNT(*) FILTER (WHERE price < 0) FROM b_items
+""")
+def bulk_copy_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bulk copy of a header CSV into a typed table (``COPY … WITH (FORMAT
+    csv, HEADER)``): declared schema, FAILFAST on malformed rows, then the
+    table's key and CHECK constraints as a violations report."""
+    from functools import reduce
+
+    from lakemart.operators.quality import duplicate_keys, row_rules
+
+    path = scratch_path(spark, "copy_items_csv")
+    write_csv(b.order_items(spark, sf_dir).select("order_id", "line_no", "product_id", "quantity", "price"), path)
+    items = files.read_csv_typed(spark, path, ITEMS_DDL, header=True, mode="FAILFAST")
+    c = F.col
+    parts = [
+        duplicate_keys(items, "order_items", "pk_order_line", ["order_id", "line_no"]),
+        row_rules(items, "order_items", {
+            "not_null": c("order_id").isNull() | c("product_id").isNull() | c("quantity").isNull()
+            | c("price").isNull(),
+            "check_quantity_positive": c("quantity") <= 0,
+            "check_price_non_negative": c("price") < 0,
+        }),
+    ]
+    return reduce(lambda a, b2: a.unionByName(b2), parts)
