@@ -195,13 +195,23 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
 
-def register_views(spark: SparkSession, sf_dir: str) -> None:
-    """Expose the bound views to ``spark.sql`` under the oracle's names."""
-    users(spark, sf_dir).createOrReplaceTempView("b_users")
-    products(spark, sf_dir).createOrReplaceTempView("b_products")
-    orders(spark, sf_dir).createOrReplaceTempView("b_orders")
-    order_items(spark, sf_dir).createOrReplaceTempView("b_items")
-    events(spark, sf_dir).createOrReplaceTempView("b_events")
+def register_views(spark: SparkSession, sf_dir: str, suffix: str = "") -> dict[str, str]:
+    """Expose the bound views to ``spark.sql`` under the oracle's names
+    (plus ``suffix``, so concurrent jobs over different inputs do not replace
+    each other's views).  Returns the names used."""
+    names = {"b_users": users, "b_products": products, "b_orders": orders, "b_items": order_items,
+             "b_events": events}
+    out = {}
+    for name, view in names.items():
+        view(spark, sf_dir).createOrReplaceTempView(name + suffix)
+        out[name] = name + suffix
+    return out
+
+
+def unique_suffix() -> str:
+    import uuid
+
+    return "_" + uuid.uuid4().hex[:10]
 
 
 # The same views as SQL text for the DuckDB oracle (raw tables are

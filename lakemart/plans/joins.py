@@ -198,12 +198,12 @@ def user_paid_count_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J11 written as SQL with the correlated scalar subquery; Catalyst
     rewrites it into an aggregate and a left outer join (count fixed to 0),
     so no per-row sub-plan runs."""
-    b.register_views(spark, sf_dir)
-    return spark.sql("""
+    v = b.register_views(spark, sf_dir, b.unique_suffix())
+    return spark.sql(f"""
         SELECT u.user_id, u.email,
-               (SELECT COUNT(*) FROM b_orders o WHERE o.user_id = u.user_id AND o.status = 'paid')
+               (SELECT COUNT(*) FROM {v['b_orders']} o WHERE o.user_id = u.user_id AND o.status = 'paid')
                  AS paid_orders_cnt
-        FROM b_users u""")
+        FROM {v['b_users']} u""")
 
 
 @register("events_typed_dict_sql", "J4", oracle="""

@@ -208,12 +208,12 @@ FROM b_items i JOIN b_orders o ON o.order_id = i.order_id WHERE o.status IN ('pa
 """)
 def v_sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A SQL view over the bound views (``CREATE OR REPLACE TEMP VIEW``)."""
-    b.register_views(spark, sf_dir)
-    spark.sql("""
+    v = b.register_views(spark, sf_dir, b.unique_suffix())
+    spark.sql(f"""
         CREATE OR REPLACE TEMP VIEW v_sales_lines AS
         SELECT i.order_id, i.line_no, o.order_date, o.status, i.product_id, i.quantity,
                CAST(i.quantity * i.price AS DOUBLE) AS line_total
-        FROM b_items i JOIN b_orders o ON o.order_id = i.order_id
+        FROM {v['b_items']} i JOIN {v['b_orders']} o ON o.order_id = i.order_id
         WHERE o.status IN ('paid', 'shipped')""")
     return spark.table("v_sales_lines")
 

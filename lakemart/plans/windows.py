@@ -110,11 +110,11 @@ WHERE rn = 1
 def city_top_order_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W1 as SQL (CTE + row_number = 1); the filter on the row number
     becomes a WindowGroupLimit just like the DataFrame form."""
-    b.register_views(spark, sf_dir)
-    return spark.sql("""
+    v = b.register_views(spark, sf_dir, b.unique_suffix())
+    return spark.sql(f"""
         WITH ranked AS (
           SELECT u.city, o.order_id, o.order_date, o.amount,
                  ROW_NUMBER() OVER (PARTITION BY u.city ORDER BY o.amount DESC, o.order_id) AS rn
-          FROM b_orders o JOIN b_users u ON u.user_id = o.user_id
+          FROM {v['b_orders']} o JOIN {v['b_users']} u ON u.user_id = o.user_id
           WHERE o.status = 'paid')
         SELECT city, order_id, order_date, CAST(amount AS DOUBLE) AS amount FROM ranked WHERE rn = 1""")
