@@ -67,7 +67,9 @@ def hot_keys(df: DataFrame, key: str, min_share: float) -> DataFrame:
     """
     total = df.select(F.count(F.lit(1))).scalar()
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    return counts.filter(F.col("__n") >= total * F.lit(min_share)).select(key)
+    # Exact decimal threshold: a key with exactly min_share of the rows qualifies.
+    threshold = total.cast("decimal(38,0)") * F.lit(repr(min_share)).cast("decimal(20,10)")
+    return counts.filter(F.col("__n") >= threshold).select(key)
 
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, salts: int, how: str = "inner",

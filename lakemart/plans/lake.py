@@ -345,3 +345,24 @@ def events_partitioned_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     if len(list_partitions(spark, name)) != days:
         raise RuntimeError(f"{name}: expected one partition per day")
     return spark.table(name)
+
+
+HOT_SHARE = 0.01  # a key holding at least 1 % of the rows is "hot"
+
+
+@register("hot_keys_report", "L14/J13", oracle="""
+, k AS (SELECT CASE WHEN event_id % 10 < 8 THEN 'hot' ELSE 'k' || CAST(user_id AS VARCHAR) END AS skew_key
+        FROM events),
+  c AS (SELECT skew_key, COUNT(*) AS rows_cnt FROM k GROUP BY skew_key)
+SELECT skew_key, rows_cnt, CAST(rows_cnt AS DOUBLE) / CAST((SELECT COUNT(*) FROM k) AS DOUBLE) AS share
+FROM c WHERE rows_cnt >= (SELECT COUNT(*) FROM k) * 0.01
+""")
+def hot_keys_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of the skewed event stream holding at least 1 % of its rows —
+    the groups to split or salt.  At most 100 keys can qualify, so the list
+    is small by construction."""
+    from lakemart.operators.joins import hot_keys
+
+    ev = skewed_events(b.events(spark, sf_dir))
+    hot = F.broadcast(hot_keys(ev, "skew_key", HOT_SHARE))
+    return _key_histogram(ev, "skew_key").join(hot, "skew_key")
