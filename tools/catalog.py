@@ -25,7 +25,7 @@ def main() -> None:
     print("|---|---|---|---|---|")
     for key, spec in sorted(load_all().items(), key=lambda kv: (kv[1].survey_id, kv[0])):
         doc = inspect.getdoc(spec.fn) or ""
-        first = " ".join(doc.split("\n\n")[0].split()) if doc else "–"
+        first = " ".join(doc.split("\n\n")[0].split()).replace("|", "\\|") if doc else "–"
         cols = ", ".join(spec.fn(spark, sf).columns)
         module = spec.fn.__module__.replace("lakemart.", "")
         print(f"| `{key}` | {spec.survey_id} | {first} | {cols} | `{module}` |")
