@@ -45,6 +45,7 @@ def run_layers(spark: SparkSession, sf_dir: str, root: str, run_date: str) -> di
                                 schema="order_id bigint, user_id bigint, status_code string, "
                                        "amount decimal(12,2), order_ts timestamp_ntz")
     ods_orders.upsert_if_changed(stg, ["order_id"])
+    ods_orders.vacuum(keep=2)  # storage stays bounded: current + previous version
     items = b.order_items(spark, sf_dir)
     items.write.mode("overwrite").parquet(f"{root}/ods/order_items")
 
