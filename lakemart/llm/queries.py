@@ -10,6 +10,13 @@ from pyspark.sql import functions as F
 from lakemart.llm.common import read_table
 
 
+def _public(name: str) -> str:
+    """Place of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op8_weak_supervision_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakemart.llm.weak_rules import judge
 
@@ -21,7 +28,30 @@ def op8_weak_supervision_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "good_probability")])
 
 
+def op4_simple8b_token_ids(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    from lakemart.llm import bpe, simple8b
+
+    spec = bpe.tokenizer_from_file(vocabulary or _public("byte_bpe_50k.json"))
+    return simple8b.round_trip(read_table(spark, sf_dir, "documents"), spec)
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    from lakemart.llm import bpe
+
+    spec = bpe.tokenizer_from_ranks(vocabulary or _public("byte_bpe_multi_50k.tiktoken"))
+    return bpe.round_trip_digests(read_table(spark, sf_dir, "documents"), spec)
+
+
+def op9_mixture_packing(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    from lakemart.llm import bpe, packing
+
+    spec = bpe.tokenizer_from_file(vocabulary or _public("byte_bpe_50k.json"))
+    return packing.pack(read_table(spark, sf_dir, "documents"), spec)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_simple8b_token_ids": op4_simple8b_token_ids,
+    "op7_byte_bpe": op7_byte_bpe,
     "op8_weak_supervision_rules": op8_weak_supervision_rules,
 }
 
