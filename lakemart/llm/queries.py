@@ -52,6 +52,7 @@ def op9_mixture_packing(spark: SparkSession, sf_dir: str, vocabulary: str | None
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simple8b_token_ids": op4_simple8b_token_ids,
     "op7_byte_bpe": op7_byte_bpe,
+    "op9_mixture_packing": op9_mixture_packing,
     "op8_weak_supervision_rules": op8_weak_supervision_rules,
 }
 
