@@ -49,9 +49,20 @@ def op9_mixture_packing(spark: SparkSession, sf_dir: str, vocabulary: str | None
     return packing.pack(read_table(spark, sf_dir, "documents"), spec)
 
 
+def op10_secret_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakemart.llm.secret_markov import in_order, scan, span_list
+
+    found = scan(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "secrets.*")
+    base, every = in_order("assign", "access", "hex"), in_order("assign", "access", "hex", "markov")
+    return found.select(
+        "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(span_list(base), 256).alias("base_sha256"), span_list(every).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simple8b_token_ids": op4_simple8b_token_ids,
     "op7_byte_bpe": op7_byte_bpe,
+    "op10_secret_markov": op10_secret_markov,
     "op9_mixture_packing": op9_mixture_packing,
     "op8_weak_supervision_rules": op8_weak_supervision_rules,
 }
