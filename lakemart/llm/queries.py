@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import read_table
+from lakemart.llm.common import fold, read_table
 
 
 def _public(name: str) -> str:
@@ -49,6 +49,15 @@ def op9_mixture_packing(spark: SparkSession, sf_dir: str, vocabulary: str | None
     return packing.pack(read_table(spark, sf_dir, "documents"), spec)
 
 
+def op5_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakemart.llm.ppm import score
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 5) == 1
+    scored = score(docs, ~held_out, keep=["doc_id"])
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op10_secret_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakemart.llm.secret_markov import in_order, scan, span_list
 
@@ -61,6 +70,7 @@ def op10_secret_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simple8b_token_ids": op4_simple8b_token_ids,
+    "op5_ppm_scores": op5_ppm_scores,
     "op7_byte_bpe": op7_byte_bpe,
     "op10_secret_markov": op10_secret_markov,
     "op9_mixture_packing": op9_mixture_packing,
