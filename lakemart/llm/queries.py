@@ -58,6 +58,12 @@ def op5_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakemart.llm.ngram_join import near_duplicates
+
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op10_secret_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakemart.llm.secret_markov import in_order, scan, span_list
 
@@ -71,6 +77,7 @@ def op10_secret_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simple8b_token_ids": op4_simple8b_token_ids,
     "op5_ppm_scores": op5_ppm_scores,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_byte_bpe": op7_byte_bpe,
     "op10_secret_markov": op10_secret_markov,
     "op9_mixture_packing": op9_mixture_packing,
