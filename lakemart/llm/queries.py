@@ -28,6 +28,12 @@ def op8_weak_supervision_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "good_probability")])
 
 
+def op1_grid_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakemart.llm.grid_join import near_vectors
+
+    return near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op4_simple8b_token_ids(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
     from lakemart.llm import bpe, simple8b
 
@@ -75,6 +81,7 @@ def op10_secret_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_grid_order_join": op1_grid_order_join,
     "op4_simple8b_token_ids": op4_simple8b_token_ids,
     "op5_ppm_scores": op5_ppm_scores,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
