@@ -34,6 +34,15 @@ def op1_grid_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(read_table(spark, sf_dir, "embeddings"))
 
 
+def op2_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakemart.llm.langid_crf import identify, train
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    found = identify(docs, train(docs, ~held_out), keep=["doc_id"])
+    return found.select("doc_id", held_out.alias("held_out"), "language.lang_pred", "language.score", "language.n_switched")
+
+
 def op4_simple8b_token_ids(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
     from lakemart.llm import bpe, simple8b
 
@@ -82,6 +91,7 @@ def op10_secret_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_grid_order_join": op1_grid_order_join,
+    "op2_crf_language": op2_crf_language,
     "op4_simple8b_token_ids": op4_simple8b_token_ids,
     "op5_ppm_scores": op5_ppm_scores,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
