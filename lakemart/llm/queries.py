@@ -43,6 +43,17 @@ def op2_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "language.lang_pred", "language.score", "language.n_switched")
 
 
+def op3_latent_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakemart.llm.quality_knn import classify, train
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    model = train(docs, read_table(spark, sf_dir, "labels"), ~held_out)
+    return classify(docs, model, keep=["doc_id"]).select(
+        "doc_id", held_out.alias("held_out"), F.col("quality_score").alias("score"),
+        F.when(F.col("quality_score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
 def op4_simple8b_token_ids(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
     from lakemart.llm import bpe, simple8b
 
@@ -92,6 +103,7 @@ def op10_secret_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_grid_order_join": op1_grid_order_join,
     "op2_crf_language": op2_crf_language,
+    "op3_latent_neighbours": op3_latent_neighbours,
     "op4_simple8b_token_ids": op4_simple8b_token_ids,
     "op5_ppm_scores": op5_ppm_scores,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,

@@ -57,7 +57,7 @@ def _dup_lines(text: str) -> int:
     return len(inked) - len(set(inked))
 
 
-def _repeats(h: np.ndarray, docs: np.ndarray, offs: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+def repeats(h: np.ndarray, docs: np.ndarray, offs: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Words inside windows of ``width`` words found twice or more in their
     document, and the number of distinct words, per document."""
     n_docs = len(offs) - 1
@@ -97,7 +97,7 @@ def count_batch(texts: pa.Array) -> np.ndarray:
         np.cumsum(letter, out=total[1:])
         lettered = total[ends] - total[starts]
         shout = b[ends - 1] == ord("!") if len(ends) else np.zeros(0, bool)
-        repeat, distinct = _repeats(tb.hash_spans(b, starts, ends), docs, woff, 3)
+        repeat, distinct = repeats(tb.hash_spans(b, starts, ends), docs, woff, 3)
         strings = part.to_pylist()
         cols = [np.diff(woff), tb.count_per_doc(lead & ~blank, off), tb.count_per_doc(_SYMBOL[b], off),
                 np.array([_dup_lines(s) if s else 0 for s in strings], dtype=np.int64), repeat,
