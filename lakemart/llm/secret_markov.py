@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import free_name
+from lakemart.llm.common import free_name, hash_spread
 
 # The patterns of the base scan.  An access or hex match is a
 # whole run of its characters, so the least length can stand in the pattern;
@@ -139,8 +139,9 @@ def train(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Ra
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.select(base_spans(text).alias("b"))
     secrets = base.select(F.explode(F.concat("b.assign.value", "b.access.value", "b.hex.value")).alias("word"))
-    sample = (docs.select(text.alias("t"), F.xxhash64(F.col(id_col), F.char_length(text)).alias("h"))
-              .orderBy("h").limit(ORDINARY_DOCS))
+    rows = docs.select(F.col(id_col).alias("i"), text.alias("t"), F.lit(0).alias("all"))
+    # ORDINARY_DOCS ids: a table of bounded size.
+    sample = rows.join(F.broadcast(hash_spread(rows.select("i", "all"), "i", "all", ORDINARY_DOCS)), ["i", "all"])
     for pattern in (ASSIGN, ACCESS, HEX):
         sample = sample.withColumn("t", F.regexp_replace("t", F.lit(pattern), F.lit(" ")))
     words = sample.select(F.explode(F.regexp_extract_all("t", F.lit(WORD), F.lit(0))).alias("word"))
