@@ -72,7 +72,9 @@ def unit_rows(vectors: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
 
 def principal_axes(entities: DataFrame, width: int) -> np.ndarray:
     """All axes of a bounded sample, most variance first (columns)."""
-    sample = entities.select("vector", F.xxhash64("vector").alias("h")).orderBy("h").limit(FIT_VECTORS).toArrow()
+    h = F.xxhash64("vector")
+    sample = entities.groupBy(F.pmod(h, F.lit(FIT_VECTORS)).alias("b")).agg(
+        F.min_by("vector", h).alias("vector")).orderBy("b").toArrow()
     if not sample.num_rows:
         return np.eye(width)
     x = unit_rows(sample["vector"], width)
