@@ -221,14 +221,14 @@ def judge(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RUL
     The counted rows are staged once: the vote model and the verdicts read
     the same counts.
     """
-    name = free_name(docs, "quality")
-    counted = staged(with_counts(docs, text_col, name, keep), "quality-counts")
-    pattern = vote_pattern(F.col(name), rules)
-    found = {r[0]: r[1] for r in counted.groupBy(pattern.alias("p")).count().collect()}
+    name, votes = free_name(docs, "quality"), free_name(docs, "votes")
+    counted = with_counts(docs, text_col, name, keep)
+    counted = staged(counted.withColumn(votes, vote_pattern(F.col(name), rules)), "quality-counts")
+    found = {r[0]: r[1] for r in counted.groupBy(votes).count().collect()}   # at most 3 ** len(rules) rows
     model = fit_votes(found, len(rules))
     c = F.col(name)
     failed = (c["n_words"] < MIN_WORDS) | (c["n_repeat_words"] * 100 > c["n_words"] * 50)
-    probability = model.good_probability(pattern)
+    probability = model.good_probability(F.col(votes))
     return counted.withColumn(name, F.struct(
         *[c[f].alias(f) for f in COUNT_FIELDS], failed.alias("base_failed"),
-        probability.alias("good_probability"), (~failed & (probability >= threshold)).alias("kept")))
+        probability.alias("good_probability"), (~failed & (probability >= threshold)).alias("kept"))).drop(votes)
