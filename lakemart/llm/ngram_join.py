@@ -23,7 +23,8 @@ At scale the lists live in Spark:
        First each entity meets the most typical member of its lists (few
        shingles of its own: an original rather than its edited copies).  Then
        lists whose entities still lie in different components say which blocks
-       must meet; a pair of blocks meets once, whatever number of lists ask.
+       must meet: those that share enough lists to hold a link.  A pair of
+       blocks meets once.
        Blocks return a spanning forest of the links found, never all pairs.
     5. Links become components by star contraction.
 
@@ -141,8 +142,8 @@ def bucket_ranks(buckets: DataFrame) -> np.ndarray:
 
 
 def listed(docs: DataFrame, text_col: str, ranks) -> DataFrame:
-    """(shingle, entity, unlisted size) of the first shingles of every text,
-    once per entity and task."""
+    """(shingle, entity, n) of the first shingles of every text of ``n``
+    shingles, once per entity and batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = ranks.value
@@ -165,9 +166,9 @@ def listed(docs: DataFrame, text_col: str, ranks) -> DataFrame:
                 take = nth < prefix_size(sizes[owner])
                 yield pa.RecordBatch.from_arrays([
                     pa.array(keys[take].view(np.int64)), pa.array(entity[owner[take]]),
-                    pa.array(prefix_size(sizes[owner[take]]).astype(np.int32))], names=["shingle", "entity", "listed"])
+                    pa.array(sizes[owner[take]].astype(np.int32))], names=["shingle", "entity", "n"])
 
-    return docs.select(text_col).mapInArrow(run, "shingle long, entity long, listed int")
+    return docs.select(text_col).mapInArrow(run, "shingle long, entity long, n int")
 
 
 def entity_texts(docs: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame:
@@ -295,10 +296,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     postings = listed(docs, text_col, ranks)
     lists = postings.groupBy("shingle").agg(F.min("entity").alias("lo"), F.max("entity").alias("hi")).filter("lo <> hi")
     shared = staged(postings.join(lists.select("shingle"), "shingle").groupBy("shingle", "entity").agg(
-        F.max("listed").alias("listed")), "ngram-lists")
+        F.max("n").alias("n")), "ngram-lists")
+    unlisted = F.floor((4 * F.col("n") + 4) / 5) - 1      # n - prefix_size(n)
 
     # The most typical entity of each list, and of all lists of an entity.
-    own = shared.groupBy("entity").agg((F.max("listed") - F.count("shingle")).alias("own"))
+    own = shared.groupBy("entity").agg((F.max(F.col("n") - unlisted) - F.count("shingle")).alias("own"))
     centre = (shared.join(own, "entity").groupBy("shingle").agg(F.min(F.struct("own", "entity")).alias("centre")))
     hubs = staged(shared.join(centre, "shingle").groupBy("entity").agg(F.min("centre").alias("centre"))
                   .select("entity", F.col("centre.entity").alias("hub")), "ngram-hubs")
@@ -318,15 +320,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     state = placed.join(found.withColumnRenamed("node", "entity"), "entity", "left").select(
         "entity", F.struct("hub", "part").alias("block"), F.coalesce("component", "entity").alias("component"))
     state = staged(state, "ngram-state")
-    at = shared.select("shingle", "entity").join(state, "entity")
+    at = shared.join(state, "entity")
     mixed = at.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
     blocks = staged(at.join(mixed.select("shingle"), "shingle").groupBy("shingle", "block").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi")), "ngram-mixed")
+    sizes = staged(at.groupBy("block").agg(F.min("n").alias("least"), F.max("n").alias("most"),
+                                           F.max(unlisted).alias("unlisted")), "ngram-sizes")
     x, y = blocks.alias("x"), blocks.alias("y")
     differs = ((F.col("x.lo") != F.col("y.lo")) | (F.col("x.hi") != F.col("y.hi")) | (F.col("x.lo") != F.col("x.hi")))
-    meet = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.block") < F.col("y.block")) & differs).select(
-        F.struct(F.col("x.block").alias("x"), F.col("y.block").alias("y")).alias("block")).distinct()
-    meet = staged(meet, "ngram-meet")
+    meet = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.block") < F.col("y.block")) & differs).groupBy(
+        F.col("x.block").alias("x"), F.col("y.block").alias("y")).agg(F.count("*").alias("lists"))
+    # The occurrence bound of T-occurrence search, for the best pair of two
+    # blocks: listed shingles they share, and all that one leaves unlisted.
+    a = sizes.select(F.col("block").alias("x"), *[F.col(c).alias(f"x_{c}") for c in ("least", "most", "unlisted")])
+    b = sizes.select(F.col("block").alias("y"), *[F.col(c).alias(f"y_{c}") for c in ("least", "most", "unlisted")])
+    enough = (F.col("lists") + F.greatest("x_unlisted", "y_unlisted")) * 9 >= (F.col("x_least") + F.col("y_least")) * 4
+    alike = (F.col("x_most") * 5 >= F.col("y_least") * 4) & (F.col("y_most") * 5 >= F.col("x_least") * 4)
+    meet = staged(meet.join(a, "x").join(b, "y").filter(enough & alike).select(F.struct("x", "y").alias("block")), "ngram-meet")
     sides = meet.select("block", F.explode(F.array("block.x", "block.y")).alias("side"))
     second = search_blocks(sides.join(state.select(F.col("block").alias("side"), "entity", "component"), "side")
                            .join(texts, "entity"))

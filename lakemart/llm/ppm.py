@@ -21,9 +21,9 @@ How it runs
     2. The trie goes to every task.  It must fit MAX_TRIE entries: the order is
        the largest up to ORDER that does (order 1 always does), so its size has
        a bound whatever the corpus.
-    3. A second scan scores the texts.  Counts of frequent words (MAX_FREQUENT
-       at most, by a count threshold) go along; the words of a text that are
-       rarer than the threshold are joined to their counts by a shuffle.
+    3. A second scan scores the texts.  Counts of frequent words go along: those
+       that are at least one in MAX_FREQUENT of all tokens, hence at most so
+       many.  All other words of a text are joined to their counts by a shuffle.
 
 Words are told apart by 64-bit hashes, byte strings exactly.
 
@@ -50,7 +50,7 @@ from lakemart.llm.common import staged
 
 ORDER = 5
 MAX_TRIE = 6_000_000
-MAX_FREQUENT = 1_500_000
+MAX_FREQUENT = 4_000_000
 FLUSH = 2_000_000       # distinct keys a task holds before it hands them on
 
 END, START = 0xFF, 0xFE          # bytes that no UTF-8 text holds
@@ -237,27 +237,18 @@ def train_trie(counts: DataFrame, order: int) -> Trie:
     return Trie(codes[by], table["n"].to_numpy()[by], k)
 
 
-def count_step() -> Column:
-    """Counts in steps of a quarter of a doubling."""
-    return F.floor(F.log2("n") * 4).cast("int")
+def is_frequent(total: int) -> Column:
+    """Whether a count is so large a part of ``total`` that at most
+    MAX_FREQUENT words can have it."""
+    return F.col("n") * MAX_FREQUENT >= total
 
 
-def frequent_words(words: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
-    """A count threshold that at most MAX_FREQUENT words reach, and those
-    words' keys (sorted) and counts."""
-    step = count_step()
-    left, floor = MAX_FREQUENT, None
-    for r in words.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():   # some 250 rows at most
-        left -= r["count"]
-        if left < 0:
-            break
-        floor = r["step"]
-    if floor is None:
-        return 1 << 30, np.zeros(0, np.int64), np.zeros(0, np.int64)
-    table = words.filter(step >= floor).select("key", "n").toArrow()
+def frequent_words(words: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys (ascending) and counts of the frequent words."""
+    table = words.filter(is_frequent(total)).select("key", "n").toArrow()
     keys, n = table["key"].to_numpy(), table["n"].to_numpy()
     by = np.argsort(keys)
-    return floor, keys[by], n[by]
+    return keys[by], n[by]
 
 
 SCORE_TYPE = T.StructType([
@@ -277,7 +268,7 @@ def score(docs: DataFrame, train: Column, keep: list[str], text_col: str = "text
         F.sum("n").alias("tokens"), F.count("n").alias("types"),
         F.sum(F.when(F.col("kind") == END_KEY, F.col("n"))).alias("ends")).first()
     total, types, ends = sums["tokens"] or 0, sums["types"], sums["ends"] or 0
-    floor, keys, n = frequent_words(words)
+    keys, n = frequent_words(words, total)
     model = spark.sparkContext.broadcast((train_trie(counts, order), keys, np.log10(n + 0.5)))
 
     at = [docs.columns.index(c) for c in keep]
@@ -322,7 +313,7 @@ def score(docs: DataFrame, train: Column, keep: list[str], text_col: str = "text
     scored = staged(docs.mapInArrow(run, schema), "ppm-scores")
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("w")).select(
         "row", F.col("w.rare").alias("key"), F.col("w.rare_n").alias("times"))
-    more = (rare.join(words.filter(count_step() < floor).select("key", "n"), "key")
+    more = (rare.join(words.filter(~is_frequent(total)).select("key", "n"), "key")
             .groupBy("row").agg(F.sum("times").alias("times"), F.sum(F.col("times") * F.log10(F.col("n") + 0.5)).alias("logs")))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     n_rare = F.aggregate("rare_n", F.lit(0), lambda a, x: a + x)
