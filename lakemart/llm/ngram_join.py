@@ -20,8 +20,9 @@ At scale the lists live in Spark:
     3. Lists of one entity are dropped; lists are never gathered: they are
        aggregated and joined, so a list may hold any share of the entities.
     4. Blocks of at most some BLOCK entities are searched (numpy, DivideSkip).
-       First each entity meets the most typical member of its lists (few
-       shingles of its own: an original rather than its edited copies).  Then
+       First each entity meets those that share the most typical member of
+       their lists (few shingles of its own: an original rather than its edited
+       copies) and are of its size, and that member.  Then
        lists whose entities still lie in different components say which blocks
        must meet: those that share enough lists to hold a link.  A pair of
        blocks meets once.
@@ -57,6 +58,8 @@ WIDTH = 5
 BUCKET_BITS = 18
 BITMAP_BITS = 26
 BLOCK = 128
+BAND = 1.05          # sizes of a block's entities differ by this factor at most
+BANDS_APART = 5      # bands that similar sets may lie apart: 1.05 ** 5 > 1 / 0.8
 
 _TOP = np.uint64(64 - BUCKET_BITS)
 
@@ -301,24 +304,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # The most typical entity of each list, and of all lists of an entity.
     own = shared.groupBy("entity").agg((F.max(F.col("n") - unlisted) - F.count("shingle")).alias("own"))
+    band = F.floor(F.log("n") / float(np.log(BAND))).cast("int")
     centre = (shared.join(own, "entity").groupBy("shingle").agg(F.min(F.struct("own", "entity")).alias("centre")))
-    hubs = staged(shared.join(centre, "shingle").groupBy("entity").agg(F.min("centre").alias("centre"))
-                  .select("entity", F.col("centre.entity").alias("hub")), "ngram-hubs")
+    hubs = staged(shared.join(centre, "shingle").groupBy("entity").agg(F.min("centre").alias("centre"), F.max("n").alias("n"))
+                  .select("entity", F.col("centre.entity").alias("hub"), band.alias("band")), "ngram-hubs")
     texts = staged(entity_texts(docs, text_col, hubs), "ngram-texts")
 
     # Round 1: each entity with its hub, in parts of about BLOCK.
-    parts = hubs.groupBy("hub").agg(F.ceil(F.count("entity") / BLOCK).alias("parts"))
-    placed = hubs.join(parts, "hub").select("entity", "hub", F.expr("pmod(xxhash64(entity), parts)").alias("part"), "parts")
-    placed = staged(placed, "ngram-placed")
-    with_hub = placed.select("hub", "part", "entity").unionByName(
-        placed.select("hub", "part", F.col("hub").alias("entity"))).distinct()
+    parts = hubs.groupBy("hub", "band").agg(F.ceil(F.count("entity") / BLOCK).alias("parts"))
+    placed = staged(hubs.join(parts, ["hub", "band"]).select(
+        "entity", "band", F.struct("band", "hub", F.expr("pmod(xxhash64(entity), parts)").alias("part")).alias("block")),
+        "ngram-placed")
+    # A hub visits the blocks whose sizes are near its own.
+    visits = placed.select("block").distinct().join(
+        hubs.select(F.col("entity").alias("hub"), F.col("band").alias("own_band")), F.col("block.hub") == F.col("hub")).filter(
+        F.abs(F.col("own_band") - F.col("block.band")) <= BANDS_APART + 1)
+    with_hub = placed.select("block", "entity").unionByName(visits.select("block", F.col("hub").alias("entity"))).distinct()
     first = staged(search_blocks(with_hub.join(texts, "entity").select(
-        F.struct("hub", "part").alias("block"), "entity", F.col("entity").alias("component"), "text")), "ngram-links")
+        "block", "entity", F.col("entity").alias("component"), "text")), "ngram-links")
     found = staged(components(first, "a", "b"), "ngram-components")
 
     # Round 2: blocks that lists with several components bring together.
     state = placed.join(found.withColumnRenamed("node", "entity"), "entity", "left").select(
-        "entity", F.struct("hub", "part").alias("block"), F.coalesce("component", "entity").alias("component"))
+        "entity", "block", F.coalesce("component", "entity").alias("component"))
     state = staged(state, "ngram-state")
     at = shared.join(state, "entity")
     mixed = at.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
@@ -328,7 +336,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                            F.max(unlisted).alias("unlisted")), "ngram-sizes")
     x, y = blocks.alias("x"), blocks.alias("y")
     differs = ((F.col("x.lo") != F.col("y.lo")) | (F.col("x.hi") != F.col("y.hi")) | (F.col("x.lo") != F.col("x.hi")))
-    meet = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.block") < F.col("y.block")) & differs).groupBy(
+    near = F.abs(F.col("x.block.band") - F.col("y.block.band")) <= BANDS_APART + 1
+    meet = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.block") < F.col("y.block")) & near & differs).groupBy(
         F.col("x.block").alias("x"), F.col("y.block").alias("y")).agg(F.count("*").alias("lists"))
     # The occurrence bound of T-occurrence search, for the best pair of two
     # blocks: listed shingles they share, and all that one leaves unlisted.
