@@ -88,7 +88,7 @@ def dense_ids(keys: DataFrame, key: str, id_col: str, start: int | F.Column = 1)
         (F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)))
         .alias("__off"))
     base = start if isinstance(start, F.Column) else F.lit(start)
-    return (numbered.join(F.broadcast(offsets), "__pid")
+    return (numbered.join(offsets, "__pid")
             .select(key, (F.coalesce(F.col("__off"), F.lit(0)) + F.col("__pos") + base)
                     .cast("bigint").alias(id_col)))
 

@@ -13,6 +13,9 @@ half-apply:
   first (which cuts the read-while-overwrite loop), then swapped in with a
   dynamic partition overwrite.
 
+A batch is written once to a staging folder beside the table, which is removed
+when the load ends.
+
 First-row-wins and latest-version picks always use a total order (the given
 order columns, then every column) so results do not depend on task order.
 """
@@ -20,6 +23,8 @@ order columns, then every column) so results do not depend on task order.
 from __future__ import annotations
 
 import re
+import uuid
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -106,6 +111,41 @@ class DuplicateKeyError(ValueError):
     pass
 
 
+class UnknownColumnError(ValueError):
+    pass
+
+
+def rows_without_keys(df: DataFrame, others: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``df`` whose key is not among ``others``; NULL equals NULL."""
+    names = [f"__key{i}" for i in range(len(keys))]
+    right = others.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+    same = reduce(lambda a, c: a & c, [df[k].eqNullSafe(right[n]) for k, n in zip(keys, names)])
+    return df.join(right, same, "left_anti")
+
+
+def reject_unknown_columns(batch: DataFrame, columns: list[str]) -> None:
+    unknown = [c for c in batch.columns if c not in columns]
+    if unknown:
+        raise UnknownColumnError(f"the table has no columns {unknown}")
+
+
+def reject_duplicate_keys(batch: DataFrame, keys: list[str]) -> None:
+    if not batch.groupBy(*keys).count().filter(F.col("count") > 1).isEmpty():
+        raise DuplicateKeyError(f"batch has duplicate keys {keys}")
+
+
+@contextmanager
+def written_once(batch: DataFrame, path: str):
+    """``batch`` written to ``path`` and read back for the time of a load, so
+    its plan runs once however often the load reads it."""
+    spark = batch.sparkSession
+    batch.write.mode("overwrite").parquet(path)
+    try:
+        yield spark.read.schema(batch.schema).parquet(path)
+    finally:
+        delete_path(spark, path)
+
+
 class VersionedTable:
     """A keyed Parquet table kept as copy-on-write versions under ``root``.
 
@@ -113,7 +153,7 @@ class VersionedTable:
     readers always see the last complete version.
     """
 
-    _V = re.compile(r"^v=(\d{6})$")
+    _V = re.compile(r"^v=(\d+)$")
 
     def __init__(self, spark: SparkSession, root: str, schema=None):
         """``schema`` (DDL text or StructType) is used before the first version."""
@@ -159,39 +199,42 @@ class VersionedTable:
         """L1: ``INSERT … SELECT DISTINCT … ON CONFLICT (keys) DO NOTHING``.
 
         Returns the number of rows inserted (0 → no new version).  The first
-        row per key inside the batch wins under ``order`` + all columns.
+        row per key inside the batch wins under ``order`` + all columns.  A
+        NULL key matches a NULL key; a column the table lacks is rejected.
         """
         current = self.read()
+        reject_unknown_columns(batch, current.columns)
         fresh = first_per_key(batch.select(*current.columns), keys, order)
-        new_rows = fresh.join(current.select(*keys), keys, "left_anti")
-        if new_rows.isEmpty():
-            return 0
-        before = current.count()  # Parquet footers: no data scan
-        v = self.commit(current.unionByName(new_rows))
-        return self.read(v).count() - before
+        with written_once(rows_without_keys(fresh, current, keys), self._staging()) as new_rows:
+            inserted = new_rows.count()  # Parquet footers: no data scan
+            if inserted:
+                self.commit(current.unionByName(new_rows))
+        return inserted
 
     def upsert(self, batch: DataFrame, keys: list[str], order: list[Column] | None = None) -> int:
         """L3/L4: ``ON CONFLICT (keys) DO UPDATE SET all = EXCLUDED``.
 
         Empty batch → no-op.  Duplicate keys inside the batch are rejected
-        unless ``order`` says which row wins (the last under ``order``).
+        unless ``order`` says which row wins (the last under ``order``).  A
+        NULL key matches a NULL key; a column the table lacks is rejected.
         """
         if self.current_version() == 0 and self.schema is None:
             current = self.spark.createDataFrame([], batch.schema)  # first load: columns from the batch
         else:
             current = self.read()
-        batch = batch.select(*current.columns)
-        if batch.isEmpty():
-            return self.current_version()
-        if order is None:
-            dup = batch.groupBy(*keys).count().filter(F.col("count") > 1)
-            if not dup.isEmpty():
-                raise DuplicateKeyError(f"batch has duplicate keys {keys}; pass an order")
-        else:
-            batch = latest_per_key(batch.select(*[o.alias(f"__v{i}") for i, o in enumerate(order)], *batch.columns),
-                                   keys, [f"__v{i}" for i in range(len(order))]).select(*current.columns)
-        kept = current.join(batch.select(*keys), keys, "left_anti")
-        return self.commit(kept.unionByName(batch))
+        reject_unknown_columns(batch, current.columns)
+        if order is not None:
+            batch = latest_per_key(batch.select(*[o.alias(f"__v{i}") for i, o in enumerate(order)], *current.columns),
+                                   keys, [f"__v{i}" for i in range(len(order))])
+        with written_once(batch.select(*current.columns), self._staging()) as rows:
+            if rows.isEmpty():
+                return self.current_version()
+            if order is None:
+                reject_duplicate_keys(rows, keys)
+            return self.commit(rows_without_keys(current, rows, keys).unionByName(rows))
+
+    def _staging(self) -> str:
+        return f"{self.root}/_staging-{uuid.uuid4().hex[:12]}"
 
     def vacuum(self, keep: int = 2) -> list[int]:
         """Delete complete versions older than the newest ``keep`` (readers
@@ -229,66 +272,28 @@ def load_df(spark: SparkSession, df: DataFrame, table_root: str, conflict_column
 
 
 class SummingTable:
-    """L8 (SummingMergeTree): rows with the same key add up.
+    """An additive rollup: rows with the same key add up.
 
-    Each delta is appended as its own numbered part ``deltas/seq=N``;
-    ``compact`` writes the summed rows as ``base/upto=N``.  A read sums the
-    newest complete base and the deltas after it, so reads before and after
-    compaction give the same answer, and nothing is ever renamed.  Inserting
-    the same delta twice doubles it (summing-table semantics).
+    Every batch is appended as plain Parquet under ``batch_id=<id>``; reading
+    is a grouped sum.  Writing a batch id again replaces that batch, so a
+    replayed batch counts once.
     """
 
-    _SEQ = re.compile(r"^seq=(\d{6})$")
-    _UPTO = re.compile(r"^upto=(\d{6})$")
-
     def __init__(self, spark: SparkSession, root: str, keys: list[str], measures: list[str]):
         self.spark, self.root = spark, root.rstrip("/")
         self.keys, self.measures = keys, measures
 
-    def _complete(self, sub: str, pattern) -> list[int]:
-        out = []
-        for name in list_dirs(self.spark, f"{self.root}/{sub}"):
-            m = pattern.match(name)
-            if m and path_exists(self.spark, f"{self.root}/{sub}/{name}/_SUCCESS"):
-                out.append(int(m.group(1)))
-        return sorted(out)
+    def _summed(self, rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*self.keys).agg(*[F.sum(m).alias(m) for m in self.measures])
 
-    def add(self, delta: DataFrame) -> int:
-        seqs = self._complete("deltas", self._SEQ)
-        nxt = (seqs[-1] if seqs else 0) + 1
-        delta.select(*self.keys, *self.measures).write.mode("overwrite").parquet(
-            f"{self.root}/deltas/seq={nxt:06d}")
-        return nxt
+    def add(self, batch: DataFrame, batch_id: str | int | None = None) -> str:
+        """Append a batch, summed by key; returns its id (a fresh one by default)."""
+        name = uuid.uuid4().hex if batch_id is None else str(batch_id)
+        self._summed(batch).write.mode("overwrite").parquet(f"{self.root}/batch_id={name}")
+        return name
 
     def read_summed(self) -> DataFrame:
-        bases = self._complete("base", self._UPTO)
-        upto = bases[-1] if bases else 0
-        paths = [f"{self.root}/base/upto={upto:06d}"] if upto else []
-        paths += [f"{self.root}/deltas/seq={s:06d}" for s in self._complete("deltas", self._SEQ) if s > upto]
-        if not paths:
-            raise ValueError(f"{self.root} holds no rows yet")
-        parts = self.spark.read.parquet(*paths)
-        return parts.groupBy(*self.keys).agg(*[F.sum(m).alias(m) for m in self.measures])
-
-    def compact(self) -> int:
-        seqs = self._complete("deltas", self._SEQ)
-        if not seqs:
-            return 0
-        self.read_summed().write.mode("overwrite").parquet(f"{self.root}/base/upto={seqs[-1]:06d}")
-        return seqs[-1]
-
-    def vacuum(self) -> int:
-        """Delete deltas and bases already folded into the newest complete
-        base.  Returns how many parts were deleted."""
-        bases = self._complete("base", self._UPTO)
-        if not bases:
-            return 0
-        upto = bases[-1]
-        gone = [f"{self.root}/deltas/seq={s:06d}" for s in self._complete("deltas", self._SEQ) if s <= upto]
-        gone += [f"{self.root}/base/upto={b:06d}" for b in bases[:-1]]
-        for path in gone:
-            delete_path(self.spark, path)
-        return len(gone)
+        return self._summed(self.spark.read.parquet(self.root).select(*self.keys, *self.measures))
 
 
 def load_dimension(t: VersionedTable, batch: DataFrame, natural_key: list[str], id_col: str,
@@ -302,72 +307,61 @@ def load_dimension(t: VersionedTable, batch: DataFrame, natural_key: list[str],
 
     current = t.read()
     fresh = first_per_key(batch.select(*natural_key, *attrs), natural_key)
-    new = fresh.join(current.select(*natural_key), natural_key, "left_anti")
-    n = new.count()
-    if n == 0:
-        return 0
-    key = natural_key[0] if len(natural_key) == 1 else "__nk"
-    keyed = new if len(natural_key) == 1 else new.withColumn("__nk", F.struct(*natural_key))
-    start = current.select(F.coalesce(F.max(id_col), F.lit(0)) + 1).scalar()
-    ids = dense_ids(keyed, key, id_col, start=start)
-    rows = keyed.join(ids, key).select(*current.columns)
-    t.commit(current.unionByName(rows))
+    with written_once(rows_without_keys(fresh, current, natural_key), t._staging()) as new:  # noqa: SLF001
+        n = new.count()
+        if n == 0:
+            return 0
+        # A struct key holds NULL parts without being NULL itself.
+        keyed = new.withColumn("__nk", F.struct(*natural_key))
+        start = current.select(F.coalesce(F.max(id_col), F.lit(0)) + 1).scalar()
+        ids = dense_ids(keyed, "__nk", id_col, start=start)
+        rows = keyed.join(ids, keyed["__nk"].eqNullSafe(ids["__nk"])).select(*[keyed[c] if c in keyed.columns else ids[c]
+                                                                             for c in current.columns])
+        t.commit(current.unionByName(rows))
     return n
 
 
-# A batch touching more partitions than this is matched with a semi join
-# (exact, but every partition is listed) instead of a static partition filter.
-MAX_STATIC_PARTITIONS = 10_000
+def touched_partitions(target: DataFrame, batch: DataFrame, partition_cols: list[str]) -> DataFrame:
+    """Rows of ``target`` in the partitions that ``batch`` touches.
 
-
-def _touched_partitions(batch: DataFrame, partition_cols: list[str]) -> Column | None:
-    """Static predicate selecting the partitions a batch touches.
-
-    The distinct partition values of the batch (directory names: bounded
-    metadata, read with a limit) become a filter the scan turns into
-    ``PartitionFilters``, so only those directories are listed and read.
-    Returns None beyond ``MAX_STATIC_PARTITIONS`` values.
+    One row of bounds becomes a static partition filter; inside them a semi
+    join on the partition columns prunes at run time (dynamic partition
+    pruning).  The plan is the same for any number of partitions.
     """
-    values = batch.select(*partition_cols).distinct().limit(MAX_STATIC_PARTITIONS + 1).collect()
-    if len(values) > MAX_STATIC_PARTITIONS:
-        return None
-    if len(partition_cols) == 1:
-        return F.col(partition_cols[0]).isin([r[0] for r in values])
-    cond = F.lit(False)
-    for r in values:
-        match = F.lit(True)
-        for c in partition_cols:
-            match = match & (F.col(c) == F.lit(r[c]))
-        cond = cond | match
-    return cond
+    bounds = batch.agg(*[f(c).alias(f"{n}_{c}") for c in partition_cols for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    between = reduce(lambda a, c: a & c, [F.col(c).between(bounds[f"lo_{c}"], bounds[f"hi_{c}"]) for c in partition_cols])
+    return target.filter(between).join(batch.filter(between).select(*partition_cols).distinct(), partition_cols, "left_semi")
 
 
 def upsert_partitioned(spark: SparkSession, table_path: str, batch: DataFrame, keys: list[str],
                        partition_cols: list[str], staging_path: str) -> None:
     """Partition-scoped upsert into a directory-partitioned Parquet table.
 
-    Only partitions present in the batch are listed and read (a static
-    partition filter built from the batch's partition values), merged
-    (target rows without a batch key + batch rows), staged to
-    ``staging_path`` and swapped in with a dynamic partition overwrite; other
-    partitions are not touched.
-    Partition columns must be part of the key.
+    Only partitions present in the batch are listed and read, merged (target
+    rows without a batch key + batch rows), staged under ``staging_path`` and
+    swapped in with a dynamic partition overwrite; other partitions are not
+    touched.  Partition columns must be part of the key and not NULL;
+    duplicate keys in the batch and columns the table lacks are rejected; a
+    NULL in another key column matches NULL.
     """
     if not set(partition_cols) <= set(keys):
         raise ValueError("partition columns must be part of the key")
-    if path_exists(spark, table_path):
-        target = spark.read.parquet(table_path)
-        touched = _touched_partitions(batch, partition_cols)
-        affected = (target.filter(touched) if touched is not None
-                    else target.join(batch.select(*partition_cols).distinct(), partition_cols, "left_semi"))
-        merged = affected.join(batch.select(*keys), keys, "left_anti").unionByName(
-            batch.select(*affected.columns))
-    else:
-        merged = batch
-    merged.write.mode("overwrite").parquet(staging_path)
-    staged = spark.read.parquet(staging_path)
-    (staged.hint("rebalance", *partition_cols).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(table_path))
+    with written_once(batch, f"{staging_path.rstrip('/')}/batch") as rows:
+        no_partition = reduce(lambda a, c: a | c, [F.col(c).isNull() for c in partition_cols])
+        if not rows.filter(no_partition).isEmpty():
+            raise ValueError(f"NULL in the partition columns {partition_cols}")
+        reject_duplicate_keys(rows, keys)
+        if rows.isEmpty():
+            return
+        merged = rows
+        if path_exists(spark, table_path):
+            target = spark.read.parquet(table_path)
+            reject_unknown_columns(rows, target.columns)
+            affected = touched_partitions(target, rows, partition_cols)
+            merged = rows_without_keys(affected, rows, keys).unionByName(rows.select(*target.columns))
+        with written_once(merged, f"{staging_path.rstrip('/')}/merged") as staged:
+            (staged.hint("rebalance", *partition_cols).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(table_path))
 
 
 def route_by_ranges(df: DataFrame, date_col: str, ranges: DataFrame, label_col: str = "partition_name",

@@ -7,9 +7,9 @@ classpath) and ``writeStream`` with a checkpoint in the shared folder.
 scheduled job can restart from its checkpoint without reprocessing.
 
 Keyed sinks use ``foreachBatch``: each micro-batch is applied with the
-idempotent loads of ``operators.loads``; additive sinks name their delta by
-the batch id, so a batch replayed after a failure overwrites its own delta
-instead of adding it twice.
+idempotent loads of ``operators.loads``; additive sinks append under the batch
+id, so a batch replayed after a failure replaces itself instead of adding up
+twice.
 """
 
 from __future__ import annotations
@@ -99,11 +99,6 @@ def insert_if_absent_stream(df: DataFrame, table: VersionedTable, keys: list[str
 
 
 def rollup_stream(df: DataFrame, table: SummingTable, checkpoint: str) -> StreamingQuery:
-    """ST2 for additive tables: the micro-batch is pre-aggregated by key and
-    written as delta ``seq = batch_id + 1`` (a replay overwrites it).  A
-    summing table fed by a stream takes all its deltas from that stream
-    (batch ``add`` calls would number deltas on their own)."""
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        delta = batch.groupBy(*table.keys).agg(*[F.sum(m).alias(m) for m in table.measures])
-        delta.write.mode("overwrite").parquet(f"{table.root}/deltas/seq={batch_id + 1:06d}")
-    return run_foreach_batch(df, apply, checkpoint)
+    """ST2 for additive tables: each micro-batch is appended under its batch
+    id, so a replayed one replaces itself."""
+    return run_foreach_batch(df, lambda batch, batch_id: table.add(batch, batch_id), checkpoint)
