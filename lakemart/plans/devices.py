@@ -1,5 +1,5 @@
-"""Computer-shop tasks over the product / pc / laptop / printer tables
-(FIXTURES F5), written with the shared operators.
+"""Computer-shop tasks over the product / pc / laptop / printer tables written
+with the shared operators.
 
 These take the four tables as DataFrames (read as all-string CSV and typed
 with ``typed_devices``); they are library functions, not registered keys,

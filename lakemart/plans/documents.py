@@ -1,5 +1,5 @@
 """Order documents → raw table → ods statistics (SURVEY N6, L3, M2–M4, DQ2,
-S18 on the document feed of FIXTURES F4).
+S18).
 
 check input → raw order rows upserted by order_id (a re-run updates, never
 duplicates) → ``order_city_stats``, ``order_status_stats`` and

@@ -1,4 +1,4 @@
-"""The flat order feed loaded into a star schema (SQL ELT, FIXTURES F2).
+"""The flat order feed loaded into a star schema (SQL ELT).
 
 stg.raw_orders_flat → core.users / core.products (insert-if-absent on the
 natural key, dense surrogate ids) → core.orders (surrogate id, user looked up

@@ -1,4 +1,4 @@
-"""Declared schemas of the raw documents and files (FIXTURES F1–F6).
+"""Declared schemas of the raw documents and files.
 
 Jobs never infer schemas: inference is a full extra pass over the input and
 turns open key/value bags into wide structs.

@@ -71,8 +71,10 @@ def sizing(input_bytes: int, total_cores: int, target_partition_bytes: int = 256
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    The folder comes from ``spark.checkpoint.dir``.  Only when the session has
-    none (local tests) a private folder is created and registered.
+    The folder comes from ``spark.checkpoint.dir``.  Only a session on one
+    machine (``local[...]``: tests) may have none and gets a private folder;
+    on a cluster each executor would write to its own disk, so a missing
+    setting is an error there.
     """
     try:
         sc = spark.sparkContext
@@ -83,11 +85,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() if sc else current
+    if sc is None or not on_one_machine(sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="lakemart-ckpt-")
-    if sc:
-        sc.setCheckpointDir(local)
+    sc.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)
-    return sc.getCheckpointDir() if sc else local
+    return sc.getCheckpointDir()
+
+
+def on_one_machine(master: str) -> bool:
+    """Whether driver and tasks share one process (``local-cluster`` does not)."""
+    return master == "local" or master.startswith("local[")
 
 
 def lake_root(spark: SparkSession) -> str:

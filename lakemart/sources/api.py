@@ -3,7 +3,12 @@
 ``spark.read.format("paged_api")`` plans one input partition per
 ``(skip, limit)`` window, so pages are fetched in parallel by executors,
 never looped over on the driver.  The first page is fetched once on the
-driver to learn ``total``; reading stops at ``total`` or ``max_rows``.
+driver to learn ``total``; reading stops at ``total`` or ``max_rows``.  An
+answer shorter than its window (a server that caps the page size) is followed
+by requests for the rest; a window that ends early is an error, never a short
+result.  Without ``total`` one task follows the pages to the first empty one.
+
+The package must be importable on the workers (``--py-files`` or installed).
 
 Options: ``url`` — a template with ``{skip}`` and ``{limit}`` (``http(s)://``
 or ``file://``), ``limit`` (page size), ``max_rows``, ``retries``,
@@ -35,8 +40,14 @@ def fetch_json(url: str, retries: int = 3, backoff: float = 0.5, timeout: float
     raise RuntimeError(f"fetch failed after {retries + 1} attempts: {url}") from last
 
 
+class IncompletePageError(RuntimeError):
+    pass
+
+
 class PageWindow(InputPartition):
-    def __init__(self, skip: int, limit: int):
+    """Rows ``skip`` to ``skip + limit``; ``limit`` None: to the end."""
+
+    def __init__(self, skip: int, limit: int | None):
         super().__init__((skip, limit))
         self.skip, self.limit = skip, limit
 
@@ -62,15 +73,26 @@ class PagedApiReader(DataSourceReader):
         return fetch_json(self.url.format(skip=skip, limit=limit), self.retries, self.backoff, self.timeout)
 
     def partitions(self):
-        first = self._get(0, self.limit)
-        total = int(first.get("total", len(first.get(self.items_field, []))))
-        return [PageWindow(s, n) for s, n in plan_windows(total, self.limit, self.max_rows)]
+        total = self._get(0, self.limit).get("total")
+        if total is None:
+            return [PageWindow(0, self.max_rows)]
+        return [PageWindow(s, n) for s, n in plan_windows(int(total), self.limit, self.max_rows)]
 
     def read(self, partition: PageWindow):
-        page = self._get(partition.skip, self.limit)
         names = [f.name for f in self.schema.fields]
-        for item in page.get(self.items_field, [])[: partition.limit]:
-            yield tuple(item.get(n) for n in names)
+        got, counted = 0, True
+        while partition.limit is None or got < partition.limit:
+            want = self.limit if partition.limit is None else min(self.limit, partition.limit - got)
+            page = self._get(partition.skip + got, want)
+            items = page.get(self.items_field, [])[:want]
+            counted = page.get("total") is not None
+            if not items:
+                break
+            got += len(items)
+            for item in items:
+                yield tuple(item.get(n) for n in names)
+        if partition.limit is not None and got < partition.limit and counted:
+            raise IncompletePageError(f"{got} of {partition.limit} rows from {partition.skip} on")
 
 
 class PagedApiDataSource(DataSource):

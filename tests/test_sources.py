@@ -57,6 +57,53 @@ def test_s15_paged_api_source(spark):
     assert full.count() == 70
 
 
+@pytest.mark.parametrize("total,cap,rows", [(True, 100, 70), (True, 7, 70), (False, 100, 70), (False, 7, 70)])
+def test_s15_capped_pages_and_missing_total(total, cap, rows, monkeypatch):
+    """A server that caps its pages or does not say the total loses no row."""
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    def page(url, *_):
+        skip, limit = map(int, url.split("/"))
+        items = [{"id": k} for k in range(rows)][skip:skip + min(limit, cap)]
+        return {"products": items, **({"total": rows} if total else {})}
+
+    monkeypatch.setattr(api, "fetch_json", page)
+    reader = api.PagedApiReader(StructType([StructField("id", LongType())]), {"url": "{skip}/{limit}", "limit": 30})
+    assert sorted(x for p in reader.partitions() for (x,) in reader.read(p)) == list(range(rows))
+    limited = api.PagedApiReader(reader.schema, {"url": "{skip}/{limit}", "limit": 30, "max_rows": 41})
+    assert sorted(x for p in limited.partitions() for (x,) in limited.read(p)) == list(range(41))
+
+
+def test_s15_a_window_that_ends_early_is_an_error(monkeypatch):
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    monkeypatch.setattr(api, "fetch_json", lambda *_: {"products": [], "total": 5})
+    reader = api.PagedApiReader(StructType([StructField("id", LongType())]), {"url": "x", "limit": 30})
+    with pytest.raises(api.IncompletePageError):
+        list(reader.read(reader.partitions()[0]))
+
+
+def test_cluster_without_shared_folder_is_an_error():
+    from lakemart.session import ensure_checkpoint_dir, on_one_machine
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):  # noqa: N802 - Spark's name
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()  # noqa: N815 - Spark's name
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
+    assert on_one_machine("local[4]") and not on_one_machine("local-cluster[2,1,1024]")
+
+
 def test_s15_window_plan():
     assert api.plan_windows(70, 30, None) == [(0, 30), (30, 30), (60, 10)]
     assert api.plan_windows(70, 30, 45) == [(0, 30), (30, 15)]
