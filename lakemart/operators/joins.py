@@ -36,13 +36,11 @@ def anti_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
 def mismatch_report(left: DataFrame, right: DataFrame, key: str,
                     left_name: str, right_name: str) -> DataFrame:
     """Keys present on one side only, labelled with ``issue_type``."""
-    lk = left.select(key).distinct()
-    rk = right.select(key).distinct()
-    only_left = lk.join(rk, key, "left_anti").withColumn(
-        "issue_type", F.lit(f"missing_in_{right_name}"))
-    only_right = rk.join(lk, key, "left_anti").withColumn(
-        "issue_type", F.lit(f"missing_in_{left_name}"))
-    return only_left.unionByName(only_right)
+    lk = left.select(key).distinct().withColumn("__l", F.lit(True))
+    rk = right.select(key).distinct().withColumn("__r", F.lit(True))
+    return (lk.join(rk, key, "full_outer").filter(F.col("__l").isNull() | F.col("__r").isNull())
+            .select(key, F.when(F.col("__r").isNull(), F.lit(f"missing_in_{right_name}"))
+                    .otherwise(F.lit(f"missing_in_{left_name}")).alias("issue_type")))
 
 
 def all_members_match(members: DataFrame, group_key: str, matched: Column | str) -> DataFrame:

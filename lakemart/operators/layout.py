@@ -112,15 +112,11 @@ def with_file_count(df: DataFrame, n: int) -> DataFrame:
     return df.coalesce(n)
 
 
-def compact_files(df: DataFrame, factor: int = 4) -> DataFrame:
-    """L13 at scale: merge small files by writing ``factor`` times fewer
-    files than there are partitions (``coalesce``: no shuffle, and the file
-    count still grows with the input)."""
-    try:
-        n = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - Spark Connect: partition count not visible
-        return df
-    return df.coalesce(max(1, n // factor))
+def compact_files(df: DataFrame) -> DataFrame:
+    """L13 at scale: partitions of the advisory size
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``), measured in the
+    shuffle, so the files follow the bytes and not the number of inputs."""
+    return df.hint("rebalance")
 
 
 def copy_table(spark: SparkSession, source: str, target: str, overwrite: bool = False) -> None:

@@ -366,14 +366,17 @@ def upsert_partitioned(spark: SparkSession, table_path: str, batch: DataFrame, k
 
 def route_by_ranges(df: DataFrame, date_col: str, ranges: DataFrame, label_col: str = "partition_name",
                     reject_label: str = "rejected") -> DataFrame:
-    """Route rows to declared ``[lo, hi)`` ranges; rows outside every
-    range get ``reject_label``.  The range table is a declared list (one row
-    per range, bounded by configuration) and is broadcast; the comparison is
-    a broadcast nested-loop join whose build side never grows with data."""
-    r = F.broadcast(ranges.select(F.col("lo").alias("__lo"), F.col("hi").alias("__hi"),
-                                  F.col(label_col).alias("__label")))
-    joined = df.join(r, (F.col(date_col) >= F.col("__lo")) & (F.col(date_col) < F.col("__hi")), "left")
-    return joined.withColumn(label_col, F.coalesce("__label", F.lit(reject_label))).drop("__lo", "__hi", "__label")
+    """Route rows to declared, disjoint ``[lo, hi)`` date ranges; rows
+    outside every range get ``reject_label``.
+
+    An equi-join on the month: every range is listed once for each month it
+    touches, and the bounds are compared only within a row's month."""
+    month = F.explode(F.sequence(F.trunc("lo", "MM"), F.trunc(F.date_sub("hi", 1), "MM"), F.expr("interval 1 month")))
+    r = ranges.filter("lo < hi").select(F.col("lo").alias("__lo"), F.col("hi").alias("__hi"),
+                                        F.col(label_col).alias("__label"), month.alias("__month"))
+    inside = (F.col(date_col) >= F.col("__lo")) & (F.col(date_col) < F.col("__hi"))
+    joined = df.join(r, (F.trunc(date_col, "MM") == F.col("__month")) & inside, "left")
+    return joined.withColumn(label_col, F.coalesce("__label", F.lit(reject_label))).select(*df.columns, label_col)
 
 
 def month_ranges(spark: SparkSession, first_month: str, months: int, prefix: str = "p") -> DataFrame:

@@ -61,28 +61,49 @@ ORDER_STATUSES = ("paid", "shipped", "created")
 
 def constraint_report(items: DataFrame, orders: DataFrame, products: DataFrame,
                       users: DataFrame) -> DataFrame:
-    """DQ1 over the shop schema."""
-    c = F.col
-    parts = [
-        duplicate_keys(items, "order_items", "pk_order_line", ["order_id", "line_no"]),
-        row_rules(items, "order_items", {
-            "not_null": c("order_id").isNull() | c("product_id").isNull() | c("quantity").isNull()
-            | c("price").isNull(),
-            "check_quantity_positive": c("quantity") <= 0,
-            "check_price_non_negative": c("price") < 0,
-        }),
-        orphans(items, orders, "order_items", "fk_order", "order_id"),
-        orphans(items, products, "order_items", "fk_product", "product_id"),
-        duplicate_keys(orders, "orders", "pk_order", ["order_id"]),
-        row_rules(orders, "orders", {
-            "not_null": c("order_id").isNull() | c("user_id").isNull() | c("order_date").isNull()
-            | c("status").isNull() | c("amount").isNull(),
-            "check_status": c("status").isNull() | ~c("status").isin(*ORDER_STATUSES),
-            "check_amount_non_negative": c("amount") < 0,
-        }),
-        orphans(orders, users, "orders", "fk_user", "user_id"),
-    ]
-    return reduce(lambda a, b2: a.unionByName(b2), parts)
+    """DQ1 over the shop schema: two passes over the lines and two over the
+    orders.  Row rules ride along with the key aggregates: lines and orders
+    meet on the order key, which answers both primary keys and the foreign key
+    between them; each other foreign key is a count per key and one join.
+    """
+    c, one = F.col, F.lit(1)
+
+    def violations(**rules: Column) -> list[Column]:
+        return [F.count(F.when(cond, one)).alias(name) for name, cond in rules.items()]
+
+    item_rules = {
+        "i_not_null": c("order_id").isNull() | c("product_id").isNull() | c("quantity").isNull() | c("price").isNull(),
+        "i_quantity": c("quantity") <= 0, "i_price": c("price") < 0}
+    order_rules = {
+        "o_not_null": c("order_id").isNull() | c("user_id").isNull() | c("order_date").isNull()
+        | c("status").isNull() | c("amount").isNull(),
+        "o_status": c("status").isNull() | ~c("status").isin(*ORDER_STATUSES), "o_amount": c("amount") < 0}
+    per_order = (items.groupBy("order_id", "line_no").agg(F.count(one).alias("n"), *violations(**item_rules))
+                 .groupBy("order_id").agg(F.sum("n").alias("lines"), F.count(F.when(c("n") > 1, one)).alias("i_dup"),
+                                          *[F.sum(r).alias(r) for r in item_rules]))
+    headers = orders.groupBy("order_id").agg(F.count(one).alias("headers"), *violations(**order_rules))
+    total = lambda x: F.coalesce(F.sum(x), F.lit(0)).cast("bigint")
+    met = per_order.join(headers, "order_id", "full_outer").agg(
+        total("i_dup").alias("i_dup"), total(F.when(c("headers").isNull(), c("lines"))).alias("i_order"),
+        F.count(F.when(c("headers") > 1, one)).alias("o_dup"), *[total(r).alias(r) for r in [*item_rules, *order_rules]])
+
+    def without_parent(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
+        counts = child.groupBy(key).agg(F.count(one).alias("n"))
+        return counts.join(parent.select(key).distinct(), key, "left_anti").agg(total("n").alias("n"))
+
+    def stacked(row: DataFrame, names: dict[str, tuple[str, str]]) -> DataFrame:
+        return row.select(F.explode(F.array(*[
+            F.struct(F.lit(t).alias("table_name"), F.lit(rule).alias("rule"), c(x).alias("violations_cnt"))
+            for x, (t, rule) in names.items()])).alias("r")).select("r.*")
+
+    return reduce(lambda a, b2: a.unionByName(b2), [
+        stacked(met, {
+            "i_dup": ("order_items", "pk_order_line"), "i_not_null": ("order_items", "not_null"),
+            "i_quantity": ("order_items", "check_quantity_positive"), "i_price": ("order_items", "check_price_non_negative"),
+            "i_order": ("order_items", "fk_order"), "o_dup": ("orders", "pk_order"), "o_not_null": ("orders", "not_null"),
+            "o_status": ("orders", "check_status"), "o_amount": ("orders", "check_amount_non_negative")}),
+        stacked(without_parent(items, products, "product_id"), {"n": ("order_items", "fk_product")}),
+        stacked(without_parent(orders, users, "user_id"), {"n": ("orders", "fk_user")})])
 
 
 def layer_counts(frames: dict[tuple[str, str], DataFrame]) -> DataFrame:

@@ -30,11 +30,13 @@ SELECT city, COUNT(*) AS users_cnt, MIN(registered_on) AS first_registered,
 FROM b_users GROUP BY city
 """)
 def city_user_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Users per city with first (min) and last (max) registration."""
+    """Users per city with first (min) and last (max) registration, largest
+    city first (D1; the driver compares unordered)."""
     return (b.users(spark, sf_dir).groupBy("city")
             .agg(F.count(F.lit(1)).alias("users_cnt"),
                  F.min("registered_on").alias("first_registered"),
-                 F.max("registered_on").alias("last_registered")))
+                 F.max("registered_on").alias("last_registered"))
+            .orderBy(F.desc("users_cnt"), "city"))
 
 
 @register("category_price_stats", "A2", oracle="""

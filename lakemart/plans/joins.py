@@ -50,8 +50,8 @@ def events_typed_dict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.join(F.broadcast(stages), "event_type").select("event_id", "event_type", "stage")
 
 
-# Minimum buckets of the co-located tables (both sides use the same number;
-# by default one per input split of the orders, see session.bucket_count).
+# Minimum buckets of the co-located tables (both sides use the same number,
+# by default from the size of the orders, see session.bucket_count).
 BUCKETS = 8
 
 
@@ -162,11 +162,12 @@ FROM events e JOIN b_users u ON u.user_id = CASE WHEN e.event_id % 10 < 8 THEN 0
 """)
 def skew_join_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Join the hot user (80 % of events) with users through salted keys:
-    the hot key is split over ``lakemart.skew.salts`` tasks (default 16),
-    users are replicated once per salt.  Equals the plain join."""
+    keys with 1 % of the events or more are split over
+    ``lakemart.skew.salts`` tasks (default 16), and only their users are
+    replicated.  Equals the plain join."""
     ev = skewed_events(b.events(spark, sf_dir)).select("event_id", "user_id", "event_type")
     u = b.users(spark, sf_dir).select("user_id", "city")
-    return salted_join(ev, u, "user_id", skew_salts(spark), salt_by="event_id").select(
+    return salted_join(ev, u, "user_id", skew_salts(spark), salt_by="event_id", hot_share=0.01).select(
         "event_id", "user_id", "event_type", "city")
 
 

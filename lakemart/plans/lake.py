@@ -133,19 +133,15 @@ FROM b_orders
 """)
 def range_partition_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders routed to declared month ranges; rows outside every range go
-    to a reject output instead of failing the load.  Accepted rows are
-    written partitioned by range, rejects beside them."""
+    to a reject partition instead of failing the load.  All rows are routed
+    and written once."""
     o = b.orders(spark, sf_dir).select("order_id", "order_date")
     routed = route_by_ranges(o, "order_date", month_ranges(spark, RANGE_FIRST_MONTH, RANGE_MONTHS))
     root = scratch_path(spark, "orders_by_month")
-    write_partitioned(routed.filter(F.col("partition_name") != "rejected"), f"{root}/accepted",
-                      ["partition_name"], sort_cols=["order_date", "order_id"])
-    routed.filter(F.col("partition_name") == "rejected").write.mode("overwrite").parquet(f"{root}/rejected")
+    write_partitioned(routed, root, ["partition_name"], sort_cols=["order_date", "order_id"])
     # Read back with the known schema: an empty partitioned write leaves no
     # file to infer it from.
-    accepted = spark.read.schema(routed.schema).parquet(f"{root}/accepted")
-    rejected = spark.read.schema(routed.schema).parquet(f"{root}/rejected")
-    return accepted.unionByName(rejected).select("order_id", "order_date", "partition_name")
+    return spark.read.schema(routed.schema).parquet(root).select("order_id", "order_date", "partition_name")
 
 
 # Days re-delivered by the second load of the partitioned event table.
@@ -294,9 +290,7 @@ def orders_month_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT order_id, line_no, product_id, dt FROM b_items
 """)
 def compacted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines rewritten with 4× fewer files than input partitions
-    (``coalesce``: no shuffle; the file count still scales with the input)
-    and read back."""
+    """Lines rewritten into files of the advisory partition size and read back."""
     from lakemart.operators.layout import compact_files
 
     path = scratch_path(spark, "items_compacted")
@@ -338,7 +332,7 @@ def events_partitioned_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.sql(f"""CREATE TABLE {name} (event_id BIGINT, user_id BIGINT, event_type STRING, event_date DATE)
                   USING parquet PARTITIONED BY (event_date)
                   OPTIONS ('partitionOverwriteMode' = 'dynamic') LOCATION '{path}'""")
-    select = f"SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS event_date FROM {src}"
+    select = f"SELECT /*+ REBALANCE(event_date) */ event_id, user_id, event_type, CAST(ts AS DATE) AS event_date FROM {src}"
     spark.sql(f"INSERT OVERWRITE TABLE {name} {select}")
     spark.sql(f"INSERT OVERWRITE TABLE {name} {select} WHERE CAST(ts AS DATE) >= DATE '{REDELIVERY_FROM}'")
     days = b.events(spark, sf_dir).select(F.to_date("ts")).distinct().count()
@@ -361,8 +355,6 @@ def hot_keys_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys of the skewed event stream holding at least 1 % of its rows —
     the groups to split or salt.  At most 100 keys can qualify, so the list
     is small by construction."""
-    from lakemart.operators.joins import hot_keys
-
-    ev = skewed_events(b.events(spark, sf_dir))
-    hot = F.broadcast(hot_keys(ev, "skew_key", HOT_SHARE))
-    return _key_histogram(ev, "skew_key").join(hot, "skew_key")
+    shares = _key_histogram(skewed_events(b.events(spark, sf_dir)), "skew_key")
+    # Division rounds to the nearest double, so a key of exactly 1 % qualifies.
+    return shares.filter(F.col("share") >= HOT_SHARE)

@@ -145,15 +145,18 @@ def city_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("product_revenue", "M6", oracle="""
-SELECT dt, product_id, COUNT(*) AS items_cnt, CAST(SUM(quantity) AS BIGINT) AS quantity,
-       CAST(SUM(quantity * price) AS DOUBLE) AS revenue
-FROM b_items GROUP BY dt, product_id
+SELECT i.dt, i.product_id, p.product_name, COUNT(*) AS items_cnt, CAST(SUM(i.quantity) AS BIGINT) AS quantity,
+       CAST(SUM(i.quantity * i.price) AS DOUBLE) AS revenue
+FROM b_items i LEFT JOIN b_products p ON p.product_id = i.product_id GROUP BY i.dt, i.product_id, p.product_name
 """)
 def product_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines, quantity and revenue per (ship day, product)."""
-    return (b.order_items(spark, sf_dir).groupBy("dt", "product_id")
+    """Lines, quantity and revenue per (ship day, product), with the
+    product's name joined to the sums."""
+    sums = (b.order_items(spark, sf_dir).groupBy("dt", "product_id")
             .agg(F.count(F.lit(1)).alias("items_cnt"), F.sum("quantity").cast("bigint").alias("quantity"),
                  F.sum(F.col("quantity") * F.col("price")).cast("double").alias("revenue")))
+    return sums.join(b.products(spark, sf_dir).select("product_id", "product_name"), "product_id", "left").select(
+        "dt", "product_id", "product_name", "items_cnt", "quantity", "revenue")
 
 
 @register("brand_price_stats", "M7", oracle="""

@@ -39,9 +39,8 @@ GROUP BY status
 """)
 def filter_in_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paid/shipped orders that are large or early (IN, AND, OR), counted per status."""
-    o = b.orders(spark, sf_dir)
-    return (o.filter(F.col("status").isin("paid", "shipped")
-                     & ((F.col("amount") >= 100000) | (F.col("order_date") < F.lit("1996-01-01").cast("date"))))
+    o = b.orders(spark, sf_dir, statuses=("paid", "shipped"))   # the status letters reach the scan
+    return (o.filter(((F.col("amount") >= 100000) | (F.col("order_date") < F.lit("1996-01-01").cast("date"))))
             .groupBy("status").agg(F.count(F.lit(1)).alias("orders_cnt"),
                                    F.sum("amount").cast("double").alias("total_amount")))
 

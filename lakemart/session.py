@@ -26,6 +26,8 @@ JOB_DEFAULTS = {
 LAKE_ROOT_CONF = "lakemart.lake.root"
 SALTS_CONF = "lakemart.skew.salts"
 BUCKETS_CONF = "lakemart.buckets"
+BUCKET_BYTES = 256 << 20
+MAX_BUCKETS = 50_000
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
@@ -120,15 +122,14 @@ def skew_salts(spark: SparkSession, default: int = 16) -> int:
 
 def bucket_count(spark: SparkSession, df: DataFrame, minimum: int = 8) -> int:
     """Buckets for a co-located layout (``lakemart.buckets``), by default one
-    per input split of the larger side (at least ``minimum``), so bucket
-    files grow with the data instead of funnelling it into a fixed few."""
+    per BUCKET_BYTES of the planner's size of ``df``, at least ``minimum`` and
+    at most MAX_BUCKETS: Spark refuses more than 100,000 buckets, and beyond
+    the limit buckets grow instead."""
     fixed = spark.conf.get(BUCKETS_CONF, None)
     if fixed:
         return int(fixed)
-    try:
-        return max(minimum, df.rdd.getNumPartitions())
-    except Exception:  # noqa: BLE001 - Spark Connect: split count not visible
-        return minimum
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # noqa: SLF001
+    return min(MAX_BUCKETS, max(minimum, -(-size // BUCKET_BYTES)))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -41,9 +41,10 @@ def save_table(df: DataFrame, name: str, path: str | None = None, mode: str = "o
 def land_raw(df: DataFrame, root: str, source: str, entity: str, dt_col: str = "dt",
              fmt: str = "json") -> str:
     """Land rows untouched at ``raw/<source>/<entity>/dt=…/``;
-    re-landing a day replaces only that day (dynamic overwrite)."""
+    re-landing a day replaces only that day (dynamic overwrite).  Rows are
+    clustered by day first, so a day gets files by its size, not one per task."""
     path = f"{root}/raw/{source}/{entity}"
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (df.hint("rebalance", dt_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(dt_col).format(fmt).save(path))
     return path
 
