@@ -38,25 +38,6 @@ def _view(src, name: str):
     return src.get(name) if isinstance(src, ViewSet) else None
 
 
-def spread_coarse_input(df: DataFrame) -> DataFrame:
-    """Give a scan at least one partition per core.
-
-    A table stored as one unsplittable file (a single Parquet row group)
-    scans in one task, and every operator before the first shuffle then runs
-    on one core.  Such an input is spread round-robin over the default
-    parallelism; an input that already has enough splits — any large table
-    on a cluster — is returned untouched, so the extra exchange only ever
-    happens for small inputs.  Used before CPU-heavy per-row work (text
-    tokenisation); relational scans shuffle soon anyway and skip it.
-    """
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - Spark Connect: split count not visible, leave as is
-        return df
-    return df.repartition(want) if have < want else df
-
-
 def table(spark: SparkSession, sf_dir, name: str) -> DataFrame:
     if isinstance(sf_dir, ViewSet):
         if name not in sf_dir:

@@ -46,15 +46,6 @@ def duplicate_keys(df: DataFrame, table: str, rule: str, keys: list[str]) -> Dat
         F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), "violations_cnt")
 
 
-def orphans(child: DataFrame, parent: DataFrame, table: str, rule: str, key: str,
-            parent_key: str | None = None) -> DataFrame:
-    """Child rows whose key has no parent (FK)."""
-    pk = parent.select(F.col(parent_key or key).alias(key)).distinct()
-    return (child.select(key).join(pk, key, "left_anti")
-            .agg(F.count(F.lit(1)).cast("bigint").alias("violations_cnt"))
-            .select(F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), "violations_cnt"))
-
-
 # Allowed order statuses of the bound orders view.
 ORDER_STATUSES = ("paid", "shipped", "created")
 

@@ -186,9 +186,8 @@ WHERE length(word) > 0 GROUP BY word
 """)
 def word_count_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word count over whole document texts (map → combine → shuffle → reduce)."""
-    # Tokenising is the CPU-heavy step before the first shuffle: make sure a
-    # coarse (single-split) input still runs on every core.
-    return word_count(b.spread_coarse_input(b.table(spark, sf_dir, "documents").select("text")))
+    # Only counts move; texts are split where they are read.
+    return word_count(b.table(spark, sf_dir, "documents").select("text"))
 
 
 @register("gen_skewed_events", "S10", oracle="""

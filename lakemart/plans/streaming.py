@@ -30,11 +30,9 @@ def stream_events_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     Parquet with a checkpoint; the stream is started twice and the restart
     adds nothing."""
     root = scratch_path(spark, "stream_events")
-    # Several landing files so the stream runs several micro-batches; an input
-    # that already has enough splits is landed as it is.
-    (b.spread_coarse_input(b.events(spark, sf_dir)).write.mode("overwrite")
+    (b.events(spark, sf_dir).write.mode("overwrite")
      .option("timestampNTZFormat", NTZ_MICROS).json(f"{root}/landing"))
-    src = file_stream(spark, f"{root}/landing", EVENTS_DDL, fmt="json", max_files_per_trigger=2,
+    src = file_stream(spark, f"{root}/landing", EVENTS_DDL, fmt="json",
                       timestampNTZFormat=NTZ_MICROS)
     for _ in range(2):
         run_to_files(project_events(src), f"{root}/sink", f"{root}/checkpoints/events")
@@ -49,8 +47,8 @@ def stream_upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``foreachBatch(upsert)``; the result equals the batch view."""
     root = scratch_path(spark, "stream_orders")
     o = b.orders(spark, sf_dir).select("order_id", "user_id", "status", "amount")
-    b.spread_coarse_input(o).write.mode("overwrite").parquet(f"{root}/landing")
-    src = file_stream(spark, f"{root}/landing", o.schema, fmt="parquet", max_files_per_trigger=1)
+    o.write.mode("overwrite").parquet(f"{root}/landing")
+    src = file_stream(spark, f"{root}/landing", o.schema, fmt="parquet")
     table = VersionedTable(spark, f"{root}/ods_orders", schema=o.schema)
     upsert_stream(src, table, ["order_id"], f"{root}/checkpoints/orders")
     return table.read().withColumn("amount", F.col("amount").cast("double"))
@@ -70,9 +68,9 @@ def stream_rollup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakemart.streaming.streams import rollup_stream
 
     root = scratch_path(spark, "stream_rollup")
-    (b.spread_coarse_input(b.events(spark, sf_dir)).write.mode("overwrite")
+    (b.events(spark, sf_dir).write.mode("overwrite")
      .option("timestampNTZFormat", NTZ_MICROS).json(f"{root}/landing"))
-    src = file_stream(spark, f"{root}/landing", EVENTS_DDL, fmt="json", max_files_per_trigger=2,
+    src = file_stream(spark, f"{root}/landing", EVENTS_DDL, fmt="json",
                       timestampNTZFormat=NTZ_MICROS)
     keyed = src.select(F.to_date("ts").alias("event_date"), "event_type",
                        F.lit(1).cast("bigint").alias("events_cnt"),

@@ -24,11 +24,20 @@ from pyspark.sql.types import StructType
 from lakemart.operators.loads import SummingTable, VersionedTable
 
 
+# Bytes of a micro-batch of file streams that name no number of files.
+BATCH_BYTES_CONF = "lakemart.stream.maxBytesPerTrigger"
+BATCH_BYTES_DEFAULT = str(1 << 30)
+
+
 def file_stream(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "json",
                 max_files_per_trigger: int | None = None, **options) -> DataFrame:
+    """Files as a stream; a micro-batch takes ``max_files_per_trigger`` files
+    or, by default, the configured number of bytes."""
     r = spark.readStream.format(fmt).schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    else:
+        r = r.option("maxBytesPerTrigger", spark.conf.get(BATCH_BYTES_CONF, BATCH_BYTES_DEFAULT))
     for k, v in options.items():
         r = r.option(k, v)
     return r.load(path)
