@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart import bindings as b
-from lakemart.operators.nested import nest
+from lakemart.operators.nested import api_products, nest
 from lakemart.plans.registry import register
 
 LINE_FIELDS = ["line_no", "product_id", "quantity", "price"]
@@ -122,3 +122,21 @@ def latest_line_per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = it.groupBy("order_id").agg(
         F.max_by("it", F.struct(*[F.col(f"it.{c}") for c in DOC_LINE_FIELDS])).alias("last"))
     return last.select("order_id", "last.dt", "last.line_no", "last.product_id")
+
+
+PAGE_ROWS = 30
+
+
+@register("api_product_rows", "N9", oracle="""
+SELECT p_partkey AS product_id, CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS DOUBLE) AS price, CAST(p_size AS INTEGER) AS stock
+FROM part
+""")
+def api_product_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of a product API (PAGE_ROWS products each, built from the parts)
+    unnested into typed rows."""
+    parts = b.table(spark, sf_dir, "part").select(
+        F.floor((F.col("p_partkey") - 1) / PAGE_ROWS).alias("page"), F.col("p_partkey").alias("id"),
+        F.col("p_name").alias("title"), F.col("p_retailprice").cast("double").alias("price"),
+        F.col("p_size").cast("bigint").alias("stock"))
+    pages = nest(parts, "page", ["id", "title", "price", "stock"], items_name="products")
+    return api_products(pages).withColumn("price", F.col("price").cast("double"))

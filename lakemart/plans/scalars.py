@@ -205,3 +205,17 @@ def dedupe_full_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full-row duplicates dropped (the line key itself is not unique)."""
     return (b.order_items(spark, sf_dir).select("order_id", "line_no", "product_id", "quantity", "dt")
             .dropDuplicates())
+
+
+@register("filled_event_props", "P15", oracle="""
+SELECT event_id, COALESCE(CAST(json_extract_string(props, '$.missing') AS VARCHAR), 'none') AS note,
+       COALESCE(CASE WHEN event_id % 7 = 0 THEN NULL ELSE CAST(user_id AS BIGINT) END, -1) AS user_id
+FROM events
+""")
+def filled_event_props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing values replaced per column (a JSON member that is absent, a
+    user that is unknown)."""
+    ev = b.events(spark, sf_dir).select(
+        "event_id", F.get_json_object("props", "$.missing").alias("note"),
+        F.when(F.col("event_id") % 7 != 0, F.col("user_id")).alias("user_id"))
+    return fx.fill_missing(ev, {"note": "none", "user_id": -1})

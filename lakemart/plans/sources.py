@@ -222,3 +222,12 @@ def bulk_copy_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
         }),
     ]
     return reduce(lambda a, b2: a.unionByName(b2), parts)
+
+
+@register("rows_per_source_file", "P16", oracle="""
+SELECT 'orders.parquet' AS source_file, COUNT(*) AS rows_cnt FROM orders HAVING COUNT(*) > 0
+""")
+def rows_per_source_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by the file they came from (file metadata, no extra column in the data)."""
+    rows = files.with_source_file(b.table(spark, sf_dir, "orders").select("o_orderkey", "_metadata"))
+    return rows.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows_cnt"))
