@@ -54,7 +54,7 @@ def load_generic(spark: SparkSession, sf_dir: str) -> DataFrame:
     closed = o.filter(F.col("order_id") % 3 == 0).withColumn("status", F.lit("closed"))
     for batch in (o, closed, closed.limit(0)):
         load_df(spark, batch, root, ["order_id"])
-    return VersionedTable(spark, root).read().withColumn("amount", F.col("amount").cast("double"))
+    return VersionedTable(spark, root, schema=o.schema).read().withColumn("amount", F.col("amount").cast("double"))
 
 
 @register("v_paid_orders", "L16", oracle="""
