@@ -23,12 +23,14 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One star step over edges (u, v), v < u."""
     if large:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # Written, so that the join below reads two shuffles and adaptive
+        # execution can split a hub's.
+        least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "components")
         # Larger neighbours w of u: w now points to u's least.
         found = edges.select(F.col("u").alias("w"), F.col("v").alias("u")).join(least, "u").select(
             F.col("w").alias("u"), F.col("m").alias("v"))
     else:
-        least = edges.groupBy("u").agg(F.min("v").alias("m"))
+        least = staged(edges.groupBy("u").agg(F.min("v").alias("m")), "components")
         found = edges.join(least, "u").filter(F.col("v") != F.col("m")).select(
             F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             least.select("u", F.col("m").alias("v")))
@@ -45,8 +47,9 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         if state == before:
             break
         before = state
-        after = staged(_star(_star(now, large=True), large=False), "components")
-        drop_staged(now)
+        middle = staged(_star(now, large=True), "components")
+        after = staged(_star(middle, large=False), "components")
+        drop_staged(now, middle)
         now = after
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -20,19 +20,19 @@ At scale the lists live in Spark:
     3. Lists of one entity are dropped; lists are never gathered: they are
        aggregated and joined, so a list may hold any share of the entities.
     4. Blocks of at most some BLOCK entities are searched (numpy, DivideSkip).
-       First each entity meets those that share the most typical member of
-       their lists (few shingles of its own: an original rather than its edited
-       copies) and are of its size, and that member.  Then
-       lists whose entities still lie in different components say which blocks
-       must meet: those that share enough lists to hold a link.  A pair of
-       blocks meets once.
+       First each entity meets the most typical member of its lists (few
+       shingles of its own: an original rather than its edited copies), if the
+       lists they share leave a link possible.  Then lists whose entities still
+       lie in different components say which blocks must meet: those whose
+       shared lists leave a link possible.  A pair of blocks meets once.
        Blocks return a spanning forest of the links found, never all pairs.
     5. Links become components by star contraction.
 
-Every pair of entities that shares a listed shingle is compared or already
-connected, so no link between different texts is lost and the components are
-exact.  Only texts of listed entities move: a bitmap of fixed size (exact where
-it says no) drops the others before the shuffle.
+Every pair of entities that shares a listed shingle is compared, already
+connected or provably too different, so no link between different texts is
+lost and the components are exact.  Only texts of entities in a block move: a
+bitmap of fixed size (exact where it says no) drops the others before the
+shuffle.
 
 Defined results: a NULL or empty text, or one without words, has no shingle
 and is its own component; fewer than WIDTH words are one shingle; repeated
@@ -51,7 +51,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart.llm import textbatch as tb
-from lakemart.llm.common import staged
+from lakemart.llm.common import drop_staged, staged
 from lakemart.llm.components import components
 
 WIDTH = 5
@@ -295,6 +295,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ids = scanned.filter(F.col("bucket").isNull()).select("doc_id", "entity", F.col("n").alias("n_shingles"))
     ranks = spark.sparkContext.broadcast(bucket_ranks(scanned.filter(F.col("bucket").isNotNull())))
 
+    def search(rows: DataFrame) -> DataFrame:
+        """Links inside the blocks of rows (block, entity, component)."""
+        rows = staged(rows, "ngram-rows")
+        texts = staged(entity_texts(docs, text_col, rows), "ngram-texts")
+        found = staged(search_blocks(rows.join(texts, "entity")), "ngram-links")
+        drop_staged(texts)
+        return found
+
     # Lists of two entities or more.
     postings = listed(docs, text_col, ranks)
     lists = postings.groupBy("shingle").agg(F.min("entity").alias("lo"), F.max("entity").alias("hi")).filter("lo <> hi")
@@ -303,58 +311,70 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     unlisted = F.floor((4 * F.col("n") + 4) / 5) - 1      # n - prefix_size(n)
 
     # The most typical entity of each list, and of all lists of an entity.
-    own = shared.groupBy("entity").agg((F.max(F.col("n") - unlisted) - F.count("shingle")).alias("own"))
-    band = F.floor(F.log("n") / float(np.log(BAND))).cast("int")
-    centre = (shared.join(own, "entity").groupBy("shingle").agg(F.min(F.struct("own", "entity")).alias("centre")))
-    hubs = staged(shared.join(centre, "shingle").groupBy("entity").agg(F.min("centre").alias("centre"), F.max("n").alias("n"))
-                  .select("entity", F.col("centre.entity").alias("hub"), band.alias("band")), "ngram-hubs")
-    texts = staged(entity_texts(docs, text_col, hubs), "ngram-texts")
-
-    # Round 1: each entity with its hub, in parts of about BLOCK.
-    parts = hubs.groupBy("hub", "band").agg(F.ceil(F.count("entity") / BLOCK).alias("parts"))
-    placed = staged(hubs.join(parts, ["hub", "band"]).select(
-        "entity", "band", F.struct("band", "hub", F.expr("pmod(xxhash64(entity), parts)").alias("part")).alias("block")),
-        "ngram-placed")
-    # A hub visits the blocks whose sizes are near its own.
-    visits = placed.select("block").distinct().join(
-        hubs.select(F.col("entity").alias("hub"), F.col("band").alias("own_band")), F.col("block.hub") == F.col("hub")).filter(
-        F.abs(F.col("own_band") - F.col("block.band")) <= BANDS_APART + 1)
-    with_hub = placed.select("block", "entity").unionByName(visits.select("block", F.col("hub").alias("entity"))).distinct()
-    first = staged(search_blocks(with_hub.join(texts, "entity").select(
-        "block", "entity", F.col("entity").alias("component"), "text")), "ngram-links")
+    entities = shared.groupBy("entity").agg(F.max("n").alias("n"), F.count("shingle").alias("shared"))
+    entities = staged(entities.select("entity", "n", unlisted.alias("unlisted"),
+                                      (F.col("n") - unlisted - F.col("shared")).alias("own")), "ngram-entities")
+    centre = staged(shared.join(entities.select("entity", "own"), "entity").groupBy("shingle").agg(
+        F.min(F.struct("own", "entity")).alias("centre")), "ngram-centres")
+    hubs = staged(shared.join(centre, "shingle").groupBy("entity").agg(F.min("centre").alias("centre"))
+                  .select("entity", F.col("centre.entity").alias("hub")), "ngram-hubs")
+
+    def possible(pairs: DataFrame, x: str, y: str) -> DataFrame:
+        """Pairs with the occurrence bound of T-occurrence search: the listed
+        shingles they share and all that one leaves unlisted suffice."""
+        a = entities.select(F.col("entity").alias(x), F.col("n").alias("_na"), F.col("unlisted").alias("_ua"))
+        b = entities.select(F.col("entity").alias(y), F.col("n").alias("_nb"), F.col("unlisted").alias("_ub"))
+        return pairs.join(a, x).join(b, y).filter(
+            ((F.col("lists") + F.greatest("_ua", "_ub")) * 9 >= (F.col("_na") + F.col("_nb")) * 4)
+            & (F.col("_na") * 5 >= F.col("_nb") * 4) & (F.col("_nb") * 5 >= F.col("_na") * 4)).select(x, y)
+
+    # Round 1: entities that may link to their hub, with it, in parts of about BLOCK.
+    at_hub = shared.select("shingle", F.col("entity").alias("hub"))
+    stars = (shared.select("shingle", "entity").join(hubs.filter("entity <> hub"), "entity").join(at_hub, ["shingle", "hub"])
+             .groupBy("entity", "hub").agg(F.count("shingle").alias("lists")))
+    stars = staged(possible(stars, "entity", "hub"), "ngram-stars")
+    parts = staged(stars.groupBy("hub").agg(F.ceil(F.count("entity") / BLOCK).alias("parts")), "ngram-parts")
+    placed = stars.join(parts, "hub").select(
+        F.struct("hub", F.expr("pmod(xxhash64(entity), parts)").alias("part")).alias("block"), "entity", "hub")
+    first = search(placed.select("block", "entity").unionByName(
+        placed.select("block", F.col("hub").alias("entity")).distinct()).withColumn("component", F.col("entity")))
     found = staged(components(first, "a", "b"), "ngram-components")
 
-    # Round 2: blocks that lists with several components bring together.
-    state = placed.join(found.withColumnRenamed("node", "entity"), "entity", "left").select(
-        "entity", "block", F.coalesce("component", "entity").alias("component"))
-    state = staged(state, "ngram-state")
-    at = shared.join(state, "entity")
-    mixed = at.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
-    blocks = staged(at.join(mixed.select("shingle"), "shingle").groupBy("shingle", "block").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi")), "ngram-mixed")
-    sizes = staged(at.groupBy("block").agg(F.min("n").alias("least"), F.max("n").alias("most"),
-                                           F.max(unlisted).alias("unlisted")), "ngram-sizes")
+    # Round 2: blocks of one hub and size band that lists with several
+    # components bring together.
+    band = F.floor(F.log("n") / float(np.log(BAND))).cast("int")
+    members = staged(hubs.join(entities, "entity").select("entity", "hub", "n", "unlisted", band.alias("band")), "ngram-members")
+    parts = staged(members.groupBy("hub", "band").agg(F.ceil(F.count("entity") / BLOCK).alias("parts")), "ngram-parts")
+    state = staged(members.join(parts, ["hub", "band"]).join(found.withColumnRenamed("node", "entity"), "entity", "left").select(
+        "entity", "n", "unlisted", F.coalesce("component", "entity").alias("component"),
+        F.struct("band", "hub", F.expr("pmod(xxhash64(entity), parts)").alias("part")).alias("block")), "ngram-state")
+    at = staged(shared.select("shingle", "entity").join(state.select("entity", "component", "block"), "entity"), "ngram-at")
+    mixed = staged(at.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+                   .filter("lo <> hi").select("shingle"), "ngram-mixed")
+    blocks = staged(at.join(mixed, "shingle").groupBy("shingle", "block").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi")), "ngram-blocks")
+    sizes = staged(state.groupBy("block").agg(F.min("n").alias("least"), F.max("n").alias("most"),
+                                              F.max("unlisted").alias("unlisted")), "ngram-sizes")
     x, y = blocks.alias("x"), blocks.alias("y")
     differs = ((F.col("x.lo") != F.col("y.lo")) | (F.col("x.hi") != F.col("y.hi")) | (F.col("x.lo") != F.col("x.hi")))
     near = F.abs(F.col("x.block.band") - F.col("y.block.band")) <= BANDS_APART + 1
-    meet = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.block") < F.col("y.block")) & near & differs).groupBy(
+    meet = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.block") <= F.col("y.block")) & near & differs).groupBy(
         F.col("x.block").alias("x"), F.col("y.block").alias("y")).agg(F.count("*").alias("lists"))
-    # The occurrence bound of T-occurrence search, for the best pair of two
-    # blocks: listed shingles they share, and all that one leaves unlisted.
+    # The bound of ``possible`` for the best pair of two blocks.
     a = sizes.select(F.col("block").alias("x"), *[F.col(c).alias(f"x_{c}") for c in ("least", "most", "unlisted")])
     b = sizes.select(F.col("block").alias("y"), *[F.col(c).alias(f"y_{c}") for c in ("least", "most", "unlisted")])
     enough = (F.col("lists") + F.greatest("x_unlisted", "y_unlisted")) * 9 >= (F.col("x_least") + F.col("y_least")) * 4
     alike = (F.col("x_most") * 5 >= F.col("y_least") * 4) & (F.col("y_most") * 5 >= F.col("x_least") * 4)
     meet = staged(meet.join(a, "x").join(b, "y").filter(enough & alike).select(F.struct("x", "y").alias("block")), "ngram-meet")
-    sides = meet.select("block", F.explode(F.array("block.x", "block.y")).alias("side"))
-    second = search_blocks(sides.join(state.select(F.col("block").alias("side"), "entity", "component"), "side")
-                           .join(texts, "entity"))
-    links = staged(first.unionByName(second), "ngram-links")
-    classes = components(links, "a", "b")
+    sides = meet.select("block", F.explode(F.array_distinct(F.array("block.x", "block.y"))).alias("side"))
+    second = search(sides.join(state.select(F.col("block").alias("side"), "entity", "component"), "side")
+                    .select("block", "entity", "component"))
+    classes = components(first.unionByName(second), "a", "b")
 
     labelled = ids.join(classes.select(F.col("node").alias("entity"), "component"), "entity", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "entity").alias("component"))
     labelled = staged(labelled, "ngram-labelled")
-    least = labelled.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
+    least = staged(labelled.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("least")),
+                   "ngram-least")
     return labelled.join(least, "component", "left").select(
         "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
