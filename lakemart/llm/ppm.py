@@ -51,7 +51,8 @@ from lakemart.llm.common import staged
 ORDER = 5
 MAX_TRIE = 6_000_000
 MAX_FREQUENT = 4_000_000
-FLUSH = 2_000_000       # distinct keys a task holds before it hands them on
+FLUSH = 1_000_000       # distinct keys a task holds before it hands them on
+SLICE_BYTES = 1 << 20   # text worked on at once: some 100 bytes of work space for each
 
 END, START = 0xFF, 0xFE          # bytes that no UTF-8 text holds
 WORD_KEY, GRAM_KEY, END_KEY = 0, 1, 2
@@ -112,7 +113,7 @@ def corpus_counts(docs: DataFrame, text_col: str, order: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, grams, ends = Tally(WORD_KEY), Tally(GRAM_KEY), 0
         for batch in batches:
-            for lo, hi in tb.slices(batch.column(0)):
+            for lo, hi in tb.slices(batch.column(0), SLICE_BYTES):
                 b, off, s, _ = symbols(batch.column(0).slice(lo, hi - lo), order)
                 starts, stops, _ = tb.word_spans(b, off)
                 yield from words.add(tb.hash_spans(b, starts, stops).view(np.int64))
@@ -166,16 +167,17 @@ class Trie:
                 more = below_kinds[parent] - kinds
             totals.append((context, total, kinds))
             with np.errstate(divide="ignore", invalid="ignore"):
-                self.levels.append(Level(
-                    entry, np.log10(2 * count - 1).astype(np.float32), context,
-                    -np.log10(2 * total), np.log10(kinds) - np.log10(2 * total),
-                    -np.log10(2 * rest), np.log10(more) - np.log10(2 * rest), more > 0))
+                logs = (-np.log10(2 * total), np.log10(kinds) - np.log10(2 * total),
+                        -np.log10(2 * rest), np.log10(more) - np.log10(2 * rest))
+                self.levels.append(Level(entry, np.log10(2 * count - 1).astype(np.float32), context,
+                                         *[x.astype(np.float32) for x in logs], more > 0))
 
     def log10(self, codes: np.ndarray) -> np.ndarray:
         """log10 of the prediction of each byte in its context."""
         out = np.zeros(len(codes))
         live, known = np.arange(len(codes)), np.zeros(len(codes), dtype=bool)
-        share, escape, usable = np.zeros(len(codes)), np.zeros(len(codes)), np.ones(len(codes), dtype=bool)
+        share, escape = np.zeros(len(codes), np.float32), np.zeros(len(codes), np.float32)
+        usable = np.ones(len(codes), dtype=bool)
         for k in range(self.order, -1, -1):
             level = self.levels[k]
             if not len(level.entry):
@@ -280,7 +282,7 @@ def score(docs: DataFrame, train: Column, keep: list[str], text_col: str = "text
         trie, known, logs = model.value
         row = TaskContext.get().partitionId() << 36
         for batch in batches:
-            for lo, hi in tb.slices(batch.column(text_at)):
+            for lo, hi in tb.slices(batch.column(text_at), SLICE_BYTES):
                 b, off, s, place = symbols(batch.column(text_at).slice(lo, hi - lo), trie.order)
                 real = s != START
                 p = np.zeros(len(s) + 1)
