@@ -1,13 +1,16 @@
 """The layered lake run end to end: raw → stg → ods → mart (M10, DQ3).
 
-A plain function calls the jobs in order (scheduling is out of scope).  Every
-step is idempotent: raw lands into the run's ``dt=`` partition (dynamic
-overwrite), stg is overwritten, ods is an upsert that skips a batch it
-already holds, marts are overwritten — a second run changes nothing.
+A plain function takes users, products, orders and order lines through every
+layer in order (scheduling is out of scope).  Every step is idempotent: raw
+lands into the run's ``dt=`` partition (dynamic overwrite), stg is overwritten,
+ods is an upsert that skips a batch it already holds (lines, which have no key,
+are refreshed), marts are overwritten — a second run changes nothing.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,66 +22,104 @@ from lakemart.plans.registry import register
 from lakemart.session import scratch_path
 from lakemart.sources.sinks import land_raw
 
-RAW_ORDER_DDL = ("o_orderkey STRING, o_custkey STRING, o_orderstatus STRING, o_totalprice STRING, "
-                 "o_orderdate STRING, o_orderpriority STRING, dt DATE")
-STG_ORDER_TYPES = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string",
-                   "o_totalprice": "decimal(12,2)", "o_orderdate": "timestamp_ntz"}
 
+@dataclass(frozen=True)
+class Entity:
+    """A source table on its way through the layers: source column → (ods
+    column, type), and the key of its upsert (none: full refresh)."""
 
-def run_layers(spark: SparkSession, sf_dir: str, root: str, run_date: str) -> dict[tuple[str, str], DataFrame]:
-    """One run of the retail flow; returns the written table of each layer."""
+    name: str
+    source: str
+    columns: dict[str, tuple[str, str]]
+    key: str | None = None
+
+
+ENTITIES = (
+    Entity("users", "customer", {"c_custkey": ("user_id", "bigint"), "c_name": ("user_name", "string"),
+                                 "c_mktsegment": ("segment", "string")}, "user_id"),
+    Entity("products", "part", {"p_partkey": ("product_id", "bigint"), "p_name": ("product_name", "string"),
+                                "p_type": ("category", "string"), "p_retailprice": ("price", "decimal(12,2)")}, "product_id"),
+    Entity("orders", "orders", {"o_orderkey": ("order_id", "bigint"), "o_custkey": ("user_id", "bigint"),
+                                "o_orderstatus": ("status_code", "string"), "o_totalprice": ("amount", "decimal(12,2)"),
+                                "o_orderdate": ("order_ts", "timestamp_ntz")}, "order_id"),
+    Entity("order_items", "lineitem", {"l_orderkey": ("order_id", "bigint"), "l_linenumber": ("line_no", "int"),
+                                       "l_partkey": ("product_id", "bigint"), "l_quantity": ("quantity", "decimal(12,2)"),
+                                       "l_extendedprice": ("line_amount", "decimal(12,2)")}),
+)
+
+
+def load_entity(spark: SparkSession, source: DataFrame, e: Entity, root: str, run_date: str) -> dict[tuple[str, str], DataFrame]:
+    """One entity from its source to ods; the table of each layer."""
     # raw: the source rows untouched (as text), in the run's day partition.
-    src = as_strings(b.table(spark, sf_dir, "orders")).withColumn("dt", F.lit(run_date).cast("date"))
-    raw_path = land_raw(src, root, "shop", "orders")
-    raw = spark.read.schema(RAW_ORDER_DDL).json(raw_path).filter(F.col("dt") == F.lit(run_date).cast("date"))
+    day = F.lit(run_date).cast("date")
+    text = as_strings(source.select(*e.columns))
+    path = land_raw(text.withColumn("dt", day), root, "shop", e.name)
+    ddl = ", ".join(f"{c} STRING" for c in e.columns) + ", dt DATE"
+    raw = spark.read.schema(ddl).json(path).filter(F.col("dt") == day)
 
     # stg: typed; rows with fields that do not parse go to rejects.
-    typed = typed_projection(raw, STG_ORDER_TYPES, rename={
-        "o_orderkey": "order_id", "o_custkey": "user_id", "o_orderstatus": "status_code",
-        "o_totalprice": "amount", "o_orderdate": "order_ts"})
-    typed.filter(F.col("_bad_fields") == 0).drop("_bad_fields").write.mode("overwrite").parquet(f"{root}/stg/orders")
-    typed.filter(F.col("_bad_fields") > 0).write.mode("overwrite").parquet(f"{root}/stg/orders_rejects")
-    stg = spark.read.parquet(f"{root}/stg/orders")
+    typed = typed_projection(raw, {c: t for c, (_, t) in e.columns.items()}, rename={c: n for c, (n, _) in e.columns.items()})
+    stg, rejects = f"{root}/stg/{e.name}", f"{root}/stg/{e.name}_rejects"
+    typed.filter(F.col("_bad_fields") == 0).drop("_bad_fields").write.mode("overwrite").parquet(stg)
+    typed.filter(F.col("_bad_fields") > 0).write.mode("overwrite").parquet(rejects)
+    rows = spark.read.parquet(stg)
 
     # ods: keyed upsert (no new version when the batch is already held).
-    ods_orders = VersionedTable(spark, f"{root}/ods/orders",
-                                schema="order_id bigint, user_id bigint, status_code string, "
-                                       "amount decimal(12,2), order_ts timestamp_ntz")
-    ods_orders.upsert_if_changed(stg, ["order_id"])
-    ods_orders.vacuum(keep=2)  # storage stays bounded: current + previous version
-    items = b.order_items(spark, sf_dir)
-    items.write.mode("overwrite").parquet(f"{root}/ods/order_items")
-
-    # mart: status statistics from the ods layer.
-    o = ods_orders.read()
-    mart = (o.groupBy("status_code").agg(F.count(F.lit(1)).alias("orders_cnt"),
-                                         F.countDistinct("user_id").alias("users_cnt"),
-                                         F.sum("amount").alias("total_amount")))
-    mart.write.mode("overwrite").parquet(f"{root}/mart/order_status_stats")
-    return {
-        ("raw", "orders"): raw,
-        ("stg", "orders"): stg,
-        ("stg", "orders_rejects"): spark.read.parquet(f"{root}/stg/orders_rejects"),
-        ("ods", "orders"): ods_orders.read(),
-        ("ods", "order_items"): spark.read.parquet(f"{root}/ods/order_items"),
-        ("mart", "order_status_stats"): spark.read.parquet(f"{root}/mart/order_status_stats"),
+    if e.key:
+        ods = VersionedTable(spark, f"{root}/ods/{e.name}", schema=rows.schema)
+        ods.upsert_if_changed(rows, [e.key])
+        ods.vacuum(keep=2)  # storage stays bounded: current + previous version
+        held = ods.read()
+    else:
+        rows.write.mode("overwrite").parquet(f"{root}/ods/{e.name}")
+        held = spark.read.parquet(f"{root}/ods/{e.name}")
+    return {("raw", e.name): raw, ("stg", e.name): rows, ("stg", f"{e.name}_rejects"): spark.read.parquet(rejects),
+            ("ods", e.name): held}
+
+
+def run_layers(spark: SparkSession, sf_dir: str, root: str, run_date: str) -> dict[tuple[str, str], DataFrame]:
+    """One run of the retail flow; returns the written table of each layer."""
+    out: dict[tuple[str, str], DataFrame] = {}
+    for e in ENTITIES:
+        out |= load_entity(spark, b.table(spark, sf_dir, e.source), e, root, run_date)
+    users, products, orders, items = (out[("ods", e.name)] for e in ENTITIES)
+    # Lines and orders are summed by key before they meet the dimension.
+    per_user = orders.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"))
+    per_product = items.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("quantity"))
+    marts = {
+        "order_status_stats": orders.groupBy("status_code").agg(
+            F.count(F.lit(1)).alias("orders_cnt"), F.countDistinct("user_id").alias("users_cnt"),
+            F.sum("amount").alias("total_amount")),
+        "segment_revenue": per_user.join(users.select("user_id", "segment"), "user_id").groupBy("segment").agg(
+            F.sum("n").alias("orders_cnt"), F.sum("amount").alias("total_amount")),
+        "category_units": per_product.join(products.select("product_id", "category"), "product_id").groupBy("category").agg(
+            F.sum("n").alias("lines_cnt"), F.sum("quantity").alias("quantity")),
     }
+    for name, df in marts.items():
+        df.write.mode("overwrite").parquet(f"{root}/mart/{name}")
+        out[("mart", name)] = spark.read.parquet(f"{root}/mart/{name}")
+    return out
 
 
 # Load date of the registered run (the raw layer partition it lands in).
 RUN_DATE = "2026-05-20"
 
+_COUNTS = "\nUNION ALL ".join(
+    f"SELECT '{layer}' AS layer, '{e.name}{suffix}' AS table_name, {n} AS rows_cnt FROM {e.source}"
+    for e in ENTITIES
+    for layer, suffix, n in (("raw", "", "COUNT(*)"), ("stg", "", "COUNT(*)"), ("stg", "_rejects", "COUNT(*) * 0"),
+                             ("ods", "", "COUNT(*)")))
+
 
-@register("layer_counts", "DQ3/M10", oracle="""
-SELECT 'raw' AS layer, 'orders' AS table_name, COUNT(*) AS rows_cnt FROM orders
-UNION ALL SELECT 'stg', 'orders', COUNT(*) FROM orders
-UNION ALL SELECT 'stg', 'orders_rejects', 0 FROM (SELECT 1) t
-UNION ALL SELECT 'ods', 'orders', COUNT(*) FROM orders
-UNION ALL SELECT 'ods', 'order_items', COUNT(*) FROM lineitem
+@register("layer_counts", "DQ3/M10", oracle=f"""
+{_COUNTS}
 UNION ALL SELECT 'mart', 'order_status_stats', COUNT(DISTINCT o_orderstatus) FROM orders
+UNION ALL SELECT 'mart', 'segment_revenue', COUNT(DISTINCT c_mktsegment) FROM customer JOIN orders ON o_custkey = c_custkey
+UNION ALL SELECT 'mart', 'category_units', COUNT(DISTINCT p_type) FROM part JOIN lineitem ON l_partkey = p_partkey
 """)
 def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row counts per layer after running the whole flow twice."""
+    """Row counts of every entity in every layer and of three marts, after
+    running the whole flow twice."""
     root = scratch_path(spark, "lake_run")
     run_layers(spark, sf_dir, root, RUN_DATE)
     frames = run_layers(spark, sf_dir, root, RUN_DATE)
