@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from lakemart.llm import textbatch as tb
 from lakemart.llm.bpe import SLICE_BYTES, ByteBpe
+from lakemart.llm.common import staged
 from lakemart.session import scratch_path
 
 BLOCK = 1024
@@ -206,10 +207,11 @@ DOC_TYPE = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("s
 def read_ids(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
     """One row per written document: its id, the number of ids before it, its
     number of ids, their crc32 (as little-endian uint32) and, if asked, the ids."""
-    # A part's own total needs no more than one row per part here.
     segments = spark.read.schema(SEGMENT_TYPE).parquet(path)
     parts = segments.groupBy("part").agg(F.sum("n_ids").alias("n"))
-    base = parts.selectExpr("part", "sum(n) OVER (ORDER BY part ROWS UNBOUNDED PRECEDING) - n AS base")
+    # One row per writing task; written, so that its size is known and the
+    # segments need not move to meet it.
+    base = staged(parts.selectExpr("part", "sum(n) OVER (ORDER BY part ROWS UNBOUNDED PRECEDING) - n AS base"), "token-id-parts")
     rows = segments.join(base, "part").select("base", "start_in_part", "doc_ids", "doc_sizes", "block_words", "words")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
