@@ -48,6 +48,7 @@ STEPS = 40
 RATE = 0.3
 DECAY = 1e-4
 LANES = 512
+SLICE_BYTES = 2 << 20     # text worked on at once: bounds a task's work space
 UNKNOWN = "und"
 
 _LETTER = np.zeros(256, dtype=bool)
@@ -298,6 +299,9 @@ PREDICTION_TYPE = T.StructType([T.StructField("lang_pred", T.StringType(), False
                                 T.StructField("n_words", T.LongType(), False),
                                 T.StructField("n_switched", T.LongType(), False)])
 
+_PREDICTION_ARROW = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("n_words", pa.int64()),
+                               ("n_switched", pa.int64())])
+
 
 def predict_batch(model: Model | None, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
     """Language, score, words, and words labelled with another language, per text."""
@@ -331,22 +335,20 @@ def _ascii_letters(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def identify(docs: DataFrame, model: Model | None, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` of ``docs`` (default: all) with a struct column
     ``language`` (lang_pred, score, n_words, n_switched); the name gets
-    underscores if it is taken."""
+    underscores if it is taken.  Only texts go to Python, only verdicts come
+    back."""
     name = free_name(docs, "language")
-    at = [docs.columns.index(c) for c in (docs.columns if keep is None else keep)]
-    text_at = docs.columns.index(text_col)
-    schema = T.StructType([*[docs.schema.fields[k] for k in at], T.StructField(name, PREDICTION_TYPE, False)])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo, hi in tb.slices(batch.column(text_at), 6 << 20):
-                part = batch.slice(lo, hi - lo)
-                lang, score, words, other = predict_batch(shared.value, part.column(text_at))
-                struct = pa.StructArray.from_arrays(
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            parts = []
+            for lo, hi in tb.slices(texts, SLICE_BYTES):
+                lang, score, words, other = predict_batch(shared.value, texts.slice(lo, hi - lo))
+                parts.append(pa.StructArray.from_arrays(
                     [pa.array(lang, pa.string()), pa.array(score), pa.array(words), pa.array(other)],
-                    names=PREDICTION_TYPE.names)
-                yield pa.RecordBatch.from_arrays([*[part.column(k) for k in at], struct],
-                                                 names=[f.name for f in schema.fields])
+                    names=PREDICTION_TYPE.names))
+            yield pa.concat_arrays(parts) if parts else pa.array([], _PREDICTION_ARROW)
 
-    return docs.mapInArrow(run, schema)
+    verdict = F.arrow_udf(run, PREDICTION_TYPE)
+    return docs.select(*(docs.columns if keep is None else keep), verdict(F.col(text_col)).alias(name))

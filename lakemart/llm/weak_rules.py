@@ -33,6 +33,7 @@ from lakemart.llm import textbatch as tb
 from lakemart.llm.common import free_name, staged
 
 MIN_WORDS = 50
+SLICE_BYTES = 2 << 20     # text worked on at once: bounds a task's work space
 SYMBOLS = b"#*$%&|<>"
 COUNT_FIELDS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                 "n_lines", "n_letters", "n_upper", "n_letter_words", "n_shouts", "n_distinct_words"]
@@ -86,7 +87,7 @@ def repeats(h: np.ndarray, docs: np.ndarray, offs: np.ndarray, width: int) -> tu
 def count_batch(texts: pa.Array) -> np.ndarray:
     """The counts of COUNT_FIELDS, one row per text."""
     out = np.zeros((len(texts), len(COUNT_FIELDS)), dtype=np.int64)
-    for lo, hi in tb.slices(texts):
+    for lo, hi in tb.slices(texts, SLICE_BYTES):
         part = texts.slice(lo, hi - lo)
         b, off = tb.byte_view(part)
         starts, ends, woff = tb.word_spans(b, off)
@@ -111,19 +112,15 @@ def count_batch(texts: pa.Array) -> np.ndarray:
 
 def with_counts(df: DataFrame, text_col: str, name: str, keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` of ``df`` (default: all) and a struct column
-    ``name`` of the counts of each text."""
-    at = [df.columns.index(c) for c in (df.columns if keep is None else keep)]
-    text_at = df.columns.index(text_col)
-    schema = T.StructType([*[df.schema.fields[k] for k in at], T.StructField(name, COUNTS_TYPE, False)])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts = count_batch(batch.column(text_at))
-            struct = pa.StructArray.from_arrays([pa.array(c) for c in counts.T], names=COUNT_FIELDS)
-            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in at], struct],
-                                             names=[f.name for f in schema.fields])
-
-    return df.mapInArrow(run, schema)
+    ``name`` of the counts of each text.  Only texts go to Python, only counts
+    come back."""
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.StructArray.from_arrays([pa.array(c) for c in count_batch(texts).T], names=COUNT_FIELDS)
+
+    counts = F.arrow_udf(run, COUNTS_TYPE)
+    return df.select(*(df.columns if keep is None else keep), counts(F.col(text_col)).alias(name))
 
 
 @dataclass(frozen=True)
