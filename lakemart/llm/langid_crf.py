@@ -116,7 +116,7 @@ class Model:
     def emissions(self, words: pa.Array) -> np.ndarray:
         """Scores of distinct words, words x languages."""
         whole, buckets, at = features(words)
-        out = _sums(self.grams[buckets], at)
+        out = _gram_sums(self.grams, buckets, at)
         # A word's n-grams speak with one voice, however long it is.
         out /= np.sqrt(np.maximum(1, np.diff(at)))[:, None]
         k = _find(self.lexicon, whole)
@@ -131,6 +131,16 @@ def _find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(table[at] == keys, at, -1)
 
 
+def _gram_sums(grams: np.ndarray, buckets: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Sums of the weights of each word's n-grams, a language at a time (every
+    word has some)."""
+    out = np.empty((len(at) - 1, grams.shape[1]))
+    for c in range(grams.shape[1]):
+        if len(out):
+            out[:, c] = np.add.reduceat(np.ascontiguousarray(grams[:, c])[buckets], at[:-1])
+    return out
+
+
 def _sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Sums of the rows of each range."""
     total = np.zeros((len(values) + 1, values.shape[1]))
@@ -262,16 +272,16 @@ def fit(texts: pa.Array, labels: list[str]) -> Model:
     goal_first = np.bincount(truth[starts], minlength=k)
     owner = np.repeat(np.arange(len(whole)), np.diff(at))
     for step in range(1, STEPS + 1):
-        scores = _sums(model.grams[buckets], at) * scale[:, None]
+        scores = _gram_sums(model.grams, buckets, at) * scale[:, None]
         scores[in_lex >= 0] += model.words[in_lex[in_lex >= 0]]
         gamma, moves, firsts = forward_backward(scores[word], seq_sizes, model.change, model.first, transitions=True)
         miss = -gamma
         miss[np.arange(len(truth)), truth] += 1
         by_word = np.stack([np.bincount(word, weights=miss[:, c], minlength=len(whole)) for c in range(k)], axis=1)
-        to_grams = (by_word * scale[:, None])[owner]
         grads = [np.stack([np.bincount(in_lex[in_lex >= 0], weights=by_word[in_lex >= 0, c], minlength=len(lexicon))
                            for c in range(k)], axis=1) if len(lexicon) else model.words * 0,
-                 np.stack([np.bincount(buckets, weights=to_grams[:, c], minlength=BUCKETS) for c in range(k)], axis=1),
+                 np.stack([np.bincount(buckets, weights=(by_word[:, c] * scale)[owner], minlength=BUCKETS)
+                           for c in range(k)], axis=1),
                  goal_moves - moves, goal_first - firsts]
         for p, g, m, v in zip(params, grads, mean, square):
             g = g / max(1, len(truth)) - DECAY * p
