@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from lakemart.llm import textbatch as tb
 
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 6 << 20
 KNOWN_UNITS = 300_000      # units a task remembers between slices: bounds its memory, not its results
 JOINED_UNITS = 1000        # units given to the library as one text
 
