@@ -32,7 +32,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def slices(texts: pa.Array, max_bytes: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def slices(texts: pa.Array, max_bytes: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges whose texts hold about ``max_bytes`` (one row at least), so
     numpy work space stays bounded whatever a batch holds."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0)).astype(np.int64)
