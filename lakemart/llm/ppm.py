@@ -18,12 +18,18 @@ How it runs
     1. One scan counts words and (ORDER+1)-byte strings of the training
        documents, combined in each task, then summed by key.  Shorter contexts
        are sums over the longest ones.
-    2. The trie goes to every task.  It must fit MAX_TRIE entries: the order is
-       the largest up to ORDER that does (order 1 always does), so its size has
-       a bound whatever the corpus.
+    2. The trie goes to every task, whole if it has at most MAX_TRIE of the
+       longest strings.  Else only the contexts seen most often go, with all
+       that followed them, at most MAX_TRIE entries; the others stay staged.  A
+       suffix of a frequent context is frequent, so a byte whose longest context
+       is in the tasks' part needs no other.
     3. A second scan scores the texts.  Counts of frequent words go along: those
        that are at least one in MAX_FREQUENT of all tokens, hence at most so
-       many.  All other words of a text are joined to their counts by a shuffle.
+       many.  All other words of a text are joined to their counts by a shuffle,
+       and so are bytes whose longest context is not in the tasks' part: each
+       distinct one is looked up once, in the staged contexts that are longer
+       than the tasks' part knows.  The order and the scores do not depend on
+       MAX_TRIE.
 
 Words are told apart by 64-bit hashes, byte strings exactly.
 
@@ -37,6 +43,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -142,16 +149,28 @@ class Level:
     next_open: np.ndarray    # whether that context has any other byte
 
 
+def _logs(total: np.ndarray, kinds: np.ndarray, rest: np.ndarray, more: np.ndarray) -> list[np.ndarray]:
+    """top, top_escape, next_share and next_escape of contexts."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        logs = (-np.log10(2 * total), np.log10(kinds) - np.log10(2 * total),
+                -np.log10(2 * rest), np.log10(more) - np.log10(2 * rest))
+        return [x.astype(np.float32) for x in logs]
+
+
 class Trie:
-    """All levels up to an order, from the counts of the longest strings."""
-
-    def __init__(self, codes: np.ndarray, counts: np.ndarray, order: int):
-        self.order, self.levels = order, []
-        tables = [(codes, counts.astype(np.float64))]
-        for k in range(order - 1, -1, -1):
-            short = tables[0][0] & _low_bytes(k + 1)
-            keys, where = np.unique(short, return_inverse=True)
-            tables.insert(0, (keys, np.bincount(where, weights=tables[0][1], minlength=len(keys))))
+    """All levels up to an order, from the counts of the longest strings, or
+    from those of each level (ascending; with a context, all that followed it
+    and all its suffixes are there)."""
+
+    def __init__(self, codes: np.ndarray, counts: np.ndarray, order: int,
+                 tables: list[tuple[np.ndarray, np.ndarray]] | None = None):
+        self.order, self.levels, self.whole = order, [], tables is None
+        if tables is None:
+            tables = [(codes, counts.astype(np.float64))]
+            for k in range(order - 1, -1, -1):
+                short = tables[0][0] & _low_bytes(k + 1)
+                keys, where = np.unique(short, return_inverse=True)
+                tables.insert(0, (keys, np.bincount(where, weights=tables[0][1], minlength=len(keys))))
         self.unseen = np.log10(1.0 / max(1, 256 - len(tables[0][0])))
         totals: list[tuple] = []
         for k, (entry, count) in enumerate(tables):
@@ -166,11 +185,8 @@ class Trie:
                 rest = below_total[parent] - np.add.reduceat(same, first)
                 more = below_kinds[parent] - kinds
             totals.append((context, total, kinds))
-            with np.errstate(divide="ignore", invalid="ignore"):
-                logs = (-np.log10(2 * total), np.log10(kinds) - np.log10(2 * total),
-                        -np.log10(2 * rest), np.log10(more) - np.log10(2 * rest))
-                self.levels.append(Level(entry, np.log10(2 * count - 1).astype(np.float32), context,
-                                         *[x.astype(np.float32) for x in logs], more > 0))
+            self.levels.append(Level(entry, np.log10(2 * count - 1).astype(np.float32), context,
+                                     *_logs(total, kinds, rest, more), more > 0))
 
     def log10(self, codes: np.ndarray) -> np.ndarray:
         """log10 of the prediction of each byte in its context."""
@@ -205,6 +221,47 @@ class Trie:
         out[live] += self.unseen
         return out
 
+    def knows(self, codes: np.ndarray, k: int) -> np.ndarray:
+        """Whether the context of ``k`` bytes of each byte is here."""
+        return _find(self.levels[k].context, (codes & _low_bytes(k + 1)) >> np.uint64(8))[1]
+
+    def log10_beside(self, codes: np.ndarray, staged: dict[int, list[np.ndarray]]) -> np.ndarray:
+        """``log10`` where some contexts are not here: ``staged`` has for a
+        level count, total, kinds, rest and more of them (total 0: unknown)."""
+        n = len(codes)
+        out, live, known, usable = np.zeros(n), np.ones(n, bool), np.zeros(n, bool), np.ones(n, bool)
+        share, escape = np.zeros(n, np.float32), np.zeros(n, np.float32)
+        for k in range(self.order, -1, -1):
+            level, code = self.levels[k], codes & _low_bytes(k + 1)
+            count, opens = np.zeros(n, np.float32), np.zeros(n, bool)
+            hit, there = np.zeros(n, bool), np.zeros(n, bool)
+            logs = [np.zeros(n, np.float32) for _ in range(4)]
+            if k in staged:
+                seen, total, kinds, rest, more = staged[k]
+                hit, there, opens = seen > 0, total > 0, more > 0
+                count[hit] = np.log10(2 * seen[hit] - 1)
+                logs = _logs(total, kinds, rest, more)
+            if len(level.entry):
+                at, here = _find(level.entry, code)
+                hit[here], count[here] = True, level.count[at[here]]
+                node, here = _find(level.context, code >> np.uint64(8))
+                node = node[here]
+                there[here], opens[here] = True, level.next_open[node]
+                for x, y in zip(logs, (level.top, level.top_escape, level.next_share, level.next_escape)):
+                    x[here] = y[node]
+            top, top_escape, next_share, next_escape = logs
+            fresh = there & ~known
+            share[fresh], escape[fresh], usable[fresh] = top[fresh], top_escape[fresh], True
+            known |= there
+            found = live & hit & there & usable
+            out[found] += count[found] + share[found]
+            leave = live & there & ~found & usable
+            out[leave] += escape[leave]
+            share[there], escape[there], usable[there] = next_share[there], next_escape[there], opens[there]
+            live &= ~found
+        out[live] += self.unseen
+        return out
+
     def _context_of_entry(self) -> np.ndarray:
         if not hasattr(self, "_owner"):
             level = self.levels[self.order]
@@ -224,19 +281,100 @@ def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, table[at] == keys
 
 
-def train_trie(counts: DataFrame, order: int) -> Trie:
-    """The trie of the largest order up to ``order`` whose entries fit
-    MAX_TRIE; only that many rows reach the driver."""
-    grams = counts.filter(F.col("kind") == GRAM_KEY)
-    for k in range(order, -1, -1):
-        key = F.col("key").bitwiseAND(F.lit((1 << (8 * (k + 1))) - 1)) if k < order else F.col("key")
-        level = grams.groupBy(key.alias("key")).agg(F.sum("n").alias("n"))
-        if k <= 1 or level.count() <= MAX_TRIE:
+def _sorted_arrays(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    rows = table.select("key", "n").toArrow()
+    keys, n = rows["key"].to_numpy().view(np.uint64), rows["n"].to_numpy()
+    by = np.argsort(keys)
+    return keys[by], n[by]
+
+
+@dataclass
+class Contexts:
+    """What is too large for the tasks: strings (``entry``, n) and contexts
+    (``context``, level, total, kinds, rest, more) of 2 bytes and more.  Keys
+    have a one before their bytes, so those of all levels differ."""
+
+    entries: DataFrame
+    nodes: DataFrame
+
+
+def _marked(key: Column, size: int) -> Column:
+    return key.bitwiseOR(F.lit(1 << (8 * size)))
+
+
+def train_trie(counts: DataFrame, order: int) -> tuple[Trie, Contexts | None]:
+    """The tasks' part of the trie, and the staged rest if that is not all;
+    about MAX_TRIE rows at most reach the driver."""
+    grams = counts.filter(F.col("kind") == GRAM_KEY).select("key", "n")
+    if order < 2 or grams.count() <= MAX_TRIE:
+        return Trie(*_sorted_arrays(grams), order), None
+    low = lambda c, size: F.col(c).bitwiseAND(F.lit((1 << (8 * size)) - 1))
+    up = F.shiftright("key", 8)
+    levels = [grams]
+    for k in range(order - 1, -1, -1):
+        shorter = levels[0].groupBy(low("key", k + 1).alias("key")).agg(F.sum("n").alias("n"))
+        levels.insert(0, staged(shorter, f"ppm-level-{k}"))
+    nodes, entries = [], []
+    for k in range(2, order + 1):
+        parents = levels[k - 1].groupBy(up.alias("parent")).agg(
+            F.sum("n").alias("parent_total"), F.count("n").alias("parent_kinds"))
+        below = levels[k - 1].select(F.col("key").alias("below"), F.col("n").alias("m"))
+        own = (levels[k].withColumn("below", low("key", k)).join(below, "below").groupBy(up.alias("key"))
+               .agg(F.sum("n").alias("total"), F.count("n").alias("kinds"), F.sum("m").alias("same")))
+        nodes.append(own.withColumn("parent", low("key", k - 1)).join(parents, "parent").select(
+            _marked(F.col("key"), k).alias("context"), F.lit(k).alias("level"), "total", "kinds",
+            (F.col("parent_total") - F.col("same")).alias("rest"), (F.col("parent_kinds") - F.col("kinds")).alias("more")))
+        entries.append(levels[k].select(_marked(F.col("key"), k + 1).alias("entry"), "n"))
+    union = lambda parts: reduce(DataFrame.unionByName, parts)
+    nodes = staged(union(nodes), "ppm-contexts")
+    # Entries by the binary digits of their context's total: a context goes along if it has enough digits.
+    digits, room, least = F.length(F.bin("total")), MAX_TRIE, 64
+    for r in sorted(nodes.groupBy(digits.alias("d")).agg(F.sum("kinds").alias("n")).collect(), reverse=True):
+        room -= r["n"]
+        if room < 0:
             break
-    table = level.toArrow()
-    codes = table["key"].to_numpy().view(np.uint64)
-    by = np.argsort(codes)
-    return Trie(codes[by], table["n"].to_numpy()[by], k)
+        least = r["d"]
+    often = nodes.filter(digits >= least)
+    tables = [_sorted_arrays(x) for x in levels[:2]]
+    for k in range(2, order + 1):
+        tables.append(_sorted_arrays(levels[k].withColumn("context", _marked(up, k)).join(
+            often.filter(F.col("level") == k).select("context"), "context", "left_semi")))
+    trie = Trie(*tables[-1], order, [(keys, n.astype(np.float64)) for keys, n in tables])
+    return trie, Contexts(union(entries), nodes.filter(digits < least))
+
+
+PROBE_TYPE = T.StructType([T.StructField(x, T.LongType(), False) for x in ("code", "entry", "context")])
+STAGED_FIELDS = ["n", "total", "kinds", "rest", "more"]
+
+
+def staged_scores(codes: DataFrame, model, contexts: Contexts, order: int) -> DataFrame:
+    """log10 of the prediction (``p``) of each distinct ``code`` whose longest
+    context is not in the tasks' part.  Only contexts that are not there are
+    joined, so none of the keys was seen often."""
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            code = batch.column(0).to_numpy().view(np.uint64)
+            for k in range(order, 1, -1):
+                ask = code[~model.value[0].knows(code, k)]
+                entry = ask & _low_bytes(k + 1)
+                yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (
+                    ask, entry | np.uint64(1 << (8 * (k + 1))), (entry >> np.uint64(8)) | np.uint64(1 << (8 * k)))],
+                    names=PROBE_TYPE.names)
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            code = batch.column(0).to_numpy()
+            found = {k: [batch.column(f"{x}{k}").to_numpy().astype(np.float64) for x in STAGED_FIELDS]
+                     for k in range(2, order + 1)}
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(code), pa.array(model.value[0].log10_beside(code.view(np.uint64), found))], names=["code", "p"])
+
+    found = (codes.mapInArrow(probe, PROBE_TYPE).join(contexts.nodes, "context", "left")
+             .join(contexts.entries, "entry", "left").groupBy("code").agg(*[
+                 F.coalesce(F.max(F.when(F.col("level") == k, F.col(x))), F.lit(0)).alias(f"{x}{k}")
+                 for k in range(2, order + 1) for x in STAGED_FIELDS]))
+    return found.mapInArrow(finish, "code long, p double")
 
 
 def is_frequent(total: int) -> Column:
@@ -253,11 +391,24 @@ def frequent_words(words: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray
     return keys[by], n[by]
 
 
+def counted_lists(keys: np.ndarray, doc: np.ndarray, n_docs: int) -> list[pa.Array]:
+    """The distinct keys of each document, and how often each is there."""
+    by = np.lexsort((keys, doc))
+    keys, doc = keys[by], doc[by]
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])
+    first = np.flatnonzero(new)
+    lists = pa.array(np.searchsorted(doc[first], np.arange(n_docs + 1)).astype(np.int32))
+    times = np.diff(np.append(first, len(keys))).astype(np.int32)
+    return [pa.ListArray.from_arrays(lists, pa.array(x)) for x in (keys[first], times)]
+
+
 SCORE_TYPE = T.StructType([
     T.StructField("row", T.LongType(), False), T.StructField("score", T.DoubleType(), False),
     T.StructField("n_tokens", T.LongType(), False), T.StructField("n_known", T.LongType(), False),
     T.StructField("known_sum", T.DoubleType(), False),     # sum of log10(count + 0.5) of the frequent words
-    T.StructField("rare", T.ArrayType(T.LongType()), False), T.StructField("rare_n", T.ArrayType(T.IntegerType()), False)])
+    T.StructField("rare", T.ArrayType(T.LongType()), False), T.StructField("rare_n", T.ArrayType(T.IntegerType()), False),
+    T.StructField("code", T.ArrayType(T.LongType()), False), T.StructField("code_n", T.ArrayType(T.IntegerType()), False)])
 
 
 def score(docs: DataFrame, train: Column, keep: list[str], text_col: str = "text", order: int = ORDER) -> DataFrame:
@@ -271,7 +422,8 @@ def score(docs: DataFrame, train: Column, keep: list[str], text_col: str = "text
         F.sum(F.when(F.col("kind") == END_KEY, F.col("n"))).alias("ends")).first()
     total, types, ends = sums["tokens"] or 0, sums["types"], sums["ends"] or 0
     keys, n = frequent_words(words, total)
-    model = spark.sparkContext.broadcast((train_trie(counts, order), keys, np.log10(n + 0.5)))
+    trie, contexts = train_trie(counts, order)
+    model = spark.sparkContext.broadcast((trie, keys, np.log10(n + 0.5)))
 
     at = [docs.columns.index(c) for c in keep]
     text_at = docs.columns.index(text_col)
@@ -286,8 +438,12 @@ def score(docs: DataFrame, train: Column, keep: list[str], text_col: str = "text
                 b, off, s, place = symbols(batch.column(text_at).slice(lo, hi - lo), trie.order)
                 real = s != START
                 p = np.zeros(len(s) + 1)
-                p[1:][real] = trie.log10(gram_codes(s, trie.order)[real])
+                code, at_byte = gram_codes(s, trie.order)[real], np.flatnonzero(real)
+                far = np.zeros(len(code), bool) if trie.whole else ~trie.knows(code, trie.order)
+                p[1:][at_byte[~far]] = trie.log10(code[~far])
                 np.cumsum(p, out=p)
+                codes = counted_lists(code[far].view(np.int64),
+                                      np.searchsorted(place, at_byte[far], side="right") - 1, hi - lo)
                 starts, stops, woff = tb.word_spans(b, off)
                 h = tb.hash_spans(b, starts, stops).view(np.int64)
                 found, hit = _find(known, h)
@@ -295,21 +451,13 @@ def score(docs: DataFrame, train: Column, keep: list[str], text_col: str = "text
                 sums[1:][hit] = logs[found[hit]]
                 np.cumsum(sums, out=sums)
                 rare = np.flatnonzero(~hit)
-                doc = np.searchsorted(woff, rare, side="right") - 1
-                by = np.lexsort((h[rare], doc))
-                key, doc = h[rare][by], doc[by]
-                new = np.ones(len(key), dtype=bool)
-                new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
-                first = np.flatnonzero(new)
-                lists = np.searchsorted(doc[first], np.arange(hi - lo + 1)).astype(np.int32)
+                rares = counted_lists(h[rare], np.searchsorted(woff, rare, side="right") - 1, hi - lo)
                 yield pa.RecordBatch.from_arrays([
                     *[batch.column(k).slice(lo, hi - lo) for k in at],
                     pa.array(row + np.arange(hi - lo)), pa.array(p[place[1:]] - p[place[:-1]]),
                     pa.array(np.diff(woff) + 1), pa.array(tb.count_per_doc(hit, woff)),
                     pa.array(sums[woff[1:]] - sums[woff[:-1]]),
-                    pa.ListArray.from_arrays(pa.array(lists), pa.array(key[first])),
-                    pa.ListArray.from_arrays(pa.array(lists), pa.array(
-                        np.diff(np.append(first, len(key))).astype(np.int32)))], names=schema.names)
+                    *rares, *codes], names=schema.names)
                 row += hi - lo
 
     scored = staged(docs.mapInArrow(run, schema), "ppm-scores")
@@ -323,7 +471,15 @@ def score(docs: DataFrame, train: Column, keep: list[str], text_col: str = "text
     base = (F.col("known_sum") + zero("logs") + (n_rare - zero("times")) * float(np.log10(0.5))
             + float(np.log10(ends + 0.5)) - F.col("n_tokens") * size)
     end_known = 1 if ends else 0
+    score = F.col("score")
+    if contexts:
+        far = scored.select("row", F.explode(F.arrays_zip("code", "code_n")).alias("c")).select(
+            "row", F.col("c.code").alias("code"), F.col("c.code_n").alias("times"))
+        known = staged_scores(far.select("code").distinct(), model, contexts, order)
+        more = far.join(known, "code").groupBy("row").agg(F.sum(F.col("times") * F.col("p")).alias("far")).join(
+            more, "row", "full")
+        score = score + zero("far")
     return scored.join(more, "row", "left").select(
         *[F.col(x).alias(c) for x, c in zip(names, keep)], "n_tokens",
         (F.col("n_known") + zero("times") + end_known).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
+        F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), score.alias("score"))

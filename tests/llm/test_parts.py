@@ -76,6 +76,21 @@ def test_empty_trie_predicts_all_symbols_alike():
     assert 10 ** trie.log10(np.arange(5, dtype=np.uint64)) == pytest.approx([1 / 256] * 5)
 
 
+@pytest.mark.parametrize("most", [1, 300, 3000])
+def test_scores_do_not_depend_on_what_travels_with_the_tasks(spark, tiny, monkeypatch, most):
+    docs = spark.read.parquet(f"{tiny}/documents.parquet").select("doc_id", "text")
+
+    def scores():
+        table = ppm.score(docs, F.col("doc_id") % 5 != 1, keep=["doc_id"]).toPandas()
+        return table.sort_values(["doc_id", "score"]).reset_index(drop=True)
+
+    whole = scores()
+    monkeypatch.setattr(ppm, "MAX_TRIE", most)
+    cut = scores()
+    assert cut.score.tolist() == pytest.approx(whole.score.tolist(), rel=1e-9)
+    assert cut.drop(columns="score").equals(whole.drop(columns="score"))
+
+
 def test_forward_backward():
     rng = np.random.default_rng(0)
     sizes, k = np.array([7, 0, 20, 1, 33]), 3
