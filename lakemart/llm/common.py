@@ -7,8 +7,12 @@ machine-local folder, so any executor can be lost and its work redone.
 
 from __future__ import annotations
 
+import zlib
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakemart.session import scratch_path
 
@@ -50,6 +54,37 @@ def drop_staged(*frames: DataFrame) -> None:
             target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
 
 
+STRETCH_CHARS = 1000
+
+
+def stretches(text: str | None, most: int) -> str | None:
+    """``text``, or if it is longer than ``most`` characters, stretches of its
+    whole length chosen by hash, in order, of that many characters together.
+    Words that a cut splits are left out."""
+    if text is None or len(text) <= most:
+        return text
+    size = min(STRETCH_CHARS, most)
+    starts = sorted(sorted(range(0, len(text), size), key=lambda k: zlib.crc32(b"%d" % k))[:most // size])
+    out = []
+    for k in starts:
+        part = text[k:k + size]
+        if k and not text[k - 1].isspace():
+            part = part.split(None, 1)[-1]
+        if k + size < len(text) and not text[k + size].isspace():
+            part = part.rsplit(None, 1)[0]
+        out.append(part)
+    return "\n".join(out)[:most]
+
+
+def bounded_text(text: Column, most: int) -> Column:
+    """``stretches`` of a column."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([stretches(x.as_py(), most) for x in texts], pa.string())
+
+    return F.arrow_udf(run, T.StringType())(text)
+
+
 def hash_spread(ids: DataFrame, id_col: str, group: str, buckets: int) -> DataFrame:
     """At most ``buckets`` ids of each group: the id of least hash in each
     hash bucket.  A plain aggregate (combined map-side), so one group may hold

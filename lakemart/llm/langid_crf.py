@@ -12,8 +12,9 @@ Training sequences join stretches of documents of different languages, since
 that is where transitions come from; a word's label is its document's.
 
 How it runs: the model is fitted on a bounded sample (FIT_DOCS documents a
-language, chosen by hash, of at most FIT_CHARS characters each) on the driver
-and sent to every task (a table of fixed size).  Prediction is one scan.
+language, chosen by hash; of a text longer than FIT_CHARS characters, stretches
+from the whole of it with that many) on the driver and sent to every task (a
+table of fixed size).  Prediction is one scan.
 Forward and backward passes run over many documents at once: documents are
 laid end to end in lanes, and a document's first word forgets the lane's past.
 
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart.llm import textbatch as tb
-from lakemart.llm.common import free_name, hash_spread
+from lakemart.llm.common import bounded_text, free_name, hash_spread
 
 FIT_DOCS = 150
 FIT_CHARS = 20_000
@@ -294,12 +295,12 @@ def fit(texts: pa.Array, labels: list[str]) -> Model:
 def train(docs: DataFrame, teaches: Column, id_col: str = "doc_id", text_col: str = "text",
           lang_col: str = "lang") -> Model | None:
     """A model of the bounded sample of the rows that ``teaches`` selects."""
-    rows = docs.filter(teaches & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
-                       & (F.length(text_col) <= FIT_CHARS)).select(
+    rows = docs.filter(teaches & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("i"), F.col(lang_col).alias("l"), F.col(text_col).alias("t"))
     chosen = hash_spread(rows.select("i", "l"), "i", "l", FIT_DOCS)
     # FIT_DOCS ids a language: a table of bounded size.
-    table = rows.join(F.broadcast(chosen), ["i", "l"]).select("l", "t", "i").toArrow()
+    table = rows.join(F.broadcast(chosen), ["i", "l"]).select(
+        "l", bounded_text(F.col("t"), FIT_CHARS).alias("t"), "i").toArrow()
     table = table.take(pc.sort_indices(table, [("i", "ascending"), ("t", "ascending")]))
     return fit(table["t"].combine_chunks(), table["l"].to_pylist()) if table.num_rows else None
 

@@ -8,9 +8,10 @@ labelled sample gives the latent axes; labelled latent vectors go to every
 task, every document is compared with all of them by exact blocked cosine
 products, and its K nearest vote with their similarity as weight.
 
-The sample (FIT_DOCS documents a class, chosen by hash, of at most FIT_CHARS
-characters each) is the only thing fitted on a part of the data; class shares
-come from all training rows.  Prediction is one scan.
+The sample (FIT_DOCS documents a class, chosen by hash; of a text longer than
+FIT_CHARS characters, stretches from the whole of it with that many) is the
+only thing fitted on a part of the data; class shares come from all training
+rows.  Prediction is one scan.
 
 Defined results: a NULL or empty text has no terms; its score is the share of
 class 1.  All documents as similar as the K-th neighbour vote, so ties do not
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart.llm import textbatch as tb
-from lakemart.llm.common import free_name, hash_spread
+from lakemart.llm.common import bounded_text, free_name, hash_spread
 from lakemart.llm.weak_rules import repeats
 
 FIT_DOCS = 1000
@@ -140,12 +141,13 @@ def train(docs: DataFrame, labels: DataFrame, teaches: Column, id_col: str = "do
     marks = labels.filter(teaches & F.col(label_col).isin(0, 1)).select(
         F.col(id_col).alias("i"), F.col(label_col).cast("int").alias("y"))
     sizes = {r["y"]: r["count"] for r in marks.groupBy("y").count().collect()}
-    rows = docs.filter(F.col(text_col).isNotNull() & (F.length(text_col) <= FIT_CHARS)).select(
+    rows = docs.filter(F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("i"), F.col(text_col).alias("t"))
     known = marks.join(rows.select("i"), "i", "left_semi")
     chosen = hash_spread(known, "i", "y", FIT_DOCS)
     # FIT_DOCS ids a class: a table of bounded size.
-    table = rows.join(F.broadcast(chosen), "i").select("i", "y", "t").toArrow()
+    table = rows.join(F.broadcast(chosen), "i").select(
+        "i", "y", bounded_text(F.col("t"), FIT_CHARS).alias("t")).toArrow()
     if not table.num_rows:
         return None
     table = table.take(pc.sort_indices(table, [("i", "ascending"), ("y", "ascending"), ("t", "ascending")]))

@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lakemart.llm import langid_crf, ngram_join, packing, ppm, secret_markov, simple8b, weak_rules
+from lakemart.llm import common, langid_crf, ngram_join, packing, ppm, quality_knn, secret_markov, simple8b, weak_rules
 from lakemart.llm import textbatch as tb
 from lakemart.llm.components import components
 
@@ -126,6 +126,32 @@ def test_code_switched_words_get_their_own_language():
     assert score[1] > 0.9 > score[0] > 0.5 and score[2] == score[3] == 0
 
 
+def test_stretches_come_from_the_whole_text():
+    text = " ".join(f"w{k}" for k in range(30_000))
+    cut = common.stretches(text, 20_000)
+    words = [int(w[1:]) for w in cut.split()]
+    assert len(cut) <= 20_000 and len(words) > 2000 and words == sorted(set(words))
+    assert words[0] < 5000 and words[-1] > 25_000 and set(cut.split()) <= set(text.split())
+    assert common.stretches("ab c", 20_000) == "ab c" and common.stretches(None, 5) is None
+    assert len(common.stretches("漢" * 50_000, 20_000)) == 20_000
+
+
+def test_a_language_or_class_of_long_texts_is_learned(spark):
+    words = {"en": "the house with other water north when thing", "fr": "les maison où vous être après très château"}
+    rng = random.Random(1)
+    rows = [(k, " ".join(rng.choices(words["fr" if k % 2 else "en"].split(), k=4500 if k % 2 else 40)),
+             "fr" if k % 2 else "en", k % 2) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, quality int")
+    assert min(len(t) for _, t, lang, _ in rows if lang == "fr") > langid_crf.FIT_CHARS
+    for teaches in (F.lit(True), F.col("lang") == "fr"):
+        model = langid_crf.train(docs, teaches)
+        assert langid_crf.predict_batch(model, pa.array(["très après vous être"]))[0] == ["fr"]
+    model = quality_knn.train(docs, docs, F.lit(True))
+    assert sorted(set(model.labels)) == [0, 1]
+    held_out = pa.array([" ".join(rng.choices(words[x].split(), k=n)) for x, n in (("fr", 4500), ("en", 40))])
+    assert (model.score(quality_knn.term_counts(held_out)) > 0.5).tolist() == [True, False]
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.integers(0, 10_000))
 def test_divide_skip_finds_all_components(seed):
