@@ -20,6 +20,7 @@ Defined results
 from __future__ import annotations
 
 import math
+import unicodedata
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -36,7 +37,7 @@ MIN_WORDS = 50
 SLICE_BYTES = 2 << 20     # text worked on at once: bounds a task's work space
 SYMBOLS = b"#*$%&|<>"
 COUNT_FIELDS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                "n_lines", "n_letters", "n_upper", "n_letter_words", "n_shouts", "n_distinct_words"]
+                "n_lines", "n_letters", "n_upper", "n_letter_words", "n_shouts", "n_distinct_words", "n_unspaced"]
 COUNTS_TYPE = T.StructType([T.StructField(f, T.LongType(), False) for f in COUNT_FIELDS])
 
 _SYMBOL = np.zeros(256, dtype=bool)
@@ -46,6 +47,14 @@ _UPPER[65:91] = True
 _LETTER = _UPPER.copy()
 _LETTER[97:123] = True
 _LETTER[0xC3:] = True   # lead byte of a non-ASCII character
+# By code point, up to the last letter: letters and the marks that belong to them; scripts without blanks between words
+# (Thai, Lao, Tibetan, Burmese, Khmer, Chinese, Japanese) and the signs written among them.
+_ALPHA = np.array([unicodedata.category(chr(c))[0] in "LM" for c in range(0x323B0)] + [False])
+_UNSPACED = np.zeros(len(_ALPHA), dtype=bool)
+for _lo, _hi in ((0x0E00, 0x1100), (0x1780, 0x1800), (0x2E80, 0x3130), (0x31C0, 0xA4D0), (0xF900, 0xFB00),
+                 (0xFE30, 0xFE50), (0xFF00, 0xFFA0), (0x20000, 0x323B0)):
+    _UNSPACED[_lo:_hi] = True
+_UNSPACED[0x10A0:0x1100] = False   # Georgian
 _TRIM = " \t\n\x0b\x0c\r"
 
 
@@ -84,6 +93,21 @@ def repeats(h: np.ndarray, docs: np.ndarray, offs: np.ndarray, width: int) -> tu
     return tb.count_per_doc(covered, offs), distinct
 
 
+def _scripts(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Marks on the first byte of each letter, and of each character of a
+    script without blanks."""
+    alpha, unspaced = _LETTER & (np.arange(256) < 0x80), np.zeros(len(b), dtype=bool)
+    alpha = alpha[b]
+    at = np.flatnonzero(b >= 0xC2)
+    lead, tail = b[at].astype(np.int64), np.concatenate([b, np.zeros(3, np.uint8)]) & 0x3F
+    x, y, z = (tail[at + k].astype(np.int64) for k in (1, 2, 3))
+    point = np.where(lead < 0xE0, (lead & 0x1F) << 6 | x,
+                     np.where(lead < 0xF0, (lead & 0x0F) << 12 | x << 6 | y, (lead & 7) << 18 | x << 12 | y << 6 | z))
+    point = np.minimum(point, len(_ALPHA) - 1)
+    alpha[at], unspaced[at] = _ALPHA[point], _UNSPACED[point]
+    return alpha, unspaced
+
+
 def count_batch(texts: pa.Array) -> np.ndarray:
     """The counts of COUNT_FIELDS, one row per text."""
     out = np.zeros((len(texts), len(COUNT_FIELDS)), dtype=np.int64)
@@ -94,18 +118,21 @@ def count_batch(texts: pa.Array) -> np.ndarray:
         docs = tb.doc_of(woff)
         blank, lead = tb.BLANK[b], (b & 0xC0) != 0x80
         upper, letter = _UPPER[b], _LETTER[b]
+        alpha, unspaced = _scripts(b)
         total = np.zeros(len(b) + 1, dtype=np.int64)
-        np.cumsum(letter, out=total[1:])
-        lettered = total[ends] - total[starts]
+        # Twice the letters less the characters of a word: 0 or more where half of them are letters.
+        np.cumsum(2 * alpha.astype(np.int8) - lead, out=total[1:])
+        wordlike = total[ends] >= total[starts]
         shout = b[ends - 1] == ord("!") if len(ends) else np.zeros(0, bool)
         repeat, distinct = repeats(tb.hash_spans(b, starts, ends), docs, woff, 3)
         strings = part.to_pylist()
         cols = [np.diff(woff), tb.count_per_doc(lead & ~blank, off), tb.count_per_doc(_SYMBOL[b], off),
                 np.array([_dup_lines(s) if s else 0 for s in strings], dtype=np.int64), repeat,
                 np.array([s.count("\n") + 1 if s else 0 for s in strings], dtype=np.int64),
-                total[off[1:]] - total[off[:-1]], tb.count_per_doc(upper, off),
-                np.bincount(docs, weights=lettered * 2 >= ends - starts, minlength=hi - lo).astype(np.int64),
-                np.bincount(docs, weights=shout, minlength=hi - lo).astype(np.int64), distinct]
+                tb.count_per_doc(letter, off), tb.count_per_doc(upper, off),
+                np.bincount(docs, weights=wordlike, minlength=hi - lo).astype(np.int64),
+                np.bincount(docs, weights=shout, minlength=hi - lo).astype(np.int64), distinct,
+                tb.count_per_doc(unspaced, off)]
         out[lo:hi] = np.stack(cols, axis=1)
     return out
 
@@ -142,7 +169,9 @@ RULES = (
          lambda c: c["n_dup_lines"] * 10 <= c["n_lines"]),
     Rule("repeated_windows", lambda c: c["n_repeat_words"] * 10 > c["n_words"] * 3,
          lambda c: c["n_repeat_words"] * 10 <= c["n_words"]),
-    Rule("word_length", lambda c: (c["word_chars"] > c["n_words"] * 14) | (c["word_chars"] < c["n_words"] * 2),
+    # Characters of scripts without blanks say nothing of a word's length.
+    Rule("word_length", lambda c: (c["word_chars"] - c["n_unspaced"] > c["n_words"] * 14)
+         | (c["word_chars"] < c["n_words"] * 2),
          lambda c: c["word_chars"].between(c["n_words"] * 3, c["n_words"] * 11)),
     Rule("capitals", lambda c: c["n_upper"] * 5 > c["n_letters"] * 2, lambda c: c["n_upper"] * 7 <= c["n_letters"]),
     Rule("wordlike", lambda c: c["n_letter_words"] * 10 < c["n_words"] * 7,

@@ -251,6 +251,31 @@ def test_votes_learn_kinds_of_bad_documents():
     assert max(model.bad_rate[0]) <= 0.05
 
 
+def test_clean_texts_of_any_script_are_kept(spark):
+    rng = random.Random(3)
+    words = {"en": "the house with other water north when thing", "hi": "यह घर पानी के साथ उत्तर में हिन्दी भाषा और किताब है",
+             "ko": "그 집은 물과 함께 북쪽에 있는 다른 것 입니다", "th": "บ้านหลังนี้มีน้ำ ภาษาไทยเขียนติดกัน อยู่ทางเหนือ",
+             "zh": "这所房子在北方的水边，那里有很多其他的东西。 我们每天都在学习新的语言，也读很多书。 他们喜欢喝茶"}
+
+    def text(lang):
+        parts = [w + str(rng.randint(0, 9) if lang == "en" else "") for w in words[lang].split()]
+        if lang in ("zh", "th"):
+            parts = ["".join(rng.sample("".join(parts), len("".join(parts)))) for _ in range(30)]
+        return " ".join(rng.choice(parts) + rng.choice(parts) for _ in range(120))
+
+    rows = [(k, lang, text(lang)) for k, lang in enumerate(["en"] * 160 + ["hi", "ko", "th", "zh"] * 10)]
+    rows += [(900 + k, "junk", " ".join(f"{rng.randint(0, 10 ** 6)} ☀— 😀😀" for _ in range(60))) for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    votes = weak_rules.with_counts(docs, "text", "c").select("lang", weak_rules.vote_pattern(F.col("c")).alias("v"))
+    for r in votes.collect():
+        assert r["v"] == "gggggbgg" if r["lang"] == "junk" else "b" not in r["v"], r
+    judged = weak_rules.judge(docs.filter("lang != 'junk'")).collect()
+    assert all(r["quality"]["kept"] for r in judged) and len(judged) == 200
+    counts = weak_rules.count_batch(pa.array(["हिन्दी 漢字 été — 😀 1a", "中文，好。 ab", None]))
+    at = weak_rules.COUNT_FIELDS.index
+    assert counts[:, at("n_letter_words")].tolist() == [4, 2, 0] and counts[:, at("n_unspaced")].tolist() == [2, 5, 0]
+
+
 def test_operators_keep_other_columns(spark, tiny):
     docs = spark.read.parquet(f"{tiny}/documents.parquet")
     judged = weak_rules.judge(docs)
