@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakemart.llm import heap_means, license_diagonals, resampling
 from lakemart.llm.common import fold, read_table
 
 
@@ -100,6 +101,20 @@ def op10_secret_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(span_list(base), 256).alias("base_sha256"), span_list(every).alias("spans"))
 
 
+def op11_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_diagonals.digest(license_diagonals.scan(docs))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resampling.resample(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_heap_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return heap_means.inertias(heap_means.cluster_vectors(read_table(spark, sf_dir, "embeddings")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_grid_order_join": op1_grid_order_join,
     "op2_crf_language": op2_crf_language,
@@ -111,6 +126,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secret_markov": op10_secret_markov,
     "op9_mixture_packing": op9_mixture_packing,
     "op8_weak_supervision_rules": op8_weak_supervision_rules,
+    "op11_license_diagonals": op11_license_diagonals,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_heap_means": op13_heap_means,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# SQL where it can express the operator.
+ORACLE_SQL: dict[str, str] = {
+    "op11_license_diagonals": license_diagonals.oracle_sql(),
+    "op12_importance_resampling": resampling.oracle_sql(),
+    "op13_heap_means": heap_means.oracle_sql(),
+}

@@ -52,6 +52,8 @@ def write(folder, rows, extra=True) -> str:
                              "toxic": pa.array([0] * len(marked), pa.int32())}), f"{folder}/labels.parquet")
     pq.write_table(pa.table({"vec_id": pa.array([], pa.int64()), "embedding": pa.array([], pa.list_(pa.float32())),
                              "label": pa.array([], pa.int32())}), f"{folder}/embeddings.parquet")
+    pq.write_table(pa.table({"item_id": pa.array(range(len(rows) // 20), pa.int64()),
+                             "text": pa.array([t for _, t, *_ in rows[:len(rows) // 20]], pa.string())}), f"{folder}/benchmark.parquet")
     return str(folder)
 
 
