@@ -26,6 +26,43 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str,
     return df.sparkSession.table(table)
 
 
+class CoLocated:
+    """Two frames laid out for joins on one key.
+
+    Both are bucketed by the key into the same number of buckets, so they join
+    without an Exchange.  Keys that hold ``hot_share`` of the left rows or more
+    (at most ``1 / hot_share`` of them) would each be one file and one task:
+    their rows lie beside the buckets and join through ``salts`` sub-keys.
+    """
+
+    def __init__(self, left: DataFrame, right: DataFrame, key: str, root: str, buckets: int, salts: int = 16,
+                 hot_share: float | None = None):
+        from lakemart.operators.joins import hot_keys
+
+        self.key, self.salts = key, salts
+        spark, tag = left.sparkSession, root.rsplit("-", 1)[-1]
+        # A key above the mean bucket: the share's inverse bounds the list.
+        share = hot_share or max(1.0 / buckets, 0.0001)
+        self.hot = [r[0] for r in hot_keys(left.filter(F.col(key).isNotNull()), key, share).collect()]
+        is_hot = F.coalesce(F.col(key).isin(self.hot), F.lit(False))
+        self.left = write_bucketed(left.filter(~is_hot), f"left_{tag}", key, buckets, f"{root}/left")
+        self.right = write_bucketed(right.filter(~is_hot), f"right_{tag}", key, buckets, f"{root}/right")
+        for side, frame in (("left", left), ("right", right)):
+            frame.filter(is_hot).hint("rebalance").write.mode("overwrite").parquet(f"{root}/hot_{side}")
+        self.hot_left = spark.read.schema(left.schema).parquet(f"{root}/hot_left")
+        self.hot_right = spark.read.schema(right.schema).parquet(f"{root}/hot_right")
+
+    def join(self, how: str = "inner") -> DataFrame:
+        """The join of both frames (``inner``, ``left``, ``left_semi`` or
+        ``left_anti``); the key column comes once."""
+        from lakemart.operators.joins import salted_join
+
+        cold = self.left.join(self.right, self.key, how)
+        if not self.hot:
+            return cold
+        return cold.unionByName(salted_join(self.hot_left, self.hot_right, self.key, self.salts, how=how))
+
+
 def write_partitioned(df: DataFrame, path: str, partition_cols: list[str],
                       sort_cols: list[str] | None = None, dynamic: bool = True,
                       fmt: str = "parquet", compression: str | None = None) -> None:
@@ -93,6 +130,22 @@ def dense_ids(keys: DataFrame, key: str, id_col: str, start: int | F.Column = 1)
                     .cast("bigint").alias(id_col)))
 
 
+def numbered_rows(rows: DataFrame, keys: list[str], id_col: str, start: int = 1) -> DataFrame:
+    """``rows`` with ids ``start, start+1, …`` in ``keys`` order: the numbering
+    of ``dense_ids`` for whole rows, so nothing is joined back to them."""
+    placed = cut_lineage(rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn(
+        "__mid", F.monotonically_increasing_id()))
+    part = F.shiftright("__mid", 33)
+    ahead, before = 0, []
+    for p, n in sorted(placed.groupBy(part.alias("p")).count().collect()):   # a row per partition
+        before.append((p, ahead))
+        ahead += n
+    offsets = rows.sparkSession.createDataFrame(before, "__p bigint, __ahead bigint")
+    place = F.col("__mid").bitwiseAND((1 << 33) - 1)
+    return placed.withColumn("__p", part).join(F.broadcast(offsets), "__p").select(
+        *rows.columns, (F.col("__ahead") + place + F.lit(start)).alias(id_col))
+
+
 def rows_per_partition(df: DataFrame) -> DataFrame:
     """How many rows each Spark partition of ``df`` holds."""
     return df.groupBy(F.spark_partition_id().alias("partition_id")).agg(

@@ -254,8 +254,10 @@ class VersionedTable:
         """
         current = self.read()
         rows = batch.select(*current.columns)
-        same_keys = current.join(rows.select(*keys).distinct(), keys, "left_semi")
-        if rows.exceptAll(same_keys).isEmpty():
+        names = [f"__key{i}" for i in range(len(keys))]
+        brought = rows.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+        same = reduce(lambda a, c: a & c, [current[k].eqNullSafe(brought[n]) for k, n in zip(keys, names)])
+        if rows.exceptAll(current.join(brought, same, "left_semi")).isEmpty():
             return self.current_version()
         return self.upsert(batch, keys, order)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakemart import bindings as b
 from lakemart.operators.joins import all_members_match, anti_join, mismatch_report, salted_join
-from lakemart.operators.layout import dense_ids, write_bucketed
+from lakemart.operators.layout import CoLocated, dense_ids
 from lakemart.operators.skew import skewed_events
 from lakemart.plans.registry import register
 from lakemart.session import bucket_count, scratch_path, skew_salts
@@ -61,15 +61,12 @@ FROM b_orders o JOIN b_users u ON o.user_id = u.user_id GROUP BY u.city
 """)
 def city_orders_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Co-located join: orders and users are both bucketed by user_id, so
-    the join reads matching buckets without an Exchange on either side."""
-    root = scratch_path(spark, "bucketed")
-    tag = root.rsplit("-", 1)[-1]
+    the join reads matching buckets without an Exchange on either side; users
+    with more orders than a bucket should hold join through sub-keys."""
     orders = b.orders(spark, sf_dir).select("order_id", "user_id", "amount")
-    buckets = bucket_count(spark, orders, BUCKETS)
-    o = write_bucketed(orders, f"orders_by_user_{tag}", "user_id", buckets, f"{root}/orders")
-    u = write_bucketed(b.users(spark, sf_dir).select("user_id", "city"),
-                       f"users_by_user_{tag}", "user_id", buckets, f"{root}/users")
-    return (o.join(u, "user_id").groupBy("city")
+    laid_out = CoLocated(orders, b.users(spark, sf_dir).select("user_id", "city"), "user_id", scratch_path(spark, "bucketed"),
+                         bucket_count(spark, orders, BUCKETS), skew_salts(spark))
+    return (laid_out.join().groupBy("city")
             .agg(F.count(F.lit(1)).alias("orders_cnt"), F.sum("amount").cast("double").alias("total_amount")))
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from lakemart import bindings as b
 from lakemart.operators.layout import cached
-from lakemart.operators.loads import VersionedTable, load_df, upsert_partitioned
+from lakemart.operators.keyed import BucketTable, load_keyed
+from lakemart.operators.loads import upsert_partitioned
 from lakemart.plans.registry import register
 from lakemart.session import create_layers, scratch_path
 from lakemart.sources.sinks import save_table
@@ -56,8 +57,8 @@ def load_generic(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = b.orders(spark, sf_dir).select("order_id", "user_id", "status", "amount")
     closed = o.filter(F.col("order_id") % 3 == 0).withColumn("status", F.lit("closed"))
     for batch in (o, closed, closed.limit(0)):
-        load_df(spark, batch, root, ["order_id"])
-    return VersionedTable(spark, root, schema=o.schema).read().withColumn("amount", F.col("amount").cast("double"))
+        load_keyed(spark, batch, root, ["order_id"])
+    return BucketTable(spark, root, ["order_id"], o.schema).read().withColumn("amount", F.col("amount").cast("double"))
 
 
 @register("v_paid_orders", "L16", oracle="""

@@ -11,15 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart import bindings as b
-from lakemart.operators.layout import dense_ids, write_partitioned
+from lakemart.operators.keyed import BucketTable, Dimension
+from lakemart.operators.layout import write_partitioned
 from lakemart.operators.loads import (
-    SummingTable, VersionedTable, latest_per_key, month_ranges, route_by_ranges,
+    SummingTable, VersionedTable, latest_per_key, load_dimension, month_ranges, route_by_ranges,
 )
 from lakemart.operators.quality import constraint_report
 from lakemart.operators.skew import key_histogram as _key_histogram
 from lakemart.operators.skew import skewed_events
 from lakemart.plans.registry import register
-from lakemart.session import scratch_path
+from lakemart.session import bucket_count, scratch_path
 
 
 @register("load_users_if_absent", "L1", oracle="""
@@ -32,21 +33,19 @@ def load_users_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     alone, and the second run inserts nothing."""
     batch = (b.orders(spark, sf_dir).select("user_id")
              .join(b.users(spark, sf_dir).select("user_id", "email", "city"), "user_id"))
-    t = VersionedTable(spark, scratch_path(spark, "dim_users"),
-                       schema="user_id bigint, email string, city string")
-    t.insert_if_absent(batch, ["user_id"])
-    t.insert_if_absent(batch, ["user_id"])
+    t = BucketTable(spark, scratch_path(spark, "dim_users"), ["user_id"], "user_id bigint, email string, city string",
+                    bucket_count(spark, batch))
+    t.insert_if_absent(batch)
+    t.insert_if_absent(batch)
     return t.read()
 
 
 def load_dimension_keys(t: VersionedTable, keys: DataFrame, key: str, id_col: str) -> int:
-    """L2: give dense surrogate ids to keys not in the dimension yet,
-    continuing after the current maximum id.  Returns the new version."""
-    current = t.read()
-    new_keys = keys.select(key).distinct().join(current.select(key), key, "left_anti")
-    start = current.select(F.coalesce(F.max(id_col), F.lit(0)) + 1).scalar()
-    ids = dense_ids(new_keys, key, id_col, start=start)
-    return t.commit(current.select(key, id_col).unionByName(ids))
+    """L2 on a versioned table: dense surrogate ids for keys not in the
+    dimension yet, continuing after the current maximum id (NULL equals NULL).
+    Returns the current version."""
+    load_dimension(t, keys.select(key), [key], id_col, [])
+    return t.current_version()
 
 
 @register("dim_surrogate_keys", "L2", oracle="""
@@ -56,12 +55,14 @@ SELECT COUNT(*) AS keys_cnt, COUNT(*) AS distinct_ids,
 FROM b_products
 """)
 def dim_surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Surrogate ids for products, loaded from products and then from sold
-    lines (no new keys): ids stay unique and dense 1..n."""
-    t = VersionedTable(spark, scratch_path(spark, "dim_products"),
-                       schema="product_id bigint, product_sk bigint")
-    load_dimension_keys(t, b.products(spark, sf_dir), "product_id", "product_sk")
-    load_dimension_keys(t, b.order_items(spark, sf_dir), "product_id", "product_sk")
+    """Surrogate ids for products, loaded from sold lines and then from all
+    products: each load appends its new keys only, and ids stay unique and
+    dense 1..n."""
+    t = Dimension(spark, scratch_path(spark, "dim_products"), ["product_id"], "product_sk",
+                  "product_id bigint, product_sk bigint")
+    t.add(b.order_items(spark, sf_dir).select("product_id").join(
+        b.products(spark, sf_dir).select("product_id"), "product_id", "left_semi"))
+    t.add(b.products(spark, sf_dir).select("product_id"))
     return t.read().agg(F.count(F.lit(1)).alias("keys_cnt"),
                         F.countDistinct("product_sk").alias("distinct_ids"),
                         F.min("product_sk").alias("min_id"), F.max("product_sk").alias("max_id"))
@@ -77,11 +78,11 @@ def upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders loaded, then every created order re-stated as shipped by an
     upsert batch (applied twice: the second run changes nothing)."""
     o = b.orders(spark, sf_dir)
-    t = VersionedTable(spark, scratch_path(spark, "ods_orders"))
-    t.overwrite(o)
+    t = BucketTable(spark, scratch_path(spark, "ods_orders"), ["order_id"], o.schema, bucket_count(spark, o))
+    t.upsert(o)
     batch = b.orders(spark, sf_dir, statuses=("created",)).withColumn("status", F.lit("shipped"))
-    t.upsert(batch, ["order_id"])
-    t.upsert(batch, ["order_id"])
+    t.upsert(batch)
+    t.upsert(batch)
     return t.read().withColumn("amount", F.col("amount").cast("double"))
 
 

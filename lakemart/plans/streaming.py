@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from lakemart import bindings as b
 from lakemart.schemas import EVENTS_DDL, NTZ_MICROS
-from lakemart.operators.loads import VersionedTable
+from lakemart.operators.keyed import BucketTable
 from lakemart.plans.registry import register
-from lakemart.session import scratch_path
+from lakemart.session import bucket_count, scratch_path
 from lakemart.streaming.streams import file_stream, run_to_files, upsert_stream
 
 
@@ -44,12 +44,13 @@ SELECT order_id, user_id, status, CAST(amount AS DOUBLE) AS amount FROM b_orders
 """)
 def stream_upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders streamed in micro-batches into a keyed table with
-    ``foreachBatch(upsert)``; the result equals the batch view."""
+    ``foreachBatch(upsert)``: a micro-batch rewrites only the buckets of its
+    keys.  The result equals the batch view."""
     root = scratch_path(spark, "stream_orders")
     o = b.orders(spark, sf_dir).select("order_id", "user_id", "status", "amount")
     o.write.mode("overwrite").parquet(f"{root}/landing")
     src = file_stream(spark, f"{root}/landing", o.schema, fmt="parquet")
-    table = VersionedTable(spark, f"{root}/ods_orders", schema=o.schema)
+    table = BucketTable(spark, f"{root}/ods_orders", ["order_id"], o.schema, bucket_count(spark, o))
     upsert_stream(src, table, ["order_id"], f"{root}/checkpoints/orders")
     return table.read().withColumn("amount", F.col("amount").cast("double"))
 

@@ -120,16 +120,27 @@ def skew_salts(spark: SparkSession, default: int = 16) -> int:
     return int(spark.conf.get(SALTS_CONF, str(default)))
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files that ``df`` reads, as its scans have listed them
+    (rows that come from no file count nothing)."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()  # noqa: SLF001
+    total = 0
+    for k in range(leaves.size()):
+        leaf = leaves.apply(k)
+        if leaf.nodeName() == "LogicalRelation" and leaf.relation().getClass().getSimpleName() == "HadoopFsRelation":
+            total += int(leaf.relation().location().sizeInBytes())
+    return total
+
+
 def bucket_count(spark: SparkSession, df: DataFrame, minimum: int = 8) -> int:
-    """Buckets for a co-located layout (``lakemart.buckets``), by default one
-    per BUCKET_BYTES of the planner's size of ``df``, at least ``minimum`` and
-    at most MAX_BUCKETS: Spark refuses more than 100,000 buckets, and beyond
-    the limit buckets grow instead."""
+    """Buckets for a keyed or co-located layout (``lakemart.buckets``), by
+    default one per BUCKET_BYTES of the files that ``df`` reads, at least
+    ``minimum`` and at most MAX_BUCKETS: Spark refuses more than 100,000
+    buckets, and beyond the limit buckets grow instead."""
     fixed = spark.conf.get(BUCKETS_CONF, None)
     if fixed:
         return int(fixed)
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # noqa: SLF001
-    return min(MAX_BUCKETS, max(minimum, -(-size // BUCKET_BYTES)))
+    return min(MAX_BUCKETS, max(minimum, -(-input_bytes(df) // BUCKET_BYTES)))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from lakemart.operators.keyed import BucketTable
 from lakemart.operators.loads import SummingTable, VersionedTable
 
 
@@ -91,7 +92,7 @@ def run_foreach_batch(df: DataFrame, fn: Callable[[DataFrame, int], None], check
     return q
 
 
-def upsert_stream(df: DataFrame, table: VersionedTable, keys: list[str], checkpoint: str,
+def upsert_stream(df: DataFrame, table: BucketTable | VersionedTable, keys: list[str], checkpoint: str,
                   order: list | None = None) -> StreamingQuery:
     """ST2: every micro-batch upserted into a keyed table (replaying a batch
     gives the same table: upsert is idempotent)."""
@@ -100,7 +101,7 @@ def upsert_stream(df: DataFrame, table: VersionedTable, keys: list[str], checkpo
     return run_foreach_batch(df, apply, checkpoint)
 
 
-def insert_if_absent_stream(df: DataFrame, table: VersionedTable, keys: list[str],
+def insert_if_absent_stream(df: DataFrame, table: BucketTable | VersionedTable, keys: list[str],
                             checkpoint: str) -> StreamingQuery:
     def apply(batch: DataFrame, batch_id: int) -> None:
         table.insert_if_absent(batch, keys)

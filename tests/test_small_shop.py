@@ -49,7 +49,7 @@ def make_rows() -> dict[str, list[tuple]]:
             price, quantity = p[5] + rng.choice([0, 0, 0, 1, 30, -2]), rng.choice([1, 2, 3, 90])
             items.append((o, n, p[0], quantity, price * quantity, price, 0.0, date))
             total += price * quantity
-        orders.append((o, user, date, rng.choice(["paid", "paid", "created", "shipped"]), total + rng.choice([0, 0, 0, 5])))
+        orders.append((o, user, date, rng.choice(["paid", "paid", "created", "shipped"]), total + rng.choice([0, 0, 0, 5, total])))
     return {"users": users, "products": products, "orders": orders, "order_items": items}
 
 
