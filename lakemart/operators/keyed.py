@@ -126,6 +126,27 @@ class BucketTable:
                     new.hint("rebalance", self.column).write.mode("append").partitionBy(self.column).parquet(self.data)
         return n
 
+    def sync(self, rows: DataFrame) -> int:
+        """Make the table hold exactly ``rows`` (a whole new state under the
+        key): returns how many rows were new, changed or gone.  Buckets without
+        a difference are not written."""
+        columns = self._start(rows, None)
+        with written_once(self.bucketed(rows.select(*columns)), self._staging()) as full:
+            reject_duplicate_keys(full, self.keys)
+            held = self._stored()
+            gone = rows_without_keys(held, full, self.keys)
+            new = rows_without_keys(full, held, columns) if not any(_has_map(f.dataType) for f in self.schema) else full
+            with written_once(new.unionByName(gone).select(self.column), self._staging()) as touched:
+                n, buckets = touched.count(), [r[0] for r in touched.distinct().collect()]
+                if n:
+                    rest = full.filter(F.col(self.column).isin(buckets))
+                    full_buckets = {r[0] for r in rest.select(self.column).distinct().collect()}
+                    if full_buckets:
+                        self._swap(rest)
+                    for bucket in set(buckets) - full_buckets:     # an overwrite leaves what it has no rows for
+                        delete_path(self.spark, f"{self.data}/{self.column}={bucket}")
+        return n
+
     def compact(self, files: int = 8) -> list[int]:
         """Rewrite the buckets that appends have left in ``files`` files or
         more; returns them."""

@@ -67,16 +67,20 @@ def item_adjustments(docs: DataFrame) -> DataFrame:
 
 
 def raw_order_rows(docs: DataFrame) -> DataFrame:
-    """Raw order table row: header fields, item count, payment fields,
-    the whole document as JSON text and the load time."""
+    """Raw order table row: header fields, item count (0 without items),
+    payment fields, the document's text and the load time.  The text is the
+    column ``raw_payload`` where the documents were landed as text, else the
+    document written as JSON again."""
     return docs.select(
         "order_id", "cart_id", F.col("customer.user_id").alias("user_id"), F.col("customer.city").alias("city"),
         F.lower("status").alias("status"),
         parse_timestamp_any(F.col("created_at"), TIMESTAMP_FORMATS).alias("created_at"),
-        F.col("channel.name").alias("channel"), F.size("items").alias("items_count"),
+        F.col("channel.name").alias("channel"),
+        F.when(F.col("items").isNull(), F.lit(0)).otherwise(F.size("items")).alias("items_count"),
         F.col("payment.payment_id").alias("payment_id"), F.lower("payment.status").alias("payment_status"),
         F.col("payment.amount").cast("decimal(12,2)").alias("payment_amount"),
         F.col("payment.currency").alias("currency"),
+        F.col("raw_payload") if "raw_payload" in docs.columns else
         F.to_json(F.struct(*[F.col(c) for c in docs.columns])).alias("raw_payload"),
         F.current_timestamp().alias("loaded_at"))
 

@@ -2,9 +2,11 @@
 
 A plain function takes users, products, orders and order lines through every
 layer in order (scheduling is out of scope).  Every step is idempotent: raw
-lands into the run's ``dt=`` partition (dynamic overwrite), stg is overwritten,
-ods is an upsert that skips a batch it already holds (lines, which have no key,
-are refreshed), marts are overwritten — a second run changes nothing.
+lands into the run's ``dt=`` partition (dynamic overwrite), stg is overwritten.
+From ods on a run is incremental: an upsert writes the buckets of new and
+changed rows only (lines, which have no key, are refreshed where their content
+differs), and a mart is worked out again only if one of its tables changed, of
+which it writes the buckets of groups that differ.  A second run writes nothing.
 """
 
 from __future__ import annotations
@@ -16,10 +18,11 @@ from pyspark.sql import functions as F
 
 from lakemart import bindings as b
 from lakemart.operators.casting import as_strings, typed_projection
-from lakemart.operators.loads import VersionedTable
+from lakemart.operators.keyed import BucketTable
+from lakemart.operators.loads import path_exists
 from lakemart.operators.quality import layer_counts as _layer_counts
 from lakemart.plans.registry import register
-from lakemart.session import scratch_path
+from lakemart.session import bucket_count, scratch_path
 from lakemart.sources.sinks import land_raw
 
 
@@ -48,7 +51,16 @@ ENTITIES = (
 )
 
 
-def load_entity(spark: SparkSession, source: DataFrame, e: Entity, root: str, run_date: str) -> dict[tuple[str, str], DataFrame]:
+class Loaded(dict):
+    """(layer, table) → DataFrame; ``written`` counts the rows of ods and mart
+    tables that the run found new, changed or gone."""
+
+    def __init__(self, tables: dict, written: dict):
+        super().__init__(tables)
+        self.written = written
+
+
+def load_entity(spark: SparkSession, source: DataFrame, e: Entity, root: str, run_date: str) -> Loaded:
     """One entity from its source to ods; the table of each layer."""
     # raw: the source rows untouched (as text), in the run's day partition.
     day = F.lit(run_date).cast("date")
@@ -64,41 +76,56 @@ def load_entity(spark: SparkSession, source: DataFrame, e: Entity, root: str, ru
     typed.filter(F.col("_bad_fields") > 0).write.mode("overwrite").parquet(rejects)
     rows = spark.read.parquet(stg)
 
-    # ods: keyed upsert (no new version when the batch is already held).
+    # ods: what is new or changed.
     if e.key:
-        ods = VersionedTable(spark, f"{root}/ods/{e.name}", schema=rows.schema)
-        ods.upsert_if_changed(rows, [e.key])
-        ods.vacuum(keep=2)  # storage stays bounded: current + previous version
-        held = ods.read()
+        ods = BucketTable(spark, f"{root}/ods/{e.name}", [e.key], rows.schema, bucket_count(spark, source))
+        written, held = ods.upsert(rows), ods.read
     else:
-        rows.write.mode("overwrite").parquet(f"{root}/ods/{e.name}")
-        held = spark.read.parquet(f"{root}/ods/{e.name}")
-    return {("raw", e.name): raw, ("stg", e.name): rows, ("stg", f"{e.name}_rejects"): spark.read.parquet(rejects),
-            ("ods", e.name): held}
-
-
-def run_layers(spark: SparkSession, sf_dir: str, root: str, run_date: str) -> dict[tuple[str, str], DataFrame]:
-    """One run of the retail flow; returns the written table of each layer."""
-    out: dict[tuple[str, str], DataFrame] = {}
+        path = f"{root}/ods/{e.name}"
+        known = path_exists(spark, f"{path}/_SUCCESS") and bag_digest(spark.read.schema(rows.schema).parquet(path))
+        written = 0
+        if known != bag_digest(rows):
+            rows.write.mode("overwrite").parquet(path)
+            written = rows.count()
+        held = lambda: spark.read.schema(rows.schema).parquet(path)
+    return Loaded({("raw", e.name): raw, ("stg", e.name): rows, ("stg", f"{e.name}_rejects"): spark.read.parquet(rejects),
+                   ("ods", e.name): held()}, {("ods", e.name): written})
+
+
+def bag_digest(df: DataFrame) -> tuple:
+    """Row count, sum and exclusive or of the row hashes: equal for equal bags
+    of rows whatever their order."""
+    h = F.xxhash64(*df.columns)
+    return tuple(df.agg(F.count(F.lit(1)), F.sum(h.cast("decimal(38,0)")), F.bit_xor(h)).first())
+
+
+def run_layers(spark: SparkSession, sf_dir: str, root: str, run_date: str) -> Loaded:
+    """One run of the retail flow; the written table of each layer and how
+    many rows of ods and mart the run wrote anew."""
+    out, written = Loaded({}, {}), {}
     for e in ENTITIES:
-        out |= load_entity(spark, b.table(spark, sf_dir, e.source), e, root, run_date)
+        loaded = load_entity(spark, b.table(spark, sf_dir, e.source), e, root, run_date)
+        out.update(loaded)
+        written |= loaded.written
     users, products, orders, items = (out[("ods", e.name)] for e in ENTITIES)
     # Lines and orders are summed by key before they meet the dimension.
     per_user = orders.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"))
     per_product = items.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("quantity"))
-    marts = {
-        "order_status_stats": orders.groupBy("status_code").agg(
+    marts = {   # name: (key, inputs, rows)
+        "order_status_stats": ("status_code", ("orders",), orders.groupBy("status_code").agg(
             F.count(F.lit(1)).alias("orders_cnt"), F.countDistinct("user_id").alias("users_cnt"),
-            F.sum("amount").alias("total_amount")),
-        "segment_revenue": per_user.join(users.select("user_id", "segment"), "user_id").groupBy("segment").agg(
-            F.sum("n").alias("orders_cnt"), F.sum("amount").alias("total_amount")),
-        "category_units": per_product.join(products.select("product_id", "category"), "product_id").groupBy("category").agg(
-            F.sum("n").alias("lines_cnt"), F.sum("quantity").alias("quantity")),
+            F.sum("amount").alias("total_amount"))),
+        "segment_revenue": ("segment", ("orders", "users"), per_user.join(users.select("user_id", "segment"), "user_id").groupBy("segment").agg(
+            F.sum("n").alias("orders_cnt"), F.sum("amount").alias("total_amount"))),
+        "category_units": ("category", ("order_items", "products"), per_product.join(products.select("product_id", "category"), "product_id").groupBy("category").agg(
+            F.sum("n").alias("lines_cnt"), F.sum("quantity").alias("quantity"))),
     }
-    for name, df in marts.items():
-        df.write.mode("overwrite").parquet(f"{root}/mart/{name}")
-        out[("mart", name)] = spark.read.parquet(f"{root}/mart/{name}")
-    return out
+    for name, (key, inputs, df) in marts.items():
+        mart = BucketTable(spark, f"{root}/mart/{name}", [key], df.schema)
+        stale = any(written[("ods", i)] for i in inputs)
+        written[("mart", name)] = mart.sync(df) if stale else 0
+        out[("mart", name)] = mart.read()
+    return Loaded(out, written)
 
 
 # Load date of the registered run (the raw layer partition it lands in).

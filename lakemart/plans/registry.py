@@ -47,7 +47,7 @@ def oracle_text(spec: QuerySpec) -> str | None:
 def load_all() -> dict[str, QuerySpec]:
     """Import every plan module so their registrations run."""
     from lakemart.plans import (  # noqa: F401
-        aggregates, joins, keyed_loads, lake, layers, marts, nested, order_analysis, scalars,
+        aggregates, joins, keyed_loads, lake, landing, layers, marts, nested, order_analysis, scalars,
         sources, streaming, windows,
     )
     return REGISTRY

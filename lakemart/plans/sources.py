@@ -159,14 +159,19 @@ def compressed_columnar_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame
 SELECT status, COUNT(*) AS orders_cnt FROM b_orders GROUP BY status
 """)
 def memory_table_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An in-memory table (cached temp view) queried by SQL.  Like a memory
-    engine table it lives for the session; ``spark.catalog.uncacheTable``
-    releases it."""
-    from lakemart.sources.sinks import memory_table
+    """An in-memory table (cached temp view) queried by SQL inside its scope:
+    the answer is written before the memory is given back."""
+    from lakemart.sources.sinks import drop_memory_table, memory_table
 
-    name = "mem_orders_" + scratch_path(spark, "m").rsplit("-", 1)[-1]
+    path = scratch_path(spark, "memory_table")
+    name = "mem_orders_" + path.rsplit("-", 1)[-1]
     memory_table(b.orders(spark, sf_dir).select("order_id", "status"), name)
-    return spark.sql(f"SELECT status, COUNT(*) AS orders_cnt FROM {name} GROUP BY status")
+    try:
+        answer = spark.sql(f"SELECT status, COUNT(*) AS orders_cnt FROM {name} GROUP BY status")
+        answer.write.parquet(path)
+    finally:
+        drop_memory_table(spark, name)
+    return spark.read.schema(answer.schema).parquet(path)
 
 
 @register("external_csv_table", "S3/S13", oracle="""
@@ -183,7 +188,7 @@ def external_csv_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "raw_orders_csv")
     write_csv(b.table(spark, sf_dir, "orders"), path, header=False)
     name = "raw.orders_csv_" + path.rsplit("-", 1)[-1]
-    spark.sql(f"CREATE TABLE {name} ({ORDERS_DDL}) USING csv OPTIONS (header 'false') LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE {name} ({ORDERS_DDL}) USING csv OPTIONS (header 'false', mode 'FAILFAST') LOCATION '{path}'")
     return spark.sql(f"""SELECT status, COUNT(*) AS orders_cnt, CAST(SUM(amount) AS DOUBLE) AS total_amount
                          FROM {name} GROUP BY status""")
 

@@ -40,6 +40,44 @@ def fetch_json(url: str, retries: int = 3, backoff: float = 0.5, timeout: float
     raise RuntimeError(f"fetch failed after {retries + 1} attempts: {url}") from last
 
 
+def write_pages(rows, root: str, key: str, page_rows: int, items_field: str = "products") -> str:
+    """Answers of a paged API kept as files under ``root``: page ``k`` holds
+    the rows whose place in ``key`` order is from ``k * page_rows`` on.  Returns
+    the source's URL template.  Every page names the ``total``."""
+    from pyspark.sql import functions as F
+
+    from lakemart.operators.layout import numbered_rows
+
+    total = rows.count()
+    placed = numbered_rows(rows, [key], "_place", 0) if total else rows.limit(0).selectExpr("*", "0L as _place")
+    # An array holds one page.
+    pages = placed.groupBy((F.floor(F.col("_place") / page_rows) * page_rows).alias("skip")).agg(
+        F.sort_array(F.collect_list(F.struct("_place", F.struct(*rows.columns).alias("item")))).alias("items"))
+    text = F.to_json(F.struct(F.transform("items", lambda x: x["item"]).alias(items_field), F.lit(total).alias("total"), "skip"))
+    base = root if "://" in root else "file://" + root.removeprefix("file:")
+
+    def write(batches):
+        from pyarrow import fs
+
+        files, folder = fs.FileSystem.from_uri(base)
+        files.create_dir(folder)
+        for batch in batches:
+            for skip, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                with files.open_output_stream(f"{folder}/page-{skip}.json") as out:
+                    out.write(page.encode())
+            yield batch.select(["skip"])
+
+    pages.select("skip", text.alias("page")).mapInArrow(write, "skip long").write.format("noop").mode("overwrite").save()
+    if not total:
+        from pyarrow import fs
+
+        files, folder = fs.FileSystem.from_uri(base)
+        files.create_dir(folder)
+        with files.open_output_stream(f"{folder}/page-0.json") as out:
+            out.write(json.dumps({items_field: [], "total": 0}).encode())
+    return base + "/page-{skip}.json"
+
+
 class IncompletePageError(RuntimeError):
     pass
 
@@ -76,7 +114,8 @@ class PagedApiReader(DataSourceReader):
         total = self._get(0, self.limit).get("total")
         if total is None:
             return [PageWindow(0, self.max_rows)]
-        return [PageWindow(s, n) for s, n in plan_windows(int(total), self.limit, self.max_rows)]
+        # One empty window where there is nothing: a reader has a partition.
+        return [PageWindow(s, n) for s, n in plan_windows(int(total), self.limit, self.max_rows) or [(0, 0)]]
 
     def read(self, partition: PageWindow):
         names = [f.name for f in self.schema.fields]

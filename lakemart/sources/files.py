@@ -23,9 +23,10 @@ def read_csv_inferred(spark: SparkSession, path: str, header: bool = True) -> Da
 
 
 def read_csv_typed(spark: SparkSession, path: str, schema: str | StructType, header: bool = False,
-                   mode: str = "PERMISSIVE", sep: str = ",", **options) -> DataFrame:
-    """Delimited text with a declared schema.  ``mode='FAILFAST'``
-    makes a malformed row fail the load (bulk copy into a typed table)."""
+                   mode: str = "FAILFAST", sep: str = ",", **options) -> DataFrame:
+    """Delimited text with a declared schema.  A malformed row
+    fails the load (bulk copy into a typed table); ``rejects.read_with_rejects``
+    sets such rows aside instead."""
     r = spark.read.schema(schema).option("header", header).option("mode", mode).option("sep", sep)
     for k, v in options.items():
         r = r.option(k, v)
@@ -34,8 +35,9 @@ def read_csv_typed(spark: SparkSession, path: str, schema: str | StructType, hea
 
 def read_json_array(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A multi-line JSON file holding an array of documents (one row per
-    element).  A multi-line file is not splittable: one task per file."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    element).  A multi-line file is not splittable: one task per file.  A file
+    that is no JSON fails the load; ``rejects.read_json_documents`` reports it."""
+    return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: StructType | str, **options) -> DataFrame:

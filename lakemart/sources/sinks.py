@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
@@ -49,15 +50,43 @@ def land_raw(df: DataFrame, root: str, source: str, entity: str, dt_col: str = "
     return path
 
 
+def land_payloads(lines: DataFrame, root: str, source: str, entity: str, dt_col: str = "dt") -> str:
+    """S16 byte for byte: text lines (column ``value``) landed as they are, as
+    bytes with their SHA-256, at ``raw/<source>/<entity>/dt=…/``; a re-landed
+    day replaces itself."""
+    path = f"{root}/raw/{source}/{entity}"
+    payload = F.col("value").cast("binary")
+    (lines.select(payload.alias("payload"), F.sha2(payload, 256).alias("sha256"), F.col(dt_col).alias("dt"))
+     .hint("rebalance", "dt").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(path))
+    return path
+
+
+def land_files(spark: SparkSession, source_path: str, root: str, source: str, entity: str, day: str) -> str:
+    """S16 for whole files of any kind: name, bytes and SHA-256 of every file
+    under ``source_path``, one row each (a file is held in memory by one task;
+    Spark's file sources skip empty files, so those are not landed)."""
+    path = f"{root}/raw/{source}/{entity}"
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source_path)
+    (found.select(F.col("_metadata.file_name").alias("file_name"), F.col("content").alias("payload"),
+                  F.sha2("content", 256).alias("sha256"), F.lit(day).cast("date").alias("dt"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(path))
+    return path
+
+
 def memory_table(df: DataFrame, name: str) -> DataFrame:
-    """In-memory table — a cached temp view (release with
-    ``spark.catalog.uncacheTable``)."""
+    """In-memory table — a cached temp view (release it with
+    ``drop_memory_table``)."""
     df.createOrReplaceTempView(name)
     spark: SparkSession = df.sparkSession
     spark.catalog.cacheTable(name)
     return spark.table(name)
 
 
+def drop_memory_table(spark: SparkSession, name: str) -> None:
+    spark.catalog.uncacheTable(name)
+    spark.catalog.dropTempView(name)
+
+
 def list_tables(spark: SparkSession, database: str | None = None, like: str | None = None) -> list[str]:
     """Table names of a database, optionally filtered by a LIKE pattern."""
     sql = "SHOW TABLES" + (f" IN {database}" if database else "") + (f" LIKE '{like}'" if like else "")

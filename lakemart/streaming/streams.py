@@ -46,10 +46,14 @@ def file_stream(spark: SparkSession, path: str, schema: StructType | str, fmt: s
 
 def kafka_stream(spark: SparkSession, bootstrap_servers: str, topic: str, schema: StructType | str,
                  starting_offsets: str = "earliest") -> DataFrame:
-    """Kafka topic → typed rows (needs the Kafka connector jar)."""
+    """Kafka topic → typed rows (needs the Kafka connector jar), with the
+    text of messages that do not parse in ``rejects.RECORD``; load them with
+    ``rejects.load_messages``."""
+    from lakemart.sources.rejects import typed_messages
+
     raw = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
            .option("subscribe", topic).option("startingOffsets", starting_offsets).load())
-    return raw.select(F.from_json(F.col("value").cast("string"), schema).alias("v")).select("v.*")
+    return typed_messages(raw, schema)
 
 
 def stream_source(spark: SparkSession, config: dict, schema: StructType | str) -> DataFrame:

@@ -100,17 +100,39 @@ def test_o4_inspect_takes_only_n(spark):
 
 def test_m10_second_run_changes_nothing(spark):
     root = tmp() + "/lake"
-    layers.run_layers(spark, "/root/testdata/sf0.001", root, "2026-05-20")
-    ods = VersionedTable(spark, f"{root}/ods/orders")
-    v1 = ods.current_version()
-    first = sorted(tuple(r) for r in ods.read().collect())
+    stamps = lambda: {str(p): p.stat().st_mtime_ns for layer in ("ods", "mart") for p in Path(f"{root}/{layer}").rglob("*.parquet")}
+    rows = lambda t: sorted(tuple(r) for r in t.collect())
+    first = layers.run_layers(spark, "/root/testdata/sf0.001", root, "2026-05-20")
+    assert first.written[("ods", "orders")] == first[("ods", "orders")].count()
+    orders, before = rows(first[("ods", "orders")]), stamps()
     frames = layers.run_layers(spark, "/root/testdata/sf0.001", root, "2026-05-20")
-    assert ods.current_version() == v1  # the re-run committed no new version
-    assert sorted(tuple(r) for r in ods.read().collect()) == first
+    assert stamps() == before and set(frames.written.values()) == {0}   # the re-run wrote nothing
+    assert rows(frames[("ods", "orders")]) == orders
     assert frames[("stg", "orders_rejects")].count() == 0
     assert frames[("raw", "orders")].count() == frames[("ods", "orders")].count()
 
 
+def test_m10_changed_rows_touch_their_groups_only(spark):
+    from lakemart.bindings import ViewSet
+
+    root = tmp() + "/lake"
+    tables = {e.source: spark.read.parquet(f"/root/testdata/sf0.001/{e.source}.parquet") for e in layers.ENTITIES}
+    layers.run_layers(spark, ViewSet(tables), root, "2026-05-20")
+    lines = {p: p.stat().st_mtime_ns for p in Path(f"{root}/ods/order_items").glob("*.parquet")}
+    keys = [r[0] for r in tables["orders"].filter("o_orderstatus = 'F'").orderBy("o_orderkey").limit(3).collect()]
+    changed = tables["orders"].withColumn("o_totalprice", F.col("o_totalprice") + F.when(F.col("o_orderkey").isin(keys), 7).otherwise(0))
+    run = layers.run_layers(spark, ViewSet({**tables, "orders": changed}), root, "2026-05-21")
+    assert run.written[("ods", "orders")] == 3 and run.written[("mart", "order_status_stats")] == 1
+    assert 1 <= run.written[("mart", "segment_revenue")] <= 3
+    assert run.written[("ods", "users")] == run.written[("ods", "order_items")] == run.written[("mart", "category_units")] == 0
+    assert {p: p.stat().st_mtime_ns for p in Path(f"{root}/ods/order_items").glob("*.parquet")} == lines
+    # A group that loses its last row goes.
+    none = tables["orders"].withColumn("o_orderstatus", F.lit("F"))
+    run = layers.run_layers(spark, ViewSet({**tables, "orders": none}), root, "2026-05-22")
+    assert [r.status_code for r in run[("mart", "order_status_stats")].collect()] == ["F"]
+    assert run.written[("mart", "order_status_stats")] == tables["orders"].select("o_orderstatus").distinct().count()
+
+
 def test_sizing_for_large_inputs():
     conf = S.sizing(100 * 1024 ** 4, 8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
