@@ -14,6 +14,14 @@ Where a cut is safe, for the split pattern of byte-level BPE
 Around characters that may be other white space no cut is made; such units
 are longer, never wrong.
 
+Most units are letters, digits or punctuation alone, with a blank in front or
+not: the pattern takes such a unit as one match.  Those go to the library
+already split, in the characters that stand for their bytes, so it has no
+pattern to match; the others go through its whole path.
+
+A text that holds one of the vocabulary's added tokens (as ``<|endoftext|>``)
+is encoded whole, by the untouched tokenizer, which takes the token's own id.
+
 Defined results: NULL counts as the empty text, which has no ids.  Repeated
 rows are encoded alike; an empty batch or table gives an empty result.
 """
@@ -50,6 +58,13 @@ _PUNCT = np.zeros(256, dtype=bool)
 _PUNCT[0x21:0x7F] = True
 _PUNCT[48:58] = False
 _PUNCT &= ~_ALPHA
+_DIGIT = np.zeros(256, dtype=bool)
+_DIGIT[48:58] = True
+# Letters of one byte, and both bytes of letters up to U+027F and of U+0400 to
+# U+047F; the two signs among them (times, divide) are taken out where met.
+_LETTER = _ALPHA.copy()
+_LETTER[0x80:0xC0] = True
+_LETTER[0xC3:0xCA] = _LETTER[[0xD0, 0xD1]] = True
 
 
 def byte_chars() -> list[str]:
@@ -111,8 +126,13 @@ class ByteBpe:
         if parts.get("normalizer") or split.get("type") != "ByteLevel" or not split.get("use_regex", True) \
                 or split.get("add_prefix_space"):
             raise ValueError("a byte-level tokenizer without normaliser or prefix space is needed")
-        self.tok = Tokenizer.from_str(spec)
+        self.tok, self.plain = Tokenizer.from_str(spec), Tokenizer.from_str(spec)
         self.tok.encode_special_tokens = True
+        self.model = Tokenizer(self.tok.model)               # takes text that is split already
+        self.added = [t["content"] for t in parts.get("added_tokens") or [] if t.get("content")]
+        self._stands_for = {k: c for k, c in enumerate(byte_chars()) if k != 0x0A}
+        vocabulary = self.tok.get_vocab()
+        self._whole = all(c in vocabulary for c in byte_chars())       # no text is lost in ids
         self._line = self.tok.token_to_id(byte_chars()[0x0A])
         self._forget()
 
@@ -122,11 +142,25 @@ class ByteBpe:
         """All ids (uint32) and the n+1 offsets of the texts into them."""
         ids, sizes = [np.zeros(0, np.uint32)], [np.zeros(1, np.int64)]
         for lo, hi in tb.slices(texts, SLICE_BYTES):
-            part, size = self._encode_slice(texts.slice(lo, hi - lo))
-            ids.append(part)
-            sizes.append(size)
+            for part, size in self._encode_runs(texts.slice(lo, hi - lo)):
+                ids.append(part)
+                sizes.append(size)
         return np.concatenate(ids), np.cumsum(np.concatenate(sizes))
 
+    def _encode_runs(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Runs of texts without added tokens together, the others alone."""
+        whole = np.zeros(len(texts), dtype=bool)
+        for token in self.added:
+            whole |= np.asarray(pc.fill_null(pc.match_substring(texts, token), False))
+        first = 0
+        for k in [*np.flatnonzero(whole).tolist(), len(texts)]:
+            if k > first:
+                yield self._encode_slice(texts.slice(first, k - first))
+            if k < len(texts):
+                got = self.plain.encode(texts[k].as_py(), add_special_tokens=False).ids
+                yield np.array(got, dtype=np.uint32), np.array([len(got)])
+            first = k + 1
+
     def _encode_slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         b, off = tb.byte_view(texts)
         if not len(b):
@@ -172,7 +206,34 @@ class ByteBpe:
         self._ids = np.zeros(0, np.uint32)
 
     def _encode_units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and their number for each unit.  Plain units (at most a leading
+        """Ids and their number for each unit."""
+        b, off = tb.byte_view(units)
+        single = _one_match(b, off)
+        if not self._whole or not single.any():
+            return self._encode_mixed(units)
+        at = np.concatenate([np.flatnonzero(single), np.flatnonzero(~single)])
+        a_ids, a_size = self._encode_split(units.take(pa.array(np.flatnonzero(single))))
+        b_ids, b_size = self._encode_mixed(units.take(pa.array(np.flatnonzero(~single))))
+        ids, by_kind = np.concatenate([a_ids, b_ids]), np.concatenate([a_size, b_size])
+        size, first = np.empty(len(units), np.int64), np.empty(len(units), np.int64)
+        size[at], first[at] = by_kind, np.cumsum(by_kind) - by_kind
+        return ids[tb.expand(first, size)], size
+
+    def _encode_split(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number for units that are one match each.  Ids stand
+        for bytes, so their lengths tell where a unit ends."""
+        b, off = tb.byte_view(units)
+        lines = np.full(len(b) + len(units), 0x0A, dtype=np.uint8)     # no such unit holds a line break
+        lines[np.arange(len(b)) + np.repeat(np.arange(len(units)), np.diff(off))] = b
+        words = lines.tobytes().decode("latin-1").translate(self._stands_for).split("\n")[:-1]
+        got = [np.array(self.model.encode_batch_fast([words[k:k + JOINED_UNITS]], is_pretokenized=True, add_special_tokens=False)[0].ids,
+                        dtype=np.uint32) for k in range(0, len(words), JOINED_UNITS)]
+        ids = np.concatenate([np.zeros(0, np.uint32), *got])
+        ends = np.searchsorted(np.cumsum(np.diff(self._token_table()[1])[ids]), off[1:]) + 1
+        return ids, np.diff(np.append(0, ends))
+
+    def _encode_mixed(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number for any units.  Plain ones (at most a leading
         blank, no line break) are joined by line breaks, whose id then marks
         the ends; the others are encoded one by one."""
         n = len(units)
@@ -214,12 +275,15 @@ class ByteBpe:
         raw = [bytes(byte[c] for c in t) if all(c in byte for c in t) else t.encode() for t in table]
         return np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
 
+    def _token_table(self) -> tuple[np.ndarray, np.ndarray]:
+        if not hasattr(self, "_bytes"):
+            self._bytes = self.token_bytes()
+        return self._bytes
+
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The bytes that ids stand for and the n+1 offsets of the texts.  A
         character may be split over ids; its bytes meet again here."""
-        if not hasattr(self, "_bytes"):
-            self._bytes = self.token_bytes()
-        flat, at = self._bytes
+        flat, at = self._token_table()
         sizes = np.diff(at)[ids]
         total = np.zeros(len(ids) + 1, dtype=np.int64)
         np.cumsum(sizes, out=total[1:])
@@ -243,7 +307,7 @@ def encode_texts(docs: DataFrame, spec: str, id_col: str = "doc_id", text_col: s
     """The ids of every text, one row per document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ByteBpe(spec)
+        bpe = of_worker(spec)
         for batch in batches:
             ids, off = bpe.encode(batch.column(1))
             lists = pa.LargeListArray.from_arrays(pa.array(off), pa.array(ids.astype(np.int64)))
@@ -257,7 +321,7 @@ def decode_ids(encoded: DataFrame, spec: str) -> DataFrame:
     inside a character, so they need not be valid text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ByteBpe(spec)
+        bpe = of_worker(spec)
         for batch in batches:
             out = []
             for ids in batch.column(1).to_pylist():
@@ -273,7 +337,7 @@ def round_trip_digests(docs: DataFrame, spec: str, id_col: str = "doc_id", text_
     and sha256 of the bytes that decoding them gives."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ByteBpe(spec)
+        bpe = of_worker(spec)
         for batch in batches:
             for lo, hi in tb.slices(batch.column(1), SLICE_BYTES):
                 ids, off = bpe.encode(batch.column(1).slice(lo, hi - lo))
@@ -292,6 +356,34 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
 
+def _one_match(b: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Which units the split pattern surely takes as one match: letters, digits
+    or ASCII punctuation alone, after at most one blank."""
+    lead = (b[off[:-1]] == 0x20).astype(np.int64)
+    size = np.diff(off) - lead
+    out = np.zeros(len(lead), dtype=bool)
+    letter = _LETTER[b]
+    sign = np.flatnonzero((b[:-1] == 0xC3) & ((b[1:] == 0x97) | (b[1:] == 0xB7)))
+    letter[sign] = False
+    for kind in (letter, _DIGIT[b], _PUNCT[b]):
+        total = np.zeros(len(b) + 1, dtype=np.int64)
+        np.cumsum(kind, out=total[1:])
+        out |= (total[off[1:]] - total[off[:-1]] == size) & (size > 0)
+    return out
+
+
+_OF_WORKER: dict[str, ByteBpe] = {}
+
+
+def of_worker(spec: str) -> ByteBpe:
+    """The tokenizer of this Python worker: tasks that follow each other in a
+    worker share it, and the bounded table of units it has met."""
+    if spec not in _OF_WORKER:
+        _OF_WORKER.clear()
+        _OF_WORKER[spec] = ByteBpe(spec)
+    return _OF_WORKER[spec]
+
+
 def _unit_starts(b: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Byte positions where units start, ascending."""
     start = np.zeros(len(b) + 1, dtype=bool)

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart.llm import textbatch as tb
-from lakemart.llm.bpe import SLICE_BYTES, ByteBpe
+from lakemart.llm.bpe import SLICE_BYTES, of_worker
 from lakemart.llm.common import staged
 
 TOKENS_TYPE = T.StructType([
@@ -66,7 +66,7 @@ def tokenize(docs: DataFrame, spec: str, end_id: int = 0, id_col: str = "doc_id"
                        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, chunk, total = ByteBpe(spec), TaskContext.get().partitionId(), {}
+        bpe, chunk, total = of_worker(spec), TaskContext.get().partitionId(), {}
         for batch in batches:
             for lo, hi in tb.slices(batch.column(2), SLICE_BYTES):
                 part = batch.slice(lo, hi - lo)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart.llm import textbatch as tb
-from lakemart.llm.bpe import SLICE_BYTES, ByteBpe
+from lakemart.llm.bpe import SLICE_BYTES, of_worker
 from lakemart.llm.common import staged
 from lakemart.session import scratch_path
 
@@ -174,7 +174,7 @@ def write_ids(docs: DataFrame, spec: str, path: str, id_col: str = "doc_id", tex
     rows = rows.repartitionByRange(F.col("_id"), F.col("_tie")).sortWithinPartitions("_id", "_tie")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, part, before = ByteBpe(spec), TaskContext.get().partitionId(), 0
+        bpe, part, before = of_worker(spec), TaskContext.get().partitionId(), 0
         for batch in batches:
             texts, doc_ids = batch.column(1), batch.column(0)
             for lo, hi in tb.slices(texts, SLICE_BYTES):
