@@ -19,7 +19,8 @@ At scale the lists live in Spark:
        n - ceil(0.8 n) + 1 of each, so only those are listed.
     3. Lists of one entity are dropped; lists are never gathered: they are
        aggregated and joined, so a list may hold any share of the entities.
-    4. Blocks of at most some BLOCK entities are searched (numpy, DivideSkip).
+    4. Blocks of at most some BLOCK entities and BLOCK_SHINGLES shingles (one
+       entity at least) are searched (numpy, DivideSkip).
        First each entity meets the most typical member of its lists (few
        shingles of its own: an original rather than its edited copies), if the
        lists they share leave a link possible.  Then lists whose entities still
@@ -58,6 +59,7 @@ WIDTH = 5
 BUCKET_BITS = 18
 BITMAP_BITS = 26
 BLOCK = 128
+BLOCK_SHINGLES = 100_000   # shingles of a block: its work space, where texts are long
 BAND = 1.05          # sizes of a block's entities differ by this factor at most
 BANDS_APART = 5      # bands that similar sets may lie apart: 1.05 ** 5 > 1 / 0.8
 
@@ -300,9 +302,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         rows = staged(rows, "ngram-rows")
         texts = staged(entity_texts(docs, text_col, rows), "ngram-texts")
         found = staged(search_blocks(rows.join(texts, "entity")), "ngram-links")
-        drop_staged(texts)
+        drop_staged(rows, texts)
         return found
 
+    # Parts of a group that a block can hold.
+    enough_parts = F.ceil(F.greatest(F.count("entity") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).alias("parts")
+
     # Lists of two entities or more.
     postings = listed(docs, text_col, ranks)
     lists = postings.groupBy("shingle").agg(F.min("entity").alias("lo"), F.max("entity").alias("hi")).filter("lo <> hi")
@@ -326,33 +331,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         b = entities.select(F.col("entity").alias(y), F.col("n").alias("_nb"), F.col("unlisted").alias("_ub"))
         return pairs.join(a, x).join(b, y).filter(
             ((F.col("lists") + F.greatest("_ua", "_ub")) * 9 >= (F.col("_na") + F.col("_nb")) * 4)
-            & (F.col("_na") * 5 >= F.col("_nb") * 4) & (F.col("_nb") * 5 >= F.col("_na") * 4)).select(x, y)
+            & (F.col("_na") * 5 >= F.col("_nb") * 4) & (F.col("_nb") * 5 >= F.col("_na") * 4)).select(x, y, F.col("_na").alias("n"))
 
     # Round 1: entities that may link to their hub, with it, in parts of about BLOCK.
     at_hub = shared.select("shingle", F.col("entity").alias("hub"))
     stars = (shared.select("shingle", "entity").join(hubs.filter("entity <> hub"), "entity").join(at_hub, ["shingle", "hub"])
              .groupBy("entity", "hub").agg(F.count("shingle").alias("lists")))
     stars = staged(possible(stars, "entity", "hub"), "ngram-stars")
-    parts = staged(stars.groupBy("hub").agg(F.ceil(F.count("entity") / BLOCK).alias("parts")), "ngram-parts")
+    parts = staged(stars.groupBy("hub").agg(enough_parts), "ngram-parts")
     placed = stars.join(parts, "hub").select(
         F.struct("hub", F.expr("pmod(xxhash64(entity), parts)").alias("part")).alias("block"), "entity", "hub")
     first = search(placed.select("block", "entity").unionByName(
         placed.select("block", F.col("hub").alias("entity")).distinct()).withColumn("component", F.col("entity")))
+    drop_staged(stars, parts, centre)
     found = staged(components(first, "a", "b"), "ngram-components")
 
     # Round 2: blocks of one hub and size band that lists with several
     # components bring together.
     band = F.floor(F.log("n") / float(np.log(BAND))).cast("int")
     members = staged(hubs.join(entities, "entity").select("entity", "hub", "n", "unlisted", band.alias("band")), "ngram-members")
-    parts = staged(members.groupBy("hub", "band").agg(F.ceil(F.count("entity") / BLOCK).alias("parts")), "ngram-parts")
+    parts = staged(members.groupBy("hub", "band").agg(enough_parts), "ngram-parts")
     state = staged(members.join(parts, ["hub", "band"]).join(found.withColumnRenamed("node", "entity"), "entity", "left").select(
         "entity", "n", "unlisted", F.coalesce("component", "entity").alias("component"),
         F.struct("band", "hub", F.expr("pmod(xxhash64(entity), parts)").alias("part")).alias("block")), "ngram-state")
+    drop_staged(members, parts, hubs, entities, found)
     at = staged(shared.select("shingle", "entity").join(state.select("entity", "component", "block"), "entity"), "ngram-at")
     mixed = staged(at.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
                    .filter("lo <> hi").select("shingle"), "ngram-mixed")
     blocks = staged(at.join(mixed, "shingle").groupBy("shingle", "block").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi")), "ngram-blocks")
+    drop_staged(shared, at, mixed)
     sizes = staged(state.groupBy("block").agg(F.min("n").alias("least"), F.max("n").alias("most"),
                                               F.max("unlisted").alias("unlisted")), "ngram-sizes")
     x, y = blocks.alias("x"), blocks.alias("y")
@@ -369,11 +377,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sides = meet.select("block", F.explode(F.array_distinct(F.array("block.x", "block.y"))).alias("side"))
     second = search(sides.join(state.select(F.col("block").alias("side"), "entity", "component"), "side")
                     .select("block", "entity", "component"))
+    drop_staged(state, blocks, sizes, meet)
     classes = components(first.unionByName(second), "a", "b")
 
     labelled = ids.join(classes.select(F.col("node").alias("entity"), "component"), "entity", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "entity").alias("component"))
     labelled = staged(labelled, "ngram-labelled")
+    drop_staged(first, second, scanned)
     least = staged(labelled.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("least")),
                    "ngram-least")
     return labelled.join(least, "component", "left").select(
