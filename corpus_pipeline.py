@@ -37,7 +37,7 @@ def _added(after: DataFrame, before: DataFrame) -> str:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = weak_rules.judge(docs)
+    judged = weak_rules.judge(docs, model=weak_rules.train(docs))
     return judged.filter(judged[_added(judged, docs)]["kept"]).select(*docs.columns)
 
 

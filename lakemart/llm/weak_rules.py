@@ -239,19 +239,29 @@ def fit_votes(patterns: dict[str, int], n_rules: int, rounds: int = 100, max_err
     return VoteModel(tuple(map(float, share)), tuple(tuple(map(float, r)) for r in rate))
 
 
+def train(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> VoteModel:
+    """The vote model of all documents; nothing but vote patterns leaves a task."""
+    name = free_name(docs, "quality")
+    voted = with_counts(docs, text_col, name, []).select(vote_pattern(F.col(name), rules).alias("votes"))
+    return fit_votes({r[0]: r[1] for r in voted.groupBy("votes").count().collect()}, len(rules))   # 3 ** len(rules) rows at most
+
+
 def judge(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES,
-          threshold: float = 0.5, keep: list[str] | None = None) -> DataFrame:
+          threshold: float = 0.5, keep: list[str] | None = None, model: VoteModel | None = None) -> DataFrame:
     """The columns ``keep`` of ``docs`` (default: all) with a struct column ``quality`` (the counts, ``base_failed``,
     ``good_probability``, ``kept``); the name gets underscores if it is taken.
 
-    The counted rows are staged once: the vote model and the verdicts read
-    the same counts.
+    Without a ``model`` the counted rows are staged once: the vote model and
+    the verdicts read the same counts.  With one (``train``), nothing is
+    staged; rows that carry their texts are better counted twice.
     """
     name, votes = free_name(docs, "quality"), free_name(docs, "votes")
     counted = with_counts(docs, text_col, name, keep)
-    counted = staged(counted.withColumn(votes, vote_pattern(F.col(name), rules)), "quality-counts")
-    found = {r[0]: r[1] for r in counted.groupBy(votes).count().collect()}   # at most 3 ** len(rules) rows
-    model = fit_votes(found, len(rules))
+    counted = counted.withColumn(votes, vote_pattern(F.col(name), rules))
+    if model is None:
+        counted = staged(counted, "quality-counts")
+        found = {r[0]: r[1] for r in counted.groupBy(votes).count().collect()}   # at most 3 ** len(rules) rows
+        model = fit_votes(found, len(rules))
     c = F.col(name)
     failed = (c["n_words"] < MIN_WORDS) | (c["n_repeat_words"] * 100 > c["n_words"] * 50)
     probability = model.good_probability(F.col(votes))
