@@ -12,7 +12,9 @@ side by side and P(q) tokens in the first q queues of N,
 
     served(q, w) = floor(P(q+1)/N * w*W) - floor(P(q)/N * w*W)
 
-(the deficit is the fractional part).  The sum over queues is w*W exactly.  So
+(the deficit is the fractional part: at every window's end a queue has served
+less than one token more or less than it has earned, so a window's share is
+off by less than two).  The sum over queues is w*W exactly.  So
 each document finds its places by itself from the totals of the queues: no
 task walks over a queue, whatever share of the rows one source holds.  Shares
 are double-precision, exact for corpora up to 2**50 tokens.
