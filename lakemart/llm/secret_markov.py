@@ -2,8 +2,8 @@
 
 Patterns find the secrets that announce themselves.  For strings that do not,
 two first-order character models are trained: one of random strings (the
-values of the pattern matches), one of ordinary words; a long word of key
-characters whose log-likelihood ratio speaks for "random" is a secret too.
+values of the pattern matches), one of the ordinary words of all documents; a
+long word of key characters whose log-likelihood ratio speaks for "random" is a secret too.
 Everything is DataFrame functions: no Python runs on the executors.
 
 Positions are code points.  ``split`` and ``regexp_extract_all`` walk a text
@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import free_name, hash_spread
+from lakemart.llm.common import drop_staged, free_name, staged
 
 # The patterns of the base scan.  An access or hex match is a
 # whole run of its characters, so the least length can stand in the pattern;
@@ -37,13 +37,15 @@ KINDS = ("assign", "access", "hex", "markov")
 
 # The models read runs of these characters, all between "+" and "z" in ASCII.
 CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
-WORD = r"[A-Za-z0-9+/_=-]{4,}"
+NO_WORD = r"[^A-Za-z0-9+/_=-]+"
+CANDIDATE_MIN = 16
+WORD_MIN = 4
 FIRST, LAST = ord("+"), ord("z")
 SIZE = LAST - FIRST + 1
 
-ORDINARY_DOCS = 2000   # bounded sample of documents whose words train the ordinary model
 SMOOTHING = 0.5        # pseudo-count of every character pair
 RATIO_MIN = 1.0        # least mean log-likelihood ratio of a pair for a secret
+RATIO_FLOOR = 0.5
 RUNS = 64              # block length of running sums
 
 
@@ -97,6 +99,7 @@ class RatioModel:
     in an ordinary word, SIZE x SIZE values."""
 
     ratios: tuple[float, ...]
+    least: float = RATIO_MIN     # mean ratio from which on a string is random
 
     def mean_ratio(self, word: Column) -> Column:
         """Mean log-likelihood ratio of a word's character pairs."""
@@ -111,11 +114,11 @@ class RatioModel:
 def pair_counts(words: DataFrame) -> list[float]:
     """Counts of character pairs in the column ``word``; SIZE x SIZE cells
     reach the driver, whatever the number of words."""
-    code = lambda w, k: F.ascii(F.substr(w, k, F.lit(1))) - FIRST
-    w = F.col("word")
-    pairs = words.filter(F.char_length(w) >= 2).select(F.explode(F.transform(
-        F.sequence(F.lit(1), F.char_length(w) - 1), lambda k: F.struct(code(w, k).alias("a"), code(w, k + 1).alias("b"))
-    )).alias("p")).select("p.a", "p.b").filter(F.col("a").between(0, SIZE - 1) & F.col("b").between(0, SIZE - 1))
+    letters = words.select(F.split("word", "").alias("c"))
+    # The last letter meets a NULL and drops out.
+    pairs = letters.select(F.explode(F.arrays_zip(F.col("c").alias("a"), F.slice("c", F.lit(2), F.size("c")).alias("b"))).alias("p")).select(
+        (F.ascii("p.a") - FIRST).alias("a"), (F.ascii("p.b") - FIRST).alias("b")).filter(
+        F.col("a").between(0, SIZE - 1) & F.col("b").between(0, SIZE - 1))
     out = [0.0] * (SIZE * SIZE)
     for r in pairs.groupBy("a", "b").count().collect():
         out[r["a"] * SIZE + r["b"]] = float(r["count"])
@@ -132,21 +135,25 @@ def transitions(counts: list[float]) -> list[float]:
     return out
 
 
-def train(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> RatioModel:
-    """Both character models: the random one from the values that the fixed
-    patterns find in all documents, the ordinary one from the other words of a
-    bounded sample (ORDINARY_DOCS documents of least id hash)."""
+def train(docs: DataFrame, text_col: str = "text") -> RatioModel:
+    """Both character models from all documents: the random one from the values
+    that the fixed patterns find (the labelled strings), the ordinary one from
+    words too short to be judged themselves, assigned values left out.
+
+    A string is a secret from a mean ratio of RATIO_MIN on, or from less, down
+    to RATIO_FLOOR, where a twentieth of the labelled strings would stay below.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.select(base_spans(text).alias("b"))
-    secrets = base.select(F.explode(F.concat("b.assign.value", "b.access.value", "b.hex.value")).alias("word"))
-    rows = docs.select(F.col(id_col).alias("i"), text.alias("t"), F.lit(0).alias("all"))
-    # ORDINARY_DOCS ids: a table of bounded size.
-    sample = rows.join(F.broadcast(hash_spread(rows.select("i", "all"), "i", "all", ORDINARY_DOCS)), ["i", "all"])
-    for pattern in (ASSIGN, ACCESS, HEX):
-        sample = sample.withColumn("t", F.regexp_replace("t", F.lit(pattern), F.lit(" ")))
-    words = sample.select(F.explode(F.regexp_extract_all("t", F.lit(WORD), F.lit(0))).alias("word"))
+    secrets = staged(base.select(F.explode(F.concat("b.assign.value", "b.access.value", "b.hex.value")).alias("word")), "secret-values")
+    plain = F.split(F.regexp_replace(text, F.lit(ASSIGN), F.lit(" ")), NO_WORD)
+    words = docs.select(F.explode(plain).alias("word")).filter(F.char_length("word").between(WORD_MIN, CANDIDATE_MIN - 1))
     random, ordinary = transitions(pair_counts(secrets)), transitions(pair_counts(words))
-    return RatioModel(tuple(a - b for a, b in zip(random, ordinary)))
+    model = RatioModel(tuple(a - b for a, b in zip(random, ordinary)))
+    long = secrets.filter(F.char_length("word") >= CANDIDATE_MIN)
+    low = long.agg(F.percentile_approx(model.mean_ratio(F.col("word")), 0.05)).first()[0]
+    drop_staged(secrets)
+    return model if low is None else RatioModel(model.ratios, max(RATIO_FLOOR, min(RATIO_MIN, low)))
 
 
 def scan(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", model: RatioModel | None = None) -> DataFrame:
@@ -156,7 +163,7 @@ def scan(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", model:
     Strings that the models find never overlap a span of the fixed patterns;
     those stay as they are.
     """
-    model = model or train(docs, text_col, id_col)
+    model = model or train(docs, text_col)
     name = free_name(docs, "secrets")
     text = F.coalesce(F.col(text_col), F.lit(""))
 
@@ -164,7 +171,7 @@ def scan(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", model:
         base = F.concat(b["assign"], b["access"], b["hex"])
         free = lambda s: ~F.exists(base, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"]))
         random = F.filter(find(text, CANDIDATE, 3),
-                          lambda s: (model.mean_ratio(s["value"]) >= RATIO_MIN) & free(s))
+                          lambda s: (model.mean_ratio(s["value"]) >= model.least) & free(s))
         return F.struct(b["assign"].alias("assign"), b["access"].alias("access"), b["hex"].alias("hex"),
                         random.alias("markov"))
 
