@@ -147,8 +147,8 @@ def bucket_ranks(buckets: DataFrame) -> np.ndarray:
 
 
 def listed(docs: DataFrame, text_col: str, ranks) -> DataFrame:
-    """(shingle, entity, n) of the first shingles of every text of ``n``
-    shingles, once per entity and batch."""
+    """(shingle, entity) of the first shingles of every text, once per entity
+    and batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = ranks.value
@@ -170,10 +170,9 @@ def listed(docs: DataFrame, text_col: str, ranks) -> DataFrame:
                 nth = np.arange(len(keys)) - np.searchsorted(owner, owner)
                 take = nth < prefix_size(sizes[owner])
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(keys[take].view(np.int64)), pa.array(entity[owner[take]]),
-                    pa.array(sizes[owner[take]].astype(np.int32))], names=["shingle", "entity", "n"])
+                    pa.array(keys[take].view(np.int64)), pa.array(entity[owner[take]])], names=["shingle", "entity"])
 
-    return docs.select(text_col).mapInArrow(run, "shingle long, entity long, n int")
+    return docs.select(text_col).mapInArrow(run, "shingle long, entity long")
 
 
 def entity_texts(docs: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame:
@@ -311,12 +310,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Lists of two entities or more.
     postings = listed(docs, text_col, ranks)
     lists = postings.groupBy("shingle").agg(F.min("entity").alias("lo"), F.max("entity").alias("hi")).filter("lo <> hi")
-    shared = staged(postings.join(lists.select("shingle"), "shingle").groupBy("shingle", "entity").agg(
-        F.max("n").alias("n")), "ngram-lists")
+    shared = staged(postings.join(lists.select("shingle"), "shingle").distinct(), "ngram-lists")
     unlisted = F.floor((4 * F.col("n") + 4) / 5) - 1      # n - prefix_size(n)
 
     # The most typical entity of each list, and of all lists of an entity.
-    entities = shared.groupBy("entity").agg(F.max("n").alias("n"), F.count("shingle").alias("shared"))
+    # Sizes come from the documents' rows: lists are too many to carry them.
+    entities = shared.groupBy("entity").agg(F.count("shingle").alias("shared")).join(
+        ids.filter(F.col("entity").isNotNull()).groupBy("entity").agg(F.max("n_shingles").alias("n")), "entity")
     entities = staged(entities.select("entity", "n", unlisted.alias("unlisted"),
                                       (F.col("n") - unlisted - F.col("shared")).alias("own")), "ngram-entities")
     centre = staged(shared.join(entities.select("entity", "own"), "entity").groupBy("shingle").agg(
