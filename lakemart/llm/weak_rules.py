@@ -264,7 +264,8 @@ def judge(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RUL
         model = fit_votes(found, len(rules))
     c = F.col(name)
     failed = (c["n_words"] < MIN_WORDS) | (c["n_repeat_words"] * 100 > c["n_words"] * 50)
-    probability = model.good_probability(F.col(votes))
+    # Bound to one value: written out, the letters' expression would stand in every term.
+    probability = F.get(F.transform(F.array(F.col(votes)), model.good_probability), F.lit(0))
     return counted.withColumn(name, F.struct(
         *[c[f].alias(f) for f in COUNT_FIELDS], failed.alias("base_failed"),
         probability.alias("good_probability"), (~failed & (probability >= threshold)).alias("kept"))).drop(votes)
