@@ -17,8 +17,11 @@ At scale the lists live in Spark:
        of fixed size); any order is right, this one keeps frequent shingles out
        of the lists.  Two similar sets share a shingle among the first
        n - ceil(0.8 n) + 1 of each, so only those are listed.
-    3. Lists of one entity are dropped; lists are never gathered: they are
-       aggregated and joined, so a list may hold any share of the entities.
+    3. Lists of one entity are dropped.  Lists move once, for a window over
+       each that tells whether it holds a second entity.  A shingle of a
+       frequent bucket is dealt over several parts by its entities (and kept
+       whatever its list holds), so no window grows with a hot list; later
+       steps aggregate and join lists and gather none.
     4. Blocks of at most some BLOCK entities and BLOCK_SHINGLES shingles (one
        entity at least) are searched (numpy, DivideSkip).
        First each entity meets the most typical member of its lists (few
@@ -47,7 +50,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,6 +64,8 @@ BITMAP_BITS = 26
 BLOCK = 128
 BLOCK_SHINGLES = 100_000   # shingles of a block: its work space, where texts are long
 BAND = 1.05          # sizes of a block's entities differ by this factor at most
+HOT_PARTS = 4096     # a bucket with more than this part of all shingles is dealt over several parts
+HOT_LEAST = 50_000   # shingles that one part always takes
 BANDS_APART = 5      # bands that similar sets may lie apart: 1.05 ** 5 > 1 / 0.8
 
 _TOP = np.uint64(64 - BUCKET_BITS)
@@ -136,22 +141,23 @@ def scan_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, _SCAN_TYPE)
 
 
-def bucket_ranks(buckets: DataFrame) -> np.ndarray:
-    """Rarity rank of every bucket (2**BUCKET_BITS values, whatever the corpus)."""
+def bucket_ranks(buckets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Rarity rank of every bucket and the parts its lists are dealt over
+    (2**BUCKET_BITS values each, whatever the corpus)."""
     table = buckets.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     count = np.zeros(1 << BUCKET_BITS, dtype=np.int64)
     count[table["bucket"].to_numpy()] = table["n"].to_numpy()
     rank = np.empty(len(count), dtype=np.int32)
     rank[np.argsort(count, kind="stable")] = np.arange(len(count))
-    return rank
+    return rank, (count // max(count.sum() // HOT_PARTS, HOT_LEAST)).astype(np.int32)
 
 
 def listed(docs: DataFrame, text_col: str, ranks) -> DataFrame:
-    """(shingle, entity) of the first shingles of every text, once per entity
-    and batch."""
+    """(shingle, part, entity) of the first shingles of every text, once per
+    entity and batch; part 0 holds whole lists, the others parts of long ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank = ranks.value
+        rank, parts = ranks.value
         for batch in batches:
             done = np.zeros(0, np.int64)
             for lo, hi in tb.slices(batch.column(0)):
@@ -169,10 +175,14 @@ def listed(docs: DataFrame, text_col: str, ranks) -> DataFrame:
                 owner, keys = owner[by], keys[by]
                 nth = np.arange(len(keys)) - np.searchsorted(owner, owner)
                 take = nth < prefix_size(sizes[owner])
+                keys, entries = keys[take], entity[owner[take]]
+                of = parts[(keys >> _TOP).astype(np.int64)]
+                part = np.where(of > 0, 1 + entries.view(np.uint64) % np.maximum(of, 1).astype(np.uint64), 0)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(keys[take].view(np.int64)), pa.array(entity[owner[take]])], names=["shingle", "entity"])
+                    pa.array(keys.view(np.int64)), pa.array(part.astype(np.int32)), pa.array(entries)],
+                    names=["shingle", "part", "entity"])
 
-    return docs.select(text_col).mapInArrow(run, "shingle long, entity long")
+    return docs.select(text_col).mapInArrow(run, "shingle long, part int, entity long")
 
 
 def entity_texts(docs: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame:
@@ -308,9 +318,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     enough_parts = F.ceil(F.greatest(F.count("entity") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).alias("parts")
 
     # Lists of two entities or more.
-    postings = listed(docs, text_col, ranks)
-    lists = postings.groupBy("shingle").agg(F.min("entity").alias("lo"), F.max("entity").alias("hi")).filter("lo <> hi")
-    shared = staged(postings.join(lists.select("shingle"), "shingle").distinct(), "ngram-lists")
+    listing = Window.partitionBy("shingle", "part")
+    shared = (listed(docs, text_col, ranks).repartition("shingle", "part")
+              .withColumn("lo", F.min("entity").over(listing)).withColumn("hi", F.max("entity").over(listing))
+              .filter("lo <> hi or part > 0").dropDuplicates(["shingle", "part", "entity"]).select("shingle", "entity"))
+    shared = staged(shared, "ngram-lists")
     unlisted = F.floor((4 * F.col("n") + 4) / 5) - 1      # n - prefix_size(n)
 
     # The most typical entity of each list, and of all lists of an entity.

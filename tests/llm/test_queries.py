@@ -161,11 +161,12 @@ def components(links, ids):
     return {i: root(i) for i in ids}
 
 
-@pytest.mark.parametrize("block", [4, 128])
-def test_ngram_join(spark, tiny, rows, block, monkeypatch):
+@pytest.mark.parametrize("block, hot", [(4, 50_000), (128, 10)])
+def test_ngram_join(spark, tiny, rows, block, hot, monkeypatch):
     from lakemart.llm import ngram_join
 
     monkeypatch.setattr(ngram_join, "BLOCK", block)   # 4: copies of one text spread over many blocks
+    monkeypatch.setattr(ngram_join, "HOT_LEAST", hot)   # 10: lists of the copies' shingles are dealt over parts
     sets = {}
     for i, text in by_id(rows).items():
         w = WORD.findall((text or "").encode().translate(LOW))
