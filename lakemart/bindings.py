@@ -176,12 +176,17 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
 
+def paid_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orders(spark, sf_dir, ("paid",))
+
+
 def register_views(spark: SparkSession, sf_dir: str, suffix: str = "") -> dict[str, str]:
     """Expose the bound views to ``spark.sql`` under the oracle's names
     (plus ``suffix``, so concurrent jobs over different inputs do not replace
-    each other's views).  Returns the names used."""
+    each other's views), and the paid orders with their filter on the raw
+    letter, which the scan can use.  Returns the names used."""
     names = {"b_users": users, "b_products": products, "b_orders": orders, "b_items": order_items,
-             "b_events": events}
+             "b_events": events, "b_paid_orders": paid_orders}
     out = {}
     for name, view in names.items():
         view(spark, sf_dir).createOrReplaceTempView(name + suffix)

@@ -199,7 +199,7 @@ def user_paid_count_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = b.register_views(spark, sf_dir, b.unique_suffix())
     return spark.sql(f"""
         SELECT u.user_id, u.email,
-               (SELECT COUNT(*) FROM {v['b_orders']} o WHERE o.user_id = u.user_id AND o.status = 'paid')
+               (SELECT COUNT(*) FROM {v['b_paid_orders']} o WHERE o.user_id = u.user_id)
                  AS paid_orders_cnt
         FROM {v['b_users']} u""")
 

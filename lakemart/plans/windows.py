@@ -115,6 +115,5 @@ def city_top_order_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
         WITH ranked AS (
           SELECT u.city, o.order_id, o.order_date, o.amount,
                  ROW_NUMBER() OVER (PARTITION BY u.city ORDER BY o.amount DESC, o.order_id) AS rn
-          FROM {v['b_orders']} o JOIN {v['b_users']} u ON u.user_id = o.user_id
-          WHERE o.status = 'paid')
+          FROM {v['b_paid_orders']} o JOIN {v['b_users']} u ON u.user_id = o.user_id)
         SELECT city, order_id, order_date, CAST(amount AS DOUBLE) AS amount FROM ranked WHERE rn = 1""")

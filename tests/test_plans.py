@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 from lakemart.plans import joins as J
@@ -135,6 +137,12 @@ def test_correlated_subquery_is_decorrelated(spark):
     assert "Join" in text and "Subquery" not in text
 
 
+@pytest.mark.parametrize("query", [J.user_paid_count_sql, W.city_top_order_sql])
+def test_sql_forms_push_the_status_filter(spark, query):
+    text = optimized_physical(query(spark, SF))
+    assert re.search(r"PushedFilters: \[[^\]]*o_orderstatus[^\]]*F", text)
+
+
 def test_sql_top1_uses_window_group_limit(spark):
     assert "WindowGroupLimit" in optimized_physical(W.city_top_order_sql(spark, SF))
 
