@@ -22,6 +22,17 @@ are double-precision, exact for corpora up to 2**50 tokens.
 A queue must earn two tokens a window for the form to be monotone; sources
 with less share one queue.
 
+With ``targets`` (source -> share of every window, all of them at most 1
+together) the named sources are queues with those shares; all other sources
+form one queue with the share that is left.  A queue that runs dry hands its
+share on to the others in proportion to theirs, and a source that the corpus
+lacks does so from the start.  In the order in which queues run dry, what the
+first q queues have served after t tokens is a closed form again
+(``TargetRounds``, whole numbers throughout), so deficits are carried over
+windows and tasks as above: until a queue runs dry, every window holds each
+target share to less than two tokens.  All ids are packed, so once the others
+are dry the last windows hold what is left.
+
 Sequences hold ``length`` tokens.  The last window may end in fewer; that rest
 is cut into sequences whose lengths are powers of two, which need no padding.
 
@@ -34,7 +45,10 @@ gives no pieces.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
+from fractions import Fraction
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +61,10 @@ from lakemart.llm import textbatch as tb
 from lakemart.llm.bpe import SLICE_BYTES, of_worker
 from lakemart.llm.common import staged
 
+# With targets, queues are called NAMED + source, which no source can turn into REST.
+NAMED, REST = "=", "rest"
+WEIGHTS = 10 ** 9      # shares become whole numbers of this unit
+
 TOKENS_TYPE = T.StructType([
     T.StructField("chunk", T.IntegerType(), False),     # writing task
     T.StructField("source", T.StringType(), False),
@@ -61,10 +79,14 @@ PIECE_TYPE = T.StructType([T.StructField(n, T.LongType()) for n in (
 
 
 def tokenize(docs: DataFrame, spec: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
-             source_col: str = "source") -> DataFrame:
+             source_col: str = "source", targets: dict[str, float] | None = None) -> DataFrame:
     """Every text's ids, with the place of the document among those of its
-    source in the same task."""
-    rows = docs.select(F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"),
+    source in the same task.  Sources without a target count as one, REST."""
+    source = F.coalesce(F.col(source_col).cast("string"), F.lit(""))
+    if targets is not None:
+        named = source.isin(list(targets)) if targets else F.lit(False)
+        source = F.when(named, F.concat(F.lit(NAMED), source)).otherwise(REST)
+    rows = docs.select(source.alias("source"),
                        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,6 +141,26 @@ def queue_places(tokens: DataFrame, window_tokens: int) -> DataFrame:
                     F.lit(corpus).cast("long").alias("total")))
 
 
+def target_places(tokens: DataFrame, targets: dict[str, float], window_tokens: int) -> tuple[DataFrame, "TargetRounds"]:
+    """``queue_places`` for given shares, and their rounds.  ``low`` is a
+    queue's number and ``size`` 1.  The driver holds a row for each target."""
+    if any(not 0 < share <= 1 for share in targets.values()) or sum(targets.values()) > 1 + 1e-9:
+        raise ValueError("targets are shares above 0 that add up to 1 at most")
+    totals = tokens.groupBy("source", "chunk").agg(F.sum("n_tokens").alias("n"))
+    found = {r["source"]: r["n"] for r in totals.groupBy("source").agg(F.sum("n").alias("n")).collect()}
+    weights = {NAMED + name: round(share * WEIGHTS) for name, share in targets.items()}
+    weights[REST] = max(0, WEIGHTS - sum(weights.values()))
+    if REST in found and not weights[REST]:
+        # No share is left: the rest comes at three tokens a window until targets are dry.
+        weights[REST] = 3 * WEIGHTS // window_tokens + 1
+    rounds = TargetRounds({q: (n, weights[q]) for q, n in found.items()}, window_tokens)
+    numbers = tokens.sparkSession.createDataFrame(list(enumerate(rounds.names)), "low long, source string")
+    earlier = Window.partitionBy("source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    places = totals.withColumn("queued", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(F.broadcast(numbers), "source")
+    return places.select("chunk", "source", "low", F.lit(1).cast("long").alias("size"), "queued",
+                         F.lit(rounds.total).cast("long").alias("total")), rounds
+
+
 class Rounds:
     """The closed form of the round-robin for a corpus of ``total`` tokens."""
 
@@ -158,6 +200,40 @@ class Rounds:
             w += 1
 
 
+class TargetRounds(Rounds):
+    """Rounds with given shares: queues are numbered in the order in which they
+    run dry, and ``low`` and ``size`` count queues.
+
+    ``queues`` maps a name to its tokens and its weight.  After t tokens, the
+    queues below p are dry and the others have got the rest by weight:
+
+        below(q, t) = N(p) + (t - N(p)) * (C(q) - C(p)) / (C - C(p))   for q > p
+
+    with N and C the sums of tokens and weights of the queues below."""
+
+    def __init__(self, queues: dict[str, tuple[int, int]], window_tokens: int):
+        super().__init__(sum(n for n, _ in queues.values()), window_tokens)
+        self.names = sorted(queues, key=lambda q: (Fraction(*queues[q]), q))
+        self.sizes, self.weights = [queues[q][0] for q in self.names], [queues[q][1] for q in self.names]
+        self.tokens, self.shares = [0, *accumulate(self.sizes)], [0, *accumulate(self.weights)]
+        if any(w * window_tokens < 2 * self.shares[-1] for w in self.weights):
+            raise ValueError("a target share must be worth two tokens a window")
+        # Tokens served when queue p runs dry.
+        self.dry = [self.tokens[p] + Fraction(n * (self.shares[-1] - self.shares[p]), w)
+                    for p, (n, w) in enumerate(zip(self.sizes, self.weights))]
+
+    def earned(self, queues_below: int, w: int) -> int:
+        t = min(w * self.window, self.total)
+        p = bisect_right(self.dry, t)
+        if queues_below <= p:
+            return self.tokens[queues_below]
+        return self.tokens[p] + (t - self.tokens[p]) * (self.shares[queues_below] - self.shares[p]) // (
+            self.shares[-1] - self.shares[p])
+
+    def window_of(self, low: int, size: int, token: int) -> int:
+        return bisect_right(range(self.windows), token, key=lambda w: self.served(low, size, w)) - 1
+
+
 def sequence_cuts(total: int, length: int) -> tuple[int, list[int]]:
     """Number of full sequences, and the starts of those that follow: the
     rest, largest power of two first."""
@@ -173,14 +249,16 @@ def sequence_cuts(total: int, length: int) -> tuple[int, list[int]]:
 
 
 def pack(docs: DataFrame, spec: str, length: int = 1024, window_sequences: int = 64, end_id: int = 0,
-         **columns) -> DataFrame:
+         targets: dict[str, float] | None = None, **columns) -> DataFrame:
     """One row per piece: which ids of which document lie where in which
-    sequence.  ``length`` is a power of two."""
+    sequence.  ``length`` is a power of two; ``targets`` are the sources'
+    shares of every window (by default, of the corpus)."""
     if length & (length - 1):
         raise ValueError("the sequence length must be a power of two")
     window = length * window_sequences
-    tokens = staged(tokenize(docs, spec, end_id, **columns), "packing-tokens")
-    places = staged(queue_places(tokens, window), "packing-places")
+    tokens = staged(tokenize(docs, spec, end_id, targets=targets, **columns), "packing-tokens")
+    places, given = (queue_places(tokens, window), None) if targets is None else target_places(tokens, targets, window)
+    places = staged(places, "packing-places")
     rows = tokens.join(places, ["chunk", "source"]).select(
         "doc_id", "n_tokens", (F.col("queued") + F.col("before")).alias("start"), "low", "size", "total", "wide", "ids")
 
@@ -193,7 +271,7 @@ def pack(docs: DataFrame, spec: str, length: int = 1024, window_sequences: int =
                 raw = np.frombuffer(raw.as_buffer(), "<u4" if is_wide else "<u2").astype("<u4")
                 raw, done = memoryview(raw).cast("B"), 0
                 full, tail = sequence_cuts(total, length)
-                for place, size_here in Rounds(total, window).runs(low, size, start, start + n):
+                for place, size_here in (given or Rounds(total, window)).runs(low, size, start, start + n):
                     end = place + size_here
                     while place < end:
                         if place < full * length:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import collections
 import random
 import re
 
@@ -246,6 +247,60 @@ def test_rounds_fill_every_window():
     assert served.max() == 1
 
 
+def test_target_rounds_serve_shares_until_queues_run_dry():
+    window, queues = 100, {"a": (700, 5), "b": (2000, 3), "c": (333, 2)}
+    rounds = packing.TargetRounds(queues, window)
+    served, at = np.zeros(3033, dtype=int), dict.fromkeys(queues, 0)
+    left, fluid = {q: float(n) for q, (n, _) in queues.items()}, dict.fromkeys(queues, 0.0)
+    for k, name in enumerate(rounds.names):
+        for start in range(0, queues[name][0], 37):
+            for place, n in rounds.runs(k, 1, start, min(queues[name][0], start + 37)):
+                served[place:place + n] += 1
+                at[name] += n
+    assert served.tolist() == [1] * 3033 and at == {q: n for q, (n, _) in queues.items()}
+    for w in range(rounds.windows):                   # a plain round-robin in small steps
+        for k, name in enumerate(rounds.names):
+            assert abs(rounds.served(k, 1, w) - fluid[name]) < 1.1
+        room = min(window, 3033 - w * window)
+        while room > 1e-6:
+            alive = {q: queues[q][1] for q in left if left[q] > 1e-9}
+            step = min([room] + [left[q] * sum(alive.values()) / x for q, x in alive.items()])
+            for q, x in alive.items():
+                fluid[q] += step * x / sum(alive.values())
+                left[q] -= step * x / sum(alive.values())
+            room -= step
+    with pytest.raises(ValueError):
+        packing.TargetRounds({"a": (700, 1), "b": (700, 99)}, window)
+
+
+@pytest.mark.parametrize("targets", [{"src2": 0.6, "src1": 0.1, "absent": 0.2}, {"src0": 0.5, "src1": 0.5}, {"": 0.02}, {}])
+def test_packing_to_targets(spark, tiny, empty, rows, targets):
+    import public_tokenizers
+
+    from lakemart.llm import bpe
+
+    spec, window = bpe.tokenizer_from_file(public_tokenizers.path("byte_bpe_50k.json")), 1024
+    pieces = packing.pack(spark.read.parquet(f"{tiny}/documents.parquet"), spec, window_sequences=1, targets=targets).toPandas()
+    copies = collections.Counter(i for i, *_ in rows)
+    for i, part in pieces.groupby("doc_id"):
+        seen = collections.Counter(x for r in part.itertuples() for x in range(r.start, r.start + r.length))
+        assert seen == {x: copies[i] for x in range(part.doc_tokens.iloc[0])}
+    assert set(pieces.doc_id) == set(copies)
+    source = {i: s or "" for i, _, _, s in rows}
+    pieces["queue"] = [source[i] if source[i] in targets else "the rest" for i in pieces.doc_id]
+    total = pieces.groupby("queue").length.sum()
+    share = {q: targets.get(q, 1 - sum(targets.values())) for q in total.index}
+    share = {q: max(x, 3 / window) / sum(max(x, 3 / window) for x in share.values()) for q, x in share.items()}
+    dry = int(min(total[q] / share[q] for q in share) // window)      # windows before a queue runs dry
+    assert dry >= 1
+    for w in range(dry):
+        here = pieces[pieces.sequence_id == w].groupby("queue").length.sum()
+        assert here.sum() == window and all(abs(here.get(q, 0) - share[q] * window) < 2.01 for q in share)
+    assert packing.pack(spark.read.parquet(f"{empty}/documents.parquet"), spec, targets=targets).count() == 0
+    with pytest.raises(ValueError):
+        packing.pack(spark.read.parquet(f"{empty}/documents.parquet"), spec, targets={"a": 0.7, "b": 0.7})
+
+
 def test_votes_learn_kinds_of_bad_documents():
     patterns = {"gggg": 9000, "bggg": 500, "gbbg": 400, "ggg-": 300, "ggbg": 3, "----": 50}
     model = weak_rules.fit_votes(patterns, 4)
