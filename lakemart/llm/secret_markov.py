@@ -46,7 +46,9 @@ SIZE = LAST - FIRST + 1
 SMOOTHING = 0.5        # pseudo-count of every character pair
 RATIO_MIN = 1.0        # least mean log-likelihood ratio of a pair for a secret
 RATIO_FLOOR = 0.5
-RUNS = 64              # block length of running sums
+RUNS = 32              # block length of running sums
+SPAN_BITS = 27         # a text of 2**31 characters has fewer matches of 16 or more
+CHUNK = 1024           # characters of the pieces that a text is cut from
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -54,15 +56,29 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def running_sums(sizes: Column) -> Column:
-    """Sums of the first 1, 2, ... elements.  Blocks keep the work near linear
-    where a text has very many matches."""
-    total = lambda a: F.aggregate(a, F.lit(0), lambda x, y: x + y)
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(sizes) - 1) / RUNS).cast("int")),
-                         lambda k: total(F.slice(sizes, k * RUNS + 1, F.lit(RUNS))))
-    return bind(blocks, lambda done: F.transform(sizes, lambda _, k: (
-        total(F.slice(done, F.lit(1), F.floor(k / RUNS).cast("int")))
-        + total(F.slice(sizes, F.floor(k / RUNS).cast("int") * RUNS + 1, k % RUNS + 1)))))
+def running(values: Column, step: Callable[[Column, Column], Column] = lambda x, y: x + y, levels: int = 3) -> Column:
+    """``step`` folded over the first 1, 2, ... elements (sums by default), from
+    0 on.  Blocks of RUNS, and blocks of those, keep the work near linear where
+    a text has very many matches.  ``values`` is used often: bind it."""
+    fold = lambda a: F.aggregate(a, F.lit(0), step)
+    plain = F.transform(values, lambda _, k: fold(F.slice(values, F.lit(1), k + 1)))
+    if levels == 0:
+        return plain
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / RUNS).cast("int")),
+                         lambda k: fold(F.slice(values, k * RUNS + 1, F.lit(RUNS))))
+    block = lambda k: F.floor(k / RUNS).cast("int")
+    return F.when(F.size(values) <= RUNS, plain).otherwise(bind(blocks, lambda b: bind(
+        running(b, step, levels - 1), lambda done: F.transform(values, lambda _, k: step(
+            F.coalesce(F.get(done, block(k) - 1), F.lit(0)), fold(F.slice(values, block(k) * RUNS + 1, k % RUNS + 1)))))))
+
+
+def overlaps(spans: Column, s: Column) -> Column:
+    """Whether one of ``spans`` (by start, apart from each other) overlaps ``s``.
+    Bisection: as many of them as end at or before the start of ``s`` come first."""
+    bits = F.lit(",".join(str(1 << k) for k in reversed(range(SPAN_BITS))))
+    first = F.aggregate(F.split(bits, ",").cast("array<int>"), F.lit(0), lambda at, bit: at + F.when(
+        F.get(spans, at + bit - 1)["end"] <= s["start"], bit).otherwise(0))
+    return F.coalesce(F.get(spans, first)["start"] < s["end"], F.lit(False))
 
 
 def find(text: Column, pattern: str, kind: int, value_group: int = 0, value_min: int = 0) -> Column:
@@ -77,7 +93,7 @@ def find(text: Column, pattern: str, kind: int, value_group: int = 0, value_min:
         steps = F.zip_with(F.slice(F.transform(F.split(text, pattern, -1), lambda g: F.char_length(g)),
                                    F.lit(1), F.size(found)), sizes, lambda g, n: g + n)
         return bind(F.struct(steps.alias("steps"), sizes.alias("sizes"), values.alias("values")), lambda x: bind(
-            running_sums(x["steps"]), lambda ends: F.filter(
+            running(x["steps"]), lambda ends: F.filter(
                 F.transform(ends, lambda end, k: F.struct(
                     (end - F.get(x["sizes"], k)).alias("start"), F.lit(kind).alias("kind"), end.alias("end"),
                     F.get(x["values"], k).alias("value"))),
@@ -168,8 +184,7 @@ def scan(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", model:
     text = F.coalesce(F.col(text_col), F.lit(""))
 
     def found(b: Column) -> Column:
-        base = F.concat(b["assign"], b["access"], b["hex"])
-        free = lambda s: ~F.exists(base, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"]))
+        free = lambda s: ~(overlaps(b["assign"], s) | overlaps(b["access"], s) | overlaps(b["hex"], s))
         random = F.filter(find(text, CANDIDATE, 3),
                           lambda s: (model.mean_ratio(s["value"]) >= model.least) & free(s))
         return F.struct(b["assign"].alias("assign"), b["access"].alias("access"), b["hex"].alias("hex"),
@@ -200,14 +215,20 @@ def redact(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", mode
     kinds = F.array(*[F.lit(f"<{k}>") for k in KINDS])
     text = F.col(text_col)
 
-    def step(acc: Column, x: Column) -> Column:
-        piece = F.concat(F.substr(text, acc["at"] + 1, x["start"] - acc["at"]), F.get(kinds, x["kind"]))
-        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"),
-                        F.when(x["start"] >= acc["at"], F.concat(acc["out"], F.array(piece)))
-                        .otherwise(acc["out"]).alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
-    clean = bind(spans, lambda found: F.when(F.size(found) == 0, text).otherwise(F.aggregate(
-        found, start, step, lambda acc: F.concat(F.array_join(acc["out"], ""),
-                                                 F.substr(text, acc["at"] + 1, F.char_length(text))))))
+    def cut(chunks: Column, start: Column, end: Column) -> Column:
+        """Characters [start, end) of the text that was cut into chunks."""
+        first = F.floor(start / CHUNK).cast("int")
+        return F.substr(F.array_join(F.slice(chunks, first + 1, F.floor(end / CHUNK).cast("int") - first + 1), ""),
+                        start - first * CHUNK + 1, F.greatest(end - start, F.lit(0)))
+
+    def replaced(found: Column, chunks: Column, ends: Column) -> Column:
+        pieces = F.transform(found, lambda s, k: bind(F.coalesce(F.get(ends, k - 1), F.lit(0)), lambda at: F.when(
+            s["start"] >= at, F.concat(cut(chunks, at, s["start"]), F.get(kinds, s["kind"]))).otherwise("")))
+        return F.concat(F.array_join(pieces, ""), cut(chunks, F.array_max(ends), F.char_length(text)))
+
+    # Chunks keep a piece's cost from growing with the whole text.
+    chunks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    clean = bind(spans, lambda found: F.when(F.size(found) == 0, text).otherwise(bind(
+        chunks, lambda c: bind(F.transform(found, lambda s: s["end"]), lambda own: bind(
+            running(own, lambda x, y: F.greatest(x, y)), lambda ends: replaced(found, c, ends))))))
     return scanned.withColumn(text_col, clean).select(*docs.columns)
