@@ -12,8 +12,8 @@ secret scan redacts (``n_chars`` follows the text).
     secret_scan       secrets are replaced by their kind
     packing           the rest is packed into sequences (one row per piece)
 
-NULL ids: near_duplicates keeps every such row whose text is not a duplicate of
-a row with an id, as ids are what tells copies apart.  Empty tables give empty
+NULL ids: near_duplicates takes such rows for the last of their group, so one
+stays only where no row of the group has an id.  Empty tables give empty
 results.
 """
 
@@ -23,12 +23,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.llm import bpe, langid_crf, ngram_join, packing, secret_markov, weak_rules
-from lakemart.llm.common import fold, read_table, staged
+from lakemart.llm.common import fold, free_name, read_table, staged
 
 # Least mean probability of a text's language over its words.  A text half in
 # one and half in another language is kept; one that no language explains goes.
 LANGUAGE_SCORE_MIN = 0.4
 VOCABULARY = "byte_bpe_50k.json"
+# Rows without an id take one from their text, above all real ids (below 2**62).
+NO_ID = 1 << 62
 
 
 def _added(after: DataFrame, before: DataFrame) -> str:
@@ -50,11 +52,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = ngram_join.near_duplicates(docs)
-    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("_kept")).distinct()
+    key = free_name(docs, "_key")
+    keyed = docs.withColumn(key, F.coalesce("doc_id", F.expr(f"shiftrightunsigned(xxhash64(text), 2) + {NO_ID}L")))
+    groups = ngram_join.near_duplicates(keyed, id_col=key)
+    kept = groups.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(key)).distinct()
     # The id is all that decides, so equal rows are told apart last.
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi").dropDuplicates(["doc_id", "text"])
+    return keyed.join(kept, key, "left_semi").dropDuplicates([key, "text"]).select(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -215,6 +215,28 @@ def test_very_many_secrets_in_one_text(spark):
     assert [(s["start"], s["end"]) for s in row["s"]] == [m.span() for m in re.finditer("[0-9a-f]{16,}", text)]
 
 
+def test_redaction_against_a_plain_one(spark):
+    rng = random.Random(4)
+    make = [lambda: "deadbeef" * rng.randint(2, 4), lambda: "AKIA" + "Z9" * 9, lambda: "é😀 word\n" * rng.randint(1, 300),
+            lambda: "password=" + "ab.12" * rng.randint(1, 9) + " deadbeefdeadbeef00", lambda: "aX9" * rng.randint(4, 9)]
+    texts = ["".join(rng.choice(make)() + rng.choice(["", " ", "."]) for _ in range(n)) for n in [1] * 20 + [5] * 20 + [400, 1200]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = secret_markov.RatioModel((2.0,) * secret_markov.SIZE ** 2)     # every candidate is random
+    found = {r["doc_id"]: r["secrets"] for r in secret_markov.scan(docs, model=model).collect()}
+    clean = {r["doc_id"]: r["text"] for r in secret_markov.redact(docs, model=model).collect()}
+    for k, text in enumerate(texts):
+        base = [(s["start"], s["kind"], s["end"]) for kind in ("assign", "access", "hex") for s in found[k][kind]]
+        want = [(m.start(), 3, m.end()) for m in re.finditer(secret_markov.CANDIDATE, text)]
+        want = [w for w in want if not any(s < w[2] and w[0] < e for s, _, e in base)]
+        assert [(s["start"], s["kind"], s["end"]) for s in found[k]["markov"]] == want
+        out, at = "", 0
+        for start, kind, end in sorted(base + want):
+            if start >= at:
+                out += text[at:start] + f"<{secret_markov.KINDS[kind]}>"
+            at = max(at, end)
+        assert clean[k] == out + text[at:]
+
+
 def test_models_tell_random_strings_from_words(spark, rows):
     text = "the other connection internationalisation north water " * 5
     secrets = [f"token = {random.Random(k).getrandbits(160):040x}" for k in range(80)]
@@ -341,6 +363,19 @@ def test_operators_keep_other_columns(spark, tiny):
     assert secret_markov.redact(docs).columns == docs.columns
 
 
+def test_duplicates_without_ids(spark):
+    import corpus_pipeline as pipeline
+
+    text = {k: " ".join(f"{k}{n}" for n in range(40)) for k in "abc"}
+    rows = [(5, text["a"]), (None, text["a"]), (3, text["a"]), (None, text["b"]), (None, text["b"] + " more"), (None, text["c"]),
+            (None, text["c"]), (None, None), (7, None), (8, "")]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, _key int")
+    left = pipeline.near_duplicates(spark, docs, "")
+    assert left.columns == docs.columns
+    got = sorted((r["doc_id"] or 0, (r["text"] or "")[:1]) for r in left.collect())
+    assert got == [(0, ""), (0, "b"), (0, "c"), (3, "a"), (7, ""), (8, "")]
+
+
 def test_pipeline(spark, tiny, empty, rows):
     import corpus_pipeline as pipeline
 
