@@ -27,11 +27,13 @@ from pyspark.sql import types as T
 from lakemart.operators.layout import numbered_rows
 from lakemart.operators.loads import (
     delete_path, first_per_key, latest_per_key, list_dirs, path_exists, reject_duplicate_keys, reject_unknown_columns,
-    rows_without_keys, written_once,
+    rows_with_keys, rows_without_keys, touch, written_once,
 )
 from lakemart.session import BUCKETS_CONF
 
 BUCKETS = 16
+# Rows hold whole documents; every load writes them more than once.
+CODEC = "zstd"
 
 
 def _struct(schema) -> T.StructType:
@@ -44,6 +46,20 @@ def _has_map(kind: T.DataType) -> bool:
     return isinstance(kind, T.MapType) or isinstance(kind, T.StructType) and any(_has_map(f.dataType) for f in kind)
 
 
+_TEXT = (T.StringType, T.BinaryType)
+# Types whose values differ where their text does, and only there.
+_PLAIN = (*_TEXT, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType, T.BooleanType, T.DateType, T.TimestampNTZType)
+
+
+def row_digest(fields: list[T.StructField]) -> Column:
+    """SHA-256 of columns, each behind its length, so no two rows of different
+    values run together; NULL is told from empty."""
+    raw = [F.col(f.name).cast("binary") if isinstance(f.dataType, _TEXT) else F.col(f.name).cast("string").cast("binary") for f in fields]
+    parts = [F.coalesce(F.concat(F.concat(F.octet_length(r).cast("string"), F.lit(":")).cast("binary"), r), F.lit("-").cast("binary"))
+             for r in raw]
+    return F.unhex(F.sha2(F.concat(*parts), 256))
+
+
 class BucketTable:
     """Rows under a unique key, in ``buckets`` hash buckets (default
     ``lakemart.buckets`` or BUCKETS; a table keeps the number it was made
@@ -98,20 +114,56 @@ class BucketTable:
         if order is not None:
             named = [f"__v{i}" for i in range(len(order))]
             batch = latest_per_key(batch.select(*[o.alias(n) for o, n in zip(order, named)], *columns), self.keys, named)
-        with written_once(self.bucketed(batch.select(*columns)), self._staging()) as rows:
+        bucketed = self.bucketed(batch.select(*columns))
+        if not path_exists(self.spark, self.data):
+            return self._fill(bucketed, order is None)
+        with written_once(bucketed, self._staging()) as rows:
             if order is None:
                 reject_duplicate_keys(rows, self.keys)
-            with written_once(self.changed(rows), self._staging()) as new:
-                n = new.count()
+            with written_once(self.changed_keys(rows), self._staging()) as keys:
+                n = keys.count()
                 if n:
-                    self._swap(rows_without_keys(self._in_buckets_of(new), new, self.keys).unionByName(new))
+                    with written_once(rows_with_keys(rows, keys, self.keys), self._staging()) as new:
+                        self._swap(rows_without_keys(self._in_buckets_of(new), new, self.keys).unionByName(new))
         return n
 
-    def changed(self, rows: DataFrame) -> DataFrame:
-        """The bucketed rows that the table does not hold as they are."""
+    def _fill(self, bucketed: DataFrame, check: bool) -> int:
+        """First rows of a table: all are new.  They are staged as a swap that
+        counts once its mark is set, after the check."""
+        path = f"{self.pending}/{uuid.uuid4().hex[:12]}"
+        try:
+            (bucketed.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+             .option("compression", CODEC).parquet(path))
+            rows = self.spark.read.schema(bucketed.schema).parquet(path)
+            if check:
+                reject_duplicate_keys(rows, self.keys)
+            n = rows.count()
+        except BaseException:
+            delete_path(self.spark, path)
+            raise
+        if n:
+            touch(self.spark, f"{path}/_SUCCESS")
+            self._apply(path)
+        else:
+            delete_path(self.spark, path)
+        return n
+
+    def changed_keys(self, rows: DataFrame) -> DataFrame:
+        """Keys of the bucketed rows that the table does not hold as they are.
+
+        Beside the key only a digest of the texts and plain values meets, and
+        columns of other types as they are.
+        """
+        keys = rows.select(*self.keys)
         if any(_has_map(f.dataType) for f in self.schema):   # maps cannot be compared
-            return rows
-        return rows_without_keys(rows, self._in_buckets_of(rows), self.schema.names)
+            return keys
+        held, names = self._in_buckets_of(rows), self.schema.names
+        plain = [f for f in self.schema if isinstance(f.dataType, _PLAIN) and f.name not in self.keys]
+        if any(isinstance(f.dataType, _TEXT) for f in plain):
+            rest, digest = [c for c in names if c not in {f.name for f in plain}], f"{self.column}_digest"
+            rows, held = (df.select(*rest, row_digest(plain).alias(digest)) for df in (rows, held))
+            names = [*rest, digest]
+        return rows_without_keys(rows, held, names).select(*self.keys)
 
     def insert_if_absent(self, batch: DataFrame, keys: list[str] | None = None, order: list[Column] | None = None) -> int:
         """Append rows of new keys (the first under ``order`` and all columns
@@ -123,7 +175,8 @@ class BucketTable:
             with written_once(rows_without_keys(rows, held, self.keys), self._staging()) as new:
                 n = new.count()
                 if n:
-                    new.hint("rebalance", self.column).write.mode("append").partitionBy(self.column).parquet(self.data)
+                    (new.hint("rebalance", self.column).write.mode("append").option("compression", CODEC)
+                     .partitionBy(self.column).parquet(self.data))
         return n
 
     def sync(self, rows: DataFrame) -> int:
@@ -171,12 +224,16 @@ class BucketTable:
     def _swap(self, rows: DataFrame) -> None:
         """Replace the buckets of ``rows`` by ``rows``."""
         path = f"{self.pending}/{uuid.uuid4().hex[:12]}"
-        rows.write.parquet(path)
+        rows.write.option("compression", CODEC).parquet(path)
         self._apply(path)
 
+    def _put(self, rows: DataFrame) -> None:
+        """Write ``rows`` as whole buckets."""
+        (rows.hint("rebalance", self.column).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").option("compression", CODEC).partitionBy(self.column).parquet(self.data))
+
     def _apply(self, path: str) -> None:
-        (self.spark.read.parquet(path).hint("rebalance", self.column).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(self.column).parquet(self.data))
+        self._put(self.spark.read.parquet(path))
         delete_path(self.spark, path)
 
     def _finish_swaps(self) -> None:

@@ -85,6 +85,16 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete_dir(p)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Make an empty file at ``path``."""
+    h = _hadoop_fs(spark, path)
+    if h is not None:
+        h[1].create(h[0]).close()
+        return
+    fs, p = _arrow_fs(path)
+    fs.open_output_stream(p).close()
+
+
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
     """One row per key: the smallest under ``order`` (ascending value
     expressions), then every column.
@@ -117,10 +127,19 @@ class UnknownColumnError(ValueError):
 
 def rows_without_keys(df: DataFrame, others: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``df`` whose key is not among ``others``; NULL equals NULL."""
+    return _met(df, others, keys, "left_anti")
+
+
+def rows_with_keys(df: DataFrame, others: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``df`` whose key is among ``others``; NULL equals NULL."""
+    return _met(df, others, keys, "left_semi")
+
+
+def _met(df: DataFrame, others: DataFrame, keys: list[str], how: str) -> DataFrame:
     names = [f"__key{i}" for i in range(len(keys))]
     right = others.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
     same = reduce(lambda a, c: a & c, [df[k].eqNullSafe(right[n]) for k, n in zip(keys, names)])
-    return df.join(right, same, "left_anti")
+    return df.join(right, same, how)
 
 
 def reject_unknown_columns(batch: DataFrame, columns: list[str]) -> None:
@@ -139,7 +158,7 @@ def written_once(batch: DataFrame, path: str):
     """``batch`` written to ``path`` and read back for the time of a load, so
     its plan runs once however often the load reads it."""
     spark = batch.sparkSession
-    batch.write.mode("overwrite").parquet(path)
+    batch.write.mode("overwrite").option("compression", "zstd").parquet(path)
     try:
         yield spark.read.schema(batch.schema).parquet(path)
     finally:

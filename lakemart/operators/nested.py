@@ -7,7 +7,7 @@ document never leaves its executor.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.functions.scalars import TIMESTAMP_FORMATS, first_or_default, parse_timestamp_any
@@ -66,11 +66,11 @@ def item_adjustments(docs: DataFrame) -> DataFrame:
                       F.col("adj.reason").alias("reason"))
 
 
-def raw_order_rows(docs: DataFrame) -> DataFrame:
+def raw_order_rows(docs: DataFrame, *more: Column) -> DataFrame:
     """Raw order table row: header fields, item count (0 without items),
     payment fields, the document's text and the load time.  The text is the
     column ``raw_payload`` where the documents were landed as text, else the
-    document written as JSON again."""
+    document written as JSON again.  ``more`` columns of the document follow."""
     return docs.select(
         "order_id", "cart_id", F.col("customer.user_id").alias("user_id"), F.col("customer.city").alias("city"),
         F.lower("status").alias("status"),
@@ -82,7 +82,7 @@ def raw_order_rows(docs: DataFrame) -> DataFrame:
         F.col("payment.currency").alias("currency"),
         F.col("raw_payload") if "raw_payload" in docs.columns else
         F.to_json(F.struct(*[F.col(c) for c in docs.columns])).alias("raw_payload"),
-        F.current_timestamp().alias("loaded_at"))
+        F.current_timestamp().alias("loaded_at"), *more)
 
 
 def nest(rows: DataFrame, key: str, item_cols: list[str], items_name: str = "items") -> DataFrame:

@@ -35,6 +35,9 @@ def raw_payload_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "payloads")
     lines = b.events(spark, sf_dir).select(
         F.to_date("ts").alias("dt"), F.concat_ws("|", *[F.col(c).cast("string") for c in ("event_id", "user_id", "event_type", "props")]))
+    # Where there is no event, no day is written to read back.
+    if lines.isEmpty():
+        return lines.select("dt", F.lit(None).cast("string").alias("payload_sha256"), F.lit(None).cast("boolean").alias("intact"))
     lines.hint("rebalance", "dt").write.partitionBy("dt").text(f"{root}/source")
     source = spark.read.schema("value string, dt date").option("lineSep", "\n").text(f"{root}/source")
     for _ in range(2):
@@ -72,13 +75,15 @@ def order_document_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     cats = b.products(spark, sf_dir).select("product_id", "category")
     lines = b.order_items(spark, sf_dir).select("order_id", "line_no", "product_id", "quantity", "price").join(cats, "product_id", "left")
     no_category = F.col("category").isNull() | (F.col("product_id") % 7 == 0)
-    text = F.concat(F.lit('{"line_no":'), s("line_no"), F.lit(',"product_id":'), s("product_id"), F.lit(',"sku":"SKU-'), s("product_id"),
-                    F.lit('","quantity":"'), s("quantity"), F.lit('","unit_price":"'), s("price"), F.lit('","category_path":'),
-                    F.when(no_category, "[]").otherwise(F.concat(F.lit('["'), F.col("category"), F.lit('"]'))), F.lit("}"))
-    # An array holds one order's lines: the document itself.
+    path = F.when(no_category, "[]}").otherwise(F.concat(F.lit('["'), F.col("category"), F.lit('"]}')))
+    text = lambda x: F.concat(
+        F.lit('{"line_no":'), s(x["line_no"]), F.lit(',"product_id":'), s(x["product_id"]), F.lit(',"sku":"SKU-'), s(x["product_id"]),
+        F.lit('","quantity":"'), s(x["quantity"]), F.lit('","unit_price":"'), s(x["price"]), F.lit('","category_path":'), x["path"])
+    # An array holds one order's lines: the document itself.  Their text is
+    # made where they have met, so the shuffle moves numbers.
     items = lines.groupBy("order_id").agg(F.sort_array(F.collect_list(F.struct(
-        "line_no", "product_id", "quantity", "price", text.alias("text")))).alias("lines")).select(
-        "order_id", F.array_join(F.transform("lines", lambda x: x["text"]), ",").alias("items"))
+        "line_no", "product_id", "quantity", "price", path.alias("path")))).alias("lines")).select(
+        "order_id", F.array_join(F.transform("lines", text), ",").alias("items"))
     o = b.orders(spark, sf_dir).join(b.users(spark, sf_dir).select("user_id", "city"), "user_id").join(items, "order_id", "left")
     i, day = F.col("order_id"), F.date_format("order_date", "yyyy-MM-dd")
     created = F.when(i % 30 == 2, "soon").when(i % 3 == 1, day).otherwise(F.concat(day, F.lit(" 10:20:30")))
@@ -96,7 +101,7 @@ def landed_documents(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
     """Order documents landed as text lines, parsed under the declared nested
     schema; ``raw_payload`` keeps the text."""
     day = F.lit("2026-05-20").cast("date").alias("dt")
-    path = land_payloads(order_document_text(spark, sf_dir).select("value", day), root, "shop", "order_documents")
+    path = land_payloads(order_document_text(spark, sf_dir).select("value", day), root, "shop", "order_documents", one_day=True)
     landed = spark.read.schema("payload binary, sha256 string, dt date").parquet(path).select(F.col("payload").cast("string").alias("raw_payload"))
     return landed.select(F.from_json("raw_payload", schemas.ORDER_DOC).alias("d"), "raw_payload").select("d.*", "raw_payload")
 
@@ -116,8 +121,8 @@ def raw_order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     here), loaded twice under the order id."""
     root = scratch_path(spark, "order_documents")
     docs = landed_documents(spark, sf_dir, f"{root}/lake")
-    rows = raw_order_rows(docs).drop("loaded_at").join(
-        docs.select("order_id", F.col("channel.utm").alias("utm")), "order_id")
+    # A payload that does not parse has no order id.
+    rows = raw_order_rows(docs.filter(F.col("order_id").isNotNull()), F.col("channel.utm").alias("utm")).drop("loaded_at")
     table = BucketTable(spark, f"{root}/orders_raw", ["order_id"], rows.schema)
     for _ in range(2):
         table.upsert(rows)

@@ -40,24 +40,26 @@ def save_table(df: DataFrame, name: str, path: str | None = None, mode: str = "o
 
 
 def land_raw(df: DataFrame, root: str, source: str, entity: str, dt_col: str = "dt",
-             fmt: str = "json") -> str:
+             fmt: str = "json", one_day: bool = False) -> str:
     """Land rows untouched at ``raw/<source>/<entity>/dt=…/``;
     re-landing a day replaces only that day (dynamic overwrite).  Rows are
-    clustered by day first, so a day gets files by its size, not one per task."""
+    clustered by day first, so a day gets files by its size, not one per task;
+    rows of ``one_day`` are written where they are."""
     path = f"{root}/raw/{source}/{entity}"
-    (df.hint("rebalance", dt_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    ((df if one_day else df.hint("rebalance", dt_col)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(dt_col).format(fmt).save(path))
     return path
 
 
-def land_payloads(lines: DataFrame, root: str, source: str, entity: str, dt_col: str = "dt") -> str:
+def land_payloads(lines: DataFrame, root: str, source: str, entity: str, dt_col: str = "dt", one_day: bool = False) -> str:
     """S16 byte for byte: text lines (column ``value``) landed as they are, as
     bytes with their SHA-256, at ``raw/<source>/<entity>/dt=…/``; a re-landed
-    day replaces itself."""
+    day replaces itself.  Lines of ``one_day`` are written where they are."""
     path = f"{root}/raw/{source}/{entity}"
     payload = F.col("value").cast("binary")
-    (lines.select(payload.alias("payload"), F.sha2(payload, 256).alias("sha256"), F.col(dt_col).alias("dt"))
-     .hint("rebalance", "dt").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(path))
+    landed = lines.select(payload.alias("payload"), F.sha2(payload, 256).alias("sha256"), F.col(dt_col).alias("dt"))
+    ((landed if one_day else landed.hint("rebalance", "dt")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+     .partitionBy("dt").parquet(path))
     return path
 
 
