@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart import bindings as b
@@ -65,15 +65,17 @@ def load_entity(spark: SparkSession, source: DataFrame, e: Entity, root: str, ru
     # raw: the source rows untouched (as text), in the run's day partition.
     day = F.lit(run_date).cast("date")
     text = as_strings(source.select(*e.columns))
-    path = land_raw(text.withColumn("dt", day), root, "shop", e.name)
+    path = land_raw(text.withColumn("dt", day), root, "shop", e.name, one_day=True)
     ddl = ", ".join(f"{c} STRING" for c in e.columns) + ", dt DATE"
     raw = spark.read.schema(ddl).json(path).filter(F.col("dt") == day)
 
     # stg: typed; rows with fields that do not parse go to rejects.
     typed = typed_projection(raw, {c: t for c, (_, t) in e.columns.items()}, rename={c: n for c, (n, _) in e.columns.items()})
     stg, rejects = f"{root}/stg/{e.name}", f"{root}/stg/{e.name}_rejects"
-    typed.filter(F.col("_bad_fields") == 0).drop("_bad_fields").write.mode("overwrite").parquet(stg)
-    typed.filter(F.col("_bad_fields") > 0).write.mode("overwrite").parquet(rejects)
+    seen, bad = Observation(), F.col("_bad_fields") > 0
+    typed.observe(seen, F.count(F.when(bad, 1)).alias("bad")).filter(~bad).drop("_bad_fields").write.mode("overwrite").parquet(stg)
+    # The text is parsed again only for rejects that there are.
+    (typed.filter(bad) if seen.get["bad"] else spark.createDataFrame([], typed.schema)).write.mode("overwrite").parquet(rejects)
     rows = spark.read.parquet(stg)
 
     # ods: what is new or changed.
@@ -84,7 +86,7 @@ def load_entity(spark: SparkSession, source: DataFrame, e: Entity, root: str, ru
         path = f"{root}/ods/{e.name}"
         known = path_exists(spark, f"{path}/_SUCCESS") and bag_digest(spark.read.schema(rows.schema).parquet(path))
         written = 0
-        if known != bag_digest(rows):
+        if not known or known != bag_digest(rows):
             rows.write.mode("overwrite").parquet(path)
             written = rows.count()
         held = lambda: spark.read.schema(rows.schema).parquet(path)

@@ -64,3 +64,20 @@ def test_no_events_no_payloads(spark):
     empty = spark.createDataFrame([], "event_id bigint, user_id bigint, event_type string, props string, ts timestamp_ntz")
     assert landing.raw_payload_digests(spark, ViewSet(events=empty)).collect() == []
 
+
+# ---- layers -----------------------------------------------------------------
+
+
+@pytest.mark.parametrize("bad", [0, 2])
+def test_rejects_are_read_again_only_where_there_are_some(spark, tmp_path, monkeypatch, bad):
+    source = spark.createDataFrame([(str(k), "x" if k < bad else "1.5") for k in range(6)], "a string, b string")
+    e = layers.Entity("things", "things", {"a": ("k", "bigint"), "b": ("price", "decimal(12,2)")})
+    digests = []
+    monkeypatch.setattr(layers, "bag_digest", lambda df, was=layers.bag_digest: digests.append(1) or was(df))
+    for run in (1, 2):
+        loaded = layers.load_entity(spark, source, e, str(tmp_path), layers.RUN_DATE)
+        assert loaded[("stg", "things")].count() == 6 - bad
+        assert loaded[("stg", "things_rejects")].columns == ["k", "price", "_bad_fields"]
+        assert loaded[("stg", "things_rejects")].count() == bad
+        assert loaded.written[("ods", "things")] == (6 - bad if run == 1 else 0)
+    assert len(digests) == 2     # the first load has nothing to compare with
