@@ -1,8 +1,9 @@
 """A paged HTTP API read as a Spark data source.
 
-``spark.read.format("paged_api")`` plans one input partition per
-``(skip, limit)`` window, so pages are fetched in parallel by executors,
-never looped over on the driver.  The first page is fetched once on the
+``spark.read.format("paged_api")`` plans ``(skip, limit)`` windows, dealt to
+input partitions in runs of neighbours (one window each up to ``max_tasks``
+windows), so pages are fetched in parallel by executors, never looped over on
+the driver, and the number of tasks does not follow the number of pages.  The first page is fetched once on the
 driver to learn ``total``; reading stops at ``total`` or ``max_rows``.  An
 answer shorter than its window (a server that caps the page size) is followed
 by requests for the rest; a window that ends early is an error, never a short
@@ -12,7 +13,8 @@ The package must be importable on the workers (``--py-files`` or installed).
 
 Options: ``url`` — a template with ``{skip}`` and ``{limit}`` (``http(s)://``
 or ``file://``), ``limit`` (page size), ``max_rows``, ``retries``,
-``backoff_seconds``, ``timeout``, ``items_field`` (default ``products``).
+``backoff_seconds``, ``timeout``, ``items_field`` (default ``products``),
+``max_tasks`` (default 200).
 """
 
 from __future__ import annotations
@@ -83,11 +85,17 @@ class IncompletePageError(RuntimeError):
 
 
 class PageWindow(InputPartition):
-    """Rows ``skip`` to ``skip + limit``; ``limit`` None: to the end."""
+    """Rows ``skip`` to ``skip + limit``, in windows of ``step`` rows;
+    ``limit`` None: to the end."""
 
-    def __init__(self, skip: int, limit: int | None):
-        super().__init__((skip, limit))
-        self.skip, self.limit = skip, limit
+    def __init__(self, skip: int, limit: int | None, step: int | None = None):
+        super().__init__((skip, limit, step))
+        self.skip, self.limit, self.step = skip, limit, step
+
+    def windows(self) -> list[tuple[int, int | None]]:
+        if self.limit is None or not self.step:
+            return [(self.skip, self.limit)]
+        return [(self.skip + s, n) for s, n in plan_windows(self.limit, self.step, None)]
 
 
 def plan_windows(total: int, limit: int, max_rows: int | None) -> list[tuple[int, int]]:
@@ -106,6 +114,7 @@ class PagedApiReader(DataSourceReader):
         self.backoff = float(options.get("backoff_seconds", 0.5))
         self.timeout = float(options.get("timeout", 10))
         self.items_field = options.get("items_field", "products")
+        self.max_tasks = int(options.get("max_tasks", 200))
 
     def _get(self, skip: int, limit: int) -> dict:
         return fetch_json(self.url.format(skip=skip, limit=limit), self.retries, self.backoff, self.timeout)
@@ -114,15 +123,21 @@ class PagedApiReader(DataSourceReader):
         total = self._get(0, self.limit).get("total")
         if total is None:
             return [PageWindow(0, self.max_rows)]
+        stop = int(total) if self.max_rows is None else min(int(total), self.max_rows)
+        each = max(1, -(-stop // (self.limit * self.max_tasks)))   # windows per task
         # One empty window where there is nothing: a reader has a partition.
-        return [PageWindow(s, n) for s, n in plan_windows(int(total), self.limit, self.max_rows) or [(0, 0)]]
+        return [PageWindow(s, n, self.limit) for s, n in plan_windows(stop, self.limit * each, None) or [(0, 0)]]
 
     def read(self, partition: PageWindow):
+        for skip, limit in partition.windows():
+            yield from self._read_window(skip, limit)
+
+    def _read_window(self, skip: int, limit: int | None):
         names = [f.name for f in self.schema.fields]
         got, counted = 0, True
-        while partition.limit is None or got < partition.limit:
-            want = self.limit if partition.limit is None else min(self.limit, partition.limit - got)
-            page = self._get(partition.skip + got, want)
+        while limit is None or got < limit:
+            want = self.limit if limit is None else min(self.limit, limit - got)
+            page = self._get(skip + got, want)
             items = page.get(self.items_field, [])[:want]
             counted = page.get("total") is not None
             if not items:
@@ -130,8 +145,8 @@ class PagedApiReader(DataSourceReader):
             got += len(items)
             for item in items:
                 yield tuple(item.get(n) for n in names)
-        if partition.limit is not None and got < partition.limit and counted:
-            raise IncompletePageError(f"{got} of {partition.limit} rows from {partition.skip} on")
+        if limit is not None and got < limit and counted:
+            raise IncompletePageError(f"{got} of {limit} rows from {skip} on")
 
 
 class PagedApiDataSource(DataSource):

@@ -65,6 +65,22 @@ def test_no_events_no_payloads(spark):
     assert landing.raw_payload_digests(spark, ViewSet(events=empty)).collect() == []
 
 
+# ---- pages ------------------------------------------------------------------
+
+
+def test_tasks_do_not_follow_the_pages(spark, tmp_path):
+    table = spark.range(2000).selectExpr("id", "concat('t', id) as title", "id / 2.0D as price", "id as stock")
+    url = api.write_pages(table, str(tmp_path), "id", 3)
+    api.register(spark)
+    read = lambda **o: spark.read.format("paged_api").options(url=url, limit=9, max_tasks=7, **o).load()
+    reader = api.PagedApiReader(read().schema, {"url": url, "limit": 9, "max_tasks": 7})
+    assert len(reader.partitions()) == 7
+    windows = [w for p in reader.partitions() for w in p.windows()]
+    assert windows == api.plan_windows(2000, 9, None)
+    assert rows(read()) == rows(table)
+    assert read(max_rows=1000).count() == 1000
+
+
 # ---- layers -----------------------------------------------------------------
 
 
