@@ -164,7 +164,7 @@ def json_array_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "json_arrays")
     docs = order_document_text(spark, sf_dir).withColumn("part", F.floor(F.col("order_id") / DOCUMENTS_PER_FILE))
     arrays = docs.groupBy("part").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("value"), ",\n"), F.lit("\n]")).alias("value"))
-    arrays.write.partitionBy("part").text(f"{root}/source")
+    arrays.write.partitionBy("part").option("compression", "gzip").text(f"{root}/source")   # no file is ever split
     # The files alone hold the documents; the folder names are no column.
     read = rejects.read_json_documents(spark, f"{root}/source/*", schemas.ORDER_DOC, f"{root}/documents")
     if not read.rejects.isEmpty():

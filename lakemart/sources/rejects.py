@@ -47,7 +47,7 @@ def read_with_rejects(spark: SparkSession, path: str, schema, fmt: str, target:
         reader = reader.option(k, v)
     read = reader.load(path)
     (read.select(*declared.names, F.col("_metadata.file_name").alias("source_file"), F.col(RECORD).isNull().alias("fits"))
-     .write.mode("overwrite").partitionBy("fits").parquet(target))
+     .write.mode("overwrite").option("compression", "zstd").partitionBy("fits").parquet(target))
     return SplitRead(spark, target, declared)
 
 
