@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lakemart import bindings as b
 from lakemart.plans.registry import register
+from lakemart.session import dealt_by
 
 
 def _order_headers_with_region(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +40,7 @@ def region_category_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
         "order_id", "product_id", (F.col("quantity") * F.col("price")).alias("line_revenue"))
     cats = b.products(spark, sf_dir).select("product_id", "category")
     return (
-        lines.join(cats, "product_id")
+        dealt_by(lines.join(cats, "product_id"), "order_id")
         .join(headers, "order_id")
         .groupBy("region", "category", "status")
         .agg(F.countDistinct("order_id").alias("orders_cnt"),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from lakemart import bindings as b
 from lakemart.operators.windows import lag_by_date
 from lakemart.plans.registry import register
+from lakemart.session import dealt_by, part_count
 
 
 def _dbl(name: str):
@@ -34,14 +35,14 @@ def _paid_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     Categories are joined first and order headers last, so the result comes
     out hash-partitioned by ``order_id``: per-order groupings, distincts and
     self-joins downstream reuse that partitioning instead of shuffling the
-    lines again.
+    lines again.  Their parts are sized by the files read.
     """
     paid = (b.orders(spark, sf_dir, statuses=("paid",))
             .select("order_id", "user_id", "order_date"))
     cats = b.products(spark, sf_dir).select("product_id", "category")
     lines = b.order_items(spark, sf_dir).select(
         "order_id", "product_id", "quantity", (F.col("quantity") * F.col("price")).alias("line_value"))
-    return lines.join(cats, "product_id").join(paid, "order_id")
+    return dealt_by(lines.join(cats, "product_id"), "order_id").join(paid, "order_id")
 
 
 @register("price_mismatch_lines", "Q-E1", oracle="""
@@ -314,9 +315,9 @@ def basket_diversity(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = _paid_lines(spark, sf_dir).groupBy("order_id", "product_id").agg(F.first("category").alias("category"))
     agg = (pairs.groupBy("order_id", "category").agg(F.count(F.lit(1)).alias("n"))
            .groupBy("order_id").agg(F.sum("n").alias("products_cnt"), F.count(F.lit(1)).alias("categories_cnt")))
-    return (agg.select("order_id", "products_cnt", "categories_cnt",
-                       _ratio("categories_cnt", "products_cnt").alias("diversity"))
-            .orderBy(F.col("diversity").desc(), "order_id"))
+    rows = agg.select("order_id", "products_cnt", "categories_cnt", _ratio("categories_cnt", "products_cnt").alias("diversity"))
+    by, n = (F.col("diversity").desc(), F.col("order_id").asc()), part_count(rows)
+    return (rows.repartitionByRange(n, *by) if n else rows).orderBy(*by)
 
 
 @register("single_category_users", "Q-B2", oracle="""

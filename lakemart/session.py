@@ -28,6 +28,7 @@ SALTS_CONF = "lakemart.skew.salts"
 BUCKETS_CONF = "lakemart.buckets"
 BUCKET_BYTES = 256 << 20
 MAX_BUCKETS = 50_000
+PART_BYTES = 16 << 20
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
@@ -132,6 +133,24 @@ def input_bytes(df: DataFrame) -> int:
     return total
 
 
+def part_count(df: DataFrame) -> int | None:
+    """Tasks for a shuffle of ``df`` with one per PART_BYTES of the files that
+    it reads; None where that is no more than the cores, which adaptive
+    execution keeps busy anyway.
+
+    Left to itself it packs the data into as many tasks as there are cores, so
+    a task's sorts and hash tables would grow with the input."""
+    n = min(MAX_BUCKETS, -(-input_bytes(df) // PART_BYTES))
+    return n if n > df.sparkSession.sparkContext.defaultParallelism else None
+
+
+def dealt_by(df: DataFrame, key: str) -> DataFrame:
+    """``df`` by ``key`` in ``part_count`` parts (few: left as it is, to be
+    dealt by the join or grouping that follows)."""
+    n = part_count(df)
+    return df.repartition(n, key) if n else df
+
+
 def bucket_count(spark: SparkSession, df: DataFrame, minimum: int = 8) -> int:
     """Buckets for a keyed or co-located layout (``lakemart.buckets``), by
     default one per BUCKET_BYTES of the files that ``df`` reads, at least

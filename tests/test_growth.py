@@ -65,6 +65,19 @@ def test_no_events_no_payloads(spark):
     assert landing.raw_payload_digests(spark, ViewSet(events=empty)).collect() == []
 
 
+# ---- parts by the files read ------------------------------------------------
+
+
+@pytest.mark.parametrize("query", [marts.region_category_revenue, order_analysis.dominant_category, order_analysis.basket_diversity])
+def test_parts_follow_the_files_read(spark, monkeypatch, query):
+    want = rows(query(spark, SF_SMALL))
+    assert "REPARTITION_BY_NUM" not in executed(query(spark, SF_SMALL))
+    monkeypatch.setattr(session, "PART_BYTES", 2000)
+    many = query(spark, SF_SMALL)
+    assert "REPARTITION_BY_NUM" in executed(many)
+    assert rows(many) == want
+
+
 # ---- pages ------------------------------------------------------------------
 
 
