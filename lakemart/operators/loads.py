@@ -30,6 +30,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakemart.session import input_bytes
+
+# Files of a partition of a swapped table hold up to about so much of it.
+PARTITION_PIECE_BYTES = 128 << 20
+
 
 def _hadoop_fs(spark: SparkSession, path: str):
     """Hadoop FileSystem of ``path`` through the JVM gateway (any scheme the
@@ -351,7 +356,8 @@ def touched_partitions(target: DataFrame, batch: DataFrame, partition_cols: list
     """
     bounds = batch.agg(*[f(c).alias(f"{n}_{c}") for c in partition_cols for n, f in (("lo", F.min), ("hi", F.max))]).first()
     between = reduce(lambda a, c: a & c, [F.col(c).between(bounds[f"lo_{c}"], bounds[f"hi_{c}"]) for c in partition_cols])
-    return target.filter(between).join(batch.filter(between).select(*partition_cols).distinct(), partition_cols, "left_semi")
+    touched = F.broadcast(batch.filter(between).select(*partition_cols).distinct())   # a row per partition: rows of one never meet in a task
+    return target.filter(between).join(touched, partition_cols, "left_semi")
 
 
 def upsert_partitioned(spark: SparkSession, table_path: str, batch: DataFrame, keys: list[str],
@@ -381,7 +387,14 @@ def upsert_partitioned(spark: SparkSession, table_path: str, batch: DataFrame, k
             affected = touched_partitions(target, rows, partition_cols)
             merged = rows_without_keys(affected, rows, keys).unionByName(rows.select(*target.columns))
         with written_once(merged, f"{staging_path.rstrip('/')}/merged") as staged:
-            (staged.hint("rebalance", *partition_cols).write.mode("overwrite")
+            # One partition may hold most rows: it is dealt out by key as well.
+            parts = -(-input_bytes(staged) // PARTITION_PIECE_BYTES)
+            if parts > 1:
+                piece = F.pmod(F.xxhash64(*keys), F.lit(parts)).alias("__piece")
+                dealt = staged.select("*", piece).hint("rebalance", *partition_cols, "__piece").drop("__piece")
+            else:
+                dealt = staged.hint("rebalance", *partition_cols)
+            (dealt.write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(table_path))
 
 

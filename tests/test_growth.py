@@ -65,6 +65,53 @@ def test_no_events_no_payloads(spark):
     assert landing.raw_payload_digests(spark, ViewSet(events=empty)).collect() == []
 
 
+# ---- keyed loads -----------------------------------------------------------
+
+WIDE = "k bigint, a string, b string, n int, d decimal(9,2), at timestamp_ntz, s struct<x: string>, f double"
+
+
+def test_loads_compare_digests_not_texts(spark, tmp_path):
+    t = BucketTable(spark, str(tmp_path), ["k"], WIDE, buckets=4)
+    base = [(1, "x", "yz", 1, None, None, ("q",), 0.5), (2, "xy", "z", 1, None, None, None, None), (3, None, "", 1, None, None, None, None),
+            (None, "", None, None, None, None, None, None)]
+    assert t.upsert(spark.createDataFrame(base, WIDE)) == 4 and not os.listdir(tmp_path / "pending")
+    assert t.upsert(spark.createDataFrame(base, WIDE)) == 0
+    moved = [(1, "xy", "z", 1, None, None, ("q",), 0.5), (2, "xy", "z", 1, None, None, None, None), (3, "", None, 1, None, None, None, None),
+             (None, None, "", None, None, None, None, None)]
+    assert t.upsert(spark.createDataFrame(moved, WIDE)) == 3
+    assert rows(t.read()) == sorted(map(tuple, spark.createDataFrame(moved, WIDE).collect()), key=repr)
+    last = [(1, "xy", "z", 1, None, None, ("p",), 0.5), (2, "xy", "z", 1, None, None, None, 1.0), *moved[2:]]
+    batch = t.bucketed(spark.createDataFrame(last, WIDE))
+    keys = t.changed_keys(batch)
+    assert rows(keys) == [(1,), (2,)]
+    below = executed(keys).split("Exchange")[0]
+    assert keys.columns == ["k"] and "_digest" in below
+
+
+def test_first_load_is_checked_before_it_counts(spark, tmp_path):
+    t = BucketTable(spark, str(tmp_path), ["k"], "k bigint, v string", buckets=2)
+    with pytest.raises(DuplicateKeyError):
+        t.upsert(spark.createDataFrame([(1, "a"), (1, "b")], "k bigint, v string"))
+    assert not os.path.exists(t.data) and not os.listdir(t.pending)
+    assert t.upsert(spark.createDataFrame([(1, "a")], "k bigint, v string")) == 1
+    assert not list(tmp_path.glob("_staging*"))
+
+
+def test_rows_of_one_partition_do_not_meet_in_a_task(spark, tmp_path, monkeypatch):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        spark.range(100).selectExpr("id % 3 as p", "id as k", "1 as v").write.partitionBy("p").parquet(str(tmp_path / "t"))
+        target = spark.read.parquet(str(tmp_path / "t"))
+        batch = spark.range(50).selectExpr("id % 3 as p", "id as k", "2 as v")
+        assert "BroadcastHashJoin" in plan(loads.touched_partitions(target, batch, ["p"]))
+        monkeypatch.setattr(loads, "PARTITION_PIECE_BYTES", 100)
+        loads.upsert_partitioned(spark, str(tmp_path / "t"), batch, ["p", "k"], ["p"], str(tmp_path / "stage"))
+        got = spark.read.parquet(str(tmp_path / "t")).select("p", "k", "v")
+        assert rows(got) == sorted(((k % 3, k, 2 if k < 50 else 1) for k in range(100)), key=repr)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 # ---- parts by the files read ------------------------------------------------
 
 
