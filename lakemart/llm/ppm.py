@@ -23,6 +23,8 @@ How it runs
        that followed them, at most MAX_TRIE entries; the others stay staged.  A
        suffix of a frequent context is frequent, so a byte whose longest context
        is in the tasks' part needs no other.
+       The tables are in the order of their keys' hashes: a byte found in its
+       longest context costs one look-up of a place or two.
     3. A second scan scores the texts.  Counts of frequent words go along: those
        that are at least one in MAX_FREQUENT of all tokens, hence at most so
        many.  All other words of a text are joined to their counts by a shuffle,
@@ -60,6 +62,7 @@ MAX_TRIE = 6_000_000
 MAX_FREQUENT = 4_000_000
 FLUSH = 1_000_000       # distinct keys a task holds before it hands them on
 SLICE_BYTES = 1 << 20   # text worked on at once: some 100 bytes of work space for each
+BLOCK = 1 << 18         # bytes looked up at once
 
 END, START = 0xFF, 0xFE          # bytes that no UTF-8 text holds
 WORD_KEY, GRAM_KEY, END_KEY = 0, 1, 2
@@ -135,13 +138,56 @@ def corpus_counts(docs: DataFrame, text_col: str, order: int) -> DataFrame:
     return docs.select(text_col).mapInArrow(run, COUNT_TYPE).groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
+class Places:
+    """Where each of a table's distinct keys is.  Keys lie in the order of
+    their hashes and ``first`` has where those of each hash begin (two keys a
+    hash at most on average, if ``roomy`` one), so a look-up reads a place or
+    two of the table where a bisection reads some twenty."""
+
+    def __init__(self, bits: int):
+        self.shift = np.uint64(64 - bits)
+        self.first = np.zeros((1 << bits) + 1, dtype=np.int32)
+
+    @classmethod
+    def of(cls, keys: np.ndarray, roomy: bool = False) -> tuple[Places, np.ndarray]:
+        """The places, and the key (by number) that each of them holds."""
+        out = cls(max(1, len(keys).bit_length() - (not roomy)))
+        slot = np.concatenate([out._slot(keys[k:k + BLOCK]).astype(np.uint32) for k in range(0, max(1, len(keys)), BLOCK)])
+        np.cumsum(np.bincount(slot, minlength=len(out.first) - 1), out=out.first[1:])
+        by = np.argsort(slot)
+        out.keys = keys[by]
+        return out, by
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (tb.mix(keys) >> self.shift).view(np.int64)
+
+    def __len__(self) -> int:
+        return len(self.keys)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each key, and whether it is there."""
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int32), np.zeros(len(keys), dtype=bool)
+        slot = self._slot(keys)
+        # A place of another hash holds another key, so it needs no check.
+        at = np.minimum(self.first[slot], np.int32(len(self.keys) - 1))
+        hit = self.keys[at] == keys
+        left = np.flatnonzero(~hit)
+        while len(left):
+            left = left[at[left] + 1 < self.first[slot[left] + 1]]
+            at[left] += 1
+            hit[left] = self.keys[at[left]] == keys[left]
+            left = left[~hit[left]]
+        return at, hit
+
+
 @dataclass
 class Level:
-    """The contexts of one length and what followed them, sorted by code."""
+    """The contexts of one length and what followed them."""
 
-    entry: np.ndarray        # context and byte
-    count: np.ndarray        # log10 of twice the count less one
-    context: np.ndarray
+    entry: Places            # context and byte
+    count: np.ndarray        # log10 of twice the count less one; of the longest strings with ``top`` of the context
+    context: Places
     top: np.ndarray          # log10 share denominator if the context is the longest known
     top_escape: np.ndarray
     next_share: np.ndarray   # the same in the next shorter context, without the bytes seen here
@@ -157,6 +203,23 @@ def _logs(total: np.ndarray, kinds: np.ndarray, rest: np.ndarray, more: np.ndarr
         return [x.astype(np.float32) for x in logs]
 
 
+def _totals(entry: np.ndarray, count: np.ndarray, k: int, shorter: tuple | None) -> tuple[np.ndarray, ...]:
+    """The contexts of ``k`` bytes and where their strings begin, total, kinds,
+    rest and more; ``shorter`` has the strings one byte shorter, their counts,
+    and their contexts, total and kinds."""
+    context, first = np.unique(entry >> np.uint64(8), return_index=True)
+    total = np.add.reduceat(count, first) if len(first) else np.zeros(0)
+    kinds = np.diff(np.append(first, len(entry))).astype(np.float64)
+    rest, more = np.zeros(len(context)), np.zeros(len(context))
+    if k and len(first):
+        strings, counts, below, below_total, below_kinds = shorter
+        same = counts[np.searchsorted(strings, entry & _low_bytes(k))]
+        parent = np.searchsorted(below, context & _low_bytes(k - 1))
+        rest = below_total[parent] - np.add.reduceat(same, first)
+        more = below_kinds[parent] - kinds
+    return context, first, total, kinds, rest, more
+
+
 class Trie:
     """All levels up to an order, from the counts of the longest strings, or
     from those of each level (ascending; with a context, all that followed it
@@ -167,29 +230,29 @@ class Trie:
         self.order, self.levels, self.whole = order, [], tables is None
         if tables is None:
             tables = [(codes, counts.astype(np.float64))]
+            del codes, counts
             for k in range(order - 1, -1, -1):
                 short = tables[0][0] & _low_bytes(k + 1)
                 keys, where = np.unique(short, return_inverse=True)
                 tables.insert(0, (keys, np.bincount(where, weights=tables[0][1], minlength=len(keys))))
         self.unseen = np.log10(1.0 / max(1, 256 - len(tables[0][0])))
-        totals: list[tuple] = []
-        for k, (entry, count) in enumerate(tables):
-            context, first = np.unique(entry >> np.uint64(8), return_index=True)
-            total = np.add.reduceat(count, first) if len(first) else np.zeros(0)
-            kinds = np.diff(np.append(first, len(entry))).astype(np.float64)
-            rest, more = np.zeros(len(context)), np.zeros(len(context))
-            if k and len(first):
-                below, below_total, below_kinds = totals[-1]
-                same = tables[k - 1][1][np.searchsorted(tables[k - 1][0], entry & _low_bytes(k))]
-                parent = np.searchsorted(below, context & _low_bytes(k - 1))
-                rest = below_total[parent] - np.add.reduceat(same, first)
-                more = below_kinds[parent] - kinds
-            totals.append((context, total, kinds))
-            self.levels.append(Level(entry, np.log10(2 * count - 1).astype(np.float32), context,
-                                     *_logs(total, kinds, rest, more), more > 0))
+        shorter = None
+        for k in range(order + 1):
+            entry, count = tables.pop(0)
+            context, first, total, kinds, rest, more = _totals(entry, count, k, shorter)
+            shorter = entry, count, context, total, kinds
+            seen, logs = np.log10(2 * count - 1).astype(np.float32), _logs(total, kinds, rest, more)
+            if k == order:
+                seen += np.repeat(logs[0], np.diff(np.append(first, len(entry))))
+                shorter = count = total = kinds = rest = first = None   # the largest: room for its places
+            (entries, by), (contexts, nodes) = Places.of(entry, roomy=k == order), Places.of(context)
+            self.levels.append(Level(entries, seen[by], contexts, *[x[nodes] for x in logs], more[nodes] > 0))
 
     def log10(self, codes: np.ndarray) -> np.ndarray:
         """log10 of the prediction of each byte in its context."""
+        return np.concatenate([self._log10(codes[k:k + BLOCK]) for k in range(0, max(1, len(codes)), BLOCK)])
+
+    def _log10(self, codes: np.ndarray) -> np.ndarray:
         out = np.zeros(len(codes))
         live, known = np.arange(len(codes)), np.zeros(len(codes), dtype=bool)
         share, escape = np.zeros(len(codes), np.float32), np.zeros(len(codes), np.float32)
@@ -199,13 +262,12 @@ class Trie:
             if not len(level.entry):
                 continue
             code = codes[live] & _low_bytes(k + 1)
-            at, hit = _find(level.entry, code)
+            at, hit = level.entry.find(code)
             if k == self.order and hit.any():
                 # Nearly all bytes end here: one look-up and no state.
-                ctx = self._context_of_entry()
-                out[live[hit]] = level.count[at[hit]] + level.top[ctx[at[hit]]]
+                out[live[hit]] = level.count[at[hit]]
                 live, code, at, hit = live[~hit], code[~hit], at[~hit], hit[~hit]
-            node, there = _find(level.context, code >> np.uint64(8))
+            node, there = level.context.find(code >> np.uint64(8))
             fresh = there & ~known[live]
             mine = live[fresh]
             share[mine], escape[mine], usable[mine] = level.top[node[fresh]], level.top_escape[node[fresh]], True
@@ -223,11 +285,12 @@ class Trie:
 
     def knows(self, codes: np.ndarray, k: int) -> np.ndarray:
         """Whether the context of ``k`` bytes of each byte is here."""
-        return _find(self.levels[k].context, (codes & _low_bytes(k + 1)) >> np.uint64(8))[1]
+        return self.levels[k].context.find((codes & _low_bytes(k + 1)) >> np.uint64(8))[1]
 
     def log10_beside(self, codes: np.ndarray, staged: dict[int, list[np.ndarray]]) -> np.ndarray:
-        """``log10`` where some contexts are not here: ``staged`` has for a
-        level count, total, kinds, rest and more of them (total 0: unknown)."""
+        """``log10`` where some contexts, the longest at least, are not here:
+        ``staged`` has for a level count, total, kinds, rest and more of them
+        (total 0: unknown)."""
         n = len(codes)
         out, live, known, usable = np.zeros(n), np.ones(n, bool), np.zeros(n, bool), np.ones(n, bool)
         share, escape = np.zeros(n, np.float32), np.zeros(n, np.float32)
@@ -241,10 +304,10 @@ class Trie:
                 hit, there, opens = seen > 0, total > 0, more > 0
                 count[hit] = np.log10(2 * seen[hit] - 1)
                 logs = _logs(total, kinds, rest, more)
-            if len(level.entry):
-                at, here = _find(level.entry, code)
+            if k < self.order and len(level.entry):
+                at, here = level.entry.find(code)
                 hit[here], count[here] = True, level.count[at[here]]
-                node, here = _find(level.context, code >> np.uint64(8))
+                node, here = level.context.find(code >> np.uint64(8))
                 node = node[here]
                 there[here], opens[here] = True, level.next_open[node]
                 for x, y in zip(logs, (level.top, level.top_escape, level.next_share, level.next_escape)):
@@ -262,25 +325,11 @@ class Trie:
         out[live] += self.unseen
         return out
 
-    def _context_of_entry(self) -> np.ndarray:
-        if not hasattr(self, "_owner"):
-            level = self.levels[self.order]
-            self._owner = np.searchsorted(level.context, level.entry >> np.uint64(8)).astype(np.int32)
-        return self._owner
-
 
 def _low_bytes(n: int) -> np.uint64:
     return np.uint64((1 << (8 * n)) - 1)
 
 
-def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Place of each key in a sorted table, and whether it is there."""
-    if not len(table):
-        return np.zeros(len(keys), np.int64), np.zeros(len(keys), dtype=bool)
-    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-    return at, table[at] == keys
-
-
 def _sorted_arrays(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     rows = table.select("key", "n").toArrow()
     keys, n = rows["key"].to_numpy().view(np.uint64), rows["n"].to_numpy()
@@ -383,12 +432,11 @@ def is_frequent(total: int) -> Column:
     return F.col("n") * MAX_FREQUENT >= total
 
 
-def frequent_words(words: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys (ascending) and counts of the frequent words."""
+def frequent_words(words: DataFrame, total: int) -> tuple[Places, np.ndarray]:
+    """Places of the frequent words, and the count at each place."""
     table = words.filter(is_frequent(total)).select("key", "n").toArrow()
-    keys, n = table["key"].to_numpy(), table["n"].to_numpy()
-    by = np.argsort(keys)
-    return keys[by], n[by]
+    places, by = Places.of(table["key"].to_numpy().view(np.uint64))
+    return places, table["n"].to_numpy()[by]
 
 
 def counted_lists(keys: np.ndarray, doc: np.ndarray, n_docs: int) -> list[pa.Array]:
@@ -421,9 +469,9 @@ def score(docs: DataFrame, train: Column, keep: list[str], text_col: str = "text
         F.sum("n").alias("tokens"), F.count("n").alias("types"),
         F.sum(F.when(F.col("kind") == END_KEY, F.col("n"))).alias("ends")).first()
     total, types, ends = sums["tokens"] or 0, sums["types"], sums["ends"] or 0
-    keys, n = frequent_words(words, total)
+    frequent, n = frequent_words(words, total)
     trie, contexts = train_trie(counts, order)
-    model = spark.sparkContext.broadcast((trie, keys, np.log10(n + 0.5)))
+    model = spark.sparkContext.broadcast((trie, frequent, np.log10(n + 0.5)))
 
     at = [docs.columns.index(c) for c in keep]
     text_at = docs.columns.index(text_col)
@@ -445,13 +493,13 @@ def score(docs: DataFrame, train: Column, keep: list[str], text_col: str = "text
                 codes = counted_lists(code[far].view(np.int64),
                                       np.searchsorted(place, at_byte[far], side="right") - 1, hi - lo)
                 starts, stops, woff = tb.word_spans(b, off)
-                h = tb.hash_spans(b, starts, stops).view(np.int64)
-                found, hit = _find(known, h)
+                h = tb.hash_spans(b, starts, stops)
+                found, hit = known.find(h)
                 sums = np.zeros(len(h) + 1)
                 sums[1:][hit] = logs[found[hit]]
                 np.cumsum(sums, out=sums)
                 rare = np.flatnonzero(~hit)
-                rares = counted_lists(h[rare], np.searchsorted(woff, rare, side="right") - 1, hi - lo)
+                rares = counted_lists(h[rare].view(np.int64), np.searchsorted(woff, rare, side="right") - 1, hi - lo)
                 yield pa.RecordBatch.from_arrays([
                     *[batch.column(k).slice(lo, hi - lo) for k in at],
                     pa.array(row + np.arange(hi - lo)), pa.array(p[place[1:]] - p[place[:-1]]),

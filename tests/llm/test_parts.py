@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,33 @@ def test_word_spans(texts):
     assert len(set(zip(words, hashes))) == len(set(words)) == len(set(hashes))
 
 
+@pytest.mark.parametrize("keys", [
+    np.zeros(0), np.array([0]), np.array([7, 2 ** 64 - 1], np.uint64), np.arange(5000), np.arange(5000) << 40, np.arange(70) ** 8])
+def test_places_are_those_of_the_keys(keys):
+    keys = np.random.default_rng(3).permutation(np.unique(keys.astype(np.uint64)))
+    places, by = ppm.Places.of(keys)
+    assert np.array_equal(places.keys, keys[by]) and np.diff(places.first).max() <= 12
+    ask = np.unique(np.concatenate([keys, keys + np.uint64(1), keys ^ np.uint64(1 << 45)]))
+    at, hit = places.find(ask)
+    assert np.array_equal(hit, np.isin(ask, keys)) and np.array_equal(places.keys[at[hit]], ask[hit])
+
+
+def test_a_known_byte_costs_less_than_a_bisection():
+    rng = np.random.default_rng(4)
+    codes = np.unique(rng.integers(0, 1 << 48, 1_500_000, dtype=np.uint64))
+    trie, ask = ppm.Trie(codes, np.ones(len(codes), np.int64), 5), rng.permutation(codes)
+
+    def seconds(f):
+        times = []
+        for _ in range(3):
+            start = time.perf_counter()
+            f()
+            times.append(time.perf_counter() - start)
+        return min(times)
+
+    assert seconds(lambda: trie.log10(ask)) < seconds(lambda: np.searchsorted(codes, ask))
+
+
 def test_trie_is_a_distribution_and_matches_plain_ppm():
     rng = random.Random(2)
     text = bytes(rng.choice(b"abcd ") for _ in range(400)) + b"abcabcabc"
