@@ -71,3 +71,11 @@ def tiny(tmp_path_factory, rows) -> str:
 @pytest.fixture(scope="session")
 def empty(tmp_path_factory) -> str:
     return write(tmp_path_factory.mktemp("empty"), [], extra=False)
+
+
+@pytest.fixture(autouse=True)
+def caches_given_back(request):
+    """Tables that a test caches itself are not left to the tests after it."""
+    yield
+    if "spark" in request.fixturenames:
+        request.getfixturevalue("spark").catalog.clearCache()
